@@ -1,0 +1,34 @@
+"""Broadcast only behind a measured size bound.
+
+``bounded_broadcast`` persists a small derived table (a dimension, per-article prices or
+cutoffs, article factors), counts it, and returns it wrapped in ``F.broadcast`` only when the
+count is within the limit. Beyond the limit the plain DataFrame is returned, so Spark plans a
+shuffle join (with AQE skew-join splitting hot keys) instead. The count runs on the persisted
+table, so the table is computed once; lost cache blocks are recomputed from lineage.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a narrow (id + a few numbers) table that may be shipped to every executor.
+DEFAULT_MAX_ROWS = 5_000_000
+
+
+@dataclass
+class Sized:
+    df: DataFrame
+    rows: int
+    broadcast: bool
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> Sized:
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
+    if n <= max_rows:
+        return Sized(F.broadcast(kept), n, True)
+    return Sized(kept, n, False)
