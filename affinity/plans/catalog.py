@@ -197,3 +197,242 @@ FROM holdout GROUP BY customer_int, article_int""",
 def q_holdout_counts(spark, sf_dir):
     _, holdout = split_part(spark, sf_dir)
     return P.holdout_counts(holdout)
+
+
+# --------------------------------------------------------------------------------------------
+# C3 repeat-purchase gap quantiles (article = brand: dense repeats)
+
+SQL_GAPS = """,
+g AS (
+  SELECT article_int,
+         CAST(t_dat - lag(t_dat) OVER (PARTITION BY customer_int, article_int ORDER BY t_dat)
+              AS INTEGER) AS gap
+  FROM train
+),
+pos AS (
+  SELECT article_int, gap,
+         row_number() OVER (PARTITION BY article_int ORDER BY gap) - 1 AS rn,
+         count(*) OVER (PARTITION BY article_int) AS n
+  FROM g WHERE gap > 0
+)"""
+
+
+def _nearest_col(q: float, name: str) -> str:
+    return (
+        f"CAST(max(CASE WHEN rn = floor(CAST({q!r} AS DOUBLE) * (n - 1) + CAST(0.5 AS DOUBLE))"
+        f" THEN gap END) AS DOUBLE) AS {name}"
+    )
+
+
+SQL_GAP_NEAREST = (
+    with_txb()
+    + SQL_GAPS
+    + "\nSELECT article_int, "
+    + ", ".join(_nearest_col(q, n) for q, n in zip(Q.LEVELS, Q.NAMES))
+    + "\nFROM pos GROUP BY article_int"
+)
+
+SQL_GAP_DISC = (
+    with_txb()
+    + SQL_GAPS
+    + "\nSELECT article_int, "
+    + ", ".join(f"CAST(quantile_disc(gap, {q!r}) AS DOUBLE) AS {n}" for q, n in zip(Q.LEVELS, Q.NAMES))
+    + "\nFROM pos GROUP BY article_int"
+)
+
+SQL_GAP_LINEAR = (
+    with_txb()
+    + SQL_GAPS
+    + "\nSELECT article_int, "
+    + ", ".join(f"round(quantile_cont(gap, {q!r}), 6) AS {n}" for q, n in zip(Q.LEVELS, Q.NAMES))
+    + "\nFROM pos GROUP BY article_int"
+)
+
+
+def gap_query(mode: str, rounded: bool) -> Builder:
+    def build(spark, sf_dir):
+        train, _ = split_brand(spark, sf_dir)
+        out = Q.repeat_gap_quantiles(train, mode=mode)
+        if rounded:
+            out = out.select("article_int", *[r6(n) for n in Q.NAMES])
+        return out
+
+    return build
+
+
+register("repeat_gap_quantiles", SQL_GAP_NEAREST)(gap_query("nearest", False))
+register("repeat_gap_quantiles_disc", SQL_GAP_DISC)(gap_query("disc", False))
+register("repeat_gap_quantiles_linear", SQL_GAP_LINEAR)(gap_query("linear", True))
+
+
+# --------------------------------------------------------------------------------------------
+# C4 recency
+
+
+@register(
+    "recency",
+    with_txb()
+    + """,
+last AS (SELECT customer_int, article_int, max(t_dat) AS l FROM train GROUP BY 1, 2)
+SELECT customer_int, article_int,
+       CAST((SELECT max(l) FROM last) - l AS INTEGER) AS days_since_last_purchase
+FROM last""",
+)
+def q_recency(spark, sf_dir):
+    train, _ = split_brand(spark, sf_dir)
+    return P.days_since_last_purchase(train)
+
+
+# --------------------------------------------------------------------------------------------
+# C5 first N days of each customer
+
+
+@register(
+    "first_n_days",
+    with_tx()
+    + f""",
+f AS (SELECT customer_int, min(t_dat) AS t_dat_first FROM train GROUP BY customer_int)
+SELECT CAST(t.t_dat AS VARCHAR) AS t_dat, t.customer_int, t.article_int, t.price,
+       CAST(f.t_dat_first AS VARCHAR) AS t_dat_first,
+       CAST(t.t_dat - f.t_dat_first AS INTEGER) AS days_since_first_t
+FROM train t JOIN f ON t.customer_int = f.customer_int
+WHERE t.t_dat - f.t_dat_first < {FIRST_N_DAYS}""",
+)
+def q_first_n_days(spark, sf_dir):
+    train, _ = split_part(spark, sf_dir)
+    out = P.transactions_first_n_days(train, FIRST_N_DAYS)
+    return out.select(
+        iso("t_dat"), "customer_int", "article_int", "price", iso("t_dat_first"), "days_since_first_t"
+    )
+
+
+# --------------------------------------------------------------------------------------------
+# C6 new customers in the holdout, J6 customers both modelled and in the holdout
+
+
+@register(
+    "holdout_new_customers",
+    with_tx(NEW_CUSTOMER_HOLDOUT_DAYS)
+    + """
+SELECT CAST(h.t_dat AS VARCHAR) AS t_dat, h.customer_int, h.article_int, h.price
+FROM holdout h
+WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.customer_int = h.customer_int)""",
+)
+def q_holdout_new_customers(spark, sf_dir):
+    train, holdout = split_part(spark, sf_dir, NEW_CUSTOMER_HOLDOUT_DAYS)
+    out = P.holdout_new_customer_transactions(train, holdout)
+    return out.select(iso("t_dat"), "customer_int", "article_int", "price")
+
+
+@register(
+    "known_customers",
+    with_tx(NEW_CUSTOMER_HOLDOUT_DAYS)
+    + """
+SELECT DISTINCT customer_int FROM holdout
+WHERE customer_int IN (SELECT customer_int FROM train)""",
+)
+def q_known_customers(spark, sf_dir):
+    train, holdout = split_part(spark, sf_dir, NEW_CUSTOMER_HOLDOUT_DAYS)
+    modelled = P.weighted_interactions(train)
+    return P.known_customers(modelled, holdout)
+
+
+# --------------------------------------------------------------------------------------------
+# P1/P2 dense ids, C1 enriched transactions, P6/P7/P8 encoded interactions
+
+SQL_ID_MAPS = """
+cm AS (
+  SELECT customer_id, row_number() OVER (ORDER BY customer_id) - 1 AS customer_int
+  FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer)
+),
+am AS (
+  SELECT article_id, row_number() OVER (ORDER BY article_id) - 1 AS article_int
+  FROM (SELECT DISTINCT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS article_id FROM part)
+)"""
+
+
+def customer_map(spark, sf_dir):
+    from affinity.operators.ids import dense_ids
+
+    return dense_ids(X.customers(spark, sf_dir), "customer_id", "customer_int")
+
+
+def article_map(spark, sf_dir):
+    from affinity.operators.ids import dense_ids
+
+    return dense_ids(X.articles(spark, sf_dir), "article_id", "article_int")
+
+
+register("dense_ids_customer", "WITH " + SQL_ID_MAPS + "\nSELECT * FROM cm")(customer_map)
+register("dense_ids_article", "WITH " + SQL_ID_MAPS + "\nSELECT * FROM am")(article_map)
+
+
+@register(
+    "enriched_transactions",
+    "WITH "
+    + SQL_ID_MAPS
+    + """,
+raw AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS t_dat, CAST(o.o_custkey AS VARCHAR) AS customer_id,
+         lpad(CAST(l.l_partkey AS VARCHAR), 10, '0') AS article_id,
+         l.l_extendedprice / l.l_quantity AS price, l.l_orderkey, l.l_linenumber
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)
+SELECT CAST(r.t_dat AS VARCHAR) AS t_dat, r.price, r.l_orderkey, r.l_linenumber,
+       cm.customer_int, am.article_int
+FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN am ON r.article_id = am.article_id""",
+)
+def q_enriched_transactions(spark, sf_dir):
+    out = P.enrich_transactions(
+        X.transactions(spark, sf_dir), customer_map(spark, sf_dir), article_map(spark, sf_dir)
+    )
+    return out.select(
+        iso("t_dat"), "price", "l_orderkey", "l_linenumber", "customer_int", "article_int"
+    )
+
+
+SQL_ENCODED = (
+    with_tx()
+    + """,
+w AS (SELECT customer_int, article_int, count(*) AS cnt FROM train GROUP BY 1, 2),
+ci AS (SELECT customer_int, row_number() OVER (ORDER BY customer_int) - 1 AS customer_idx
+       FROM (SELECT DISTINCT customer_int FROM w)),
+ai AS (SELECT article_int, row_number() OVER (ORDER BY article_int) - 1 AS article_idx
+       FROM (SELECT DISTINCT article_int FROM w))"""
+)
+
+
+def interactions_part(spark, sf_dir):
+    train, _ = split_part(spark, sf_dir)
+    return P.weighted_interactions(train)
+
+
+@register(
+    "encoded_interactions",
+    SQL_ENCODED
+    + """
+SELECT ci.customer_idx, ai.article_idx, round(CAST(w.cnt AS DOUBLE), 6) AS weight
+FROM w JOIN ci ON w.customer_int = ci.customer_int JOIN ai ON w.article_int = ai.article_int""",
+)
+def q_encoded_interactions(spark, sf_dir):
+    from affinity.operators.ids import dense_ids, encode_pairs
+
+    inter = interactions_part(spark, sf_dir)
+    cmap = dense_ids(inter, "customer_int", "customer_idx")
+    amap = dense_ids(inter, "article_int", "article_idx")
+    return encode_pairs(inter, cmap, amap).select("customer_idx", "article_idx", r6("weight"))
+
+
+@register(
+    "interaction_counts",
+    SQL_ENCODED
+    + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT customer_int) AS BIGINT) AS num_customers,
+       CAST(count(DISTINCT article_int) AS BIGINT) AS num_articles
+FROM w""",
+)
+def q_interaction_counts(spark, sf_dir):
+    from affinity.operators.ids import interaction_counts
+
+    return interaction_counts(interactions_part(spark, sf_dir))
