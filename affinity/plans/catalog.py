@@ -436,3 +436,258 @@ def q_interaction_counts(spark, sf_dir):
     from affinity.operators.ids import interaction_counts
 
     return interaction_counts(interactions_part(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------------------------
+# Latent-factor queries on deterministic factor tables (FIXTURES section 3)
+
+from affinity.operators import evaluation as EV  # noqa: E402
+from affinity.operators import factors as M  # noqa: E402
+from affinity.operators import sampling as T  # noqa: E402
+from affinity.operators import scoring as R  # noqa: E402
+
+K = 5
+L2 = 0.02
+LR = 0.03
+TOP_N = 12
+SEED = 42
+SAMPLE_SIZE = 100
+BATCH_SIZE = 10_000
+VALIDATION_SHARE = 0.05
+TOL = 1e-4
+ADAM = M.AdamConfig(lr=LR)
+
+
+def sql_fixed(name: str, ids_sql: str) -> str:
+    cols = ", ".join(
+        f"CAST((id * {M.FIXED_FACTOR_MULT} + {i} * {M.FIXED_FACTOR_STEP}) % {M.FIXED_FACTOR_MOD}"
+        f" - {M.FIXED_FACTOR_SHIFT} AS DOUBLE) / CAST({M.FIXED_FACTOR_DIV!r} AS DOUBLE) AS f{i}"
+        for i in range(K)
+    )
+    bias = (
+        f"CAST((id * {M.FIXED_BIAS_MULT}) % {M.FIXED_BIAS_MOD} - {M.FIXED_BIAS_SHIFT} AS DOUBLE)"
+        f" / CAST({M.FIXED_BIAS_DIV!r} AS DOUBLE) AS bias"
+    )
+    return f"{name} AS (SELECT id, {cols}, {bias} FROM ({ids_sql}) WHERE id IS NOT NULL)"
+
+
+def sql_exponent(c: str, a: str) -> str:
+    dot = " + ".join(f"{c}.f{i} * {a}.f{i}" for i in range(K))
+    return f"({dot} + {c}.bias + {a}.bias + CAST({M.FIXED_INTERCEPT!r} AS DOUBLE))"
+
+
+def sql_sumsq(t: str) -> str:
+    return " + ".join(f"{t}.f{i} * {t}.f{i}" for i in range(K))
+
+
+def sql_model(source_with: str) -> str:
+    """Interactions (decay 0, price 0 => counts) and fixed factors of their customers/articles."""
+    return (
+        source_with
+        + """,
+w AS (SELECT customer_int, article_int, CAST(count(*) AS DOUBLE) AS weight
+      FROM train GROUP BY customer_int, article_int),
+"""
+        + sql_fixed("cf", "SELECT DISTINCT customer_int AS id FROM w")
+        + ",\n"
+        + sql_fixed("af", "SELECT DISTINCT article_int AS id FROM w")
+    )
+
+
+def model_inputs(spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
+    train, holdout = (split_brand if brand else split_part)(spark, sf_dir, days)
+    inter = P.weighted_interactions(train)
+    cf = M.fixed_factors(inter, "customer_int", K)
+    af = M.fixed_factors(inter, "article_int", K)
+    return train, holdout, inter, cf, af
+
+
+@register(
+    "pair_scores",
+    sql_model(with_tx())
+    + f"""
+SELECT w.customer_int, w.article_int, {sql_exponent('c', 'a')} AS exponent,
+       round(exp({sql_exponent('c', 'a')}), 6) AS score
+FROM w JOIN cf c ON w.customer_int = c.id JOIN af a ON w.article_int = a.id""",
+)
+def q_pair_scores(spark, sf_dir):
+    _, _, inter, cf, af = model_inputs(spark, sf_dir)
+    out = M.pair_scores(inter, cf, af, M.FIXED_INTERCEPT, K)
+    return out.select("customer_int", "article_int", "exponent", r6("score"))
+
+
+SQL_JOINED = f""",
+j AS (
+  SELECT w.customer_int, w.article_int, w.weight,
+         {', '.join(f'c.f{i} AS uf{i}' for i in range(K))}, c.bias AS ub,
+         {', '.join(f'a.f{i} AS af{i}' for i in range(K))}, a.bias AS ab,
+         exp({sql_exponent('c', 'a')}) AS p
+  FROM w JOIN cf c ON w.customer_int = c.id JOIN af a ON w.article_int = a.id
+)"""
+
+
+@register(
+    "factor_loss",
+    sql_model(with_tx())
+    + SQL_JOINED
+    + f""",
+pen AS (SELECT CAST({L2!r} AS DOUBLE) * ((SELECT sqrt(sum({sql_sumsq('cf')})) FROM cf)
+                    + (SELECT sqrt(sum({sql_sumsq('af')})) FROM af)) AS v)
+SELECT round(sum((p - weight) * (p - weight)), 6) AS pred_loss,
+       round(any_value(pen.v), 6) AS penalty_loss,
+       round(sum((p - weight) * (p - weight)) + any_value(pen.v), 6) AS loss,
+       CAST(count(*) AS BIGINT) AS n_pairs,
+       round(sum((p - weight) * (p - weight)) / count(*), 6) AS mean_pred_loss
+FROM j CROSS JOIN pen""",
+)
+def q_factor_loss(spark, sf_dir):
+    _, _, inter, cf, af = model_inputs(spark, sf_dir)
+    out = M.losses(inter, cf, af, M.FIXED_INTERCEPT, K, L2)
+    return out.select(
+        r6("pred_loss"), r6("penalty_loss"), r6("loss"), "n_pairs", r6("mean_pred_loss")
+    )
+
+
+def sql_adam(x: str) -> str:
+    """First Adam step for gradient expression x, with the same literals as the Spark side."""
+    b1, b2 = ADAM.beta1, ADAM.beta2
+    m = f"(CAST({1.0 - b1!r} AS DOUBLE) * ({x}))"
+    v = f"(CAST({1.0 - b2!r} AS DOUBLE) * ({x}) * ({x}))"
+    return (
+        f"CAST({ADAM.lr!r} AS DOUBLE) * ({m} / CAST({1.0 - b1 ** 1!r} AS DOUBLE))"
+        f" / (sqrt({v} / CAST({1.0 - b2 ** 1!r} AS DOUBLE)) + CAST({ADAM.eps!r} AS DOUBLE))"
+    )
+
+
+SQL_STEP = (
+    sql_model(with_tx())
+    + SQL_JOINED
+    + f""",
+d AS (SELECT *, CAST(2.0 AS DOUBLE) * (p - weight) * p AS dl FROM j),
+gu AS (SELECT customer_int AS id, {', '.join(f'sum(dl * af{i}) AS g{i}' for i in range(K))},
+              sum(dl) AS gb FROM d GROUP BY customer_int),
+ga AS (SELECT article_int AS id, {', '.join(f'sum(dl * uf{i}) AS g{i}' for i in range(K))},
+              sum(dl) AS gb FROM d GROUP BY article_int),
+nu AS (SELECT CAST({L2!r} AS DOUBLE) / sqrt(sum({sql_sumsq('cf')})) AS c FROM cf),
+na AS (SELECT CAST({L2!r} AS DOUBLE) / sqrt(sum({sql_sumsq('af')})) AS c FROM af),
+step AS (
+  SELECT 'customer' AS side, t.id,
+         {', '.join(f't.f{i} - ' + sql_adam(f'g.g{i} + n.c * t.f{i}') + f' AS f{i}' for i in range(K))},
+         t.bias - {sql_adam('g.gb')} AS bias
+  FROM cf t JOIN gu g ON t.id = g.id CROSS JOIN nu n
+  UNION ALL
+  SELECT 'article' AS side, t.id,
+         {', '.join(f't.f{i} - ' + sql_adam(f'g.g{i} + n.c * t.f{i}') + f' AS f{i}' for i in range(K))},
+         t.bias - {sql_adam('g.gb')} AS bias
+  FROM af t JOIN ga g ON t.id = g.id CROSS JOIN na n
+)"""
+)
+
+
+def one_step(spark, sf_dir):
+    _, _, inter, cf, af = model_inputs(spark, sf_dir)
+    model = M.Model(M.with_moments(cf, K), M.with_moments(af, K), M.FIXED_INTERCEPT, K)
+    new, _ = M.gradient_step(inter, model, L2, ADAM, checkpoint=True)
+    return cf, af, new
+
+
+@register(
+    "factor_gradient_step",
+    SQL_STEP
+    + f"""
+SELECT side, id, {', '.join(f'round(f{i}, 6) + 0.0 AS f{i}' for i in range(K))},
+       round(bias, 6) + 0.0 AS bias
+FROM step""",
+)
+def q_factor_gradient_step(spark, sf_dir):
+    _, _, new = one_step(spark, sf_dir)
+    cols = ["id", *[r6(f"f{i}") for i in range(K)], r6("bias")]
+    return new.customers.select(F.lit("customer").alias("side"), *cols).unionByName(
+        new.articles.select(F.lit("article").alias("side"), *cols)
+    )
+
+
+@register(
+    "snapshot_changes",
+    SQL_STEP
+    + ",\nbefore AS (SELECT 'customer' AS side, * FROM cf UNION ALL SELECT 'article' AS side, * FROM af)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT b.side || '_{p}' AS parameter, CAST(count_if(abs(s.{p} - b.{p}) > {TOL!r}) AS BIGINT)"
+        f" AS num_values_changed FROM before b JOIN step s ON b.side = s.side AND b.id = s.id"
+        f" GROUP BY b.side"
+        for p in M.param_names(K)
+    ),
+)
+def q_snapshot_changes(spark, sf_dir):
+    cf, af, new = one_step(spark, sf_dir)
+    return M.snapshot_changes(cf, new.customers, K, TOL, "customer").unionByName(
+        M.snapshot_changes(af, new.articles, K, TOL, "article")
+    )
+
+
+# --------------------------------------------------------------------------------------------
+# T4 sample, T5 batches, T6 validation split, F6 weight lookup
+
+
+def sql_hash(*parts: str) -> str:
+    text = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+
+
+@register(
+    "sample_customers",
+    sql_model(with_tx())
+    + f"""
+SELECT id AS customer_int FROM cf
+ORDER BY {sql_hash('id', repr(str(SEED)))}, id LIMIT {SAMPLE_SIZE}""",
+)
+def q_sample_customers(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    return T.sample_keys(inter, "customer_int", SAMPLE_SIZE, SEED)
+
+
+@register(
+    "validation_split",
+    sql_model(with_tx())
+    + f"""
+SELECT customer_int, article_int, round(weight, 6) AS weight,
+       {sql_hash('customer_int', 'article_int', repr(str(SEED)), "'val'")} / CAST(4294967296.0 AS DOUBLE)
+         < CAST({VALIDATION_SHARE!r} AS DOUBLE) AS is_validation
+FROM w""",
+)
+def q_validation_split(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    out = T.validation_flags(inter, VALIDATION_SHARE, SEED)
+    return out.select("customer_int", "article_int", r6("weight"), "is_validation")
+
+
+@register(
+    "batch_assignment",
+    sql_model(with_tx())
+    + f""",
+nb AS (SELECT CAST(ceil(count(*) / CAST({BATCH_SIZE} AS DOUBLE)) AS BIGINT) AS n FROM w)
+SELECT customer_int, article_int,
+       CAST({sql_hash('customer_int', 'article_int', repr(str(SEED)), "'0'")} % nb.n AS BIGINT) AS batch
+FROM w CROSS JOIN nb""",
+)
+def q_batch_assignment(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    n = T.number_of_batches(inter.count(), BATCH_SIZE)
+    out = T.assign_batches(inter, n, SEED, 0)
+    return out.select("customer_int", "article_int", "batch")
+
+
+@register(
+    "weight_lookup",
+    sql_model(with_tx())
+    + """,
+pairs AS (SELECT DISTINCT customer_int, article_int FROM holdout)
+SELECT p.customer_int, p.article_int, round(w.weight, 6) AS weight
+FROM pairs p LEFT JOIN w ON p.customer_int = w.customer_int AND p.article_int = w.article_int""",
+)
+def q_weight_lookup(spark, sf_dir):
+    from affinity.operators.lookup import lookup_weights
+
+    _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
+    pairs = holdout.select("customer_int", "article_int").distinct()
+    return lookup_weights(pairs, inter).select("customer_int", "article_int", r6("weight"))
