@@ -691,3 +691,195 @@ def q_weight_lookup(spark, sf_dir):
     _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
     pairs = holdout.select("customer_int", "article_int").distinct()
     return lookup_weights(pairs, inter).select("customer_int", "article_int", r6("weight"))
+
+
+# --------------------------------------------------------------------------------------------
+# R1-R5 recommendations, A7 actuals, Y1-Y3 / A10 evaluation, R7 submission
+
+PERCENTILE = "p50"
+
+
+def sql_reco(source_with: str) -> str:
+    """CTE chain ending in ``recs(customer_int, article_int, rk)``: brute-force all pairs."""
+    return (
+        sql_model(source_with)
+        + SQL_GAPS
+        + f""",
+cuts AS (SELECT article_int, {_nearest_col(0.5, PERCENTILE)} FROM pos GROUP BY article_int),
+last AS (SELECT customer_int, article_int, max(t_dat) AS l FROM train GROUP BY 1, 2),
+hist AS (SELECT customer_int, article_int, CAST((SELECT max(l) FROM last) - l AS INTEGER) AS d
+         FROM last),
+excl AS (
+  SELECT h.customer_int, h.article_int FROM hist h JOIN cuts c ON h.article_int = c.article_int
+  WHERE h.d <= c.{PERCENTILE} AND h.article_int IN (SELECT id FROM af)
+),
+act_c AS (SELECT DISTINCT customer_int FROM holdout),
+known AS (SELECT customer_int FROM act_c WHERE customer_int IN (SELECT id FROM cf)),
+scored AS (  -- a suppressed article scores -1.0: all of them tie and order by id
+  SELECT k.customer_int, a.id AS article_int, {sql_exponent('c', 'a')} AS e,
+         (x.article_int IS NOT NULL) AS sup
+  FROM known k JOIN cf c ON c.id = k.customer_int CROSS JOIN af a
+  LEFT JOIN excl x ON x.customer_int = k.customer_int AND x.article_int = a.id
+),
+ranked AS (
+  SELECT customer_int, article_int,
+         row_number() OVER (PARTITION BY customer_int
+                            ORDER BY sup, CASE WHEN sup THEN 0.0 ELSE e END DESC, article_int) AS rk
+  FROM scored
+),
+samp AS (SELECT id FROM cf ORDER BY {sql_hash('id', repr(str(SEED)))}, id LIMIT {SAMPLE_SIZE}),
+fb AS (
+  SELECT a.id AS article_int, avg(exp({sql_exponent('c', 'a')})) AS s
+  FROM samp JOIN cf c ON c.id = samp.id CROSS JOIN af a GROUP BY a.id
+),
+fbr AS (SELECT article_int, row_number() OVER (ORDER BY s DESC, article_int) AS rk FROM fb),
+newc AS (SELECT customer_int FROM act_c WHERE customer_int NOT IN (SELECT id FROM cf)),
+recs AS (
+  SELECT customer_int, article_int, rk FROM ranked WHERE rk <= {TOP_N}
+  UNION ALL
+  SELECT n.customer_int, f.article_int, f.rk FROM newc n CROSS JOIN fbr f WHERE f.rk <= {TOP_N}
+)"""
+    )
+
+
+SQL_AP = f""",
+act AS (SELECT DISTINCT customer_int, article_int FROM holdout),
+nact AS (SELECT customer_int, count(*) AS n FROM holdout GROUP BY customer_int),
+hits AS (
+  SELECT r.customer_int, r.rk, CASE WHEN a.article_int IS NULL THEN 0 ELSE 1 END AS hit
+  FROM recs r LEFT JOIN act a ON r.customer_int = a.customer_int AND r.article_int = a.article_int
+),
+cum AS (
+  SELECT customer_int, rk, hit,
+         sum(hit) OVER (PARTITION BY customer_int ORDER BY rk
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ch
+  FROM hits
+),
+sc AS (
+  SELECT customer_int,
+         sum(CASE WHEN hit = 1 THEN CAST(ch AS DOUBLE) / rk ELSE 0.0 END) AS s
+  FROM cum GROUP BY customer_int
+),
+ap AS (
+  SELECT n.customer_int, coalesce(sc.s, 0.0) / CAST(least(n.n, {TOP_N}) AS DOUBLE) AS apk
+  FROM nact n LEFT JOIN sc ON n.customer_int = sc.customer_int
+)"""
+
+
+def reco_inputs(spark, sf_dir, brand: bool, days: int):
+    train, holdout, inter, cf, af = model_inputs(spark, sf_dir, brand, days)
+    history = P.days_since_last_purchase(train)
+    cutoffs = Q.repeat_gap_quantiles(train)
+    excl = R.excluded_articles(history, cutoffs, PERCENTILE, af)
+    sample = T.sample_keys(cf, "id", SAMPLE_SIZE, SEED)
+    fb = R.fallback_list(
+        R.fallback_scores(cf.join(sample, "id", "left_semi"), af, M.FIXED_INTERCEPT, K), TOP_N
+    )
+    recs = R.recommend(holdout, cf, af, M.FIXED_INTERCEPT, K, TOP_N, excl, fb)
+    return train, holdout, recs
+
+
+def recs_text(recs: DataFrame) -> DataFrame:
+    return recs.select(
+        "customer_int",
+        F.array_join(F.transform("recommendations", lambda x: x.cast("string")), " ").alias(
+            "recommendations"
+        ),
+    )
+
+
+SQL_RECS_TEXT = """
+SELECT customer_int, string_agg(CAST(article_int AS VARCHAR), ' ' ORDER BY rk) AS recommendations
+FROM recs GROUP BY customer_int"""
+
+
+@register("recommendations", sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_RECS_TEXT)
+def q_recommendations(spark, sf_dir):
+    _, _, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    return recs_text(recs)
+
+
+@register("recommendations_part", sql_reco(with_tx()) + SQL_RECS_TEXT)
+def q_recommendations_part(spark, sf_dir):
+    _, _, recs = reco_inputs(spark, sf_dir, False, HOLDOUT_DAYS)
+    return recs_text(recs)
+
+
+@register(
+    "suppressed_pairs",
+    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + "\nSELECT customer_int, article_int FROM excl",
+)
+def q_suppressed_pairs(spark, sf_dir):
+    train, _, _, _, af = model_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    return R.excluded_articles(
+        P.days_since_last_purchase(train), Q.repeat_gap_quantiles(train), PERCENTILE, af
+    )
+
+
+@register(
+    "fallback_scores",
+    sql_reco(with_tx()) + "\nSELECT article_int, round(s, 6) AS score FROM fb",
+)
+def q_fallback_scores(spark, sf_dir):
+    _, _, _, cf, af = model_inputs(spark, sf_dir)
+    sample = T.sample_keys(cf, "id", SAMPLE_SIZE, SEED)
+    out = R.fallback_scores(cf.join(sample, "id", "left_semi"), af, M.FIXED_INTERCEPT, K)
+    return out.select("article_int", r6("score"))
+
+
+@register(
+    "actuals",
+    with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)
+    + """
+SELECT customer_int, string_agg(CAST(article_int AS VARCHAR), ' ' ORDER BY article_int) AS actuals
+FROM holdout GROUP BY customer_int""",
+)
+def q_actuals(spark, sf_dir):
+    _, holdout = split_brand(spark, sf_dir, NEW_CUSTOMER_HOLDOUT_DAYS)
+    out = EV.actuals(holdout)
+    return out.select(
+        "customer_int",
+        F.array_join(F.transform("actuals", lambda x: x.cast("string")), " ").alias("actuals"),
+    )
+
+
+@register(
+    "average_precision",
+    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_AP
+    + "\nSELECT customer_int, round(apk, 6) AS apk FROM ap",
+)
+def q_average_precision(spark, sf_dir):
+    _, holdout, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    return EV.average_precision(recs, holdout, TOP_N).select("customer_int", r6("apk"))
+
+
+@register(
+    "mean_average_precision",
+    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_AP
+    + "\nSELECT round(avg(apk), 6) AS map, CAST(count(*) AS BIGINT) AS n_customers FROM ap",
+)
+def q_mean_average_precision(spark, sf_dir):
+    _, holdout, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    out = EV.mean_average_precision(EV.average_precision(recs, holdout, TOP_N))
+    return out.select(r6("map"), "n_customers")
+
+
+@register(
+    "submission",
+    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS))
+    + """
+SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
+       string_agg(b.p_brand, ' ' ORDER BY r.rk) AS prediction
+FROM recs r JOIN brands b ON r.article_int = b.brand_int
+JOIN customer c ON c.c_custkey = r.customer_int
+GROUP BY c.c_custkey""",
+)
+def q_submission(spark, sf_dir):
+    _, _, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    cmap = X.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_int"), F.col("c_custkey").cast("string").alias("customer_id")
+    )
+    amap = X.brand_ids(spark, sf_dir).select(
+        F.col("brand_int").alias("article_int"), F.col("p_brand").alias("article_id")
+    )
+    return EV.format_submission(recs, cmap, amap)
