@@ -273,3 +273,20 @@ def recommend(
     new = wanted.join(customer_factors.select(F.col("id").alias(customer)), customer, "left_anti")
     fb = fallback.select("recommendations").scalar()
     return scored.unionByName(new.select(customer, fb.alias("recommendations")))
+
+
+def fallback_for(
+    customer_factors: DataFrame,
+    article_factors: DataFrame,
+    intercept: float,
+    k: int,
+    n: int,
+    sample_size: int = 1000,
+    seed: int = 0,
+) -> DataFrame:
+    """R2 end to end: sample modelled customers (T4), average their scores, keep the top N."""
+    from affinity.operators.sampling import sample_keys
+
+    sample = sample_keys(customer_factors, "id", sample_size, seed)
+    sampled = customer_factors.join(sample, "id", "left_semi")
+    return fallback_list(fallback_scores(sampled, article_factors, intercept, k), n)

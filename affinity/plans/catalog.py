@@ -883,3 +883,32 @@ def q_submission(spark, sf_dir):
         F.col("brand_int").alias("article_int"), F.col("p_brand").alias("article_id")
     )
     return EV.format_submission(recs, cmap, amap)
+
+
+# --------------------------------------------------------------------------------------------
+# M1/M4/M5 fits (iterative: rows-only checks)
+
+FIT_EPOCHS = 2
+
+
+@register("fit_factors")
+def q_fit_factors(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    model = M.fit_log_link_factors(
+        inter, k=K, l2=L2, lr=LR, epochs=FIT_EPOCHS, batch_size=150_000,
+        validation_share=0.005, seed=SEED,
+    )
+    return model.customers.select("id", *M.param_names(K))
+
+
+@register("fit_als")
+def q_fit_als(spark, sf_dir):
+    from affinity.operators.als import fit_als
+
+    _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
+    model = fit_als(inter, rank=K, max_iter=5, reg=0.1, seed=SEED)
+    fb = R.fallback_for(
+        model.customers, model.articles, model.intercept, K, TOP_N, SAMPLE_SIZE, SEED
+    )
+    recs = R.recommend(holdout, model.customers, model.articles, model.intercept, K, TOP_N, None, fb)
+    return recs_text(recs)
