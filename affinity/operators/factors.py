@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.hashing import normal
 from affinity.functions.scores import factor_names, score_exponent
-from affinity.plans.broadcast import bounded_broadcast
+from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from affinity.session import reliable_checkpoint
 from affinity.sources import schemas as S
 
@@ -113,6 +113,8 @@ class Model:
     m_g: float = 0.0
     v_g: float = 0.0
     history: list = field(default_factory=list)
+    params: DataFrame | None = None  # both sides in one table (``side`` = c / a), when fitting
+    broadcast_articles: bool | None = None  # decided once per fit from the article count
 
 
 @dataclass
@@ -142,18 +144,26 @@ def join_factors(
     k: int,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
-    broadcast_articles: bool = True,
+    broadcast_articles: bool | None = None,
 ) -> DataFrame:
-    """Attach customer factors (``u_*``) and article factors (``a_*``) to each pair."""
+    """Attach customer factors (``u_*``) and article factors (``a_*``) to each pair.
+
+    Customer factors join by shuffled hash join built on the factor side, so pairs that are
+    already partitioned by customer are neither re-shuffled nor sorted. Article factors are
+    broadcast when ``broadcast_articles`` is True (the caller measured them), measured here
+    when it is None, and shuffle-joined when False.
+    """
     cu = customers.select(
         F.col("id").alias(customer), *[F.col(p).alias(f"u_{p}") for p in param_names(k)]
     )
     ar = articles.select(
         F.col("id").alias(article), *[F.col(p).alias(f"a_{p}") for p in param_names(k)]
     )
-    if broadcast_articles:
+    if broadcast_articles is None:
         ar = bounded_broadcast(ar).df
-    return pairs.join(cu, customer).join(ar, article)
+    elif broadcast_articles:
+        ar = F.broadcast(ar)
+    return pairs.join(cu.hint("shuffle_hash"), customer).join(ar, article)
 
 
 def exponent_col(k: int, intercept: float | Column) -> Column:
@@ -174,6 +184,7 @@ def pair_scores(
 def losses(
     pairs: DataFrame, customers: DataFrame, articles: DataFrame, intercept: float, k: int,
     l2: float, customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
+    broadcast_articles: bool | None = None,
 ) -> DataFrame:
     """M3 = A11 + A12 on a batch, one row: pred_loss, penalty_loss, loss, n_pairs, mean_pred_loss.
 
@@ -181,14 +192,17 @@ def losses(
     customers and articles that occur in the batch.
     """
     obs = pairs.where(F.col(weight) > 0).select(customer, article, weight)
-    j = join_factors(obs, customers, articles, k, customer, article)
+    j = join_factors(obs, customers, articles, k, customer, article, broadcast_articles)
     err = F.exp(exponent_col(k, intercept)) - F.col(weight)
     pred = j.agg(F.sum(err * err).alias("pred_loss"), F.count(F.lit(1)).alias("n_pairs"))
-    usq = sum_sq([F.col(f"u_{n}") for n in factor_names(k)])
-    asq = sum_sq([F.col(f"a_{n}") for n in factor_names(k)])
-    nu = j.groupBy(customer).agg(F.max(usq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
-    na = j.groupBy(article).agg(F.max(asq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
-    pen = F.lit(float(l2)) * (F.coalesce(nu, F.lit(0.0)) + F.coalesce(na, F.lit(0.0)))
+    if l2:
+        usq = sum_sq([F.col(f"u_{n}") for n in factor_names(k)])
+        asq = sum_sq([F.col(f"a_{n}") for n in factor_names(k)])
+        nu = j.groupBy(customer).agg(F.max(usq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
+        na = j.groupBy(article).agg(F.max(asq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
+        pen = F.lit(float(l2)) * (F.coalesce(nu, F.lit(0.0)) + F.coalesce(na, F.lit(0.0)))
+    else:
+        pen = F.lit(0.0)
     pl = F.coalesce(F.col("pred_loss"), F.lit(0.0))
     return pred.select(
         pl.alias("pred_loss"),
@@ -210,68 +224,124 @@ def sum_sq(cols: list[Column]) -> Column:
 # Gradients (M4 building block)
 
 
-def gradients(
+SIDE = "side"
+CUSTOMER_SIDE = "c"
+ARTICLE_SIDE = "a"
+
+
+def to_params(model: Model) -> DataFrame:
+    """Both factor tables as one table with a ``side`` column (c = customer, a = article)."""
+    if model.params is not None:
+        return model.params
+    return model.customers.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(
+        model.articles.withColumn(SIDE, F.lit(ARTICLE_SIDE))
+    )
+
+
+def from_params(params: DataFrame, k: int, intercept: float, step: int = 0, m_g: float = 0.0,
+                v_g: float = 0.0, history: list | None = None,
+                broadcast_articles: bool | None = None) -> Model:
+    return Model(
+        params.where(F.col(SIDE) == CUSTOMER_SIDE).drop(SIDE),
+        params.where(F.col(SIDE) == ARTICLE_SIDE).drop(SIDE),
+        intercept, k, step, m_g, v_g, history if history is not None else [], params,
+        broadcast_articles,
+    )
+
+
+def gradient_rows(
     batch: DataFrame, model: Model, customer: str = S.CUSTOMER, article: str = S.ARTICLE,
     weight: str = S.WEIGHT,
-) -> tuple[DataFrame, DataFrame]:
-    """Per-entity gradients of the prediction loss on ``batch`` (without the penalty).
+) -> DataFrame:
+    """Per-entity gradients of the prediction loss on ``batch`` (without the penalty), both
+    sides from one pass over the pairs.
 
-    Returns (customer_grads, article_grads): ``id, g_f0.., g_bias, sq, loss, delta`` where
-    ``sq`` is the entity's sum of squared factors (for the batch norm), and on the customer
-    side ``loss`` / ``delta`` are the entity's share of the squared error and of the
-    intercept gradient.
+    Each joined pair emits a customer-side and an article-side contribution; they are summed
+    per (side, id) after map-side partial aggregation. Output: ``side, id, g_f0.., g_bias,
+    loss, sq, n`` where ``sq`` is the entity's sum of squared factors (for the batch norm) and,
+    on the customer side, ``loss`` / ``n`` are the entity's squared error and pair count.
     """
     k = model.k
     j = join_factors(
         batch.where(F.col(weight) > 0).select(customer, article, weight),
-        model.customers, model.articles, k, customer, article,
+        model.customers, model.articles, k, customer, article, model.broadcast_articles,
     )
     e = F.least(F.greatest(exponent_col(k, model.intercept), F.lit(-EXP_CLIP)), F.lit(EXP_CLIP))
-    j = j.withColumn("_p", F.exp(e))
-    j = j.withColumns(
-        {"_r": F.col("_p") - F.col(weight), "_d": F.lit(2.0) * (F.col("_p") - F.col(weight)) * F.col("_p")}
-    )
+    j = j.withColumn("_p", F.exp(e)).withColumn("_r", F.col("_p") - F.col(weight))
+    j = j.withColumn("_d", F.lit(2.0) * F.col("_r") * F.col("_p"))
     d = F.col("_d")
     names = factor_names(k)
-    cg = j.groupBy(customer).agg(
-        *[F.sum(d * F.col(f"a_{n}")).alias(f"g_{n}") for n in names],
-        F.sum(d).alias("g_bias"),
-        F.max(sum_sq([F.col(f"u_{n}") for n in names])).alias("sq"),
-        F.sum(F.col("_r") * F.col("_r")).alias("loss"),
-        F.count(F.lit(1)).alias("n"),
-    ).withColumnRenamed(customer, "id")
-    ag = j.groupBy(article).agg(
-        *[F.sum(d * F.col(f"u_{n}")).alias(f"g_{n}") for n in names],
-        F.sum(d).alias("g_bias"),
-        F.max(sum_sq([F.col(f"a_{n}") for n in names])).alias("sq"),
-    ).withColumnRenamed(article, "id")
-    return cg, ag
+
+    def part(side, key, other, own, loss, n):
+        return F.struct(
+            F.lit(side).alias(SIDE),
+            F.col(key).alias("id"),
+            *[(d * F.col(f"{other}_{x}")).alias(f"g_{x}") for x in names],
+            d.alias("g_bias"),
+            loss.alias("loss"),
+            sum_sq([F.col(f"{own}_{x}") for x in names]).alias("sq"),
+            F.lit(n).cast("long").alias("n"),
+        )
+
+    both = F.array(
+        part(CUSTOMER_SIDE, customer, "a", "u", F.col("_r") * F.col("_r"), 1),
+        part(ARTICLE_SIDE, article, "u", "a", F.lit(0.0), 0),
+    )
+    rows = j.select(F.explode(both).alias("_x")).select("_x.*")
+    return rows.groupBy(SIDE, "id").agg(
+        *[F.sum(f"g_{x}").alias(f"g_{x}") for x in names],
+        F.sum("g_bias").alias("g_bias"),
+        F.sum("loss").alias("loss"),
+        F.max("sq").alias("sq"),
+        F.sum("n").alias("n"),
+    )
+
+
+def gradients(
+    batch: DataFrame, model: Model, customer: str = S.CUSTOMER, article: str = S.ARTICLE,
+    weight: str = S.WEIGHT,
+) -> tuple[DataFrame, DataFrame]:
+    """(customer_grads, article_grads) of ``gradient_rows``, one table per side."""
+    g = gradient_rows(batch, model, customer, article, weight)
+    return (
+        g.where(F.col(SIDE) == CUSTOMER_SIDE).drop(SIDE),
+        g.where(F.col(SIDE) == ARTICLE_SIDE).drop(SIDE),
+    )
 
 
 def adam_update(
-    factors: DataFrame, grads: DataFrame, k: int, t: int, cfg: AdamConfig, l2: float, norm: float
+    factors: DataFrame, grads: DataFrame, k: int, t: int, cfg: AdamConfig, l2: float,
+    norm: float | dict,
 ) -> DataFrame:
-    """Apply one Adam step to every row of a factor table.
+    """Apply one Adam step to every row of a factor table (one side, or both with ``side``).
 
     The penalty gradient ``l2 * f / norm`` is added for rows present in the batch (norm of the
-    batch's factor rows; 0 when the norm is 0). Rows without a gradient row get gradient 0.
+    batch's factor rows of that side, given per side as a dict when both sides are updated;
+    no penalty when the norm is 0). Rows without a gradient row get gradient 0 and still move
+    with their momentum.
     """
-    g = grads.select("id", *[F.col(f"g_{p}") for p in param_names(k)]).withColumn("_in", F.lit(True))
-    j = factors.join(g, "id", "left")
+    keys = [SIDE, "id"] if SIDE in factors.columns else ["id"]
+    g = grads.select(*keys, *[F.col(f"g_{p}") for p in param_names(k)]).withColumn("_in", F.lit(True))
+    j = factors.join(g, keys, "left")
+    norms = norm if isinstance(norm, dict) else {None: norm}
+    coef = F.lit(0.0)
+    for side, nv in norms.items():
+        c = F.lit(l2 / nv) if (l2 and nv and nv > 0) else F.lit(0.0)
+        coef = c if side is None else F.when(F.col(SIDE) == side, c).otherwise(coef)
     bc1 = 1.0 - cfg.beta1 ** t
     bc2 = 1.0 - cfg.beta2 ** t
     out = {}
     for p in param_names(k):
         grad = F.coalesce(F.col(f"g_{p}"), F.lit(0.0))
-        if p != "bias" and l2 and norm > 0:
-            grad = grad + F.when(F.col("_in"), F.lit(l2 / norm) * F.col(p)).otherwise(F.lit(0.0))
+        if p != "bias" and l2:
+            grad = grad + F.when(F.col("_in"), coef * F.col(p)).otherwise(F.lit(0.0))
         m = F.lit(cfg.beta1) * F.col(f"m_{p}") + F.lit(1.0 - cfg.beta1) * grad
         v = F.lit(cfg.beta2) * F.col(f"v_{p}") + F.lit(1.0 - cfg.beta2) * grad * grad
         step = F.lit(cfg.lr) * (m / F.lit(bc1)) / (F.sqrt(v / F.lit(bc2)) + F.lit(cfg.eps))
         out[p] = F.col(p) - step
         out[f"m_{p}"] = m
         out[f"v_{p}"] = v
-    return j.select("id", *[v.alias(n) for n, v in out.items()])
+    return j.select(*keys, *[v.alias(n) for n, v in out.items()])
 
 
 def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: AdamConfig):
@@ -281,38 +351,50 @@ def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: Adam
     return value - step, m, v
 
 
+def articles_broadcastable(articles: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """Measured once per fit: the article count does not change between steps."""
+    return articles.count() <= max_rows
+
+
 def gradient_step(
-    batch: DataFrame, model: Model, l2: float, cfg: AdamConfig, checkpoint: bool = True,
+    batch: DataFrame, model: Model, l2: float, cfg: AdamConfig,
     customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
 ) -> tuple[Model, dict]:
-    """M4 one step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log)."""
-    cg, ag = gradients(batch, model, customer, article, weight)
-    cg = cg.persist(StorageLevel.MEMORY_AND_DISK)
-    ag = ag.persist(StorageLevel.MEMORY_AND_DISK)
-    cs = cg.agg(
-        F.sum("loss").alias("loss"), F.sum("g_bias").alias("gg"), F.sum("sq").alias("sq"),
-        F.sum("n").alias("n"),
-    ).first()
-    asq = ag.agg(F.sum("sq").alias("sq")).first()["sq"]
-    pred_loss = float(cs["loss"] or 0.0)
-    norm_u = math.sqrt(float(cs["sq"] or 0.0))
-    norm_v = math.sqrt(float(asq or 0.0))
+    """M4 one step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log).
+
+    Jobs: one pass over the batch computes both gradient sides (persisted, small) together
+    with the batch metrics; one job applies Adam to the single parameter table and writes it
+    as a reliable checkpoint.
+    """
+    if model.broadcast_articles is None:
+        model.broadcast_articles = articles_broadcastable(model.articles)
+    params = to_params(model)
+    grads = gradient_rows(batch, model, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    summary = {
+        r[SIDE]: r
+        for r in grads.groupBy(SIDE).agg(
+            F.sum("loss").alias("loss"), F.sum("g_bias").alias("gg"), F.sum("sq").alias("sq"),
+            F.sum("n").alias("n"),
+        ).collect()
+    }
+    cs, asd = summary.get(CUSTOMER_SIDE), summary.get(ARTICLE_SIDE)
+    norm_u = math.sqrt(float(cs["sq"] or 0.0)) if cs else 0.0
+    norm_v = math.sqrt(float(asd["sq"] or 0.0)) if asd else 0.0
     t = model.step + 1
-    cust = adam_update(model.customers, cg, model.k, t, cfg, l2, norm_u)
-    arts = adam_update(model.articles, ag, model.k, t, cfg, l2, norm_v)
-    if checkpoint:
-        cust = reliable_checkpoint(cust)
-        arts = reliable_checkpoint(arts)
-    g, m_g, v_g = adam_scalar(model.intercept, float(cs["gg"] or 0.0), model.m_g, model.v_g, t, cfg)
-    cg.unpersist()
-    ag.unpersist()
+    new_params = adam_update(
+        params, grads, model.k, t, cfg, l2, {CUSTOMER_SIDE: norm_u, ARTICLE_SIDE: norm_v}
+    )
+    new_params = reliable_checkpoint(new_params)
+    grads.unpersist()
+    gg = float(cs["gg"] or 0.0) if cs else 0.0
+    g, m_g, v_g = adam_scalar(model.intercept, gg, model.m_g, model.v_g, t, cfg)
     log = {
-        "pred_loss": pred_loss,
+        "pred_loss": float(cs["loss"] or 0.0) if cs else 0.0,
         "penalty_loss": float(l2) * (norm_u + norm_v),
-        "n_pairs": int(cs["n"] or 0),
+        "n_pairs": int(cs["n"] or 0) if cs else 0,
     }
     log["loss"] = log["pred_loss"] + log["penalty_loss"]
-    new = Model(cust, arts, g, model.k, t, m_g, v_g, model.history)
+    new = from_params(new_params, model.k, g, t, m_g, v_g, model.history, model.broadcast_articles)
     return new, log
 
 
@@ -371,18 +453,24 @@ def fit_log_link_factors(
 
     spark = interactions.sparkSession
     parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    data = validation_flags(
+    flagged = validation_flags(
         interactions.select(customer, article, weight), validation_share, seed, customer, article, "_val"
-    ).repartition(parts, customer)
-    data = reliable_checkpoint(data)
+    )
+    # frozen copy in shared storage (survives executor loss), then hash-partitioned by
+    # customer and kept: its partitioning is known to the planner, so the per-step join to the
+    # customer factors and the customer-side sums need no shuffle of the pairs
+    frozen = reliable_checkpoint(flagged)
+    data = frozen.repartition(parts, customer).persist(StorageLevel.MEMORY_AND_DISK)
     counts = data.agg(F.count_if(~F.col("_val")).alias("t"), F.count_if(F.col("_val")).alias("v")).first()
     n_train, n_val = int(counts["t"]), int(counts["v"])
 
     cust = with_moments(init_factors(data, customer, k, seed, "customer", init_scale), k)
     arts = with_moments(init_factors(data, article, k, seed, "article", init_scale), k)
-    cust = reliable_checkpoint(cust.repartition(parts, "id"))
-    arts = reliable_checkpoint(arts)
-    model = Model(cust, arts, init_intercept(seed, init_scale), k)
+    params = reliable_checkpoint(
+        cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE)))
+    )
+    model = from_params(params, k, init_intercept(seed, init_scale))
+    model.broadcast_articles = articles_broadcastable(model.articles)
     cfg = AdamConfig(lr=lr)
 
     train = data.where(~F.col("_val"))
@@ -393,7 +481,7 @@ def fit_log_link_factors(
         batched = assign_batches(train, n_batches, seed, epoch, customer, article, "_batch")
         for b in range(n_batches):
             batch = batched.where(F.col("_batch") == b) if n_batches > 1 else train
-            model, log = gradient_step(batch, model, l2, cfg, True, customer, article, weight)
+            model, log = gradient_step(batch, model, l2, cfg, customer, article, weight)
             epoch_loss += log["pred_loss"]
             if on_batch is not None:
                 on_batch(epoch, b, log)
@@ -401,9 +489,10 @@ def fit_log_link_factors(
         val_pred = float("nan")
         if n_val:
             row = losses(val, model.customers, model.articles, model.intercept, k, 0.0,
-                         customer, article, weight).first()
+                         customer, article, weight, model.broadcast_articles).first()
             val_pred = float(row["pred_loss"]) / n_val
         model.history.append((epoch, train_pred, val_pred))
         if on_epoch is not None:
             on_epoch(epoch, train_pred, val_pred, model)
+    data.unpersist()
     return model

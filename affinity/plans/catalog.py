@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,12 +87,18 @@ def with_txb(days: int = HOLDOUT_DAYS) -> str:
     return "WITH " + SQL_TXB + sql_split("txb", days)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Persist an intermediate that several jobs of one query read (driver-side size checks,
+    scalar fetches and the final plan), so the scans and joins behind it run once."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def split_part(spark: SparkSession, sf_dir: str, days: int = HOLDOUT_DAYS):
-    return P.split_transactions(X.tx_part(spark, sf_dir), days)
+    return P.split_transactions(kept(X.tx_part(spark, sf_dir)), days)
 
 
 def split_brand(spark: SparkSession, sf_dir: str, days: int = HOLDOUT_DAYS):
-    return P.split_transactions(X.tx_brand(spark, sf_dir), days)
+    return P.split_transactions(kept(X.tx_brand(spark, sf_dir)), days)
 
 
 # --------------------------------------------------------------------------------------------
@@ -496,9 +503,9 @@ w AS (SELECT customer_int, article_int, CAST(count(*) AS DOUBLE) AS weight
 
 def model_inputs(spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
     train, holdout = (split_brand if brand else split_part)(spark, sf_dir, days)
-    inter = P.weighted_interactions(train)
-    cf = M.fixed_factors(inter, "customer_int", K)
-    af = M.fixed_factors(inter, "article_int", K)
+    inter = kept(P.weighted_interactions(train))
+    cf = kept(M.fixed_factors(inter, "customer_int", K))
+    af = kept(M.fixed_factors(inter, "article_int", K))
     return train, holdout, inter, cf, af
 
 
@@ -587,7 +594,7 @@ step AS (
 def one_step(spark, sf_dir):
     _, _, inter, cf, af = model_inputs(spark, sf_dir)
     model = M.Model(M.with_moments(cf, K), M.with_moments(af, K), M.FIXED_INTERCEPT, K)
-    new, _ = M.gradient_step(inter, model, L2, ADAM, checkpoint=True)
+    new, _ = M.gradient_step(inter, model, L2, ADAM)
     return cf, af, new
 
 
