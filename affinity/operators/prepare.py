@@ -165,10 +165,12 @@ def transactions_first_n_days(
 
     First purchase = earliest date of the customer. It is computed as a grouped min (partial
     aggregation, skew-safe) and joined back, instead of a window over all of a customer's
-    rows, so a hot customer never has to sit in one window partition. Keeps ``t_dat_first``
-    and ``days_since_first_t``.
+    rows, so a hot customer never has to sit in one window partition. The per-customer table
+    is broadcast when its measured size allows (train is then not shuffled at all); beyond
+    that it is a shuffle join whose hot-customer partitions AQE splits. Keeps
+    ``t_dat_first`` and ``days_since_first_t``.
     """
-    first = train.groupBy(customer).agg(F.min(date_col).alias("t_dat_first"))
+    first = bounded_broadcast(train.groupBy(customer).agg(F.min(date_col).alias("t_dat_first"))).df
     return (
         train.join(first, customer)
         .withColumn("days_since_first_t", days_between(F.col(date_col), F.col("t_dat_first")))
@@ -179,8 +181,17 @@ def transactions_first_n_days(
 def holdout_new_customer_transactions(
     train: DataFrame, holdout: DataFrame, customer: str = S.CUSTOMER
 ) -> DataFrame:
-    """C6 (J4): holdout rows of customers never seen in train (left anti join)."""
-    return holdout.join(train.select(customer).distinct(), customer, "left_anti")
+    """C6 (J4): holdout rows of customers never seen in train (left anti join).
+
+    The holdout is short, so its customer set is usually small: when its measured size
+    allows, train is semi-filtered to those customers with a broadcast (no shuffle of all
+    train customers) before the anti join. Otherwise both sides shuffle on the customer.
+    """
+    wanted = bounded_broadcast(holdout.select(customer).distinct())
+    if not wanted.broadcast:
+        return holdout.join(train.select(customer).distinct(), customer, "left_anti")
+    seen = train.select(customer).join(wanted.df, customer, "left_semi").distinct()
+    return holdout.join(seen, customer, "left_anti")
 
 
 def known_customers(
