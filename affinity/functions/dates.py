@@ -11,7 +11,7 @@ DATE_FORMAT = "yyyy-MM-dd"
 def parse_date(col: Column, lenient: bool = False) -> Column:
     """Text -> date. Strict parsing fails on bad input (ANSI); lenient gives NULL."""
     if lenient:
-        return F.try_to_date(col, F.lit(DATE_FORMAT))
+        return F.try_to_date(col, DATE_FORMAT)
     return F.to_date(col, DATE_FORMAT)
 
 

@@ -191,7 +191,7 @@ def losses(
     Only observed pairs with weight > 0 count (F9). The penalty uses the factor rows of the
     customers and articles that occur in the batch.
     """
-    obs = pairs.where(F.col(weight) > 0).select(customer, article, weight)
+    obs = unique_pairs(pairs, customer, article, weight).where(F.col(weight) > 0)
     j = join_factors(obs, customers, articles, k, customer, article, broadcast_articles)
     err = F.exp(exponent_col(k, intercept)) - F.col(weight)
     pred = j.agg(F.sum(err * err).alias("pred_loss"), F.count(F.lit(1)).alias("n_pairs"))
@@ -213,6 +213,13 @@ def losses(
     )
 
 
+def unique_pairs(
+    pairs: DataFrame, customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT
+) -> DataFrame:
+    """Repeated (customer, article) rows become one target, their weights summed."""
+    return pairs.groupBy(customer, article).agg(F.sum(weight).alias(weight))
+
+
 def sum_sq(cols: list[Column]) -> Column:
     acc = cols[0] * cols[0]
     for c in cols[1:]:
@@ -362,6 +369,9 @@ def gradient_step(
 ) -> tuple[Model, dict]:
     """M4 one step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log).
 
+    ``batch`` holds unique (customer, article) pairs (``unique_pairs``; the fit loop
+    de-duplicates once up front, so no step pays for it).
+
     Jobs: one pass over the batch computes both gradient sides (persisted, small) together
     with the batch metrics; one job applies Adam to the single parameter table and writes it
     as a reliable checkpoint.
@@ -454,7 +464,8 @@ def fit_log_link_factors(
     spark = interactions.sparkSession
     parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     flagged = validation_flags(
-        interactions.select(customer, article, weight), validation_share, seed, customer, article, "_val"
+        unique_pairs(interactions, customer, article, weight), validation_share, seed,
+        customer, article, "_val",
     )
     # frozen copy in shared storage (survives executor loss), then hash-partitioned by
     # customer and kept: its partitioning is known to the planner, so the per-step join to the

@@ -126,3 +126,12 @@ def test_fixed_factors_formula(spark):
     assert got[3].f1 == ((3 * 7919 + 104729) % 2001 - 1000) / 2000.0
     assert got[20000].bias == ((20000 * 31) % 101 - 50) / 500.0
     assert len(got) == 2
+
+
+def test_a13_duplicate_pairs_sum_into_one_target(spark):
+    cu, ar = table(spark, [(0, 0.1, 0.0)], 1), table(spark, [(0, 0.2, 0.0)], 1)
+    dup = spark.createDataFrame([(0, 0, 0.4), (0, 0, 0.6)], "customer_int long, article_int long, weight double")
+    one = spark.createDataFrame([(0, 0, 1.0)], "customer_int long, article_int long, weight double")
+    a = M.losses(dup, cu, ar, 0.0, 1, 0.0).first()
+    b = M.losses(one, cu, ar, 0.0, 1, 0.0).first()
+    assert a.pred_loss == pytest.approx(b.pred_loss) and a.n_pairs == 1
