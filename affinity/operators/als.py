@@ -7,7 +7,7 @@ removed first (grouped means, map-side partial aggregation) and ALS factorises t
 The result is returned in the same factor-table layout as the log-link model, so scoring
 ``exp(u.v + b_c + b_a + g)`` and every downstream operator apply unchanged.
 
-ALS needs 32-bit ids; customer and article ids are re-indexed densely (P6) first.
+ALS needs 32-bit ids; ids outside that range are re-indexed densely (P6) first.
 """
 
 from __future__ import annotations
@@ -22,6 +22,16 @@ from affinity.operators.ids import dense_ids
 from affinity.sources import schemas as S
 
 
+INT_MAX = 2**31 - 1
+
+
+def _index(df: DataFrame, key: str, idx: str, lo, hi) -> DataFrame:
+    """Id -> 32-bit index: the id itself when it fits, else a dense re-index."""
+    if lo is not None and lo >= 0 and hi <= INT_MAX:
+        return df.select(key).distinct().select(key, F.col(key).cast("int").alias(idx))
+    return dense_ids(df, key, idx)
+
+
 def fit_als(
     interactions: DataFrame,
     rank: int = 10,
@@ -39,8 +49,12 @@ def fit_als(
     cb = y.groupBy(customer).agg((F.avg("_y") - F.lit(mu)).alias("_bc"))
     with_cb = y.join(cb, customer)
     ab = with_cb.groupBy(article).agg(F.avg(F.col("_y") - F.lit(mu) - F.col("_bc")).alias("_ba"))
-    cmap = dense_ids(interactions, customer, "_cu")
-    amap = dense_ids(interactions, article, "_ar")
+    bounds = y.agg(
+        F.min(customer).alias("c0"), F.max(customer).alias("c1"),
+        F.min(article).alias("a0"), F.max(article).alias("a1"),
+    ).first()
+    cmap = _index(interactions, customer, "_cu", bounds["c0"], bounds["c1"])
+    amap = _index(interactions, article, "_ar", bounds["a0"], bounds["a1"])
     resid = (
         with_cb.join(ab, article)
         .withColumn("_r", F.col("_y") - F.lit(mu) - F.col("_bc") - F.col("_ba"))

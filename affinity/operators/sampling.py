@@ -40,11 +40,62 @@ def validation_flags(
     return pairs.withColumn(out, u < F.lit(float(validation_share)))
 
 
+def exact_validation_flags(
+    pairs: DataFrame, validation_share: float, seed: int,
+    customer: str = S.CUSTOMER, article: str = S.ARTICLE, out: str = "is_validation",
+) -> DataFrame:
+    """T6, exact size: the ``int(share * n)`` pairs with the smallest (hash, customer, article).
+
+    The cut is found without sorting the table: a histogram of the hash's high 16 bits
+    (at most 65,536 rows) locates the bucket holding the n-th smallest hash, a histogram of
+    the low 16 bits inside that bucket locates the hash itself, and rows sharing exactly that
+    hash (rare collisions) are ordered by key. Three small aggregation jobs; only bounded
+    histograms reach the driver.
+    """
+    h = hash32(F.col(customer), F.col(article), seed, "val")
+    keyed = pairs.withColumn("_h", h)
+    total = keyed.count()
+    n = int(float(validation_share) * total)
+    if n <= 0:
+        return pairs.withColumn(out, F.lit(False))
+    if n >= total:
+        return pairs.withColumn(out, F.lit(True))
+    hi = F.shiftright(F.col("_h"), 16)
+    top = sorted((r[0], r[1]) for r in keyed.groupBy(hi.alias("b")).count().collect())
+    below, bucket_hi = 0, None
+    for b, c in top:
+        if below + c >= n:
+            bucket_hi = b
+            break
+        below += c
+    lo = F.col("_h").bitwiseAND(F.lit(0xFFFF))
+    inner = keyed.where(hi == bucket_hi).groupBy(lo.alias("b")).count().collect()
+    cut, rest = None, n - below
+    for b, c in sorted((r[0], r[1]) for r in inner):
+        if c >= rest:
+            cut = (bucket_hi << 16) + b
+            break
+        rest -= c
+    # ``rest`` rows are still needed among those whose hash equals ``cut``: first by key
+    ties = (
+        keyed.where(F.col("_h") == cut)
+        .orderBy(customer, article)
+        .limit(rest)
+        .select(customer, article)
+        .distinct()
+        .withColumn("_tie", F.lit(True))
+    )
+    flagged = keyed.join(F.broadcast(ties), [customer, article], "left")
+    chosen = (F.col("_h") < F.lit(cut)) | F.coalesce(F.col("_tie"), F.lit(False))
+    return flagged.withColumn(out, chosen).drop("_h", "_tie")
+
+
 def split_validation(
     pairs: DataFrame, validation_share: float, seed: int,
-    customer: str = S.CUSTOMER, article: str = S.ARTICLE,
+    customer: str = S.CUSTOMER, article: str = S.ARTICLE, exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    flagged = validation_flags(pairs, validation_share, seed, customer, article, "_val")
+    flag = exact_validation_flags if exact else validation_flags
+    flagged = flag(pairs, validation_share, seed, customer, article, "_val")
     return (
         flagged.where(~F.col("_val")).drop("_val"),
         flagged.where(F.col("_val")).drop("_val"),

@@ -668,6 +668,24 @@ def q_validation_split(spark, sf_dir):
     return out.select("customer_int", "article_int", r6("weight"), "is_validation")
 
 
+@register(
+    "validation_split_exact",
+    sql_model(with_tx())
+    + f""",
+h AS (SELECT customer_int, article_int, weight,
+             {sql_hash('customer_int', 'article_int', repr(str(SEED)), "'val'")} AS hv FROM w),
+r AS (SELECT *, row_number() OVER (ORDER BY hv, customer_int, article_int) AS rn,
+             count(*) OVER () AS n FROM h)
+SELECT customer_int, article_int, round(weight, 6) AS weight,
+       rn <= CAST(floor(CAST({VALIDATION_SHARE!r} AS DOUBLE) * n) AS BIGINT) AS is_validation
+FROM r""",
+)
+def q_validation_split_exact(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    out = T.exact_validation_flags(inter, VALIDATION_SHARE, SEED)
+    return out.select("customer_int", "article_int", r6("weight"), "is_validation")
+
+
 @register(
     "batch_assignment",
     sql_model(with_tx())

@@ -40,3 +40,22 @@ def test_batches_cover_range_and_change_per_epoch(spark):
     assert set(counts) == {0, 1, 2} and all(800 < v < 1200 for v in counts.values())
     moved = e0.join(e1.withColumnRenamed("batch", "b1"), ["customer_int", "article_int"]).where("batch != b1").count()
     assert moved > 1000
+
+
+def test_exact_validation_share(spark):
+    pairs = spark.range(0, 5003).select(F.col("id").alias("customer_int"), (F.col("id") % 11).alias("article_int"))
+    for share in (0.0, 0.05, 0.5, 0.999, 1.0):
+        flagged = T.exact_validation_flags(pairs, share, 3)
+        assert flagged.where("is_validation").count() == int(share * 5003)
+        assert flagged.count() == 5003
+    a = {(r.customer_int, r.article_int) for r in T.exact_validation_flags(pairs, 0.1, 3).where("is_validation").collect()}
+    b = {(r.customer_int, r.article_int) for r in T.exact_validation_flags(pairs.repartition(7), 0.1, 3).where("is_validation").collect()}
+    assert a == b
+
+
+def test_exact_split_breaks_hash_ties_by_key(spark):
+    # identical pairs hash identically: the cut falls inside the tie and is filled by key order
+    pairs = spark.createDataFrame([(1, 1)] * 3 + [(2, 2)] * 3, "customer_int long, article_int long")
+    flagged = T.exact_validation_flags(pairs, 0.5, 0)
+    assert flagged.count() == 6  # never multiplies rows
+    assert flagged.where("is_validation").count() == 3
