@@ -444,6 +444,7 @@ def fit_log_link_factors(
     validation_share: float = 0.05,
     seed: int = 0,
     init_scale: float = 0.1,
+    exact_validation: bool = True,
     on_batch=None,
     on_epoch=None,
     num_partitions: int | None = None,
@@ -453,24 +454,33 @@ def fit_log_link_factors(
 ) -> Model:
     """Fit the exponential-link factor model with Adam over hash-shuffled batches.
 
+    The validation split has exactly ``int(share * n)`` pairs (``exact_validation``) or,
+    cheaper, an approximate share by hash threshold.
+
     The interactions are hash-partitioned by customer and checkpointed once; the customer
     factor table uses the same partitioning, so the per-step join and the customer-side
     gradient sums need no shuffle. ``on_batch(epoch, batch, log)`` and
     ``on_epoch(epoch, train_pred_loss, val_pred_loss, model)`` receive the metrics (S12) and
     may snapshot the model (S13).
     """
-    from affinity.operators.sampling import assign_batches, number_of_batches, validation_flags
+    from affinity.operators.sampling import (
+        assign_batches,
+        exact_validation_flags,
+        number_of_batches,
+        validation_flags,
+    )
 
     spark = interactions.sparkSession
     parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    flagged = validation_flags(
-        unique_pairs(interactions, customer, article, weight), validation_share, seed,
-        customer, article, "_val",
-    )
+    flag = exact_validation_flags if exact_validation else validation_flags
+    # the exact split runs a few small jobs over the pairs: aggregate the duplicates once
+    pairs = unique_pairs(interactions, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = flag(pairs, validation_share, seed, customer, article, "_val")
     # frozen copy in shared storage (survives executor loss), then hash-partitioned by
     # customer and kept: its partitioning is known to the planner, so the per-step join to the
     # customer factors and the customer-side sums need no shuffle of the pairs
     frozen = reliable_checkpoint(flagged)
+    pairs.unpersist()
     data = frozen.repartition(parts, customer).persist(StorageLevel.MEMORY_AND_DISK)
     counts = data.agg(F.count_if(~F.col("_val")).alias("t"), F.count_if(F.col("_val")).alias("v")).first()
     n_train, n_val = int(counts["t"]), int(counts["v"])
