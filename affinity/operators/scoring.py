@@ -84,21 +84,31 @@ def _exponents(u: np.ndarray, bu: np.ndarray, mat: np.ndarray, ba: np.ndarray, g
 
 
 def _top_rows(e: np.ndarray, sup: np.ndarray, n: int):
-    """Indices of the best n columns of each row: (suppressed, -e, column) ascending."""
-    a = e.shape[1]
+    """Indices of the best n columns of each row: (suppressed, -e, column) ascending.
+
+    Columns are in ascending article-id order. The whole block is ranked at once with
+    argpartition + lexsort; only rows with ties straddling the n-th place (or fewer than n
+    unsuppressed articles) take the exact per-row path.
+    """
+    rows, a = e.shape
     key = np.where(sup, -np.inf, e)
+    if a <= n:
+        return list(np.lexsort((np.broadcast_to(np.arange(a), key.shape), -key), axis=1))
+    part = np.argpartition(-key, n - 1, axis=1)[:, :n]
+    vals = np.take_along_axis(key, part, axis=1)
+    thr = vals.min(axis=1)
+    clean = ((key >= thr[:, None]).sum(axis=1) == n) & np.isfinite(thr)
+    order = np.lexsort((part, -vals), axis=1)
+    fast = np.take_along_axis(part, order, axis=1)
     out = []
-    for r in range(e.shape[0]):
+    for r in range(rows):
+        if clean[r]:
+            out.append(fast[r])
+            continue
         row = key[r]
-        if a > n:
-            part = np.argpartition(-row, n - 1)[:n]
-            thr = row[part].min()
-            cand = np.nonzero(row >= thr)[0]
-        else:
-            cand = np.arange(a)
-        # columns are in ascending id order, so a stable sort on -score keeps id order in ties
-        order = cand[np.argsort(-row[cand], kind="stable")][:n]
-        out.append(order)
+        cand = np.nonzero(row >= thr[r])[0]
+        # a stable sort on -score keeps ascending column (= id) order among ties
+        out.append(cand[np.argsort(-row[cand], kind="stable")][:n])
     return out
 
 

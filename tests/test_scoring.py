@@ -79,3 +79,18 @@ def test_blocked_catalogue_equals_single_block(spark):
     assert one.count() == 40 * 7
     # top-N has no duplicates per customer
     assert many.groupBy("customer_int", "article_int").count().where("count > 1").count() == 0
+
+
+def test_top_rows_matches_full_sort_with_ties_and_suppression():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    e = rng.integers(0, 6, size=(300, 40)).astype(float)  # many exact ties
+    sup = rng.random((300, 40)) < 0.3
+    sup[:5] = True  # rows with fewer than n unsuppressed
+    for n in (1, 7, 40, 45):
+        got = R._top_rows(e, sup, n)
+        for r in range(300):
+            # suppressed articles all score -1.0: among them only the id orders
+            full = sorted(range(40), key=lambda c: (sup[r, c], 0.0 if sup[r, c] else -e[r, c], c))[:n]
+            assert list(got[r]) == full
