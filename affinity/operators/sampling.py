@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import bucket, hash32, uniform
+from affinity.plans.broadcast import DEFAULT_MAX_ROWS
 from affinity.sources import schemas as S
 
 
@@ -70,10 +71,10 @@ def exact_validation_flags(
         below += c
     lo = F.col("_h").bitwiseAND(F.lit(0xFFFF))
     inner = keyed.where(hi == bucket_hi).groupBy(lo.alias("b")).count().collect()
-    cut, rest = None, n - below
+    cut, rest, at_cut = None, n - below, 0
     for b, c in sorted((r[0], r[1]) for r in inner):
         if c >= rest:
-            cut = (bucket_hi << 16) + b
+            cut, at_cut = (bucket_hi << 16) + b, c
             break
         rest -= c
     # ``rest`` rows are still needed among those whose hash equals ``cut``: first by key
@@ -85,7 +86,9 @@ def exact_validation_flags(
         .distinct()
         .withColumn("_tie", F.lit(True))
     )
-    flagged = keyed.join(F.broadcast(ties), [customer, article], "left")
+    # the tie list has at most ``at_cut`` rows (counted above): broadcast only under the bound
+    ties = F.broadcast(ties) if at_cut <= DEFAULT_MAX_ROWS else ties
+    flagged = keyed.join(ties, [customer, article], "left")
     chosen = (F.col("_h") < F.lit(cut)) | F.coalesce(F.col("_tie"), F.lit(False))
     return flagged.withColumn(out, chosen).drop("_h", "_tie")
 

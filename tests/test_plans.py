@@ -68,3 +68,29 @@ def test_gap_windows_run_on_distinct_days(split):
     text = plan(repeat_gap_quantiles(train))
     # the lag window runs after the (customer, article, day) de-duplication aggregate
     assert text.index("HashAggregate") < text.rindex("Window")
+
+
+def test_blocked_top_n_merge_uses_window_group_limit(spark):
+    from pyspark.sql import functions as F
+
+    from affinity.operators import scoring as R
+
+    arts = spark.range(0, 30).select("id", (F.col("id") / 30.0).alias("f0"), F.lit(0.0).alias("bias"))
+    cust = spark.range(100, 110).select("id", F.lit(1.0).alias("f0"), F.lit(0.0).alias("bias"))
+    text = plan(R.top_n_scored(cust, arts, 0.0, 1, 5, max_broadcast_rows=7))
+    assert "WindowGroupLimit" in text and "MapInPandas" in text
+
+
+def test_results_do_not_depend_on_shuffle_partitions(spark, split):
+    train, _ = split
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("1", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            w = sorted((r.customer_int, r.article_int, round(r.weight, 9)) for r in P.weighted_interactions(train, 0.001, 1.0).collect())
+            g = sorted(tuple(r) for r in repeat_gap_quantiles(train).collect())
+            out.append((w, g))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
