@@ -769,7 +769,7 @@ recs AS (
 
 SQL_AP = f""",
 act AS (SELECT DISTINCT customer_int, article_int FROM holdout),
-nact AS (SELECT customer_int, count(*) AS n FROM holdout GROUP BY customer_int),
+nact AS (SELECT customer_int, count(*) AS n FROM act GROUP BY customer_int),
 hits AS (
   SELECT r.customer_int, r.rk, CASE WHEN a.article_int IS NULL THEN 0 ELSE 1 END AS hit
   FROM recs r LEFT JOIN act a ON r.customer_int = a.customer_int AND r.article_int = a.article_int
@@ -792,7 +792,10 @@ ap AS (
 
 
 def reco_inputs(spark, sf_dir, brand: bool, days: int):
-    train, holdout, inter, cf, af = model_inputs(spark, sf_dir, brand, days)
+    """Inputs of the scoring stage. As in the batch scoring job, the customers to score and
+    their actual purchases come from the holdout summary (A4): one row per purchased pair."""
+    train, raw_holdout, inter, cf, af = model_inputs(spark, sf_dir, brand, days)
+    holdout = P.holdout_counts(raw_holdout)
     history = P.days_since_last_purchase(train)
     cutoffs = Q.repeat_gap_quantiles(train)
     excl = R.excluded_articles(history, cutoffs, PERCENTILE, af)
@@ -857,11 +860,11 @@ def q_fallback_scores(spark, sf_dir):
     with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)
     + """
 SELECT customer_int, string_agg(CAST(article_int AS VARCHAR), ' ' ORDER BY article_int) AS actuals
-FROM holdout GROUP BY customer_int""",
+FROM (SELECT DISTINCT customer_int, article_int FROM holdout) GROUP BY customer_int""",
 )
 def q_actuals(spark, sf_dir):
     _, holdout = split_brand(spark, sf_dir, NEW_CUSTOMER_HOLDOUT_DAYS)
-    out = EV.actuals(holdout)
+    out = EV.actuals(P.holdout_counts(holdout))
     return out.select(
         "customer_int",
         F.array_join(F.transform("actuals", lambda x: x.cast("string")), " ").alias("actuals"),
