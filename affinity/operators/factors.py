@@ -17,8 +17,9 @@ One optimisation step is a Spark job over the batch's pairs:
   partial sums, then one shuffle of at most #articles rows per task);
 - Adam updates *every* factor row (rows absent from the batch get gradient 0 but still move
   with their momentum, as dense optimiser state does);
-- new factor tables are reliably checkpointed each step (lineage stays one step long and the
-  state survives executor loss).
+- the new parameter table (both sides) is written to one of two alternating slots in the
+  shared checkpoint folder each step and read back: lineage stays one step long, the state
+  survives executor loss, and disk use stays at two generations however long the fit runs.
 """
 
 from __future__ import annotations
@@ -117,6 +118,34 @@ class Model:
     broadcast_articles: bool | None = None  # decided once per fit from the article count
 
 
+class ParamStore:
+    """Written tables in the shared checkpoint folder, used to cut lineage during a fit.
+
+    Parameter tables alternate between two slots (overwrite), so a fit keeps at most two
+    generations on disk however many steps it runs; RDD checkpoints would leave one full copy
+    per step behind. Each read-back is a fresh scan: lineage is one step long and the state
+    survives executor loss. A model taken from an earlier step must be copied (``save_model``)
+    before the slot it lives in is reused two steps later.
+    """
+
+    def __init__(self, spark, name: str = "fit"):
+        import uuid
+
+        from affinity.session import checkpoint_dir
+
+        self.spark = spark
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/affinity-{name}-{uuid.uuid4().hex}"
+        self.generation = 0
+
+    def put(self, df: DataFrame, slot: str | None = None) -> DataFrame:
+        if slot is None:
+            slot = f"params_{self.generation % 2}"
+            self.generation += 1
+        path = f"{self.base}/{slot}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+
 @dataclass
 class AdamConfig:
     lr: float = 0.001
@@ -366,6 +395,7 @@ def articles_broadcastable(articles: DataFrame, max_rows: int = DEFAULT_MAX_ROWS
 def gradient_step(
     batch: DataFrame, model: Model, l2: float, cfg: AdamConfig,
     customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
+    store: ParamStore | None = None,
 ) -> tuple[Model, dict]:
     """M4 one step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log).
 
@@ -374,7 +404,7 @@ def gradient_step(
 
     Jobs: one pass over the batch computes both gradient sides (persisted, small) together
     with the batch metrics; one job applies Adam to the single parameter table and writes it
-    as a reliable checkpoint.
+    to ``store`` (a reliable checkpoint when no store is given).
     """
     if model.broadcast_articles is None:
         model.broadcast_articles = articles_broadcastable(model.articles)
@@ -394,7 +424,7 @@ def gradient_step(
     new_params = adam_update(
         params, grads, model.k, t, cfg, l2, {CUSTOMER_SIDE: norm_u, ARTICLE_SIDE: norm_v}
     )
-    new_params = reliable_checkpoint(new_params)
+    new_params = store.put(new_params) if store is not None else reliable_checkpoint(new_params)
     grads.unpersist()
     gg = float(cs["gg"] or 0.0) if cs else 0.0
     g, m_g, v_g = adam_scalar(model.intercept, gg, model.m_g, model.v_g, t, cfg)
@@ -476,10 +506,11 @@ def fit_log_link_factors(
     # the exact split runs a few small jobs over the pairs: aggregate the duplicates once
     pairs = unique_pairs(interactions, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
     flagged = flag(pairs, validation_share, seed, customer, article, "_val")
-    # frozen copy in shared storage (survives executor loss), then hash-partitioned by
-    # customer and kept: its partitioning is known to the planner, so the per-step join to the
-    # customer factors and the customer-side sums need no shuffle of the pairs
-    frozen = reliable_checkpoint(flagged)
+    # frozen copy written to the shared checkpoint folder (survives executor loss), then
+    # hash-partitioned by customer and kept: its partitioning is known to the planner, so the
+    # per-step join to the customer factors and the customer-side sums need no shuffle of pairs
+    store = ParamStore(spark)
+    frozen = store.put(flagged, "pairs")
     pairs.unpersist()
     data = frozen.repartition(parts, customer).persist(StorageLevel.MEMORY_AND_DISK)
     counts = data.agg(F.count_if(~F.col("_val")).alias("t"), F.count_if(F.col("_val")).alias("v")).first()
@@ -487,8 +518,9 @@ def fit_log_link_factors(
 
     cust = with_moments(init_factors(data, customer, k, seed, "customer", init_scale), k)
     arts = with_moments(init_factors(data, article, k, seed, "article", init_scale), k)
-    params = reliable_checkpoint(
-        cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE)))
+    params = store.put(
+        cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE))),
+        "init",
     )
     model = from_params(params, k, init_intercept(seed, init_scale))
     model.broadcast_articles = articles_broadcastable(model.articles)
@@ -502,7 +534,7 @@ def fit_log_link_factors(
         batched = assign_batches(train, n_batches, seed, epoch, customer, article, "_batch")
         for b in range(n_batches):
             batch = batched.where(F.col("_batch") == b) if n_batches > 1 else train
-            model, log = gradient_step(batch, model, l2, cfg, customer, article, weight)
+            model, log = gradient_step(batch, model, l2, cfg, customer, article, weight, store)
             epoch_loss += log["pred_loss"]
             if on_batch is not None:
                 on_batch(epoch, b, log)

@@ -2,14 +2,22 @@
 parameters (S13) and snapshots every ``snapshot_every`` epochs and at the last epoch (S13).
 
 The loop itself is a driver loop of Spark jobs (``factors.fit_log_link_factors``); the state
-that survives between steps lives in checkpointed factor tables, not on the driver.
+that survives between steps lives in parameter tables written to the shared checkpoint folder,
+not on the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.operators.factors import Model, fit_log_link_factors, snapshot_changes
+from affinity.operators.factors import (
+    Model,
+    ParamStore,
+    fit_log_link_factors,
+    from_params,
+    snapshot_changes,
+    to_params,
+)
 from affinity.sources.writers import MetricsLog, save_model, save_params
 
 
@@ -41,20 +49,23 @@ def train(
         },
     )
     previous: dict[str, Model] = {}
+    # the fit reuses its parameter slots, so the previous epoch is kept as a written copy
+    keep = ParamStore(spark, "epochs") if log_param_changes else None
 
     def on_batch(epoch, batch, metrics):
         log.log_batch(epoch, batch, metrics["pred_loss"], metrics["penalty_loss"])
 
     def on_epoch(epoch, train_pred, val_pred, model):
         log.log_epoch(epoch, train_pred, val_pred)
-        if log_param_changes and "m" in previous:
+        if keep is not None:
             k = model.k
-            changes = snapshot_changes(previous["m"].customers, model.customers, k, 1e-4, "customer")
-            changes = changes.unionByName(
-                snapshot_changes(previous["m"].articles, model.articles, k, 1e-4, "article")
-            )
-            log.log_param_changes(epoch, 0, changes)
-        previous["m"] = model
+            if "m" in previous:
+                changes = snapshot_changes(previous["m"].customers, model.customers, k, 1e-4, "customer")
+                changes = changes.unionByName(
+                    snapshot_changes(previous["m"].articles, model.articles, k, 1e-4, "article")
+                )
+                log.log_param_changes(epoch, 0, changes)
+            previous["m"] = from_params(keep.put(to_params(model), "previous"), k, model.intercept)
         if (epoch + 1) % snapshot_every == 0 or epoch == epochs - 1:
             save_model(model, models, model_name, model_version, epoch,
                        train_loss=train_pred, val_loss=val_pred)
