@@ -50,19 +50,19 @@ def exact_validation_flags(
     The cut is found without sorting the table: a histogram of the hash's high 16 bits
     (at most 65,536 rows) locates the bucket holding the n-th smallest hash, a histogram of
     the low 16 bits inside that bucket locates the hash itself, and rows sharing exactly that
-    hash (rare collisions) are ordered by key. Three small aggregation jobs; only bounded
-    histograms reach the driver.
+    hash (rare collisions) are ordered by key. Two small aggregation jobs (a third only when
+    the cut hash is shared); only bounded histograms reach the driver.
     """
     h = hash32(F.col(customer), F.col(article), seed, "val")
     keyed = pairs.withColumn("_h", h)
-    total = keyed.count()
+    hi = F.shiftright(F.col("_h"), 16)
+    top = sorted((r[0], r[1]) for r in keyed.groupBy(hi.alias("b")).count().collect())
+    total = sum(c for _, c in top)
     n = int(float(validation_share) * total)
     if n <= 0:
         return pairs.withColumn(out, F.lit(False))
     if n >= total:
         return pairs.withColumn(out, F.lit(True))
-    hi = F.shiftright(F.col("_h"), 16)
-    top = sorted((r[0], r[1]) for r in keyed.groupBy(hi.alias("b")).count().collect())
     below, bucket_hi = 0, None
     for b, c in top:
         if below + c >= n:
@@ -77,7 +77,9 @@ def exact_validation_flags(
             cut, at_cut = (bucket_hi << 16) + b, c
             break
         rest -= c
-    # ``rest`` rows are still needed among those whose hash equals ``cut``: first by key
+    if at_cut == rest:  # the usual case: no other row shares the cut hash
+        return keyed.withColumn(out, F.col("_h") <= F.lit(cut)).drop("_h")
+    # ``rest`` of the ``at_cut`` rows sharing the cut hash are still needed: first by key
     ties = (
         keyed.where(F.col("_h") == cut)
         .orderBy(customer, article)
