@@ -57,11 +57,12 @@ def encode_pairs(
 ) -> DataFrame:
     """Replace (customer, article) by their contiguous indexes; other columns pass through.
 
-    The article map is broadcast when its measured size allows; the customer map (as large as
-    the customer base) is shuffle-joined.
+    Both maps are broadcast when their measured size allows (the pairs are then not
+    shuffled); a larger map is shuffle-joined.
     """
     arts = bounded_broadcast(article_map.select(article, article_idx)).df
-    out = pairs.join(customer_map.select(customer, customer_idx), customer).join(arts, article)
+    custs = bounded_broadcast(customer_map.select(customer, customer_idx)).df
+    out = pairs.join(custs, customer).join(arts, article)
     rest = [c for c in pairs.columns if c not in (customer, article)]
     return out.select(customer_idx, article_idx, *rest)
 

@@ -20,7 +20,7 @@ from affinity.functions.weights import (
     price_weight,
     time_weight,
 )
-from affinity.plans.broadcast import bounded_broadcast
+from affinity.plans.broadcast import TEXT_KEY_MAX_ROWS, bounded_broadcast
 from affinity.sources import schemas as S
 
 
@@ -35,12 +35,14 @@ def enrich_transactions(
 ) -> DataFrame:
     """C1 (J1, J2, P4): swap text ids for surrogate ids; rows with unknown ids drop out.
 
-    The article map is broadcast behind a measured size bound; the customer map is as large
-    as the customer base, so it is a shuffle join (AQE splits a hot customer's partition).
+    Both maps are broadcast behind a measured size bound, so the transactions (the largest
+    table) are not shuffled at all; a customer base beyond the bound becomes a shuffle join,
+    where AQE splits a hot customer's partition.
     """
-    arts = bounded_broadcast(article_ids.select(article_key, article)).df
+    arts = bounded_broadcast(article_ids.select(article_key, article), TEXT_KEY_MAX_ROWS).df
+    custs = bounded_broadcast(customer_ids.select(customer_key, customer), TEXT_KEY_MAX_ROWS).df
     return (
-        transactions.join(customer_ids.select(customer_key, customer), customer_key)
+        transactions.join(custs, customer_key)
         .join(arts, article_key)
         .drop(customer_key, article_key)
     )

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Rows of a narrow (id + a few numbers) table that may be shipped to every executor.
 DEFAULT_MAX_ROWS = 5_000_000
+# Rows of a text-keyed id map (e.g. 64-character customer ids) that may be broadcast.
+TEXT_KEY_MAX_ROWS = 2_000_000
 
 
 @dataclass
