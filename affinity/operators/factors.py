@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.hashing import normal
 from affinity.functions.scores import factor_names, score_exponent
-from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
+from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast, broadcast_limit
 from affinity.session import reliable_checkpoint
 from affinity.sources import schemas as S
 
@@ -389,7 +389,7 @@ def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: Adam
 
 def articles_broadcastable(articles: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     """Measured once per fit: the article count does not change between steps."""
-    return articles.count() <= max_rows
+    return articles.count() <= broadcast_limit(articles.sparkSession, max_rows)
 
 
 def gradient_step(

@@ -223,7 +223,7 @@ def fallback_scores(
     spark = sample_factors.sparkSession
     names = factor_names(k)
     sized = bounded_broadcast(sample_factors.select("id", *names, "bias"), max_sample_rows)
-    if not sized.broadcast:
+    if sized.rows > max_sample_rows:
         raise ValueError(f"fallback sample has {sized.rows} rows, above {max_sample_rows}")
     ids, umat, ub = _article_arrays(sized.df.toPandas(), k)
     bc = spark.sparkContext.broadcast((umat, ub))

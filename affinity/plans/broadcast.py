@@ -28,9 +28,20 @@ class Sized:
     broadcast: bool
 
 
+# Session-level cap on every size-checked broadcast join (e.g. "0" forces shuffle joins).
+CAP_CONF = "affinity.broadcast.maxRows"
+
+
+def broadcast_limit(spark, max_rows: int = DEFAULT_MAX_ROWS) -> int:
+    cap = spark.conf.get(CAP_CONF, None)
+    return min(int(max_rows), int(cap)) if cap not in (None, "") else int(max_rows)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> Sized:
+    """Persist and count ``df``; wrap it in ``F.broadcast`` only when it has at most
+    ``max_rows`` rows (and the session cap allows). ``rows`` is the measured count."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.count()
-    if n <= max_rows:
+    if n <= broadcast_limit(df.sparkSession, max_rows):
         return Sized(F.broadcast(kept), n, True)
     return Sized(kept, n, False)
