@@ -188,12 +188,14 @@ def top_n_scored(
         )
         cust = cust.join(ex, "id", "left")
     arts = article_factors.select("id", *names, "bias")
-    sized = bounded_broadcast(arts, max_broadcast_rows)
-    n_blocks = max(1, math.ceil(sized.rows / max(1, max_broadcast_rows)))
+    bound = max(1, int(max_broadcast_rows))
+    # one job both proves the bound and fetches the matrix (at most bound + 1 rows travel)
+    head = arts.limit(bound + 1).toPandas()
+    n_blocks = 1 if len(head) <= bound else math.ceil(arts.count() / bound)
     parts = []
     for b in range(n_blocks):
-        block = sized.df if n_blocks == 1 else arts.where(bucket(n_blocks, F.col("id")) == b)
-        bc = spark.sparkContext.broadcast(_article_arrays(block.toPandas(), k))
+        pdf = head if n_blocks == 1 else arts.where(bucket(n_blocks, F.col("id")) == b).toPandas()
+        bc = spark.sparkContext.broadcast(_article_arrays(pdf, k))
         parts.append(cust.mapInPandas(_scorer(bc, k, n, float(intercept), with_ex), TOP_SCHEMA))
     scored = parts[0]
     for p in parts[1:]:
@@ -222,10 +224,10 @@ def fallback_scores(
     """
     spark = sample_factors.sparkSession
     names = factor_names(k)
-    sized = bounded_broadcast(sample_factors.select("id", *names, "bias"), max_sample_rows)
-    if sized.rows > max_sample_rows:
-        raise ValueError(f"fallback sample has {sized.rows} rows, above {max_sample_rows}")
-    ids, umat, ub = _article_arrays(sized.df.toPandas(), k)
+    head = sample_factors.select("id", *names, "bias").limit(int(max_sample_rows) + 1).toPandas()
+    if len(head) > max_sample_rows:
+        raise ValueError(f"fallback sample has more than {max_sample_rows} rows")
+    ids, umat, ub = _article_arrays(head, k)
     bc = spark.sparkContext.broadcast((umat, ub))
     g = float(intercept)
 
