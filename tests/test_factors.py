@@ -135,3 +135,19 @@ def test_a13_duplicate_pairs_sum_into_one_target(spark):
     a = M.losses(dup, cu, ar, 0.0, 1, 0.0).first()
     b = M.losses(one, cu, ar, 0.0, 1, 0.0).first()
     assert a.pred_loss == pytest.approx(b.pred_loss) and a.n_pairs == 1
+
+
+def test_fit_same_without_article_broadcast(spark, synthetic):
+    from affinity.plans.broadcast import CAP_CONF
+
+    kw = dict(k=2, l2=0.02, lr=0.05, epochs=1, batch_size=10_000, validation_share=0.05, seed=6)
+    a = M.fit_log_link_factors(synthetic, **kw)
+    spark.conf.set(CAP_CONF, "0")
+    try:
+        b = M.fit_log_link_factors(synthetic, **kw)
+        assert b.broadcast_articles is False
+    finally:
+        spark.conf.unset(CAP_CONF)
+    ra = {r.id: r.f1 for r in a.articles.collect()}
+    rb = {r.id: r.f1 for r in b.articles.collect()}
+    assert ra.keys() == rb.keys() and all(abs(ra[i] - rb[i]) < 1e-9 for i in ra)
