@@ -19,6 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,10 +172,14 @@ def top_n_scored(
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
     max_broadcast_rows: int = DEFAULT_MAX_ROWS,
+    cells_per_task: int = 2_000_000_000,
 ) -> DataFrame:
     """R1 + R3 + R4 for modelled customers, long form: customer_int, rank, article_int,
     exponent, suppressed (rank 1..N per customer).
 
+    ``cells_per_task`` bounds the customer x article scores one task computes (about a
+    minute of numpy at K=10), which sets the number of customer partitions.
+
     ``customer_factors`` has ``id, f0.., bias`` for the customers to score; ``exclusions`` has
     (customer, article) pairs to suppress.
     """
@@ -191,7 +196,17 @@ def top_n_scored(
     bound = max(1, int(max_broadcast_rows))
     # one job both proves the bound and fetches the matrix (at most bound + 1 rows travel)
     head = arts.limit(bound + 1).toPandas()
-    n_blocks = 1 if len(head) <= bound else math.ceil(arts.count() / bound)
+    n_articles = len(head) if len(head) <= bound else arts.count()
+    n_blocks = 1 if n_articles <= bound else math.ceil(n_articles / bound)
+    # size the customer partitions by compute (customers x articles scored per task), not by
+    # bytes: hash-partitioned on the id, so a retried task sees the same customers
+    cust = cust.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then scored: computed once
+    n_customers = cust.count()
+    parts = max(
+        spark.sparkContext.defaultParallelism,
+        math.ceil(n_customers * min(n_articles, bound) / float(cells_per_task)),
+    )
+    cust = cust.repartition(int(parts), "id")
     parts = []
     for b in range(n_blocks):
         pdf = head if n_blocks == 1 else arts.where(bucket(n_blocks, F.col("id")) == b).toPandas()
