@@ -22,17 +22,59 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(
+    input_bytes: float,
+    executors: int,
+    cores_per_executor: int,
+    shuffle_ratio: float = 0.5,
+    target_partition_bytes: int = 256 * 1024**2,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    Shuffle partitions are sized so one reducer task handles about ``target_partition_bytes``
+    of the largest shuffle (estimated as ``shuffle_ratio`` of the input, after map-side
+    partial aggregation), rounded up to whole waves of task slots; scan splits stay at 256 MB
+    (or smaller when the input is too small to fill every slot once). AQE then coalesces small
+    partitions and splits skewed ones at run time. For 100 TB on 1,000 executors x 8 cores:
+    192,000 shuffle partitions (24 waves of 8,000 slots) and 256 MB splits.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle_bytes = input_bytes * shuffle_ratio
+    parts = max(slots, int(shuffle_bytes // target_partition_bytes) + 1)
+    parts = ((parts + slots - 1) // slots) * slots
+    split = int(min(256 * 1024**2, max(16 * 1024**2, input_bytes // slots)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "affinity",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
+    """Build or get the session.
+
+    ``DEFAULT_CONF`` only fills settings the launcher left unset (``spark-submit --conf`` and
+    spark-defaults win); ``shuffle_partitions`` and ``extra_conf`` are explicit and override.
+    A local master without an explicit partition count uses one partition per core.
+    """
+    from pyspark import SparkConf
+
+    launcher = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not launcher.contains(k)}
+    if shuffle_partitions is None and master and master.startswith("local"):
+        cores = master[len("local[") : -1] if master.startswith("local[") else "1"
+        shuffle_partitions = os.cpu_count() if cores in ("*", "") else int(cores.split(",")[0])
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
