@@ -177,11 +177,10 @@ def top_n_scored(
     """R1 + R3 + R4 for modelled customers, long form: customer_int, rank, article_int,
     exponent, suppressed (rank 1..N per customer).
 
-    ``cells_per_task`` bounds the customer x article scores one task computes (about a
-    minute of numpy at K=10), which sets the number of customer partitions.
-
     ``customer_factors`` has ``id, f0.., bias`` for the customers to score; ``exclusions`` has
-    (customer, article) pairs to suppress.
+    (customer, article) pairs to suppress. ``cells_per_task`` bounds the customer x article
+    scores one task computes (about a minute of numpy at K=10), which sets the number of
+    customer partitions.
     """
     spark = customer_factors.sparkSession
     names = factor_names(k)
@@ -194,37 +193,48 @@ def top_n_scored(
         cust = cust.join(ex, "id", "left")
     arts = article_factors.select("id", *names, "bias")
     bound = max(1, int(max_broadcast_rows))
-    # one job both proves the bound and fetches the matrix (at most bound + 1 rows travel)
-    head = arts.limit(bound + 1).toPandas()
-    n_articles = len(head) if len(head) <= bound else arts.count()
-    n_blocks = 1 if n_articles <= bound else math.ceil(n_articles / bound)
+    blocks = _article_blocks(arts, bound)
+    n_articles = sum(len(b) for b in blocks)
     # size the customer partitions by compute (customers x articles scored per task), not by
     # bytes: hash-partitioned on the id, so a retried task sees the same customers
     cust = cust.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then scored: computed once
     n_customers = cust.count()
-    parts = max(
+    n_parts = max(
         spark.sparkContext.defaultParallelism,
         math.ceil(n_customers * min(n_articles, bound) / float(cells_per_task)),
     )
-    cust = cust.repartition(int(parts), "id")
-    parts = []
-    for b in range(n_blocks):
-        pdf = head if n_blocks == 1 else arts.where(bucket(n_blocks, F.col("id")) == b).toPandas()
+    cust = cust.repartition(int(n_parts), "id")
+    scored = None
+    for pdf in blocks:
         bc = spark.sparkContext.broadcast(_article_arrays(pdf, k))
-        parts.append(cust.mapInPandas(_scorer(bc, k, n, float(intercept), with_ex), TOP_SCHEMA))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    if n_blocks > 1:
+        part = cust.mapInPandas(_scorer(bc, k, n, float(intercept), with_ex), TOP_SCHEMA)
+        scored = part if scored is None else scored.unionByName(part)
+    if len(blocks) > 1:
         w = Window.partitionBy("customer_int").orderBy(
             F.col("suppressed"), F.col("exponent").desc(), F.col("article_int")
         )
-        scored = (
-            scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-        )
+        scored = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     return scored
 
 
+def _article_blocks(arts: DataFrame, bound: int) -> list[pd.DataFrame]:
+    """The article factor table in pieces of at most ``bound`` rows each, fetched with a
+    ``limit(bound + 1)`` so no piece can exceed the bound unnoticed: one piece when the whole
+    catalogue fits, else hash blocks, re-split with twice as many blocks if one overflows."""
+    head = arts.limit(bound + 1).toPandas()
+    if len(head) <= bound:
+        return [head]
+    n_blocks = 2 * math.ceil(arts.count() / bound)
+    while True:
+        pieces = [
+            arts.where(bucket(n_blocks, F.col("id")) == b).limit(bound + 1).toPandas()
+            for b in range(n_blocks)
+        ]
+        if all(len(p) <= bound for p in pieces):
+            return [p for p in pieces if len(p)]
+        n_blocks *= 2
+
+
 def fallback_scores(
     sample_factors: DataFrame,
     article_factors: DataFrame,
