@@ -94,13 +94,23 @@ def weighted_interactions(
 
     ``prices`` (article, max_price) defaults to A2 over ``train``; it is one row per article
     and joins by broadcast when its measured size allows. The decay is measured from the
-    newest train date (scalar subquery). Pairs whose summed weight is not > 0 are dropped.
+    newest train date (a scalar subquery; over the per-article table when prices come from
+    train). Pairs whose summed weight is not > 0 are dropped.
     The only shuffle is the (customer, article) aggregation, after map-side partial sums.
     """
     if prices is None:
-        prices = max_prices(train, article, price)
-    prices = bounded_broadcast(prices.select(article, "max_price")).df
-    newest = max_date_column(train, date_col)
+        # one pass over train gives each article's canonical price and last purchase date;
+        # the newest train date is then the max over that small table, not another scan
+        p = F.col(price)
+        stats = train.groupBy(article).agg(
+            F.max(F.when(~F.isnan(p), p)).alias("max_price"), F.max(date_col).alias("_last")
+        )
+        sized = bounded_broadcast(stats)
+        newest = sized.df.agg(F.max("_last")).scalar()
+        prices = sized.df.select(article, "max_price")
+    else:
+        prices = bounded_broadcast(prices.select(article, "max_price")).df
+        newest = max_date_column(train, date_col)
     rows = train.select(customer, article, date_col, price).join(prices, article, "left")
     w = combined_weight(
         price_weight(price_ratio(F.col(price), F.col("max_price")), price_discount_strength),
