@@ -14,6 +14,7 @@ Ids follow key order, not file order (Spark files have no row order).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,13 +24,31 @@ from affinity.session import reliable_checkpoint
 _PID = "_range_part"
 
 
-def dense_ids(df: DataFrame, key: str, id_col: str, num_partitions: int | None = None) -> DataFrame:
-    """``(key, id)`` for the sorted distinct non-null keys of ``df``, ids 0..n-1."""
-    spark = df.sparkSession
-    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+def dense_ids(
+    df: DataFrame,
+    key: str,
+    id_col: str,
+    num_partitions: int | None = None,
+    keys_per_partition: int = 1_000_000,
+) -> DataFrame:
+    """``(key, id)`` for the sorted distinct non-null keys of ``df``, ids 0..n-1.
+
+    Without ``num_partitions`` the range partition count follows the number of distinct keys
+    (about ``keys_per_partition`` each, at most the shuffle partition count), so a small
+    dimension on a cluster configured for terabyte shuffles does not become thousands of
+    near-empty tasks.
+    """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if num_partitions is None:
+        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then range-partitioned
+        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, min(cap, -(-keys.count() // max(1, keys_per_partition))))
+    else:
+        n = int(num_partitions)
     ranged = keys.repartitionByRange(n, key).withColumn(_PID, F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
+    if num_partitions is None:
+        keys.unpersist()
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -151,3 +151,10 @@ def test_max_date_on_empty_input(spark):
     empty = spark.createDataFrame([], "t_dat date, customer_int long")
     train, holdout = P.split_transactions(empty, 7)
     assert train.count() == 0 and holdout.count() == 0
+
+
+def test_dense_ids_partition_count_follows_key_count(spark):
+    keys = spark.range(0, 1000).select((F.col("id") * 7).cast("string").alias("k"))
+    got = dense_ids(keys, "k", "i", keys_per_partition=90).orderBy("k").collect()
+    assert [r.i for r in got] == list(range(1000))
+    assert [r.k for r in got] == sorted(str(i * 7) for i in range(1000))
