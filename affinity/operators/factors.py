@@ -478,6 +478,7 @@ def fit_log_link_factors(
     on_batch=None,
     on_epoch=None,
     num_partitions: int | None = None,
+    pairs_per_partition: int = 2_000_000,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
     weight: str = S.WEIGHT,
@@ -501,10 +502,15 @@ def fit_log_link_factors(
     )
 
     spark = interactions.sparkSession
-    parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     flag = exact_validation_flags if exact_validation else validation_flags
     # the exact split runs a few small jobs over the pairs: aggregate the duplicates once
     pairs = unique_pairs(interactions, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    if num_partitions is None:
+        # about ``pairs_per_partition`` pairs per task, at most the shuffle partition count
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = -(-pairs.count() // max(1, pairs_per_partition))
+        num_partitions = max(min(spark.sparkContext.defaultParallelism, cap), min(cap, wanted))
+    parts = int(num_partitions)
     flagged = flag(pairs, validation_share, seed, customer, article, "_val")
     # frozen copy written to the shared checkpoint folder (survives executor loss), then
     # hash-partitioned by customer and kept: its partitioning is known to the planner, so the
