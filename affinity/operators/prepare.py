@@ -203,7 +203,8 @@ def holdout_new_customer_transactions(
     if not wanted.broadcast:
         return holdout.join(train.select(customer).distinct(), customer, "left_anti")
     seen = train.select(customer).join(wanted.df, customer, "left_semi").distinct()
-    return holdout.join(seen, customer, "left_anti")
+    # ``seen`` is a subset of the measured holdout customer set: its bound is already proven
+    return holdout.join(F.broadcast(seen), customer, "left_anti")
 
 
 def known_customers(
