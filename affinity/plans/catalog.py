@@ -270,6 +270,8 @@ def gap_query(mode: str, rounded: bool) -> Builder:
 register("repeat_gap_quantiles", SQL_GAP_NEAREST)(gap_query("nearest", False))
 register("repeat_gap_quantiles_disc", SQL_GAP_DISC)(gap_query("disc", False))
 register("repeat_gap_quantiles_linear", SQL_GAP_LINEAR)(gap_query("linear", True))
+# the approximate sketch has no exact SQL twin: rows-only
+register("repeat_gap_quantiles_approx")(gap_query("approx", False))
 
 
 # --------------------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"fit_factors", "fit_als"}
+ROWS_ONLY = {"fit_factors", "fit_als", "repeat_gap_quantiles_approx"}
 
 
 def test_registry_has_oracle_for_every_sql_expressible_query():
