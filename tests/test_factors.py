@@ -4,7 +4,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from affinity.operators import factors as M
 from affinity.sources.writers import load_model, save_model
