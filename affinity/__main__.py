@@ -39,9 +39,17 @@ def _prepare(spark, a) -> dict:
         price_discount_strength=a.price_discount_strength,
         new_user_days=a.new_user_days,
         gap_mode=a.gap_mode,
+        strengths=_strengths(a.strengths),
     )
 
 
+def _strengths(text: str | None):
+    """``"0:0,0.01:0,0.01:1"`` -> [(0.0, 0.0), (0.01, 0.0), (0.01, 1.0)]."""
+    if not text:
+        return None
+    return [tuple(float(x) for x in pair.split(":")) for pair in text.split(",")]
+
+
 def _train(spark, a) -> dict:
     from affinity.plans.train_job import train
 
@@ -96,6 +104,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--price-discount-strength", type=float, default=0.0)
     s.add_argument("--new-user-days", type=int, default=7)
     s.add_argument("--gap-mode", default="nearest", choices=["nearest", "disc", "linear", "approx"])
+    s.add_argument("--strengths", default=None,
+                   help="several weight variants in one pass, e.g. 0:0,0.01:0,0.001:0,0.01:1,0.001:1")
     s.add_argument("--lenient-dates", action="store_true")
 
     s = sub.add_parser("train", help="fit the log-link factor model")

@@ -123,6 +123,60 @@ def weighted_interactions(
     )
 
 
+def weighted_interaction_grid(
+    train: DataFrame,
+    strengths: list[tuple[float, float]],
+    prices: DataFrame | None = None,
+    customer: str = S.CUSTOMER,
+    article: str = S.ARTICLE,
+    date_col: str = S.DATE,
+    price: str = S.PRICE,
+    weight: str = S.WEIGHT,
+) -> DataFrame:
+    """C2 for several (t_discount_strength, price_discount_strength) pairs in one pass.
+
+    One (customer, article) aggregation computes a sum per pair of strengths (map-side partial
+    sums, a single shuffle), then the sums are unpivoted into rows
+    ``t_discount, price_discount, customer, article, weight`` and non-positive weights dropped.
+    Equal to calling ``weighted_interactions`` once per pair, with one scan instead of many.
+    """
+    if not strengths:
+        raise ValueError("strengths must not be empty")
+    if prices is None:
+        p = F.col(price)
+        stats = train.groupBy(article).agg(
+            F.max(F.when(~F.isnan(p), p)).alias("max_price"), F.max(date_col).alias("_last")
+        )
+        sized = bounded_broadcast(stats)
+        newest = sized.df.agg(F.max("_last")).scalar()
+        prices = sized.df.select(article, "max_price")
+    else:
+        prices = bounded_broadcast(prices.select(article, "max_price")).df
+        newest = max_date_column(train, date_col)
+    rows = train.select(customer, article, date_col, price).join(prices, article, "left")
+    ratio = price_ratio(F.col(price), F.col("max_price"))
+    days = days_between(newest, F.col(date_col))
+    sums = [
+        F.sum(combined_weight(price_weight(ratio, s), time_weight(days, k))).alias(f"_w{i}")
+        for i, (k, s) in enumerate(strengths)
+    ]
+    wide = rows.groupBy(customer, article).agg(*sums)
+    variants = F.array(
+        *[
+            F.struct(
+                F.lit(float(k)).alias("t_discount"),
+                F.lit(float(s)).alias("price_discount"),
+                F.col(f"_w{i}").alias(weight),
+            )
+            for i, (k, s) in enumerate(strengths)
+        ]
+    )
+    long = wide.select(customer, article, F.explode(variants).alias("_v"))
+    return long.select(
+        "_v.t_discount", "_v.price_discount", customer, article, F.col(f"_v.{weight}").alias(weight)
+    ).filter(positive_weight(F.col(weight)))
+
+
 def holdout_counts(
     holdout: DataFrame, customer: str = S.CUSTOMER, article: str = S.ARTICLE
 ) -> DataFrame:

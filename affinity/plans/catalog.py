@@ -190,6 +190,24 @@ for _name, _k, _s in [
     register(_name, sql_weights(_k, _s))(weights_query(_k, _s))
 
 
+# The decay x price strength configurations the reference trains with.
+GRID = [(0.0, 0.0), (0.01, 0.0), (0.001, 0.0), (0.01, 1.0), (0.001, 1.0)]
+
+
+@register(
+    "weighted_interactions_grid",
+    "\nUNION ALL\n".join(
+        f"SELECT CAST({k!r} AS DOUBLE) AS t_discount, CAST({s_!r} AS DOUBLE) AS price_discount, "
+        f"customer_int, article_int, weight FROM ({sql_weights(k, s_)})"
+        for k, s_ in GRID
+    ),
+)
+def q_weighted_interactions_grid(spark, sf_dir):
+    train, _ = split_part(spark, sf_dir)
+    out = P.weighted_interaction_grid(train, GRID)
+    return out.select("t_discount", "price_discount", "customer_int", "article_int", r6("weight"))
+
+
 # --------------------------------------------------------------------------------------------
 # A4 holdout counts
 

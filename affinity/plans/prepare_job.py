@@ -18,7 +18,12 @@ from affinity.operators import prepare as P
 from affinity.operators.ids import dense_ids
 from affinity.operators.quantiles import repeat_gap_quantiles
 from affinity.sources import schemas as S
-from affinity.sources.writers import area, write_table, write_weighted_interactions
+from affinity.sources.writers import (
+    area,
+    write_table,
+    write_weighted_interaction_grid,
+    write_weighted_interactions,
+)
 
 
 def prepare_lookups(customers: DataFrame, articles: DataFrame, out: str) -> tuple[str, str]:
@@ -40,7 +45,10 @@ def prepare_training_data(
     price_discount_strength: float = 0.0,
     new_user_days: int = 7,
     gap_mode: str = "nearest",
+    strengths: list[tuple[float, float]] | None = None,
 ) -> dict[str, str]:
+    """``strengths`` (a list of (t_discount, price_discount) pairs) writes every weight variant
+    from one pass over train; otherwise the single pair of strength arguments is used."""
     root = f"{out}/{area(holdout_days)}"
     paths = {"transactions": f"{root}/transactions"}
     enriched = P.enrich_transactions(transactions, customer_ids, article_ids)
@@ -61,8 +69,12 @@ def prepare_training_data(
     write_table(P.days_since_last_purchase(train), paths["customer_days_since_last_purchase"])
 
     paths["train"] = f"{root}/train"
-    weights = P.weighted_interactions(train, t_discount_strength, price_discount_strength, prices)
-    write_weighted_interactions(weights, paths["train"], t_discount_strength, price_discount_strength)
+    if strengths:
+        grid = P.weighted_interaction_grid(train, strengths, prices)
+        write_weighted_interaction_grid(grid, paths["train"], strengths)
+    else:
+        weights = P.weighted_interactions(train, t_discount_strength, price_discount_strength, prices)
+        write_weighted_interactions(weights, paths["train"], t_discount_strength, price_discount_strength)
 
     paths["train_new_users"] = f"{root}/train_new_users/first_n_days={int(new_user_days)}"
     write_table(P.transactions_first_n_days(train, new_user_days), paths["train_new_users"])

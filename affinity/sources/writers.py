@@ -61,6 +61,32 @@ def write_weighted_interactions(
     )
 
 
+def write_weighted_interaction_grid(
+    df: DataFrame, base: str, strengths: list[tuple[float, float]]
+) -> None:
+    """S7 for a grid of strengths in one write: the numeric ``t_discount`` / ``price_discount``
+    columns become the same folder labels a single-variant write uses (X10)."""
+
+    def labelled(col: str, values) -> F.Column:
+        expr = F.lit(None).cast("string")
+        for v in sorted(set(float(x) for x in values)):
+            expr = F.when(F.col(col) == F.lit(v), F.lit(strength_label(v))).otherwise(expr)
+        return expr
+
+    out = df.withColumns(
+        {
+            "t_discount": labelled("t_discount", [k for k, _ in strengths]),
+            "price_discount": labelled("price_discount", [s for _, s in strengths]),
+        }
+    )
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("t_discount", "price_discount")
+        .parquet(base)
+    )
+
+
 def read_weighted_interactions(
     spark: SparkSession, base: str, t_discount_strength: float, price_discount_strength: float
 ) -> DataFrame:

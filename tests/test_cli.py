@@ -24,8 +24,7 @@ def test_cli_stages_round_trip(spark, scratch):
         [(t, c, a, p, 1) for _, t, c, a, p in E1_ROWS],
     )
     main(["lookups", "--data", data], spark)
-    paths = main(["prepare", "--data", data, "--holdout-days", "7", "--t-discount-strength", "0.1",
-                  "--price-discount-strength", "1.0"], spark)
+    paths = main(["prepare", "--data", data, "--holdout-days", "7", "--strengths", "0:0,0.1:1"], spark)
     assert spark.read.parquet(paths["transactions"]).count() == 8
     out = main(["train", "--data", data, "--model-name", "mf", "--model-version", "v1",
                 "--t-discount-strength", "0.1", "--price-discount-strength", "1.0",

@@ -158,3 +158,19 @@ def test_dense_ids_partition_count_follows_key_count(spark):
     got = dense_ids(keys, "k", "i", keys_per_partition=90).orderBy("k").collect()
     assert [r.i for r in got] == list(range(1000))
     assert [r.k for r in got] == sorted(str(i * 7) for i in range(1000))
+
+
+def test_weight_grid_equals_single_variants(e1_enriched, spark, scratch):
+    from affinity.sources.writers import read_weighted_interactions, write_weighted_interaction_grid
+
+    train, _ = P.split_transactions(e1_enriched, 7)
+    grid = [(0.0, 0.0), (0.1, 1.0), (0.0001, 0.5)]
+    out = P.weighted_interaction_grid(train, grid)
+    write_weighted_interaction_grid(out, f"{scratch}/w", grid)
+    for k, s in grid:
+        one = {(r.customer_int, r.article_int): r.weight for r in P.weighted_interactions(train, k, s).collect()}
+        sub = out.where((F.col("t_discount") == k) & (F.col("price_discount") == s))
+        got = {(r.customer_int, r.article_int): r.weight for r in sub.collect()}
+        assert got.keys() == one.keys() and all(abs(got[x] - one[x]) < 1e-12 for x in one)
+        back = read_weighted_interactions(spark, f"{scratch}/w", k, s)
+        assert back.count() == len(one)
