@@ -38,3 +38,28 @@ def test_cli_stages_round_trip(spark, scratch):
     assert set(sub) == {"A", "C"}
     assert all(len(v.split(" ")) == 2 for v in sub.values())
     assert 0.0 <= res["map"] <= 1.0
+
+
+def test_cli_scores_every_customer_in_submission_mode(spark, scratch):
+    import os
+
+    data = f"{scratch}/data"
+    os.makedirs(data)
+    write(f"{data}/customers.csv", "customer_id", [(c,) for c in "ABCD"])
+    write(f"{data}/articles.csv", "article_id", [("0101",), ("0202",), ("0303",)])
+    write(
+        f"{data}/transactions_train.csv",
+        "t_dat,customer_id,article_id,price,sales_channel_id",
+        [(t, c, a, p, 1) for _, t, c, a, p in E1_ROWS],
+    )
+    main(["lookups", "--data", data], spark)
+    main(["prepare", "--data", data, "--submission"], spark)
+    main(["train", "--data", data, "--model-name", "mf", "--model-version", "s", "--train",
+          "submission/train", "--num-latent-features", "2", "--epochs", "1", "--val-perc", "0.0"], spark)
+    res = main(["score", "--data", data, "--model-name", "mf", "--model-version", "s", "--epoch-number", "0",
+                "--holdout", "lookups/customer_ids",
+                "--purchase-history", "submission/customer_days_since_last_purchase",
+                "--purchase-cutoffs", "submission/days_between_purchase", "--evaluation-k", "3"], spark)
+    assert "map" not in res
+    sub = spark.read.option("header", True).csv(res["submission"])
+    assert sorted(r.customer_id for r in sub.collect()) == ["A", "B", "C", "D"]
