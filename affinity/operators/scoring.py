@@ -16,10 +16,11 @@ same order as the SQL form, so ties break identically.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,11 @@ from affinity.operators.quantiles import NAMES as PERCENTILES
 from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from affinity.sources import schemas as S
 
+# The mapInPandas functions below run in Python workers. Pickling this module by value ships
+# them (and the numpy helpers they call) with each task, so executors need no copy of the
+# package on their path; they only use numpy and pandas.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_SCHEMA = T.StructType(
     [
         T.StructField("customer_int", T.LongType()),
