@@ -119,7 +119,10 @@ def _top_rows(e: np.ndarray, sup: np.ndarray, n: int):
     return out
 
 
-def _scorer(bc, k: int, n: int, intercept: float, with_exclusions: bool, chunk_cells: int = 4_000_000):
+def _scorer(
+    bc, k: int, n: int, intercept: float, with_exclusions: bool, chunk_cells: int = 4_000_000,
+    as_lists: bool = False,
+):
     names = factor_names(k)
 
     def run(batches):
@@ -146,6 +149,14 @@ def _scorer(bc, k: int, n: int, intercept: float, with_exclusions: bool, chunk_c
                         ok = (pos < a) & (ids[np.minimum(pos, a - 1)] == x)
                         sup[r, pos[ok]] = True
                 picks = _top_rows(e, sup, n)
+                if as_lists:
+                    yield pd.DataFrame(
+                        {
+                            "customer_int": cust[s : s + len(picks)],
+                            "recommendations": [ids[cols] for cols in picks],
+                        }
+                    )
+                    continue
                 c_out, r_out, a_out, e_out, s_out = [], [], [], [], []
                 for r, cols in enumerate(picks):
                     m = len(cols)
@@ -179,6 +190,7 @@ def top_n_scored(
     article: str = S.ARTICLE,
     max_broadcast_rows: int = DEFAULT_MAX_ROWS,
     cells_per_task: int = 2_000_000_000,
+    prepared: tuple | None = None,
 ) -> DataFrame:
     """R1 + R3 + R4 for modelled customers, long form: customer_int, rank, article_int,
     exponent, suppressed (rank 1..N per customer).
@@ -188,11 +200,65 @@ def top_n_scored(
     scores one task computes (about a minute of numpy at K=10), which sets the number of
     customer partitions.
     """
+    cust, blocks = prepared or _prepare(
+        customer_factors, article_factors, k, exclusions, customer, article,
+        max_broadcast_rows, cells_per_task,
+    )
+    spark = customer_factors.sparkSession
+    scored = None
+    for pdf in blocks:
+        bc = spark.sparkContext.broadcast(_article_arrays(pdf, k))
+        part = cust.mapInPandas(
+            _scorer(bc, k, n, float(intercept), exclusions is not None), TOP_SCHEMA
+        )
+        scored = part if scored is None else scored.unionByName(part)
+    if len(blocks) > 1:
+        w = Window.partitionBy("customer_int").orderBy(
+            F.col("suppressed"), F.col("exponent").desc(), F.col("article_int")
+        )
+        scored = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return scored
+
+
+def top_n_lists(
+    customer_factors: DataFrame,
+    article_factors: DataFrame,
+    intercept: float,
+    k: int,
+    n: int,
+    exclusions: DataFrame | None = None,
+    customer: str = S.CUSTOMER,
+    article: str = S.ARTICLE,
+    max_broadcast_rows: int = DEFAULT_MAX_ROWS,
+    cells_per_task: int = 2_000_000_000,
+) -> DataFrame:
+    """R1 + R3 + R4 as one list per customer: ``customer, recommendations`` (best first).
+
+    When the catalogue fits in one broadcast block, each customer's list is complete inside
+    its scoring task and is emitted directly (no shuffle of the N rows per customer); larger
+    catalogues take the long form and its exact windowed merge.
+    """
+    cust, blocks = _prepare(customer_factors, article_factors, k, exclusions, customer, article,
+                            max_broadcast_rows, cells_per_task)
+    if len(blocks) > 1:
+        return to_lists(
+            top_n_scored(customer_factors, article_factors, intercept, k, n, exclusions, customer,
+                         article, max_broadcast_rows, cells_per_task, prepared=(cust, blocks)),
+            customer,
+        )
+    bc = customer_factors.sparkSession.sparkContext.broadcast(_article_arrays(blocks[0], k))
+    run = _scorer(bc, k, n, float(intercept), exclusions is not None, as_lists=True)
+    lists = cust.mapInPandas(run, "customer_int long, recommendations array<long>")
+    return lists.withColumnRenamed("customer_int", customer) if customer != "customer_int" else lists
+
+
+def _prepare(customer_factors, article_factors, k, exclusions, customer, article,
+             max_broadcast_rows, cells_per_task):
+    """Customer rows (with exclusion lists) partitioned for scoring, and the article blocks."""
     spark = customer_factors.sparkSession
     names = factor_names(k)
     cust = customer_factors.select("id", *names, "bias")
-    with_ex = exclusions is not None
-    if with_ex:
+    if exclusions is not None:
         ex = exclusions.groupBy(F.col(customer).alias("id")).agg(
             F.collect_set(F.col(article).cast("long")).alias("excluded")
         )
@@ -209,18 +275,7 @@ def top_n_scored(
         spark.sparkContext.defaultParallelism,
         math.ceil(n_customers * min(n_articles, bound) / float(cells_per_task)),
     )
-    cust = cust.repartition(int(n_parts), "id")
-    scored = None
-    for pdf in blocks:
-        bc = spark.sparkContext.broadcast(_article_arrays(pdf, k))
-        part = cust.mapInPandas(_scorer(bc, k, n, float(intercept), with_ex), TOP_SCHEMA)
-        scored = part if scored is None else scored.unionByName(part)
-    if len(blocks) > 1:
-        w = Window.partitionBy("customer_int").orderBy(
-            F.col("suppressed"), F.col("exponent").desc(), F.col("article_int")
-        )
-        scored = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    return scored
+    return cust.repartition(int(n_parts), "id"), blocks
 
 
 def _article_blocks(arts: DataFrame, bound: int) -> list[pd.DataFrame]:
@@ -308,9 +363,7 @@ def recommend(
     """
     wanted = customers.select(customer).distinct()
     known = customer_factors.join(wanted.select(F.col(customer).alias("id")), "id", "left_semi")
-    scored = to_lists(
-        top_n_scored(known, article_factors, intercept, k, n, exclusions, customer), customer
-    )
+    scored = top_n_lists(known, article_factors, intercept, k, n, exclusions, customer)
     if fallback is None:
         return scored
     new = wanted.join(customer_factors.select(F.col("id").alias(customer)), customer, "left_anti")

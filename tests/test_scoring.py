@@ -94,3 +94,15 @@ def test_top_rows_matches_full_sort_with_ties_and_suppression():
             # suppressed articles all score -1.0: among them only the id orders
             full = sorted(range(40), key=lambda c: (sup[r, c], 0.0 if sup[r, c] else -e[r, c], c))[:n]
             assert list(got[r]) == full
+
+
+def test_lists_equal_in_single_and_blocked_paths(spark):
+    k = 2
+    expr = [((F.col("id") * (5 + i)) % 11 / 11.0 - 0.5).alias(f"f{i}") for i in range(k)]
+    arts = spark.range(0, 40).select("id", *expr, ((F.col("id") % 3) / 10.0).alias("bias"))
+    cust = spark.range(200, 230).select("id", *expr, F.lit(0.1).alias("bias"))
+    ex = spark.range(200, 230).select(F.col("id").alias("customer_int"), (F.col("id") % 40).alias("article_int"))
+    one = {r.customer_int: list(r.recommendations) for r in R.top_n_lists(cust, arts, 0.0, k, 6, ex).collect()}
+    many = {r.customer_int: list(r.recommendations)
+            for r in R.top_n_lists(cust, arts, 0.0, k, 6, ex, max_broadcast_rows=9).collect()}
+    assert one == many and len(one) == 30 and all(len(v) == 6 for v in one.values())
