@@ -2,6 +2,7 @@
 
 Every input of the workload is a batch file scan and no operator has a notion of event time,
 watermark or state across micro-batches, so there is nothing to run as Structured Streaming.
-The operators are plain DataFrame functions; those that are stateless or aggregate-only
-(weights, holdout counts) also accept a streaming DataFrame, but no streaming job is shipped.
+The operators are batch DataFrame functions; several of them run actions while building the
+plan (size checks before broadcasts, one-row maxima), which streaming DataFrames do not allow.
+Only the purely relational ones (e.g. ``holdout_counts``) would also accept a streaming input.
 """
