@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import packing, simhash
+from affinity.llm import (
+    embed_join,
+    html_extract,
+    langid,
+    mixing,
+    packing,
+    simhash,
+    substring,
+    topk,
+    toxicity,
+    warc_zip,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +30,39 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_join.embedding_components(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op3_warc_zip_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc_zip.write_archives(_table(spark, sf_dir, "pages"), min_revisit_bytes=1000)
+    found = warc_zip.read_archives(spark, manifest, payloads=False)
+    return found.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def op4_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_count_min_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.repeated_windows_removed(_table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
+
+
+def op7_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(_table(spark, sf_dir, "documents"), length=1024)
     return found.select(
@@ -26,9 +70,97 @@ def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_boosted_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"), target_entropy=0.98, max_repeats=4.0)
+    return found.select(
+        "doc_id",
+        "source",
+        F.col("__tokens").alias("n_tokens"),
+        F.col("__copy").alias("copy"),
+        F.col("__block").alias("block"),
+        F.col("__position").alias("position"),
+    )
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_epsilon_grid_join": op2_epsilon_grid_join,
+    "op3_warc_zip_reader": op3_warc_zip_reader,
+    "op4_bigru_toxicity": op4_bigru_toxicity,
+    "op5_count_min_substring_dedup": op5_count_min_substring_dedup,
+    "op6_exact_top_k": op6_exact_top_k,
+    "op7_bitmask_language_id": op7_bitmask_language_id,
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
+    "op9_boosted_html_extraction": op9_boosted_html_extraction,
+    "op10_temperature_mixing": op10_temperature_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_epsilon_grid_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, list_transform(embedding, lambda c: c::DOUBLE) AS x FROM embeddings
+        ), u AS (
+            SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS n FROM v
+            WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+              AND len(list_filter(x, lambda c: c <> 0)) > 0
+        ), l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.95
+        ), r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT v.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, c.m AS component_id, v.vec_id = c.m AS kept
+        FROM v JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) c ON c.a = v.vec_id
+        LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = v.vec_id
+    """,
+    "op3_warc_zip_reader": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p
+        ), t AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS top FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM t
+    """,
+    "op5_count_min_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), s AS (
+            SELECT doc_id, unnest(range(1, len(words) - 18)) AS p, words FROM w WHERE len(words) >= 20
+        ), h AS (
+            SELECT doc_id, p, list_aggregate(words[p : p + 19], 'string_agg', ' ') AS k FROM s
+        ), r AS (
+            SELECT doc_id, p FROM h QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1
+        ), g AS (
+            SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM r
+        ), x AS (
+            SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w
+        ), y AS (
+            SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept, count(*) AS n_kept
+            FROM x ANTI JOIN g ON g.doc_id = x.doc_id AND g.i = x.i GROUP BY x.doc_id
+        )
+        SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN y ON y.doc_id = w.doc_id
+    """,
+    "op6_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.x, b.x)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 20 = 0
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id, score FROM s QUALIFY rank <= 20
+    """,
+}

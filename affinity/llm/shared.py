@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
-import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from affinity.session import checkpoint_dir
 
@@ -31,9 +31,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def in_tasks(n_tasks: int, df: DataFrame, *keys: str) -> DataFrame:
-    """Deal ``df`` over tasks by ``keys``."""
-    return df.repartition(max(1, n_tasks), *[F.col(k) for k in keys])
+def sent(spark: SparkSession, model) -> Broadcast:
+    """A model of bounded size for all tasks, its class by value: workers need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(model: Broadcast):
+    """Inside a task: the model that ``sent`` broadcast."""
+    return pickle.loads(model.value)
 
 
 def open_store(uri: str):
@@ -48,9 +53,3 @@ def open_store(uri: str):
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
-
-
-def record_batches(columns: dict, schema: pa.Schema, rows_each: int = 10_000):
-    """Yield record batches of at most ``rows_each`` rows from equally long columns."""
-    table = pa.table([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-    yield from table.to_batches(max_chunksize=rows_each)
