@@ -66,10 +66,10 @@ def read_words(text: str | None) -> Words:
     start = (start ^ (start >> np.uint64(31))) * B
     return Words(
         np.add.reduceat((spread * B)[letter], own),
-        (h >> np.uint64(40)).astype(np.int64)[letter] % TRIGRAMS,
+        ((h >> np.uint64(40)) % np.uint64(TRIGRAMS)).astype(np.int32)[letter],
         own,
         sizes,
-        (start >> np.uint64(40)).astype(np.int64) % TRIGRAMS,
+        ((start >> np.uint64(40)) % np.uint64(TRIGRAMS)).astype(np.int32),
     )
 
 
@@ -217,7 +217,17 @@ class Network:
         return np.concatenate(found)
 
     def window_logits(self, texts: list[Words]) -> list[np.ndarray]:
-        """As ``logits`` for each text, full windows of many texts at a time."""
+        """As ``logits`` for each text, for texts of ``WORDS_AT_ONCE`` words at a time."""
+        found, held, size = [], [], 0
+        for w in texts:
+            held.append(w)
+            size += len(w.keys)
+            if size >= WORDS_AT_ONCE // 4:  # bounds the memory of the trigram vectors
+                found += self._joint_logits(held)
+                held, size = [], 0
+        return found + self._joint_logits(held)
+
+    def _joint_logits(self, texts: list[Words]) -> list[np.ndarray]:
         full = [w for w in texts if len(w.keys) >= self.window]
         result = {}
         if full:
