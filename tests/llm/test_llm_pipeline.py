@@ -1,0 +1,66 @@
+import importlib.util
+import sys
+
+import pytest
+
+import __spark_entry__ as E
+from affinity.llm import queries
+
+pipeline = pytest.importorskip("corpus_pipeline")
+SF = "/root/testdata/sf0.001"
+
+
+def test_registry():
+    names = [n for n in E.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert set(queries.ORACLE) <= set(queries.QUERIES) <= set(E.queries())
+    assert E.queries()["pipeline"] is pipeline.run
+    assert [n for n, _ in pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "source_mixing", "packing"]
+
+
+def test_rest_works_without_the_subpackage(monkeypatch):
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("affinity.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    spec = importlib.util.spec_from_file_location("entry_alone", E.__file__)
+    alone = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(alone)
+    assert not [n for n in alone.queries() if n.startswith("op") or n == "pipeline"] and len(alone.queries()) >= 40
+    assert set(alone.oracle_sql()) <= set(alone.queries())
+
+
+def test_stages_keep_columns_and_rows_follow(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, seen = docs.columns, []
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        seen.append(len(rows))
+        if name != "packing":
+            assert out.columns == columns
+            docs = spark.createDataFrame(rows, docs.schema)
+            if name == "substring_dedup":
+                assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert seen[0] <= 200 and seen[1] <= seen[0] and seen[2] == seen[1] and seen[3] >= seen[2]
+
+
+def test_run_equals_the_stages_one_by_one(spark):
+    """The packed tokens are those of the documents that the stages before keep."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    ids = sorted(r["doc_id"] for r in docs.collect())
+    got = pipeline.run(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in got if r["start"] == 0) == ids
+    whole = {}
+    for r in got:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
+    copies = {d: ids.count(d) for d in set(ids)}
+    assert whole == {r["doc_id"]: r["doc_tokens"] * copies[r["doc_id"]] for r in got if r["start"] == 0}
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
