@@ -474,7 +474,8 @@ def fit(
     )
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sample = texts.where(F.length("text") <= sample_chars).join(known.where(draw < share), "id")
+    chosen = F.broadcast(known.where(draw < share).limit(4 * sample_docs))  # bounded by the limit, so no text is shuffled
+    sample = texts.where(F.length("text") <= sample_chars).join(chosen, "id")
     sample = sample.select("id", "text", "label").limit(4 * sample_docs).collect()  # the bound, if ids repeat
     sample.sort(key=lambda r: (str(r["id"]), r["text"]))
     return train([r["text"] for r in sample], [r["label"] for r in sample], **options)
