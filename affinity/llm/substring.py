@@ -10,8 +10,8 @@ judged on the input.
   has two counter rows, sent sparsely (the cells used, and whether more than once). The partition sketches
   of a shard are merged; counters can only overestimate. Each block gets back its cells counted twice or more.
 * Second pass: each block picks the windows whose cells are all repeated (every really repeated one is among
-  them) and sends one entry per distinct window: a 96-bit hash and its first place. Grouped by
-  hash, an entry that is not the first of its window goes back to its block, which marks all its occurrences.
+  them), marks those that start earlier in the same block, and sends one entry per distinct window: a 96-bit
+  hash and its first place. Grouped by hash, an entry that is not the first of its window goes back as a mark.
 
 A hot passage is thus one entry per block, not one per document. The number of shards follows the number
 of windows; ``block_bytes`` should grow with the corpus (256 MB for 100 TB), since a block sends a row
@@ -21,6 +21,7 @@ to every shard.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +86,12 @@ class Block:
                 inside[a:b] = True
         self.place = np.nonzero(inside[: max(0, len(pairs) - window + 1)])[0].astype(np.int64)
         self.hash = window_hashes(np.ascontiguousarray(pairs[:, 0]), window)[self.place]
-        self.more = window_hashes(np.ascontiguousarray(pairs[:, 1]), window)[self.place].astype(np.uint32)
+        self.words, self.window = pairs, window
+
+    def more(self) -> np.ndarray:
+        """32 more bits of the windows' hashes, from the other half of the word hashes."""
+        other = window_hashes(np.ascontiguousarray(self.words[:, 1]), self.window)
+        return other[self.place].astype(np.uint32)
 
     def document(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, place, side="right")
@@ -122,6 +128,13 @@ def _unpack_sorted(data: bytes, dtype) -> np.ndarray:
     return np.cumsum(_unpack(data, dtype), dtype=dtype)
 
 
+def _leads(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """For sorted hashes, the index of the first entry of each entry's run of equal ones."""
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (more[1:] != more[:-1])
+    return np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+
+
 def _batch(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
@@ -183,7 +196,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 def _repeats(rows: DataFrame, window: int, block_bytes: int, shard_windows: int):
     """``(manifest, marks)``: the blocks of ``rows(..., __id, __text)`` and, per block, places of windows
-    that start earlier in another block."""
+    whose word sequence also starts earlier."""
     spark = rows.sparkSession
     folder = shared_folder(spark, "substring_blocks")
     manifest = _store_blocks(rows, folder, block_bytes, window)
@@ -244,10 +257,8 @@ def _repeats(rows: DataFrame, window: int, block_bytes: int, shard_windows: int)
         path = table.column("block")[0].as_py()
         source, block = block_windows(path)
         order, spans = shards(block.hash)
-        span, out = {s: (a, b) for s, a, b in spans}, []
-        ids = source.column("__id").to_numpy(zero_copy_only=False) if not source.column("__id").null_count else None
-        if ids is None:
-            ids = np.array([NO_ID if x is None else x for x in source.column("__id").to_pylist()], np.int64)
+        span, out, local, more = {s: (a, b) for s, a, b in spans}, [], [], block.more()
+        ids = np.array([NO_ID if x is None else x for x in source.column("__id").to_pylist()], np.int64)
         for x in table.to_pylist():
             a, b = span[x["shard"]]
             at = order[a:b]
@@ -259,36 +270,42 @@ def _repeats(rows: DataFrame, window: int, block_bytes: int, shard_windows: int)
             at = at[keep]
             if not len(at):
                 continue
-            doc = block.document(block.place[at])
-            key, start = ids[doc], block.place[at] - block.starts[doc]
-            by = np.lexsort((start, key, block.more[at], block.hash[at]))
-            h, m = block.hash[at][by], block.more[at][by]
-            first = np.ones(len(by), bool)
-            first[1:] = (h[1:] != h[:-1]) | (m[1:] != m[:-1])
-            by = by[first]
+            place = block.place[at]
+            doc = block.document(place)
+            key, start = ids[doc], place - block.starts[doc]
+            by = np.lexsort((start, key, more[at], block.hash[at]))
+            lead = _leads(block.hash[at][by], more[at][by])
+            own = (key[by] == key[by][lead]) & (start[by] == start[by][lead])
+            local.append(place[by][~own])
+            by = by[own]  # the first place in the block (several only under a repeated id)
             out.append(
                 {
                     "shard": x["shard"],
                     "block": path,
                     "hash": _pack_sorted(block.hash[at][by]),
-                    "more": _pack(block.more[at][by]),
+                    "more": _pack(more[at][by]),
                     "doc": _pack(key[by].astype(np.int64)),
                     "start": _pack(start[by].astype(np.uint32)),
-                    "place": _pack(block.place[at][by].astype(np.uint32)),
+                    "place": _pack(place[by].astype(np.uint32)),
                 }
             )
+        local = np.sort(np.concatenate(local)).astype(np.uint32) if local else np.zeros(0, np.uint32)
+        if len(local):  # repeats within the block need no grouping: a shard of their own hands them on
+            none = dict.fromkeys(("hash", "more", "doc", "start"))
+            out.append({"shard": -1 - zlib.crc32(path.encode()), "block": path, "place": _pack_sorted(local), **none})
         return pa.Table.from_pylist(out, ENTRY)
 
     def group(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        join = lambda k, t, f=_unpack: np.concatenate([f(x[k], t) for x in rows])
-        h, m = join("hash", np.uint64, _unpack_sorted), join("more", np.uint32)
-        doc, start, place = join("doc", np.int64), join("start", np.uint32), join("place", np.uint32)
-        owner = np.repeat(np.arange(len(rows)), np.diff([0, *np.cumsum([len(_unpack(x["more"], np.uint32)) for x in rows])]))
+        if rows[0]["shard"] < 0:
+            return pa.Table.from_pylist([{"block": x["block"], "place": x["place"]} for x in rows], MARKS)
+        join = lambda k, t, f=_unpack: [f(x[k], t) for x in rows]
+        more = join("more", np.uint32)
+        owner = np.repeat(np.arange(len(rows)), [len(m) for m in more])
+        h, m = np.concatenate(join("hash", np.uint64, _unpack_sorted)), np.concatenate(more)
+        doc, start, place = (np.concatenate(join(k, t)) for k, t in (("doc", np.int64), ("start", np.uint32), ("place", np.uint32)))
         by = np.lexsort((start, doc, m, h))
-        new = np.ones(len(by), bool)
-        new[1:] = (h[by][1:] != h[by][:-1]) | (m[by][1:] != m[by][:-1])
-        lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+        lead = by[_leads(h[by], m[by])]
         later = by[(doc[by] != doc[lead]) | (start[by] != start[lead])]
         out = []
         for i in np.unique(owner[later]):
@@ -302,32 +319,6 @@ def _repeats(rows: DataFrame, window: int, block_bytes: int, shard_windows: int)
     return manifest, marks
 
 
-def covered(block: Block, elsewhere: np.ndarray, ids: np.ndarray, window: int) -> np.ndarray:
-    """Words of the block that a repeated window covers. ``elsewhere``: places of windows with an earlier
-    start in another block."""
-    n = int(block.ends[-1]) if len(block.ends) else 0
-    if not len(block.place):
-        return np.zeros(n, bool)
-    doc = block.document(block.place)
-    key, start = ids[doc], block.place - block.starts[doc]
-    by = np.lexsort((start, key, block.more, block.hash))
-    h, m = block.hash[by], block.more[by]
-    new = np.ones(len(by), bool)
-    new[1:] = (h[1:] != h[:-1]) | (m[1:] != m[:-1])
-    lead = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-    hit = (key[by] != key[by][lead]) | (start[by] != start[by][lead])
-    marked = np.zeros(n, bool)
-    marked[elsewhere] = True
-    group_hit = np.zeros(len(by), bool)
-    group_hit[lead[marked[block.place[by]]]] = True
-    hit |= group_hit[lead]
-    edge = np.zeros(n + 1, np.int64)
-    at = block.place[by][hit]
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + window, -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
 def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int, shard_windows: int):
     """All columns of ``docs`` and ``__n_words, __n_removed, __kept``."""
     if window < 1:
@@ -343,21 +334,24 @@ def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, bloc
 
     def finish(table: pa.Table, found: pa.Table) -> pa.Table:
         source = _load(table.column("block")[0].as_py())
-        texts = source.column("__text").to_pylist()
-        block = Block(texts, window)
-        elsewhere = [_unpack_sorted(x, np.uint32) for x in found.column("place").to_pylist()]
-        elsewhere = np.concatenate(elsewhere).astype(np.int64) if elsewhere else np.zeros(0, np.int64)
-        ids = np.array([NO_ID if x is None else x for x in source.column("__id").to_pylist()], np.int64)
-        gone = covered(block, elsewhere, ids, window)
-        total, removed, kept = [], [], []
-        for t, a, b in zip(texts, block.starts, block.ends):
-            words, out = words_of(t), gone[a:b]
-            n = int(out.sum())
+        total, kept = [], []
+        for t in source.column("__text").to_pylist():
+            words = words_of(t)
+            total.append(len(words))
+            kept.append(b" ".join(words))
+        ends = np.cumsum(np.array(total, np.int64))
+        edge = np.zeros((int(ends[-1]) if len(ends) else 0) + 1, np.int64)
+        for x in found.column("place").to_pylist():
+            at = _unpack_sorted(x, np.uint32).astype(np.int64)  # each place comes once
+            edge[at] += 1
+            edge[at + window] -= 1
+        gone = np.cumsum(edge[:-1]) > 0
+        removed = [int(gone[b - n : b].sum()) for b, n in zip(ends, total)]
+        for i, n in enumerate(removed):
             if n:
-                words = [w for w, x in zip(words, out.tolist()) if not x]
-            total.append(int(b - a))
-            removed.append(n)
-            kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                out = gone[ends[i] - total[i] : ends[i]].tolist()
+                kept[i] = b" ".join(w for w, x in zip(kept[i].split(), out) if not x)
+        kept = [k.decode("utf-8", "surrogatepass") for k in kept]
         source = source.drop_columns(["__id", "__text"])
         for name, values, kind in (("__n_words", total, pa.int64()), ("__n_removed", removed, pa.int64()), ("__kept", kept, pa.string())):
             source = source.append_column(name, pa.array(values, kind))
