@@ -53,16 +53,19 @@ def _strengths(text: str | None):
 def _train(spark, a) -> dict:
     from affinity.plans.train_job import train
 
-    inter = read_weighted_interactions(
-        spark, f"{a.data}/{a.train}", a.t_discount_strength, a.price_discount_strength
-    )
-    if a.n_rows is not None:
-        inter = inter.orderBy("customer_int", "article_int").limit(a.n_rows)
+    path = f"{a.data}/{a.train}"
+    inter = RD.read_table(spark, path)
+    if {"t_discount", "price_discount"} <= set(inter.columns):  # written by the prepare stage
+        inter = read_weighted_interactions(spark, path, a.t_discount_strength, a.price_discount_strength)
+    else:
+        inter = RD.read_interactions(spark, path)
     model = train(
         spark, inter, a.out or a.data, a.model_name, a.model_version,
         num_latent_features=a.num_latent_features, l2_lambda=a.l2_lambda,
         learning_rate=a.learning_rate, batch_size=a.batch_size, epochs=a.epochs,
-        validation_share=a.val_perc, seed=a.seed, source=f"{a.data}/{a.train}",
+        validation_share=a.val_perc, seed=a.seed, source=path, n_rows=a.n_rows,
+        init_scale=a.init_scale, batch_share=a.batch_share, max_exponent=a.max_exponent,
+        log_param_changes=a.log_param_changes,
     )
     return {"steps": model.step, "history": model.history}
 
@@ -73,13 +76,25 @@ def _score(spark, a) -> dict:
     root = a.out or a.data
     return score_saved(
         spark, a.data, f"{root}/saved_models", a.model_name, a.model_version, a.epoch_number,
-        f"{root}/predictions/{a.model_name}__{a.model_version}",
+        f"{root}/predictions",
         holdout=a.holdout, history=a.purchase_history, cutoffs=a.purchase_cutoffs,
         percentile=a.purchase_cutoff_percentile, k=a.evaluation_k, sample_size=a.sample_size,
-        seed=a.seed,
+        seed=a.seed, with_metrics={"auto": None, "yes": True, "no": False}[a.metrics],
     )
 
 
+def _number(kind, low=None, high=None):
+    """An argument type with a closed range."""
+
+    def parse(text: str):
+        value = kind(text)
+        if not ((low is None or value >= low) and (high is None or value <= high)):
+            raise argparse.ArgumentTypeError(f"{value} is not between {low} and {high}")
+        return value
+
+    return parse
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="affinity")
     sub = p.add_subparsers(dest="stage", required=True)
@@ -99,10 +114,10 @@ def parser() -> argparse.ArgumentParser:
     common(s)
     s.add_argument("--transactions", default="transactions_train.csv")
     s.add_argument("--submission", action="store_true", help="no holdout (holdout days 0)")
-    s.add_argument("--holdout-days", type=int, default=7)
-    s.add_argument("--t-discount-strength", type=float, default=0.0)
-    s.add_argument("--price-discount-strength", type=float, default=0.0)
-    s.add_argument("--new-user-days", type=int, default=7)
+    s.add_argument("--holdout-days", type=_number(int, 0), default=7)
+    s.add_argument("--t-discount-strength", type=_number(float, 0.0), default=0.0)
+    s.add_argument("--price-discount-strength", type=_number(float, 0.0, 1.0), default=0.0)
+    s.add_argument("--new-user-days", type=_number(int, 0), default=7)
     s.add_argument("--gap-mode", default="nearest", choices=["nearest", "disc", "linear", "approx"])
     s.add_argument("--strengths", default=None,
                    help="several weight variants in one pass, e.g. 0:0,0.01:0,0.001:0,0.01:1,0.001:1")
@@ -112,29 +127,35 @@ def parser() -> argparse.ArgumentParser:
     common(s)
     s.add_argument("--model-name", required=True)
     s.add_argument("--model-version", required=True)
-    s.add_argument("--train", default="dev/train", help="weights folder (partitioned by strengths)")
-    s.add_argument("--t-discount-strength", type=float, default=0.0)
-    s.add_argument("--price-discount-strength", type=float, default=0.0)
-    s.add_argument("--n-rows", type=int, default=None)
-    s.add_argument("--val-perc", type=float, default=0.05)
+    s.add_argument("--train", default="dev/train", help="weights: the prepare stage's folder, or any Parquet or CSV table")
+    s.add_argument("--t-discount-strength", type=_number(float, 0.0), default=0.0)
+    s.add_argument("--price-discount-strength", type=_number(float, 0.0, 1.0), default=0.0)
+    s.add_argument("--n-rows", type=_number(int, 0), default=None)
+    s.add_argument("--val-perc", type=_number(float, 0.005, 0.1), default=0.05)
     s.add_argument("--num-latent-features", type=int, default=10)
     s.add_argument("--l2-lambda", type=float, default=0.02)
     s.add_argument("--learning-rate", type=float, default=0.001)
     s.add_argument("--batch-size", type=int, default=100_000)
     s.add_argument("--epochs", type=int, default=200)
+    s.add_argument("--init-scale", type=float, default=1.0)
+    s.add_argument("--batch-share", type=float, default=None, help="batch size as a share of the pairs")
+    s.add_argument("--max-exponent", type=float, default=None, help="bound on the exponent (default: none)")
+    s.add_argument("--log-param-changes", action="store_true")
 
     s = sub.add_parser("score", help="recommend, evaluate and write the submission")
     common(s)
     s.add_argument("--model-name", required=True)
     s.add_argument("--model-version", required=True)
-    s.add_argument("--epoch-number", type=int, required=True)
+    s.add_argument("--epoch-number", type=_number(int, 0), required=True)
     s.add_argument("--holdout", default="dev/holdout")
     s.add_argument("--purchase-history", default="dev/customer_days_since_last_purchase")
     s.add_argument("--purchase-cutoffs", default="dev/days_between_purchase")
     s.add_argument("--purchase-cutoff-percentile", default="p50",
                    choices=["p10", "p25", "p50", "p75", "p90"])
-    s.add_argument("--evaluation-k", type=int, default=12)
-    s.add_argument("--sample-size", type=int, default=1000)
+    s.add_argument("--evaluation-k", type=_number(int, 1), default=12)
+    s.add_argument("--sample-size", type=_number(int, 1), default=1000)
+    s.add_argument("--metrics", default="auto", choices=["auto", "yes", "no"],
+                   help="AP and MAP@k: auto computes them if the holdout table lists purchases")
     return p
 
 

@@ -1,9 +1,9 @@
 """Column expressions: everything here returns a ``Column`` and runs JVM-side."""
 
-from affinity.functions.dates import days_between, minus_days, parse_date
+from affinity.functions.dates import days_between, parse_date
 from affinity.functions.hashing import bucket, hash32, normal, uniform
 from affinity.functions.ranking import average_precision, joined_ids, top_k
-from affinity.functions.scores import dot, factor_names, score, score_exponent, suppress
+from affinity.functions.scores import dot, factor_names, score_exponent
 from affinity.functions.weights import (
     combined_weight,
     positive_weight,
@@ -21,15 +21,12 @@ __all__ = [
     "factor_names",
     "hash32",
     "joined_ids",
-    "minus_days",
     "normal",
     "parse_date",
     "positive_weight",
     "price_ratio",
     "price_weight",
-    "score",
     "score_exponent",
-    "suppress",
     "time_weight",
     "top_k",
     "uniform",

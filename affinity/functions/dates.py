@@ -1,4 +1,4 @@
-"""Date expressions (X1-X3). Day arithmetic is integer days, never intervals."""
+"""Date expressions (X1, X2). Day arithmetic is integer days, never intervals."""
 
 from __future__ import annotations
 
@@ -19,7 +19,3 @@ def days_between(later: Column, earlier: Column) -> Column:
     """Difference in whole days as int (``later - earlier``)."""
     return F.datediff(later, earlier)
 
-
-def minus_days(date: Column, days: int) -> Column:
-    """Date minus N days."""
-    return F.date_sub(date, int(days))

@@ -1,4 +1,4 @@
-"""Latent-factor score expressions.
+"""Latent-factor score expressions.
 
 Factors are K scalar columns (``f0..f{K-1}``) so the dot product stays inside whole-stage
 codegen; the sum is written out left to right so every engine adds in the same order.
@@ -30,14 +30,3 @@ def score_exponent(
     """``u.v + b_c + b_a + g`` (the exponent of X8)."""
     return dot(u, v) + bias_c + bias_a + intercept
 
-
-def score(exponent: Column, clip: float | None = None) -> Column:
-    """Exponential link. ``clip`` bounds the exponent to keep training finite."""
-    if clip is not None:
-        exponent = F.least(F.greatest(exponent, F.lit(-clip)), F.lit(clip))
-    return F.exp(exponent)
-
-
-def suppress(score_col: Column, excluded: Column, value: float = -1.0) -> Column:
-    """Replace the score of an excluded article by ``value``."""
-    return F.when(excluded, F.lit(float(value))).otherwise(score_col)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from affinity.functions.ranking import average_precision as ap_expr
 from affinity.functions.ranking import joined_ids
-from affinity.plans.broadcast import bounded_broadcast
 from affinity.sources import schemas as S
 
 
@@ -90,16 +89,23 @@ def format_submission(
 ) -> DataFrame:
     """R7 (J9, X11): (customer_id, prediction) with the article ids space-joined in rank order.
 
-    Lists are exploded with their position, decoded by a join to the article map (broadcast
-    behind a size bound) and re-collected in position order (at most N items per customer).
+    Lists are exploded with their position, decoded by a left join to the article map and
+    re-collected in position order (at most N items per customer), so the recommendations are
+    computed once and every customer keeps a row, also with an empty list. An article or
+    customer without a mapping stops the query with its id.
     """
-    arts = bounded_broadcast(article_map.select(article, article_id)).df
-    exploded = recommendations.select(customer, F.posexplode(predicted).alias("_pos", article))
-    decoded = exploded.join(arts, article)
+    exploded = recommendations.select(customer, F.posexplode_outer(predicted).alias("_pos", article))
+
+    def mapped(value, key, what):
+        missing = F.raise_error(F.concat(F.lit(f"{what} without an id: "), F.col(key).cast("string")))
+        return F.when(F.col(key).isNull() | F.col(value).isNotNull(), F.col(value)).otherwise(missing)
+
+    decoded = exploded.join(article_map.select(article, article_id), article, "left").select(
+        customer, "_pos", mapped(article_id, article, "article").alias("_id")
+    )
     lists = decoded.groupBy(customer).agg(
-        F.sort_array(F.collect_list(F.struct("_pos", F.col(article_id).alias("_id")))).alias("_l")
+        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_id")))).alias("_l")
     )
     text = joined_ids(F.transform(F.col("_l"), lambda x: x["_id"]))
-    empty = recommendations.where(F.size(predicted) == 0).select(customer, F.lit("").alias("prediction"))
-    out = lists.select(customer, text.alias("prediction")).unionByName(empty)
-    return out.join(customer_map.select(customer, customer_id), customer).select(customer_id, "prediction")
+    out = lists.join(customer_map.select(customer, customer_id), customer, "left")
+    return out.select(mapped(customer_id, customer, "customer").alias(customer_id), text.alias("prediction"))

@@ -8,22 +8,27 @@ Storage: one factor table per side, ``id, f0..f{K-1}, bias`` plus Adam moments
 ``m_*, v_*`` for every parameter column; the global intercept and its moments are driver
 scalars. Factors are scalar columns so every expression stays in whole-stage codegen.
 
+Parameters start as unit-normal draws (``init_scale`` scales them), a pure function of id and seed.
+
 One optimisation step is a Spark job over the batch's pairs:
 
-- pairs (partitioned by customer) join customer factors (same partitioning: no shuffle) and
-  article factors (broadcast behind a measured size bound);
-- ``delta = 2 (w_hat - w) w_hat`` per pair; customer gradients are a grouped sum on the
-  customer partitioning (no shuffle), article gradients a grouped sum by article (map-side
-  partial sums, then one shuffle of at most #articles rows per task);
+- the pairs of an epoch are written once, laid out by batch, so a step reads only its batch;
+- they join the factor rows of both sides (AQE picks the join by run-time size);
+- ``delta = 2 (w_hat - w) w_hat`` per pair; both gradient sides are one grouped sum by (side, id)
+  with map-side partial sums;
 - Adam updates *every* factor row (rows absent from the batch get gradient 0 but still move
   with their momentum, as dense optimiser state does);
 - the new parameter table (both sides) is written to one of two alternating slots in the
-  shared checkpoint folder each step and read back: lineage stays one step long, the state
-  survives executor loss, and disk use stays at two generations however long the fit runs.
+  shared checkpoint folder each step and read back: lineage stays one step long and the state
+  survives executor loss. At the end of a fit only the table of the final parameters is left.
+
+``batch_share`` fixes the number of steps per epoch whatever the data size; with ``batch_size``
+(rows) it grows with the data, and every step rewrites the parameter table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass, field
 
@@ -33,12 +38,9 @@ from pyspark.sql import functions as F
 
 from affinity.functions.hashing import normal
 from affinity.functions.scores import factor_names, score_exponent
-from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast, broadcast_limit
 from affinity.session import reliable_checkpoint
 from affinity.sources import schemas as S
 
-EXP_CLIP = 30.0
-
 # Deterministic test factors (integer arithmetic, one division by a double).
 FIXED_FACTOR_MULT = 7919
 FIXED_FACTOR_STEP = 104729
@@ -73,7 +75,7 @@ def fixed_factors(ids: DataFrame, id_col: str, k: int) -> DataFrame:
     )
 
 
-def init_factors(ids: DataFrame, id_col: str, k: int, seed: int, side: str, scale: float = 0.1):
+def init_factors(ids: DataFrame, id_col: str, k: int, seed: int, side: str, scale: float = 1.0):
     """M1: repeatable normal(0, scale) factors and biases, a pure function of (id, seed)."""
     idc = F.col("id")
     params = {n: normal(side, idc, n, seed) * F.lit(scale) for n in factor_names(k) + ["bias"]}
@@ -85,12 +87,14 @@ def init_factors(ids: DataFrame, id_col: str, k: int, seed: int, side: str, scal
     )
 
 
-def init_intercept(seed: int, scale: float = 0.1) -> float:
-    """Global intercept draw for M1 (same hash family as the factor tables)."""
-    import hashlib
+def init_intercept(seed: int, scale: float = 1.0) -> float:
+    """Global intercept draw for M1: the same normal(0, scale) draw as the factor tables."""
+    def draw(tag):
+        return int(hashlib.md5(f"global:{seed}:{tag}".encode()).hexdigest()[:8], 16)
 
-    h = int(hashlib.md5(f"global:{seed}".encode()).hexdigest()[:8], 16)
-    return ((h / 4294967296.0) - 0.5) * 2.0 * scale
+    u1 = (draw("n1") + 1.0) / 4294967297.0
+    u2 = draw("n2") / 4294967296.0
+    return math.sqrt(-2.0 * math.log(u1)) * math.cos(6.283185307179586 * u2) * scale
 
 
 def param_names(k: int) -> list[str]:
@@ -115,7 +119,7 @@ class Model:
     v_g: float = 0.0
     history: list = field(default_factory=list)
     params: DataFrame | None = None  # both sides in one table (``side`` = c / a), when fitting
-    broadcast_articles: bool | None = None  # decided once per fit from the article count
+    max_exponent: float | None = None  # bound on the exponent (None: none), see ``bounded_exponent``
 
 
 class ParamStore:
@@ -137,13 +141,30 @@ class ParamStore:
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/affinity-{name}-{uuid.uuid4().hex}"
         self.generation = 0
 
-    def put(self, df: DataFrame, slot: str | None = None) -> DataFrame:
+    def put(self, df: DataFrame, slot: str | None = None, partition_by=None) -> DataFrame:
         if slot is None:
             slot = f"params_{self.generation % 2}"
             self.generation += 1
         path = f"{self.base}/{slot}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: str | None = None) -> None:
+        """Delete the store's tables, but for the slot ``keep``."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.base)
+        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hadoop):
+            return
+        for status in fs.listStatus(hadoop):
+            if status.getPath().getName() != keep:
+                fs.delete(status.getPath(), True)
+        if keep is None:
+            fs.delete(hadoop, True)
+
+    @property
+    def last_slot(self) -> str | None:
+        return f"params_{(self.generation - 1) % 2}" if self.generation else None
 
 
 @dataclass
@@ -173,14 +194,11 @@ def join_factors(
     k: int,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
-    broadcast_articles: bool | None = None,
 ) -> DataFrame:
     """Attach customer factors (``u_*``) and article factors (``a_*``) to each pair.
 
-    Customer factors join by shuffled hash join built on the factor side, so pairs that are
-    already partitioned by customer are neither re-shuffled nor sorted. Article factors are
-    broadcast when ``broadcast_articles`` is True (the caller measured them), measured here
-    when it is None, and shuffle-joined when False.
+    Plain equi-joins: a side under the session's broadcast threshold is broadcast, a larger one
+    is shuffled, and AQE splits the partitions of a hot customer or article.
     """
     cu = customers.select(
         F.col("id").alias(customer), *[F.col(p).alias(f"u_{p}") for p in param_names(k)]
@@ -188,11 +206,7 @@ def join_factors(
     ar = articles.select(
         F.col("id").alias(article), *[F.col(p).alias(f"a_{p}") for p in param_names(k)]
     )
-    if broadcast_articles is None:
-        ar = bounded_broadcast(ar).df
-    elif broadcast_articles:
-        ar = F.broadcast(ar)
-    return pairs.join(cu.hint("shuffle_hash"), customer).join(ar, article)
+    return pairs.join(cu, customer).join(ar, article)
 
 
 def exponent_col(k: int, intercept: float | Column) -> Column:
@@ -200,6 +214,14 @@ def exponent_col(k: int, intercept: float | Column) -> Column:
     return score_exponent(_u(k), _v(k), F.col("u_bias"), F.col("a_bias"), g)
 
 
+def bounded_exponent(e: Column, max_exponent: float | None) -> Column:
+    """The exponent, cut to +-``max_exponent`` if a bound is set. A cut exponent is constant: its
+    slope in the parameters is 0 (``gradient_rows``), in training and validation loss alike."""
+    if max_exponent is None:
+        return e
+    return F.least(F.greatest(e, F.lit(-float(max_exponent))), F.lit(float(max_exponent)))
+
+
 def pair_scores(
     pairs: DataFrame, customers: DataFrame, articles: DataFrame, intercept: float, k: int,
     customer: str = S.CUSTOMER, article: str = S.ARTICLE,
@@ -213,32 +235,30 @@ def pair_scores(
 def losses(
     pairs: DataFrame, customers: DataFrame, articles: DataFrame, intercept: float, k: int,
     l2: float, customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
-    broadcast_articles: bool | None = None,
+    max_exponent: float | None = None,
 ) -> DataFrame:
     """M3 = A11 + A12 on a batch, one row: pred_loss, penalty_loss, loss, n_pairs, mean_pred_loss.
 
     Only observed pairs with weight > 0 count (F9). The penalty uses the factor rows of the
-    customers and articles that occur in the batch.
+    customers and articles that occur in the batch: ``gradient_rows`` brings the squared error
+    of each pair and the squared norm of each row out of one join.
     """
-    obs = unique_pairs(pairs, customer, article, weight).where(F.col(weight) > 0)
-    j = join_factors(obs, customers, articles, k, customer, article, broadcast_articles)
-    err = F.exp(exponent_col(k, intercept)) - F.col(weight)
-    pred = j.agg(F.sum(err * err).alias("pred_loss"), F.count(F.lit(1)).alias("n_pairs"))
-    if l2:
-        usq = sum_sq([F.col(f"u_{n}") for n in factor_names(k)])
-        asq = sum_sq([F.col(f"a_{n}") for n in factor_names(k)])
-        nu = j.groupBy(customer).agg(F.max(usq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
-        na = j.groupBy(article).agg(F.max(asq).alias("sq")).agg(F.sqrt(F.sum("sq"))).scalar()
-        pen = F.lit(float(l2)) * (F.coalesce(nu, F.lit(0.0)) + F.coalesce(na, F.lit(0.0)))
-    else:
-        pen = F.lit(0.0)
-    pl = F.coalesce(F.col("pred_loss"), F.lit(0.0))
-    return pred.select(
-        pl.alias("pred_loss"),
-        pen.alias("penalty_loss"),
-        (pl + pen).alias("loss"),
-        F.col("n_pairs"),
-        (F.col("pred_loss") / F.col("n_pairs")).alias("mean_pred_loss"),
+    model = Model(customers, articles, intercept, k, max_exponent=max_exponent)
+    rows = gradient_rows(unique_pairs(pairs, customer, article, weight), model, customer, article, weight)
+    of_side = lambda side, col: F.sum(F.when(F.col(SIDE) == side, F.col(col)))
+    sums = rows.agg(
+        F.coalesce(F.sum("loss"), F.lit(0.0)).alias("pred_loss"),
+        F.coalesce(F.sqrt(of_side(CUSTOMER_SIDE, "sq")), F.lit(0.0)).alias("nu"),
+        F.coalesce(F.sqrt(of_side(ARTICLE_SIDE, "sq")), F.lit(0.0)).alias("na"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"),
+    )
+    penalty = F.lit(float(l2)) * (F.col("nu") + F.col("na"))
+    return sums.select(
+        "pred_loss",
+        penalty.alias("penalty_loss"),
+        (F.col("pred_loss") + penalty).alias("loss"),
+        "n_pairs",
+        F.when(F.col("n_pairs") > 0, F.col("pred_loss") / F.col("n_pairs")).alias("mean_pred_loss"),
     )
 
 
@@ -276,12 +296,12 @@ def to_params(model: Model) -> DataFrame:
 
 def from_params(params: DataFrame, k: int, intercept: float, step: int = 0, m_g: float = 0.0,
                 v_g: float = 0.0, history: list | None = None,
-                broadcast_articles: bool | None = None) -> Model:
+                max_exponent: float | None = None) -> Model:
     return Model(
         params.where(F.col(SIDE) == CUSTOMER_SIDE).drop(SIDE),
         params.where(F.col(SIDE) == ARTICLE_SIDE).drop(SIDE),
         intercept, k, step, m_g, v_g, history if history is not None else [], params,
-        broadcast_articles,
+        max_exponent,
     )
 
 
@@ -300,11 +320,15 @@ def gradient_rows(
     k = model.k
     j = join_factors(
         batch.where(F.col(weight) > 0).select(customer, article, weight),
-        model.customers, model.articles, k, customer, article, model.broadcast_articles,
+        model.customers, model.articles, k, customer, article,
     )
-    e = F.least(F.greatest(exponent_col(k, model.intercept), F.lit(-EXP_CLIP)), F.lit(EXP_CLIP))
-    j = j.withColumn("_p", F.exp(e)).withColumn("_r", F.col("_p") - F.col(weight))
-    j = j.withColumn("_d", F.lit(2.0) * F.col("_r") * F.col("_p"))
+    raw = exponent_col(k, model.intercept)
+    p = F.exp(bounded_exponent(raw, model.max_exponent))
+    j = j.withColumn("_p", p).withColumn("_r", F.col("_p") - F.col(weight))
+    slope = F.lit(2.0) * F.col("_r") * F.col("_p")
+    if model.max_exponent is not None:
+        slope = F.when(F.abs(raw) <= F.lit(float(model.max_exponent)), slope).otherwise(F.lit(0.0))
+    j = j.withColumn("_d", slope)
     d = F.col("_d")
     names = factor_names(k)
 
@@ -387,11 +411,6 @@ def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: Adam
     return value - step, m, v
 
 
-def articles_broadcastable(articles: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """Measured once per fit: the article count does not change between steps."""
-    return articles.count() <= broadcast_limit(articles.sparkSession, max_rows)
-
-
 def gradient_step(
     batch: DataFrame, model: Model, l2: float, cfg: AdamConfig,
     customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
@@ -406,8 +425,6 @@ def gradient_step(
     with the batch metrics; one job applies Adam to the single parameter table and writes it
     to ``store`` (a reliable checkpoint when no store is given).
     """
-    if model.broadcast_articles is None:
-        model.broadcast_articles = articles_broadcastable(model.articles)
     params = to_params(model)
     grads = gradient_rows(batch, model, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
     summary = {
@@ -420,6 +437,12 @@ def gradient_step(
     cs, asd = summary.get(CUSTOMER_SIDE), summary.get(ARTICLE_SIDE)
     norm_u = math.sqrt(float(cs["sq"] or 0.0)) if cs else 0.0
     norm_v = math.sqrt(float(asd["sq"] or 0.0)) if asd else 0.0
+    if cs and not all(math.isfinite(float(cs[c] or 0.0)) for c in ("loss", "gg")):
+        grads.unpersist()
+        raise FloatingPointError(
+            f"the fit diverged in step {model.step + 1}: loss {cs['loss']}; lower the learning rate or "
+            "init_scale, or set max_exponent"
+        )
     t = model.step + 1
     new_params = adam_update(
         params, grads, model.k, t, cfg, l2, {CUSTOMER_SIDE: norm_u, ARTICLE_SIDE: norm_v}
@@ -434,7 +457,7 @@ def gradient_step(
         "n_pairs": int(cs["n"] or 0) if cs else 0,
     }
     log["loss"] = log["pred_loss"] + log["penalty_loss"]
-    new = from_params(new_params, model.k, g, t, m_g, v_g, model.history, model.broadcast_articles)
+    new = from_params(new_params, model.k, g, t, m_g, v_g, model.history, model.max_exponent)
     return new, log
 
 
@@ -445,21 +468,36 @@ def gradient_step(
 def snapshot_changes(
     before: DataFrame, after: DataFrame, k: int, tol: float = 1e-4, side: str = "customer"
 ) -> DataFrame:
-    """Per parameter, how many values moved by more than ``tol`` between two snapshots."""
+    """A15 for one side: values of the factor table and of the biases that moved by more than
+    ``tol`` between two snapshots, as rows ``(parameter, num_values_changed)``."""
     a = before.select("id", *[F.col(p).alias(f"b_{p}") for p in param_names(k)])
     b = after.select("id", *[F.col(p).alias(f"a_{p}") for p in param_names(k)])
-    j = a.join(b, "id")
-    aggs = [
-        F.count_if(F.abs(F.col(f"a_{p}") - F.col(f"b_{p}")) > F.lit(tol)).alias(p)
-        for p in param_names(k)
-    ]
-    wide = j.agg(*aggs)
-    stack = ", ".join(f"'{side}_{p}', `{p}`" for p in param_names(k))
+
+    def moved(p):
+        return F.count_if(F.abs(F.col(f"a_{p}") - F.col(f"b_{p}")) > F.lit(tol))
+
+    factors = moved(factor_names(k)[0])
+    for p in factor_names(k)[1:]:
+        factors = factors + moved(p)
+    wide = a.join(b, "id").agg(factors.alias("f"), moved("bias").alias("b"))
     return wide.selectExpr(
-        f"stack({len(param_names(k))}, {stack}) AS (parameter, num_values_changed)"
+        f"stack(2, '{side}_factors', f, '{side}_intercepts', b) AS (parameter, num_values_changed)"
     ).withColumn("num_values_changed", F.col("num_values_changed").cast("bigint"))
 
 
+def model_changes(before: Model, after: Model, tol: float = 1e-4) -> DataFrame:
+    """One row per parameter of the model (both factor tables, both bias tables, the global
+    intercept) with the number of values that moved by more than ``tol``."""
+    spark = after.customers.sparkSession
+    moved = int(abs(after.intercept - before.intercept) > tol)
+    own = spark.createDataFrame([("global_intercept", moved)], "parameter string, num_values_changed bigint")
+    return (
+        snapshot_changes(before.customers, after.customers, after.k, tol, "customer")
+        .unionByName(snapshot_changes(before.articles, after.articles, after.k, tol, "article"))
+        .unionByName(own)
+    )
+
+
 # --------------------------------------------------------------------------------------------
 # M4 / M5: the fit loop
 
@@ -473,12 +511,13 @@ def fit_log_link_factors(
     batch_size: int = 100_000,
     validation_share: float = 0.05,
     seed: int = 0,
-    init_scale: float = 0.1,
+    init_scale: float = 1.0,
     exact_validation: bool = True,
     on_batch=None,
     on_epoch=None,
-    num_partitions: int | None = None,
-    pairs_per_partition: int = 2_000_000,
+    batch_share: float | None = None,
+    max_exponent: float | None = None,
+    pairs_per_file: int = 2_000_000,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
     weight: str = S.WEIGHT,
@@ -486,13 +525,15 @@ def fit_log_link_factors(
     """Fit the exponential-link factor model with Adam over hash-shuffled batches.
 
     The validation split has exactly ``int(share * n)`` pairs (``exact_validation``) or,
-    cheaper, an approximate share by hash threshold.
-
-    The interactions are hash-partitioned by customer and checkpointed once; the customer
-    factor table uses the same partitioning, so the per-step join and the customer-side
-    gradient sums need no shuffle. ``on_batch(epoch, batch, log)`` and
-    ``on_epoch(epoch, train_pred_loss, val_pred_loss, model)`` receive the metrics (S12) and
-    may snapshot the model (S13).
+    cheaper, an approximate share by hash threshold. A batch has about ``batch_size`` pairs, or
+    ``batch_share`` of the training pairs if that is given. ``max_exponent`` bounds the exponent
+    in gradients, training and validation loss (off by default; a fit that overflows stops with
+    a ``FloatingPointError``).
+
+    Each epoch's pairs are written once, partitioned by batch, so a step scans its own batch
+    only. ``on_batch(epoch, batch, log, model)`` and ``on_epoch(epoch, train_pred_loss,
+    val_pred_loss, model)`` receive the metrics (S12) and may snapshot the model (S13); a model
+    given to them lives until the second next step.
     """
     from affinity.operators.sampling import (
         assign_batches,
@@ -501,24 +542,19 @@ def fit_log_link_factors(
         validation_flags,
     )
 
+    if k < 1 or epochs < 0 or batch_size < 1:
+        raise ValueError("k and batch_size must be positive, epochs not negative")
+    if not 0.0 <= validation_share < 1.0:
+        raise ValueError("validation_share must be at least 0 and below 1")
+    if batch_share is not None and not 0.0 < batch_share <= 1.0:
+        raise ValueError("batch_share must be above 0 and at most 1")
+    if lr <= 0 or l2 < 0 or (max_exponent is not None and max_exponent <= 0):
+        raise ValueError("lr and max_exponent must be positive, l2 not negative")
     spark = interactions.sparkSession
     flag = exact_validation_flags if exact_validation else validation_flags
-    # the exact split runs a few small jobs over the pairs: aggregate the duplicates once
-    pairs = unique_pairs(interactions, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    if num_partitions is None:
-        # about ``pairs_per_partition`` pairs per task, at most the shuffle partition count
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = -(-pairs.count() // max(1, pairs_per_partition))
-        num_partitions = max(min(spark.sparkContext.defaultParallelism, cap), min(cap, wanted))
-    parts = int(num_partitions)
-    flagged = flag(pairs, validation_share, seed, customer, article, "_val")
-    # frozen copy written to the shared checkpoint folder (survives executor loss), then
-    # hash-partitioned by customer and kept: its partitioning is known to the planner, so the
-    # per-step join to the customer factors and the customer-side sums need no shuffle of pairs
     store = ParamStore(spark)
-    frozen = store.put(flagged, "pairs")
-    pairs.unpersist()
-    data = frozen.repartition(parts, customer).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = store.put(unique_pairs(interactions, customer, article, weight), "unique")
+    data = store.put(flag(pairs, validation_share, seed, customer, article, "_val"), "pairs")
     counts = data.agg(F.count_if(~F.col("_val")).alias("t"), F.count_if(F.col("_val")).alias("v")).first()
     n_train, n_val = int(counts["t"]), int(counts["v"])
 
@@ -528,30 +564,33 @@ def fit_log_link_factors(
         cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE))),
         "init",
     )
-    model = from_params(params, k, init_intercept(seed, init_scale))
-    model.broadcast_articles = articles_broadcastable(model.articles)
+    model = from_params(params, k, init_intercept(seed, init_scale), max_exponent=max_exponent)
     cfg = AdamConfig(lr=lr)
 
-    train = data.where(~F.col("_val"))
-    val = data.where(F.col("_val"))
-    n_batches = number_of_batches(n_train, batch_size)
+    train = data.where(~F.col("_val")).drop("_val")
+    val = data.where(F.col("_val")).drop("_val")
+    n_batches = math.ceil(1.0 / batch_share) if batch_share else number_of_batches(n_train, batch_size)
+    spread = max(1, math.ceil(n_train / n_batches / pairs_per_file))  # files, so scan tasks, per batch
     for epoch in range(int(epochs)):
         epoch_loss = 0.0
-        batched = assign_batches(train, n_batches, seed, epoch, customer, article, "_batch")
+        if n_batches > 1:
+            batched = assign_batches(train, n_batches, seed, epoch, customer, article, "_batch")
+            dealt = batched.repartition(n_batches * spread, F.col("_batch"), F.pmod(F.hash(customer, article), F.lit(spread)))
+            batched = store.put(dealt, f"batches_{epoch % 2}", ["_batch"])
         for b in range(n_batches):
-            batch = batched.where(F.col("_batch") == b) if n_batches > 1 else train
+            batch = batched.where(F.col("_batch") == b).drop("_batch") if n_batches > 1 else train
             model, log = gradient_step(batch, model, l2, cfg, customer, article, weight, store)
             epoch_loss += log["pred_loss"]
             if on_batch is not None:
-                on_batch(epoch, b, log)
+                on_batch(epoch, b, log, model)
         train_pred = epoch_loss / n_train if n_train else float("nan")
         val_pred = float("nan")
         if n_val:
             row = losses(val, model.customers, model.articles, model.intercept, k, 0.0,
-                         customer, article, weight, model.broadcast_articles).first()
+                         customer, article, weight, max_exponent).first()
             val_pred = float(row["pred_loss"]) / n_val
         model.history.append((epoch, train_pred, val_pred))
         if on_epoch is not None:
             on_epoch(epoch, train_pred, val_pred, model)
-    data.unpersist()
+    store.drop(keep=store.last_slot or "init")
     return model

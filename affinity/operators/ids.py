@@ -14,11 +14,9 @@ Ids follow key order, not file order (Spark files have no row order).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.plans.broadcast import bounded_broadcast
 from affinity.session import reliable_checkpoint
 
 _PID = "_range_part"
@@ -34,21 +32,17 @@ def dense_ids(
     """``(key, id)`` for the sorted distinct non-null keys of ``df``, ids 0..n-1.
 
     Without ``num_partitions`` the range partition count follows the number of distinct keys
-    (about ``keys_per_partition`` each, at most the shuffle partition count), so a small
-    dimension on a cluster configured for terabyte shuffles does not become thousands of
-    near-empty tasks.
+    (about ``keys_per_partition`` each), so a small dimension on a cluster configured for
+    terabyte shuffles does not become thousands of near-empty tasks.
     """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     if num_partitions is None:
-        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then range-partitioned
-        cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n = max(1, min(cap, -(-keys.count() // max(1, keys_per_partition))))
+        keys = reliable_checkpoint(keys)  # counted, then range-partitioned
+        n = max(1, -(-keys.count() // max(1, keys_per_partition)))
     else:
         n = int(num_partitions)
     ranged = keys.repartitionByRange(n, key).withColumn(_PID, F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
-    if num_partitions is None:
-        keys.unpersist()
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -60,11 +54,6 @@ def dense_ids(
     )
 
 
-def with_dense_ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Attach the dense id of ``key`` to every row of ``df`` (a dimension table)."""
-    return df.join(dense_ids(df, key, id_col), key)
-
-
 def encode_pairs(
     pairs: DataFrame,
     customer_map: DataFrame,
@@ -76,12 +65,11 @@ def encode_pairs(
 ) -> DataFrame:
     """Replace (customer, article) by their contiguous indexes; other columns pass through.
 
-    Both maps are broadcast when their measured size allows (the pairs are then not
-    shuffled); a larger map is shuffle-joined.
+    A map under the session's broadcast threshold is broadcast (AQE knows its run-time size), a
+    larger one is shuffle-joined.
     """
-    arts = bounded_broadcast(article_map.select(article, article_idx)).df
-    custs = bounded_broadcast(customer_map.select(customer, customer_idx)).df
-    out = pairs.join(custs, customer).join(arts, article)
+    out = pairs.join(customer_map.select(customer, customer_idx), customer)
+    out = out.join(article_map.select(article, article_idx), article)
     rest = [c for c in pairs.columns if c not in (customer, article)]
     return out.select(customer_idx, article_idx, *rest)
 
@@ -89,9 +77,16 @@ def encode_pairs(
 def interaction_counts(
     pairs: DataFrame, customer: str = "customer_int", article: str = "article_int"
 ) -> DataFrame:
-    """One row with the number of rows, distinct customers and distinct articles."""
-    return pairs.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(customer).alias("num_customers"),
-        F.countDistinct(article).alias("num_articles"),
+    """One row with the number of rows, distinct customers and distinct articles.
+
+    Each distinct count is its own aggregation of one column (partial de-duplication before the
+    shuffle); counting both in one pass would triple the rows first.
+    """
+
+    def distinct(col: str):
+        keys = pairs.select(col).where(F.col(col).isNotNull()).distinct()
+        return keys.agg(F.count(F.lit(1))).scalar()
+
+    return pairs.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", distinct(customer).alias("num_customers"), distinct(article).alias("num_articles")
     )

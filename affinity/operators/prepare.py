@@ -20,7 +20,6 @@ from affinity.functions.weights import (
     price_weight,
     time_weight,
 )
-from affinity.plans.broadcast import TEXT_KEY_MAX_ROWS, bounded_broadcast
 from affinity.sources import schemas as S
 
 
@@ -35,15 +34,13 @@ def enrich_transactions(
 ) -> DataFrame:
     """C1 (J1, J2, P4): swap text ids for surrogate ids; rows with unknown ids drop out.
 
-    Both maps are broadcast behind a measured size bound, so the transactions (the largest
-    table) are not shuffled at all; a customer base beyond the bound becomes a shuffle join,
-    where AQE splits a hot customer's partition.
+    A map whose bytes lie under the session's broadcast threshold is broadcast, so the
+    transactions (the largest table) are not shuffled; beyond it the join shuffles, and AQE
+    splits a hot customer's partition.
     """
-    arts = bounded_broadcast(article_ids.select(article_key, article), TEXT_KEY_MAX_ROWS).df
-    custs = bounded_broadcast(customer_ids.select(customer_key, customer), TEXT_KEY_MAX_ROWS).df
     return (
-        transactions.join(custs, customer_key)
-        .join(arts, article_key)
+        transactions.join(customer_ids.select(customer_key, customer), customer_key)
+        .join(article_ids.select(article_key, article), article_key)
         .drop(customer_key, article_key)
     )
 
@@ -62,6 +59,8 @@ def split_transactions(
     tx: DataFrame, holdout_days: int, date_col: str = S.DATE, newest: _dt.date | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """F1 (A1, X3): train = date <= newest - N days, holdout = date > newest - N days."""
+    if int(holdout_days) < 0:
+        raise ValueError("holdout_days must not be negative")
     if newest is None:
         newest = max_date(tx, date_col)
     if newest is None:
@@ -79,6 +78,32 @@ def max_prices(
     return train.groupBy(article).agg(F.max(F.when(~F.isnan(p), p)).alias(out))
 
 
+def _check_strengths(t_discount: float, price_discount: float) -> None:
+    if not t_discount >= 0.0:
+        raise ValueError(f"t_discount_strength must not be negative: {t_discount}")
+    if not 0.0 <= price_discount <= 1.0:
+        raise ValueError(f"price_discount_strength must be between 0 and 1: {price_discount}")
+
+
+def _priced(train, prices, customer, article, date_col, price):
+    """Purchase rows with their article's ``max_price``, and the newest train date.
+
+    Without ``prices`` one pass over train gives each article's canonical price and last date,
+    and the newest date is the max over that per-article table.
+    """
+    if prices is None:
+        p = F.col(price)
+        stats = train.groupBy(article).agg(
+            F.max(F.when(~F.isnan(p), p)).alias("max_price"), F.max(date_col).alias("_last")
+        )
+        newest = stats.agg(F.max("_last")).scalar()
+        prices = stats
+    else:
+        newest = max_date_column(train, date_col)
+    rows = train.select(customer, article, date_col, price)
+    return rows.join(prices.select(article, "max_price"), article, "left"), newest
+
+
 def weighted_interactions(
     train: DataFrame,
     t_discount_strength: float = 0.0,
@@ -92,26 +117,12 @@ def weighted_interactions(
 ) -> DataFrame:
     """One row per (customer, article) with the summed decayed, price-discounted weight.
 
-    ``prices`` (article, max_price) defaults to A2 over ``train``; it is one row per article
-    and joins by broadcast when its measured size allows. The decay is measured from the
-    newest train date (a scalar subquery; over the per-article table when prices come from
-    train). Pairs whose summed weight is not > 0 are dropped.
-    The only shuffle is the (customer, article) aggregation, after map-side partial sums.
+    ``prices`` (article, max_price) defaults to A2 over ``train``: one row per article, joined as
+    AQE finds best. The decay is measured from the newest train date. Pairs whose summed weight is
+    not > 0 are dropped. Strengths outside their range (decay >= 0, price 0 to 1) are an error.
     """
-    if prices is None:
-        # one pass over train gives each article's canonical price and last purchase date;
-        # the newest train date is then the max over that small table, not another scan
-        p = F.col(price)
-        stats = train.groupBy(article).agg(
-            F.max(F.when(~F.isnan(p), p)).alias("max_price"), F.max(date_col).alias("_last")
-        )
-        sized = bounded_broadcast(stats)
-        newest = sized.df.agg(F.max("_last")).scalar()
-        prices = sized.df.select(article, "max_price")
-    else:
-        prices = bounded_broadcast(prices.select(article, "max_price")).df
-        newest = max_date_column(train, date_col)
-    rows = train.select(customer, article, date_col, price).join(prices, article, "left")
+    _check_strengths(t_discount_strength, price_discount_strength)
+    rows, newest = _priced(train, prices, customer, article, date_col, price)
     w = combined_weight(
         price_weight(price_ratio(F.col(price), F.col("max_price")), price_discount_strength),
         time_weight(days_between(newest, F.col(date_col)), t_discount_strength),
@@ -142,18 +153,9 @@ def weighted_interaction_grid(
     """
     if not strengths:
         raise ValueError("strengths must not be empty")
-    if prices is None:
-        p = F.col(price)
-        stats = train.groupBy(article).agg(
-            F.max(F.when(~F.isnan(p), p)).alias("max_price"), F.max(date_col).alias("_last")
-        )
-        sized = bounded_broadcast(stats)
-        newest = sized.df.agg(F.max("_last")).scalar()
-        prices = sized.df.select(article, "max_price")
-    else:
-        prices = bounded_broadcast(prices.select(article, "max_price")).df
-        newest = max_date_column(train, date_col)
-    rows = train.select(customer, article, date_col, price).join(prices, article, "left")
+    for pair in strengths:
+        _check_strengths(*pair)
+    rows, newest = _priced(train, prices, customer, article, date_col, price)
     ratio = price_ratio(F.col(price), F.col("max_price"))
     days = days_between(newest, F.col(date_col))
     sums = [
@@ -217,7 +219,9 @@ def days_since_last_purchase(
 ) -> DataFrame:
     """C4 (A6, W3): days from each pair's last purchase to the newest date in train."""
     last = train.groupBy(customer, article).agg(F.max(date_col).alias("_last"))
-    newest = max_date_column(train, date_col)
+    # the newest date of train is that of the per-pair maxima: no second scan (the plan reuses
+    # the aggregation's exchange)
+    newest = last.agg(F.max("_last")).scalar()
     return last.select(customer, article, days_between(newest, F.col("_last")).alias(out))
 
 
@@ -231,12 +235,13 @@ def transactions_first_n_days(
 
     First purchase = earliest date of the customer. It is computed as a grouped min (partial
     aggregation, skew-safe) and joined back, instead of a window over all of a customer's
-    rows, so a hot customer never has to sit in one window partition. The per-customer table
-    is broadcast when its measured size allows (train is then not shuffled at all); beyond
-    that it is a shuffle join whose hot-customer partitions AQE splits. Keeps
+    rows, so a hot customer never has to sit in one window partition; AQE broadcasts the
+    per-customer table if its run-time size allows and else splits hot customers. Keeps
     ``t_dat_first`` and ``days_since_first_t``.
     """
-    first = bounded_broadcast(train.groupBy(customer).agg(F.min(date_col).alias("t_dat_first"))).df
+    if int(first_n_days) < 0:
+        raise ValueError("first_n_days must not be negative")
+    first = train.groupBy(customer).agg(F.min(date_col).alias("t_dat_first"))
     return (
         train.join(first, customer)
         .withColumn("days_since_first_t", days_between(F.col(date_col), F.col("t_dat_first")))
@@ -249,20 +254,19 @@ def holdout_new_customer_transactions(
 ) -> DataFrame:
     """C6 (J4): holdout rows of customers never seen in train (left anti join).
 
-    The holdout is short, so its customer set is usually small: when its measured size
-    allows, train is semi-filtered to those customers with a broadcast (no shuffle of all
-    train customers) before the anti join. Otherwise both sides shuffle on the customer.
+    The holdout is short, so train is first reduced to the holdout's customers (distinct on both
+    sides before any join), then the holdout rows of all others are kept.
     """
-    wanted = bounded_broadcast(holdout.select(customer).distinct())
-    if not wanted.broadcast:
-        return holdout.join(train.select(customer).distinct(), customer, "left_anti")
-    seen = train.select(customer).join(wanted.df, customer, "left_semi").distinct()
-    # ``seen`` is a subset of the measured holdout customer set: its bound is already proven
-    return holdout.join(F.broadcast(seen), customer, "left_anti")
+    wanted = holdout.select(customer).where(F.col(customer).isNotNull()).distinct()
+    seen = wanted.join(train.select(customer).distinct(), customer, "left_semi")
+    return holdout.join(seen, customer, "left_anti")
 
 
 def known_customers(
     modelled: DataFrame, holdout: DataFrame, customer: str = S.CUSTOMER
 ) -> DataFrame:
-    """Distinct customers present in both tables (semi join + distinct)."""
-    return modelled.select(customer).intersect(holdout.select(customer))
+    """Distinct non-null customers present in both tables (distinct before the semi join)."""
+    def distinct(df: DataFrame) -> DataFrame:
+        return df.select(customer).where(F.col(customer).isNotNull()).distinct()
+
+    return distinct(holdout).join(distinct(modelled), customer, "left_semi")

@@ -7,12 +7,13 @@ Modes:
   running count passes the rank. A group's histogram has one row per distinct value (for day
   gaps: at most the number of days covered), so no group is ever gathered as a list, however
   many rows it has.
-- ``disc``: SQL ``percentile_disc`` (first value whose cumulative share reaches q).
-- ``linear``: ``percentile`` (linear interpolation between closest ranks).
-- ``approx``: ``percentile_approx`` (bounded-memory sketch).
+- ``disc``: SQL ``percentile_disc`` (first value whose cumulative share reaches q), from the same
+  histogram.
+- ``linear``: ``percentile`` (linear interpolation between closest ranks), one call for all levels.
+- ``approx``: ``percentile_approx`` (bounded-memory sketch), one call for all levels.
 
-Spark's exact percentile aggregates keep a value -> frequency map per group and merge partial
-maps, so they too are bounded by the number of distinct values.
+Spark's exact percentile aggregate keeps a value -> frequency map per group and merges partial
+maps, so it too is bounded by the number of distinct values.
 """
 
 from __future__ import annotations
@@ -40,24 +41,17 @@ def group_quantiles(
 ) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if any(not 0.0 <= float(q) <= 1.0 for q in levels):
+        raise ValueError("levels must be between 0 and 1")
     v = F.col(value)
-    if mode == "linear":
-        aggs = [F.percentile(v, F.lit(float(q))).alias(n) for q, n in zip(levels, names)]
-        return df.groupBy(group).agg(*aggs)
-    if mode == "disc":
-        aggs = [
-            F.expr(f"percentile_disc(CAST({float(q)!r} AS DOUBLE)) WITHIN GROUP (ORDER BY `{value}`)")
-            .cast("double")
-            .alias(n)
-            for q, n in zip(levels, names)
-        ]
-        return df.groupBy(group).agg(*aggs)
-    if mode == "approx":
-        aggs = [
-            F.percentile_approx(v, F.lit(float(q)), approx_accuracy).cast("double").alias(n)
-            for q, n in zip(levels, names)
-        ]
-        return df.groupBy(group).agg(*aggs)
+    if mode in ("linear", "approx"):  # one aggregate (one buffer) for all levels
+        wanted = [float(q) for q in levels]
+        if mode == "linear":
+            all_levels = F.percentile(v, F.array(*[F.lit(q) for q in wanted]))
+        else:
+            all_levels = F.percentile_approx(v, wanted, approx_accuracy)
+        out = df.where(v.isNotNull()).groupBy(group).agg(all_levels.alias("_q"))
+        return out.select(group, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
 
     hist = df.where(v.isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(group).orderBy(value).rowsBetween(
@@ -68,8 +62,11 @@ def group_quantiles(
     )
     aggs = []
     for q, n in zip(levels, names):
-        rank = F.floor(F.lit(float(q)) * (F.col("_n") - 1) + F.lit(0.5))
-        aggs.append(F.min(F.when(F.col("_cum") > rank, v)).cast("double").alias(n))
+        if mode == "disc":  # the smallest value whose cumulative share reaches the level
+            reached = F.col("_cum") >= F.lit(float(q)) * F.col("_n") - F.lit(1e-9)
+        else:
+            reached = F.col("_cum") > F.floor(F.lit(float(q)) * (F.col("_n") - 1) + F.lit(0.5))
+        aggs.append(F.min(F.when(reached, v)).cast("double").alias(n))
     return hist.groupBy(group).agg(*aggs)
 
 

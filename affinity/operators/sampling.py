@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import bucket, hash32, uniform
-from affinity.plans.broadcast import DEFAULT_MAX_ROWS
 from affinity.sources import schemas as S
 
 
@@ -24,6 +23,8 @@ def sample_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     per-task top-N followed by one merge of at most N rows per task (the limit is the
     feature: a sample of a given size).
     """
+    if int(n) < 0:
+        raise ValueError("the sample size must not be negative")
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     return keys.orderBy(hash32(F.col(key), seed), F.col(key)).limit(int(n))
 
@@ -37,6 +38,8 @@ def validation_flags(
     The share is approximate (each pair independently), never exact; share 0 puts every pair
     in training.
     """
+    if not 0.0 <= float(validation_share) <= 1.0:
+        raise ValueError("validation_share must be between 0 and 1")
     u = uniform(F.col(customer), F.col(article), seed, "val")
     return pairs.withColumn(out, u < F.lit(float(validation_share)))
 
@@ -53,6 +56,8 @@ def exact_validation_flags(
     hash (rare collisions) are ordered by key. Two small aggregation jobs (a third only when
     the cut hash is shared); only bounded histograms reach the driver.
     """
+    if not 0.0 <= float(validation_share) <= 1.0:
+        raise ValueError("validation_share must be between 0 and 1")
     h = hash32(F.col(customer), F.col(article), seed, "val")
     keyed = pairs.withColumn("_h", h)
     hi = F.shiftright(F.col("_h"), 16)
@@ -88,25 +93,11 @@ def exact_validation_flags(
         .distinct()
         .withColumn("_tie", F.lit(True))
     )
-    # the tie list has at most ``at_cut`` rows (counted above): broadcast only under the bound
-    ties = F.broadcast(ties) if at_cut <= DEFAULT_MAX_ROWS else ties
     flagged = keyed.join(ties, [customer, article], "left")
     chosen = (F.col("_h") < F.lit(cut)) | F.coalesce(F.col("_tie"), F.lit(False))
     return flagged.withColumn(out, chosen).drop("_h", "_tie")
 
 
-def split_validation(
-    pairs: DataFrame, validation_share: float, seed: int,
-    customer: str = S.CUSTOMER, article: str = S.ARTICLE, exact: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    flag = exact_validation_flags if exact else validation_flags
-    flagged = flag(pairs, validation_share, seed, customer, article, "_val")
-    return (
-        flagged.where(~F.col("_val")).drop("_val"),
-        flagged.where(F.col("_val")).drop("_val"),
-    )
-
-
 def number_of_batches(n_rows: int, batch_size: int) -> int:
     return max(1, math.ceil(n_rows / max(1, int(batch_size))))
 

@@ -1,16 +1,16 @@
 """Scoring, suppression rules and top-N recommendations.
 
-All-pairs scoring never materialises customer x article rows. Customer factor rows stay
-partitioned; the article factor matrix (bounded by the catalogue size, measured before it is
-shipped) is broadcast once, and ``mapInPandas`` scores a block of customers against it with
-numpy and keeps only the best N articles per customer. When the catalogue is larger than the
-broadcast bound, articles are split into hash blocks that each fit, every block yields a
-partial top-N per customer, and a final top-N over at most N x blocks candidates per customer
-merges them (exact, never truncated).
-
-Ranking: suppressed articles last, then exponent descending (``exp`` is monotone, so this is
-the score order), then article id ascending. The exponent is summed left to right in the
-same order as the SQL form, so ties break identically.
+All-pairs scoring never materialises customer x article rows and never gathers a table on the
+driver. Both factor tables are packed into blocks of bounded size (rows of a DataFrame that hold
+the ids and the factor matrix of a block); every customer block meets every article block by an
+equi-join on the block number, and ``mapInPandas`` scores a pair of blocks with numpy, keeping
+the best N articles per customer. A window merges a customer's partial lists. There is one path
+for every catalogue size, and block sizes change no result.
+
+Ranking: scorable articles by exponent descending (``exp`` is monotone, so this is the score
+order), then suppressed articles (they all score -1.0), then articles whose exponent is NaN;
+article id ascending within ties. The exponent is summed left to right in the same order as the
+SQL form, so ties break identically.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import sys
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,14 +28,17 @@ from pyspark.sql import types as T
 from affinity.functions.hashing import bucket
 from affinity.functions.scores import factor_names
 from affinity.operators.quantiles import NAMES as PERCENTILES
-from affinity.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from affinity.sources import schemas as S
 
-# The mapInPandas functions below run in Python workers. Pickling this module by value ships
-# them (and the numpy helpers they call) with each task, so executors need no copy of the
-# package on their path; they only use numpy and pandas.
+# The functions below run in Python workers. Pickling this module by value ships them (and the
+# numpy helpers they call) with each task, so executors need no copy of the package on their
+# path; they only use numpy and pandas.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Rows per block: a pair of blocks is about 33 million scores, computed in chunks.
+CUSTOMER_BLOCK_ROWS = 4096
+ARTICLE_BLOCK_ROWS = 8192
+
 TOP_SCHEMA = T.StructType(
     [
         T.StructField("customer_int", T.LongType()),
@@ -64,22 +67,13 @@ def excluded_articles(
     """
     if percentile not in PERCENTILES:
         raise ValueError(f"percentile must be one of {PERCENTILES}")
-    cut = bounded_broadcast(cutoffs.select(article, percentile)).df
+    cut = cutoffs.select(article, percentile)
     ex = history.join(cut, article).where(F.col(days) <= F.col(percentile))
     if model_articles is not None:
-        ids = bounded_broadcast(model_articles.select(F.col("id").alias(article))).df
-        ex = ex.join(ids, article, "left_semi")
+        ex = ex.join(model_articles.select(F.col("id").alias(article)), article, "left_semi")
     return ex.select(customer, article)
 
 
-def _article_arrays(pdf: pd.DataFrame, k: int):
-    pdf = pdf.sort_values("id", kind="stable")
-    ids = pdf["id"].to_numpy(dtype=np.int64)
-    mat = pdf[factor_names(k)].to_numpy(dtype=np.float64)
-    bias = pdf["bias"].to_numpy(dtype=np.float64)
-    return ids, mat, bias
-
-
 def _exponents(u: np.ndarray, bu: np.ndarray, mat: np.ndarray, ba: np.ndarray, g: float):
     """u.v + b_c + b_a + g for a block, added left to right like the SQL expression."""
     e = u[:, 0:1] * mat[:, 0][None, :]
@@ -91,16 +85,18 @@ def _exponents(u: np.ndarray, bu: np.ndarray, mat: np.ndarray, ba: np.ndarray, g
 
 
 def _top_rows(e: np.ndarray, sup: np.ndarray, n: int):
-    """Indices of the best n columns of each row: (suppressed, -e, column) ascending.
+    """Indices of the best n columns of each row: (class, -e, column) ascending, where class is 0
+    for scorable, 1 for suppressed and 2 for NaN columns.
 
     Columns are in ascending article-id order. The whole block is ranked at once with
     argpartition + lexsort; only rows with ties straddling the n-th place (or fewer than n
-    unsuppressed articles) take the exact per-row path.
+    scorable articles) take the exact per-row path.
     """
     rows, a = e.shape
-    key = np.where(sup, -np.inf, e)
+    kind = np.where(np.isnan(e), 2, np.where(sup, 1, 0)).astype(np.int8)
+    key = np.where(kind > 0, -np.inf, e)
     if a <= n:
-        return list(np.lexsort((np.broadcast_to(np.arange(a), key.shape), -key), axis=1))
+        return list(np.lexsort((np.broadcast_to(np.arange(a), key.shape), -key, kind), axis=1))
     part = np.argpartition(-key, n - 1, axis=1)[:, :n]
     vals = np.take_along_axis(key, part, axis=1)
     thr = vals.min(axis=1)
@@ -114,65 +110,96 @@ def _top_rows(e: np.ndarray, sup: np.ndarray, n: int):
             continue
         row = key[r]
         cand = np.nonzero(row >= thr[r])[0]
-        # a stable sort on -score keeps ascending column (= id) order among ties
-        out.append(cand[np.argsort(-row[cand], kind="stable")][:n])
+        out.append(cand[np.lexsort((cand, -row[cand], kind[r, cand]))][:n])
     return out
 
 
-def _scorer(
-    bc, k: int, n: int, intercept: float, with_exclusions: bool, chunk_cells: int = 4_000_000,
-    as_lists: bool = False,
-):
-    names = factor_names(k)
+def _blocks(factors: DataFrame, k: int, block_rows: int, side: str) -> tuple[DataFrame, int]:
+    """``(<side>_block, <side>_ids, <side>_params)`` and the number of blocks: the rows of a factor
+    table dealt by a hash of the id into blocks of about ``block_rows``, each packed into one row
+    (ids ascending, then f0.., bias per id as doubles)."""
+    names = [*factor_names(k), "bias"]
+    rows = factors.select("id", *names)
+    n_blocks = max(1, math.ceil(rows.count() / max(1, int(block_rows))))
+    rows = rows.withColumn("block", bucket(n_blocks, F.col("id")))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        return pd.DataFrame(
+            {
+                f"{side}_block": [int(pdf["block"].iloc[0])],
+                f"{side}_ids": [pdf["id"].to_numpy(dtype=np.int64).tobytes()],
+                f"{side}_params": [pdf[names].to_numpy(dtype=np.float64).tobytes()],
+            }
+        )
+
+    schema = f"{side}_block long, {side}_ids binary, {side}_params binary"
+    return rows.groupBy("block").applyInPandas(pack, schema), n_blocks
+
+
+def _block_pairs(
+    customer_factors: DataFrame, article_factors: DataFrame, k: int, customer_block_rows: int,
+    article_block_rows: int, exclusions: DataFrame | None = None, customer: str = S.CUSTOMER,
+    article: str = S.ARTICLE,
+) -> DataFrame:
+    """One row per (customer block, article block) with both blocks and, if asked for, the pairs
+    to suppress that fall into it (``x_customers``, ``x_articles``, equally long id lists)."""
+    cust, n_c = _blocks(customer_factors, k, customer_block_rows, "c")
+    arts, n_a = _blocks(article_factors, k, article_block_rows, "a")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_a - 1).cast("long")))
+    pairs = cust.select("*", every.alias("a_block")).join(arts, "a_block")
+    if exclusions is not None:
+        ex = exclusions.select(
+            F.col(customer).cast("long").alias("c"), F.col(article).cast("long").alias("a"),
+            bucket(n_c, F.col(customer)).alias("c_block"), bucket(n_a, F.col(article)).alias("a_block"),
+        ).distinct()
+        ex = ex.groupBy("c_block", "a_block").agg(F.collect_list(F.struct("c", "a")).alias("x"))
+        pairs = pairs.join(
+            ex.select("c_block", "a_block", F.col("x.c").alias("x_customers"), F.col("x.a").alias("x_articles")),
+            ["c_block", "a_block"], "left",
+        )
+    # tasks by the number of block pairs, not by bytes (a pair is small to ship and long to score)
+    slots = customer_factors.sparkSession.sparkContext.defaultParallelism
+    n_tasks = min(n_c * n_a, max(4 * slots, math.ceil(n_c * n_a / 16)))
+    return pairs.repartition(n_tasks, "c_block", "a_block")
+
+
+def _block_arrays(row, side: str, k: int):
+    ids = np.frombuffer(row[f"{side}_ids"], dtype=np.int64)
+    params = np.frombuffer(row[f"{side}_params"], dtype=np.float64).reshape(-1, k + 1)
+    return ids, params[:, :k], params[:, k]
+
 
+def _scorer(k: int, n: int, intercept: float, chunk_cells: int = 4_000_000):
     def run(batches):
-        ids, mat, ba = bc.value
-        a = len(ids)
-        chunk = max(1, chunk_cells // max(1, a))
         for pdf in batches:
-            if pdf.empty:
-                continue
-            cust = pdf["id"].to_numpy(dtype=np.int64)
-            u_all = pdf[names].to_numpy(dtype=np.float64)
-            bu_all = pdf["bias"].to_numpy(dtype=np.float64)
-            excl = pdf["excluded"].tolist() if with_exclusions else None
-            for s in range(0, len(pdf), chunk):
-                u, bu = u_all[s : s + chunk], bu_all[s : s + chunk]
-                e = _exponents(u, bu, mat, ba, intercept)
-                sup = np.zeros(e.shape, dtype=bool)
-                if excl is not None:
-                    for r, lst in enumerate(excl[s : s + chunk]):
-                        if lst is None or len(lst) == 0:
-                            continue
-                        x = np.asarray(lst, dtype=np.int64)
-                        pos = np.searchsorted(ids, x)
-                        ok = (pos < a) & (ids[np.minimum(pos, a - 1)] == x)
-                        sup[r, pos[ok]] = True
-                picks = _top_rows(e, sup, n)
-                if as_lists:
+            for row in pdf.to_dict("records"):
+                cust, u_all, bu_all = _block_arrays(row, "c", k)
+                ids, mat, ba = _block_arrays(row, "a", k)
+                sup_all = np.zeros((len(cust), len(ids)), dtype=bool)
+                if row.get("x_customers") is not None:
+                    x = np.asarray(row["x_customers"], dtype=np.int64)
+                    y = np.asarray(row["x_articles"], dtype=np.int64)
+                    i, j = np.searchsorted(cust, x), np.searchsorted(ids, y)
+                    ok = (i < len(cust)) & (j < len(ids))
+                    i, j, x, y = i[ok], j[ok], x[ok], y[ok]
+                    ok = (cust[i] == x) & (ids[j] == y)
+                    sup_all[i[ok], j[ok]] = True
+                chunk = max(1, chunk_cells // max(1, len(ids)))
+                for s in range(0, len(cust), chunk):
+                    e = _exponents(u_all[s : s + chunk], bu_all[s : s + chunk], mat, ba, intercept)
+                    sup = sup_all[s : s + chunk]
+                    picks = _top_rows(e, sup, n)
+                    size = [len(cols) for cols in picks]
+                    at = np.repeat(np.arange(len(picks)), size)
+                    cols = np.concatenate(picks)
                     yield pd.DataFrame(
                         {
-                            "customer_int": cust[s : s + len(picks)],
-                            "recommendations": [ids[cols] for cols in picks],
-                        }
-                    )
-                    continue
-                c_out, r_out, a_out, e_out, s_out = [], [], [], [], []
-                for r, cols in enumerate(picks):
-                    m = len(cols)
-                    c_out.append(np.full(m, cust[s + r], dtype=np.int64))
-                    r_out.append(np.arange(1, m + 1, dtype=np.int32))
-                    a_out.append(ids[cols])
-                    e_out.append(e[r, cols])
-                    s_out.append(sup[r, cols])
-                if c_out:
-                    yield pd.DataFrame(
-                        {
-                            "customer_int": np.concatenate(c_out),
-                            "rank": np.concatenate(r_out),
-                            "article_int": np.concatenate(a_out),
-                            "exponent": np.concatenate(e_out),
-                            "suppressed": np.concatenate(s_out),
+                            "customer_int": cust[s + at],
+                            "rank": np.concatenate([np.arange(1, m + 1) for m in size]).astype(np.int32),
+                            "article_int": ids[cols],
+                            "exponent": e[at, cols],
+                            "suppressed": sup[at, cols],
                         }
                     )
 
@@ -188,36 +215,27 @@ def top_n_scored(
     exclusions: DataFrame | None = None,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
-    max_broadcast_rows: int = DEFAULT_MAX_ROWS,
-    cells_per_task: int = 2_000_000_000,
-    prepared: tuple | None = None,
+    customer_block_rows: int = CUSTOMER_BLOCK_ROWS,
+    article_block_rows: int = ARTICLE_BLOCK_ROWS,
 ) -> DataFrame:
     """R1 + R3 + R4 for modelled customers, long form: customer_int, rank, article_int,
-    exponent, suppressed (rank 1..N per customer).
+    exponent (null if it is not a number), suppressed (rank 1..N per customer).
 
     ``customer_factors`` has ``id, f0.., bias`` for the customers to score; ``exclusions`` has
-    (customer, article) pairs to suppress. ``cells_per_task`` bounds the customer x article
-    scores one task computes (about a minute of numpy at K=10), which sets the number of
-    customer partitions.
+    (customer, article) pairs to suppress. The block sizes bound a task's memory only.
     """
-    cust, blocks = prepared or _prepare(
-        customer_factors, article_factors, k, exclusions, customer, article,
-        max_broadcast_rows, cells_per_task,
+    pairs = _block_pairs(
+        customer_factors, article_factors, k, customer_block_rows, article_block_rows, exclusions,
+        customer, article,
     )
-    spark = customer_factors.sparkSession
-    scored = None
-    for pdf in blocks:
-        bc = spark.sparkContext.broadcast(_article_arrays(pdf, k))
-        part = cust.mapInPandas(
-            _scorer(bc, k, n, float(intercept), exclusions is not None), TOP_SCHEMA
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    if len(blocks) > 1:
-        w = Window.partitionBy("customer_int").orderBy(
-            F.col("suppressed"), F.col("exponent").desc(), F.col("article_int")
-        )
-        scored = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    return scored
+    partial = pairs.mapInPandas(_scorer(k, int(n), float(intercept)), TOP_SCHEMA)
+    nan = F.col("exponent").isNull() | F.isnan("exponent")  # pandas hands NaN over as null
+    best = Window.partitionBy("customer_int").orderBy(
+        F.when(nan, 2).when(F.col("suppressed"), 1).otherwise(0),
+        F.when(nan | F.col("suppressed"), 0.0).otherwise(F.col("exponent")).desc(),
+        F.col("article_int"),
+    )
+    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= int(n))
 
 
 def top_n_lists(
@@ -229,71 +247,13 @@ def top_n_lists(
     exclusions: DataFrame | None = None,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
-    max_broadcast_rows: int = DEFAULT_MAX_ROWS,
-    cells_per_task: int = 2_000_000_000,
+    customer_block_rows: int = CUSTOMER_BLOCK_ROWS,
+    article_block_rows: int = ARTICLE_BLOCK_ROWS,
 ) -> DataFrame:
-    """R1 + R3 + R4 as one list per customer: ``customer, recommendations`` (best first).
-
-    When the catalogue fits in one broadcast block, each customer's list is complete inside
-    its scoring task and is emitted directly (no shuffle of the N rows per customer); larger
-    catalogues take the long form and its exact windowed merge.
-    """
-    cust, blocks = _prepare(customer_factors, article_factors, k, exclusions, customer, article,
-                            max_broadcast_rows, cells_per_task)
-    if len(blocks) > 1:
-        return to_lists(
-            top_n_scored(customer_factors, article_factors, intercept, k, n, exclusions, customer,
-                         article, max_broadcast_rows, cells_per_task, prepared=(cust, blocks)),
-            customer,
-        )
-    bc = customer_factors.sparkSession.sparkContext.broadcast(_article_arrays(blocks[0], k))
-    run = _scorer(bc, k, n, float(intercept), exclusions is not None, as_lists=True)
-    lists = cust.mapInPandas(run, "customer_int long, recommendations array<long>")
-    return lists.withColumnRenamed("customer_int", customer) if customer != "customer_int" else lists
-
-
-def _prepare(customer_factors, article_factors, k, exclusions, customer, article,
-             max_broadcast_rows, cells_per_task):
-    """Customer rows (with exclusion lists) partitioned for scoring, and the article blocks."""
-    spark = customer_factors.sparkSession
-    names = factor_names(k)
-    cust = customer_factors.select("id", *names, "bias")
-    if exclusions is not None:
-        ex = exclusions.groupBy(F.col(customer).alias("id")).agg(
-            F.collect_set(F.col(article).cast("long")).alias("excluded")
-        )
-        cust = cust.join(ex, "id", "left")
-    arts = article_factors.select("id", *names, "bias")
-    bound = max(1, int(max_broadcast_rows))
-    blocks = _article_blocks(arts, bound)
-    n_articles = sum(len(b) for b in blocks)
-    # size the customer partitions by compute (customers x articles scored per task), not by
-    # bytes: hash-partitioned on the id, so a retried task sees the same customers
-    cust = cust.persist(StorageLevel.MEMORY_AND_DISK)  # counted, then scored: computed once
-    n_customers = cust.count()
-    n_parts = max(
-        spark.sparkContext.defaultParallelism,
-        math.ceil(n_customers * min(n_articles, bound) / float(cells_per_task)),
-    )
-    return cust.repartition(int(n_parts), "id"), blocks
-
-
-def _article_blocks(arts: DataFrame, bound: int) -> list[pd.DataFrame]:
-    """The article factor table in pieces of at most ``bound`` rows each, fetched with a
-    ``limit(bound + 1)`` so no piece can exceed the bound unnoticed: one piece when the whole
-    catalogue fits, else hash blocks, re-split with twice as many blocks if one overflows."""
-    head = arts.limit(bound + 1).toPandas()
-    if len(head) <= bound:
-        return [head]
-    n_blocks = 2 * math.ceil(arts.count() / bound)
-    while True:
-        pieces = [
-            arts.where(bucket(n_blocks, F.col("id")) == b).limit(bound + 1).toPandas()
-            for b in range(n_blocks)
-        ]
-        if all(len(p) <= bound for p in pieces):
-            return [p for p in pieces if len(p)]
-        n_blocks *= 2
+    """R1 + R3 + R4 as one list per customer: ``customer, recommendations`` (best first)."""
+    top = top_n_scored(customer_factors, article_factors, intercept, k, n, exclusions, customer,
+                       article, customer_block_rows, article_block_rows)
+    return to_lists(top, customer)
 
 
 def fallback_scores(
@@ -301,35 +261,30 @@ def fallback_scores(
     article_factors: DataFrame,
     intercept: float,
     k: int,
-    max_sample_rows: int = 100_000,
+    customer_block_rows: int = CUSTOMER_BLOCK_ROWS,
+    article_block_rows: int = ARTICLE_BLOCK_ROWS,
 ) -> DataFrame:
-    """R2 + A9: mean predicted score of every article over a sample of customers.
+    """R2 + A9: mean predicted score of every article over a sample of customers of any size.
 
-    The sample (bounded by its requested size, re-checked here) is broadcast; each article
-    partition computes its means with numpy, so the sample x articles scores are never rows.
+    Sample and articles meet block by block like customers and articles in ``top_n_scored``; a
+    pair of blocks yields a sum and a count per article, and the sums are added up.
     """
-    spark = sample_factors.sparkSession
-    names = factor_names(k)
-    head = sample_factors.select("id", *names, "bias").limit(int(max_sample_rows) + 1).toPandas()
-    if len(head) > max_sample_rows:
-        raise ValueError(f"fallback sample has more than {max_sample_rows} rows")
-    ids, umat, ub = _article_arrays(head, k)
-    bc = spark.sparkContext.broadcast((umat, ub))
     g = float(intercept)
 
-    def run(batches):
-        u, bu = bc.value
+    def run(batches, chunk_cells=4_000_000):
         for pdf in batches:
-            if pdf.empty or len(u) == 0:
-                continue
-            art = pdf["id"].to_numpy(dtype=np.int64)
-            v = pdf[names].to_numpy(dtype=np.float64)
-            ba = pdf["bias"].to_numpy(dtype=np.float64)
-            e = _exponents(u, bu, v, ba, g)  # samples x articles
-            yield pd.DataFrame({"article_int": art, "score": np.exp(e).mean(axis=0)})
+            for row in pdf.to_dict("records"):
+                _, u, bu = _block_arrays(row, "c", k)
+                ids, mat, ba = _block_arrays(row, "a", k)
+                total = np.zeros(len(ids))
+                chunk = max(1, chunk_cells // max(1, len(ids)))
+                for s in range(0, len(u), chunk):
+                    total += np.exp(_exponents(u[s : s + chunk], bu[s : s + chunk], mat, ba, g)).sum(axis=0)
+                yield pd.DataFrame({"article_int": ids, "total": total, "n": len(u)})
 
-    schema = "article_int long, score double"
-    return article_factors.select("id", *names, "bias").mapInPandas(run, schema)
+    pairs = _block_pairs(sample_factors, article_factors, k, customer_block_rows, article_block_rows)
+    sums = pairs.mapInPandas(run, "article_int long, total double, n long")
+    return sums.groupBy("article_int").agg((F.sum("total") / F.sum("n")).alias("score"))
 
 
 def fallback_list(fallback: DataFrame, n: int) -> DataFrame:
@@ -357,13 +312,16 @@ def recommend(
     exclusions: DataFrame | None = None,
     fallback: DataFrame | None = None,
     customer: str = S.CUSTOMER,
+    customer_block_rows: int = CUSTOMER_BLOCK_ROWS,
+    article_block_rows: int = ARTICLE_BLOCK_ROWS,
 ) -> DataFrame:
     """Modelled customers get model scores with suppression; the others get the fallback
     list unchanged. Output: customer, recommendations (list of article ids, best first).
     """
     wanted = customers.select(customer).distinct()
     known = customer_factors.join(wanted.select(F.col(customer).alias("id")), "id", "left_semi")
-    scored = top_n_lists(known, article_factors, intercept, k, n, exclusions, customer)
+    scored = top_n_lists(known, article_factors, intercept, k, n, exclusions, customer,
+                         customer_block_rows=customer_block_rows, article_block_rows=article_block_rows)
     if fallback is None:
         return scored
     new = wanted.join(customer_factors.select(F.col("id").alias(customer)), customer, "left_anti")

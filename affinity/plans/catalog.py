@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators import prepare as P
 from affinity.operators import quantiles as Q
+from affinity.session import staged
 from affinity.sources import starschema as X
 
 HOLDOUT_DAYS = 365
@@ -88,9 +88,9 @@ def with_txb(days: int = HOLDOUT_DAYS) -> str:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Persist an intermediate that several jobs of one query read (driver-side size checks,
-    scalar fetches and the final plan), so the scans and joins behind it run once."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write an intermediate that several jobs of one query read to the shared folder, so the scans
+    and joins behind it run once; it survives lost executors and its bytes are known."""
+    return staged(df, "kept")
 
 
 def split_part(spark: SparkSession, sf_dir: str, days: int = HOLDOUT_DAYS):
@@ -288,8 +288,8 @@ def gap_query(mode: str, rounded: bool) -> Builder:
 register("repeat_gap_quantiles", SQL_GAP_NEAREST)(gap_query("nearest", False))
 register("repeat_gap_quantiles_disc", SQL_GAP_DISC)(gap_query("disc", False))
 register("repeat_gap_quantiles_linear", SQL_GAP_LINEAR)(gap_query("linear", True))
-# the approximate sketch has no exact SQL twin: rows-only
-register("repeat_gap_quantiles_approx")(gap_query("approx", False))
+# with fewer distinct gaps per article than the sketch's accuracy (10,000) it is exact
+register("repeat_gap_quantiles_approx", SQL_GAP_DISC)(gap_query("approx", False))
 
 
 # --------------------------------------------------------------------------------------------
@@ -374,7 +374,7 @@ cm AS (
 ),
 am AS (
   SELECT article_id, row_number() OVER (ORDER BY article_id) - 1 AS article_int
-  FROM (SELECT DISTINCT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS article_id FROM part)
+  FROM (SELECT DISTINCT lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(10, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS article_id FROM part)
 )"""
 
 
@@ -401,7 +401,7 @@ register("dense_ids_article", "WITH " + SQL_ID_MAPS + "\nSELECT * FROM am")(arti
     + """,
 raw AS (
   SELECT CAST(o.o_orderdate AS DATE) AS t_dat, CAST(o.o_custkey AS VARCHAR) AS customer_id,
-         lpad(CAST(l.l_partkey AS VARCHAR), 10, '0') AS article_id,
+         lpad(CAST(l.l_partkey AS VARCHAR), CAST(greatest(10, length(CAST(l.l_partkey AS VARCHAR))) AS INTEGER), '0') AS article_id,
          l.l_extendedprice / l.l_quantity AS price, l.l_orderkey, l.l_linenumber
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )
@@ -444,7 +444,7 @@ FROM w JOIN ci ON w.customer_int = ci.customer_int JOIN ai ON w.article_int = ai
 def q_encoded_interactions(spark, sf_dir):
     from affinity.operators.ids import dense_ids, encode_pairs
 
-    inter = interactions_part(spark, sf_dir)
+    inter = kept(interactions_part(spark, sf_dir))
     cmap = dense_ids(inter, "customer_int", "customer_idx")
     amap = dense_ids(inter, "article_int", "article_idx")
     return encode_pairs(inter, cmap, amap).select("customer_idx", "article_idx", r6("weight"))
@@ -462,7 +462,7 @@ FROM w""",
 def q_interaction_counts(spark, sf_dir):
     from affinity.operators.ids import interaction_counts
 
-    return interaction_counts(interactions_part(spark, sf_dir))
+    return interaction_counts(kept(interactions_part(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------------------------
@@ -478,7 +478,7 @@ L2 = 0.02
 LR = 0.03
 TOP_N = 12
 SEED = 42
-SAMPLE_SIZE = 100
+SAMPLE_SIZE = 1000  # the reference's sample for the fallback
 BATCH_SIZE = 10_000
 VALIDATION_SHARE = 0.05
 TOL = 1e-4
@@ -522,7 +522,9 @@ w AS (SELECT customer_int, article_int, CAST(count(*) AS DOUBLE) AS weight
 
 
 def model_inputs(spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
-    train, holdout = (split_brand if brand else split_part)(spark, sf_dir, days)
+    # the purchases are kept: weights, history, cutoffs and dates all read them
+    tx = kept((X.tx_brand if brand else X.tx_part)(spark, sf_dir))
+    train, holdout = P.split_transactions(tx, days)
     inter = kept(P.weighted_interactions(train))
     cf = kept(M.fixed_factors(inter, "customer_int", K))
     af = kept(M.fixed_factors(inter, "article_int", K))
@@ -637,19 +639,22 @@ def q_factor_gradient_step(spark, sf_dir):
 @register(
     "snapshot_changes",
     SQL_STEP
-    + ",\nbefore AS (SELECT 'customer' AS side, * FROM cf UNION ALL SELECT 'article' AS side, * FROM af)\n"
-    + "\nUNION ALL\n".join(
-        f"SELECT b.side || '_{p}' AS parameter, CAST(count_if(abs(s.{p} - b.{p}) > {TOL!r}) AS BIGINT)"
-        f" AS num_values_changed FROM before b JOIN step s ON b.side = s.side AND b.id = s.id"
-        f" GROUP BY b.side"
-        for p in M.param_names(K)
-    ),
+    + f""",
+before AS (SELECT 'customer' AS side, * FROM cf UNION ALL SELECT 'article' AS side, * FROM af)
+SELECT b.side || '_factors' AS parameter,
+       CAST({' + '.join(f'count_if(abs(s.f{i} - b.f{i}) > {TOL!r})' for i in range(K))} AS BIGINT)
+         AS num_values_changed
+FROM before b JOIN step s ON b.side = s.side AND b.id = s.id GROUP BY b.side
+UNION ALL
+SELECT b.side || '_intercepts', CAST(count_if(abs(s.bias - b.bias) > {TOL!r}) AS BIGINT)
+FROM before b JOIN step s ON b.side = s.side AND b.id = s.id GROUP BY b.side
+UNION ALL
+SELECT 'global_intercept', CAST(abs({sql_adam('gg')}) > {TOL!r} AS BIGINT)
+FROM (SELECT sum(dl) AS gg FROM d)""",
 )
 def q_snapshot_changes(spark, sf_dir):
     cf, af, new = one_step(spark, sf_dir)
-    return M.snapshot_changes(cf, new.customers, K, TOL, "customer").unionByName(
-        M.snapshot_changes(af, new.articles, K, TOL, "article")
-    )
+    return M.model_changes(M.Model(cf, af, M.FIXED_INTERCEPT, K), new, TOL)
 
 
 # --------------------------------------------------------------------------------------------
@@ -811,7 +816,7 @@ ap AS (
 )"""
 
 
-def reco_inputs(spark, sf_dir, brand: bool, days: int):
+def reco_inputs(spark, sf_dir, brand: bool, days: int, **blocks):
     """Inputs of the scoring stage. As in the batch scoring job, the customers to score and
     their actual purchases come from the holdout summary (A4): one row per purchased pair."""
     train, raw_holdout, inter, cf, af = model_inputs(spark, sf_dir, brand, days)
@@ -823,7 +828,7 @@ def reco_inputs(spark, sf_dir, brand: bool, days: int):
     fb = R.fallback_list(
         R.fallback_scores(cf.join(sample, "id", "left_semi"), af, M.FIXED_INTERCEPT, K), TOP_N
     )
-    recs = R.recommend(holdout, cf, af, M.FIXED_INTERCEPT, K, TOP_N, excl, fb)
+    recs = R.recommend(holdout, cf, af, M.FIXED_INTERCEPT, K, TOP_N, excl, fb, **blocks)
     return train, holdout, recs
 
 
@@ -847,6 +852,15 @@ def q_recommendations(spark, sf_dir):
     return recs_text(recs)
 
 
+@register("recommendations_blocked", sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_RECS_TEXT)
+def q_recommendations_blocked(spark, sf_dir):
+    """The same lists out of many small blocks of customers and articles."""
+    _, _, recs = reco_inputs(
+        spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS, customer_block_rows=500, article_block_rows=6
+    )
+    return recs_text(recs)
+
+
 @register("recommendations_part", sql_reco(with_tx()) + SQL_RECS_TEXT)
 def q_recommendations_part(spark, sf_dir):
     _, _, recs = reco_inputs(spark, sf_dir, False, HOLDOUT_DAYS)
@@ -901,6 +915,18 @@ def q_average_precision(spark, sf_dir):
     return EV.average_precision(recs, holdout, TOP_N).select("customer_int", r6("apk"))
 
 
+@register(
+    "average_precision_lists",
+    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_AP
+    + "\nSELECT customer_int, round(apk, 6) AS apk FROM ap",
+)
+def q_average_precision_lists(spark, sf_dir):
+    """The list form (Y1, Y3, Y5) on (actual list, recommended list) pairs."""
+    _, holdout, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    lists = EV.actuals(holdout).join(recs, "customer_int", "left")
+    return EV.with_average_precision(lists, TOP_N).select("customer_int", r6("apk"))
+
+
 @register(
     "mean_average_precision",
     sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_AP
@@ -924,19 +950,75 @@ GROUP BY c.c_custkey""",
 )
 def q_submission(spark, sf_dir):
     _, _, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    return EV.format_submission(recs, *submission_maps(spark, sf_dir))
+
+
+def submission_maps(spark, sf_dir):
+    """(customer_id, customer_int) and (article_id, article_int) of the brand purchases."""
     cmap = X.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_int"), F.col("c_custkey").cast("string").alias("customer_id")
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_custkey").alias("customer_int")
     )
     amap = X.brand_ids(spark, sf_dir).select(
-        F.col("brand_int").alias("article_int"), F.col("p_brand").alias("article_id")
+        F.col("p_brand").alias("article_id"), F.col("brand_int").alias("article_int")
     )
-    return EV.format_submission(recs, cmap, amap)
+    return cmap, amap
 
 
 # --------------------------------------------------------------------------------------------
-# M1/M4/M5 fits (iterative: rows-only checks)
+# M1 initial parameters, M4/M5 fits
+
+FIT_EPOCHS = 20  # as the reference's training scripts
+
+
+def sql_normal(*parts: str) -> str:
+    """Standard-normal draw of ``functions.hashing.normal`` over the same parts."""
+    u1 = f"(({sql_hash(*parts, repr('n1'))} + 1.0::DOUBLE) / 4294967297.0::DOUBLE)"
+    u2 = f"({sql_hash(*parts, repr('n2'))} / 4294967296.0::DOUBLE)"
+    return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos(6.283185307179586::DOUBLE * {u2}))"
 
-FIT_EPOCHS = 2
+
+def sql_init(side: str, ids_sql: str, scale: float) -> str:
+    cols = ", ".join(
+        f"{sql_normal(repr(side), 'id', repr(p), repr(str(SEED)))} * {scale!r}::DOUBLE AS {p}"
+        for p in M.param_names(K)
+    )
+    return f"SELECT '{side}' AS side, id, {cols} FROM ({ids_sql})"
+
+
+INIT_SCALE = 0.5
+
+
+@register(
+    "init_factors",
+    sql_model(with_tx())
+    + f"""
+SELECT side, id, {', '.join(f'round({p}, 6) + 0.0 AS {p}' for p in M.param_names(K))} FROM (
+  {sql_init('customer', 'SELECT id FROM cf', INIT_SCALE)}
+  UNION ALL
+  {sql_init('article', 'SELECT id FROM af', INIT_SCALE)}
+)
+UNION ALL
+SELECT 'global', 0, {', '.join('NULL' for _ in range(K))},
+       round({sql_normal(repr('global'), repr(str(SEED)))} * {INIT_SCALE!r}::DOUBLE, 6) + 0.0""",
+)
+def q_init_factors(spark, sf_dir):
+    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    cust = M.init_factors(inter, "customer_int", K, SEED, "customer", INIT_SCALE)
+    arts = M.init_factors(inter, "article_int", K, SEED, "article", INIT_SCALE)
+    return model_rows(M.Model(cust, arts, M.init_intercept(SEED, INIT_SCALE), K))
+
+
+def model_rows(model) -> DataFrame:
+    """All parameters of a model as rows: both sides, and the global intercept as one more bias."""
+    cols = ["id", *[r6(f"f{i}") for i in range(model.k)], r6("bias")]
+    spark = model.customers.sparkSession
+    schema = "side string, id bigint, " + ", ".join(f"f{i} double" for i in range(model.k)) + ", bias double"
+    own = spark.createDataFrame([("global", 0, *[None] * model.k, float(model.intercept))], schema)
+    return (
+        model.customers.select(F.lit("customer").alias("side"), *cols)
+        .unionByName(model.articles.select(F.lit("article").alias("side"), *cols))
+        .unionByName(own.select("side", *cols))
+    )
 
 
 @register("fit_factors")
@@ -946,7 +1028,7 @@ def q_fit_factors(spark, sf_dir):
         inter, k=K, l2=L2, lr=LR, epochs=FIT_EPOCHS, batch_size=150_000,
         validation_share=0.005, seed=SEED,
     )
-    return model.customers.select("id", *M.param_names(K))
+    return model_rows(model)
 
 
 @register("fit_als")
@@ -954,7 +1036,7 @@ def q_fit_als(spark, sf_dir):
     from affinity.operators.als import fit_als
 
     _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
-    model = fit_als(inter, rank=K, max_iter=5, reg=0.1, seed=SEED)
+    model = fit_als(inter, rank=K, max_iter=10, reg=0.1, seed=SEED)
     fb = R.fallback_for(
         model.customers, model.articles, model.intercept, K, TOP_N, SAMPLE_SIZE, SEED
     )

@@ -15,9 +15,11 @@ from affinity.operators.factors import (
     ParamStore,
     fit_log_link_factors,
     from_params,
-    snapshot_changes,
+    model_changes,
     to_params,
 )
+from affinity.operators.ids import interaction_counts
+from affinity.sources.readers import first_rows
 from affinity.sources.writers import MetricsLog, save_model, save_params
 
 
@@ -37,41 +39,51 @@ def train(
     snapshot_every: int = 10,
     log_param_changes: bool = False,
     source: str | None = None,
+    n_rows: int | None = None,
+    init_scale: float = 1.0,
+    batch_share: float | None = None,
+    max_exponent: float | None = None,
 ) -> Model:
+    """``n_rows`` trains on the first rows only (T3); ``log_param_changes`` writes, per batch, how
+    many values of each parameter moved (a written copy and a join per batch)."""
+    if n_rows is not None:
+        interactions = first_rows(interactions, n_rows)
     log = MetricsLog(spark, f"{out}/training_logs", model_name, model_version)
     models = f"{out}/saved_models"
     save_params(
         spark, models, model_name, model_version,
         {
-            "train_source": source, "num_latent_features": num_latent_features,
-            "l2_lambda": l2_lambda, "learning_rate": learning_rate, "batch_size": batch_size,
+            "train_source": source, "train_n_rows": n_rows,
+            **interaction_counts(interactions).select("num_customers", "num_articles").first().asDict(),
+            "num_latent_features": num_latent_features, "l2_lambda": l2_lambda,
+            "learning_rate": learning_rate, "batch_size": batch_size, "batch_share": batch_share,
             "epochs": epochs, "validation_share": validation_share, "seed": seed,
+            "init_scale": init_scale, "max_exponent": max_exponent,
         },
     )
     previous: dict[str, Model] = {}
-    # the fit reuses its parameter slots, so the previous epoch is kept as a written copy
-    keep = ParamStore(spark, "epochs") if log_param_changes else None
+    # the fit reuses its parameter slots, so the previous batch's state is kept as a written copy
+    keep = ParamStore(spark, "previous") if log_param_changes else None
 
-    def on_batch(epoch, batch, metrics):
+    def on_batch(epoch, batch, metrics, model):
         log.log_batch(epoch, batch, metrics["pred_loss"], metrics["penalty_loss"])
+        if keep is not None:
+            if "m" in previous:
+                log.log_param_changes(epoch, batch, model_changes(previous["m"], model))
+            previous["m"] = from_params(keep.put(to_params(model)), model.k, model.intercept)
 
     def on_epoch(epoch, train_pred, val_pred, model):
         log.log_epoch(epoch, train_pred, val_pred)
-        if keep is not None:
-            k = model.k
-            if "m" in previous:
-                changes = snapshot_changes(previous["m"].customers, model.customers, k, 1e-4, "customer")
-                changes = changes.unionByName(
-                    snapshot_changes(previous["m"].articles, model.articles, k, 1e-4, "article")
-                )
-                log.log_param_changes(epoch, 0, changes)
-            previous["m"] = from_params(keep.put(to_params(model), "previous"), k, model.intercept)
         if (epoch + 1) % snapshot_every == 0 or epoch == epochs - 1:
             save_model(model, models, model_name, model_version, epoch,
                        train_loss=train_pred, val_loss=val_pred)
 
-    return fit_log_link_factors(
+    model = fit_log_link_factors(
         interactions, k=num_latent_features, l2=l2_lambda, lr=learning_rate, epochs=epochs,
         batch_size=batch_size, validation_share=validation_share, seed=seed,
+        init_scale=init_scale, batch_share=batch_share, max_exponent=max_exponent,
         on_batch=on_batch, on_epoch=on_epoch,
     )
+    if keep is not None:
+        keep.drop()
+    return model

@@ -115,6 +115,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def staged(df, name: str = "table"):
+    """Write ``df`` as Parquet to a fresh folder under the checkpoint folder and read it back.
+
+    Cuts the lineage, survives the loss of any executor, and gives the planner the table's bytes (a
+    small one is broadcast by Spark's own threshold)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def reliable_checkpoint(df, eager: bool = True):
     """Cut lineage with a reliable checkpoint in the session's shared folder."""
     checkpoint_dir(df.sparkSession)

@@ -13,67 +13,84 @@ from affinity.functions.dates import parse_date
 from affinity.sources import schemas as S
 
 
-def _reader(spark: SparkSession, fmt: str, schema=None):
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
+def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """CSV columns are bound by the header's names and read as text; other formats keep their
+    own schema."""
+    r = spark.read.format(fmt)
     if fmt == "csv":
         r = r.option("header", True).option("inferSchema", False)
-    return r.format(fmt)
+    return r.load(path)
+
+
+def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Cast the known columns; the others pass through. A missing known column is an error."""
+    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 
 
 def read_customers(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Customers; ``customer_id`` as text, other columns pass through."""
-    df = _reader(spark, fmt).load(path)
-    return df.withColumn(S.CUSTOMER_ID, F.col(S.CUSTOMER_ID).cast("string"))
+    return _typed(_read(spark, path, fmt), {S.CUSTOMER_ID: "string"})
 
 
 def read_articles(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Articles; ``article_id`` forced to text so leading zeros survive."""
-    df = _reader(spark, fmt).load(path)
-    return df.withColumn(S.ARTICLE_ID, F.col(S.ARTICLE_ID).cast("string"))
+    return _typed(_read(spark, path, fmt), {S.ARTICLE_ID: "string"})
 
 
 def read_transactions(
-    spark: SparkSession,
-    path: str,
-    fmt: str = "csv",
-    schema=None,
-    lenient_dates: bool = False,
+    spark: SparkSession, path: str, fmt: str = "csv", lenient_dates: bool = False
 ) -> DataFrame:
     """S3 + X1: raw transactions with ``t_dat`` parsed as ``yyyy-MM-dd``.
 
-    With CSV the default schema is the declared transactions layout; other formats keep their
-    own schema. ``lenient_dates`` turns unparsable dates into NULL instead of failing.
+    The four known columns are found by name, in any order; all others pass through.
+    ``lenient_dates`` turns unparsable dates into NULL instead of failing.
     """
-    if schema is None and fmt == "csv":
-        schema = S.TRANSACTIONS_CSV
-    df = _reader(spark, fmt, schema).load(path)
-    return df.withColumns(
-        {
-            S.DATE: parse_date(F.col(S.DATE), lenient=lenient_dates),
-            S.CUSTOMER_ID: F.col(S.CUSTOMER_ID).cast("string"),
-            S.ARTICLE_ID: F.col(S.ARTICLE_ID).cast("string"),
-            S.PRICE: F.col(S.PRICE).cast("double"),
-        }
+    df = _typed(
+        _read(spark, path, fmt), {S.CUSTOMER_ID: "string", S.ARTICLE_ID: "string", S.PRICE: "double"}
     )
+    return df.withColumn(S.DATE, parse_date(F.col(S.DATE), lenient=lenient_dates))
+
+
+#: Types of the known columns of the derived tables, for formats that keep none (CSV).
+DERIVED_TYPES = {
+    S.CUSTOMER: "bigint",
+    S.ARTICLE: "bigint",
+    S.WEIGHT: "double",
+    "count": "bigint",
+    "max_price": "double",
+    "days_since_last_purchase": "int",
+    **{p: "double" for p in ("p10", "p25", "p50", "p75", "p90")},
+}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Read a derived table (holdout, history, cutoffs, id maps, factors)."""
-    return _reader(spark, fmt, schema).load(path)
+def format_of(path: str) -> str:
+    """``csv`` for a path that says so, else ``parquet``."""
+    return "csv" if path.rstrip("/").lower().endswith(".csv") else "parquet"
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """A derived table (holdout, history, cutoffs, id maps), Parquet or CSV."""
+    fmt = fmt or format_of(path)
+    df = _read(spark, path, fmt)
+    if fmt != "csv":
+        return df
+    return _typed(df, {c: t for c, t in DERIVED_TYPES.items() if c in df.columns})
 
 
 def read_interactions(
-    spark: SparkSession, path: str, fmt: str = "parquet", n_rows: int | None = None
+    spark: SparkSession, path: str, fmt: str | None = None, n_rows: int | None = None
 ) -> DataFrame:
-    """S4 (+T3): weighted interactions, optionally only the first ``n_rows``.
+    """S4 (+T3): weighted interactions from any table, optionally only the first ``n_rows``.
 
     Files have no row order in Spark, so "first" means first by (customer, article): a
     repeatable choice. The cap is the feature asked for, not a shortcut.
     """
-    schema = S.INTERACTIONS if fmt == "csv" else None
-    df = _reader(spark, fmt, schema).load(path)
-    if n_rows is not None:
-        df = df.orderBy(S.CUSTOMER, S.ARTICLE).limit(int(n_rows))
-    return df
+    df = read_table(spark, path, fmt).select(S.CUSTOMER, S.ARTICLE, S.WEIGHT)
+    return df if n_rows is None else first_rows(df, n_rows)
+
+
+def first_rows(df: DataFrame, n_rows: int) -> DataFrame:
+    """The first ``n_rows`` by (customer, article)."""
+    if int(n_rows) < 0:
+        raise ValueError("n_rows must not be negative")
+    return df.orderBy(S.CUSTOMER, S.ARTICLE).limit(int(n_rows))

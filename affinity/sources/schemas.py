@@ -1,9 +1,4 @@
-"""Declared schemas and default column names.
-
-Files are read with declared or all-string schemas and the known columns are cast explicitly:
-schema inference costs an extra pass over the input and would turn article ids with leading
-zeros into numbers.
-"""
+"""Default column names and the schemas of the metric tables."""
 
 from __future__ import annotations
 
@@ -18,34 +13,6 @@ CUSTOMER = "customer_int"
 ARTICLE = "article_int"
 WEIGHT = "weight"
 
-# Raw transactions as they arrive in CSV: everything but the price is text.
-TRANSACTIONS_CSV = T.StructType(
-    [
-        T.StructField("t_dat", T.StringType()),
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("article_id", T.StringType()),
-        T.StructField("price", T.DoubleType()),
-        T.StructField("sales_channel_id", T.IntegerType()),
-    ]
-)
-
-ID_MAP = {
-    "customer": T.StructType(
-        [T.StructField(CUSTOMER_ID, T.StringType()), T.StructField(CUSTOMER, T.LongType())]
-    ),
-    "article": T.StructType(
-        [T.StructField(ARTICLE_ID, T.StringType()), T.StructField(ARTICLE, T.LongType())]
-    ),
-}
-
-INTERACTIONS = T.StructType(
-    [
-        T.StructField(CUSTOMER, T.LongType()),
-        T.StructField(ARTICLE, T.LongType()),
-        T.StructField(WEIGHT, T.DoubleType()),
-    ]
-)
-
 BATCH_METRICS = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),
@@ -65,13 +32,3 @@ EPOCH_METRICS = T.StructType(
         T.StructField("val_pred_loss", T.DoubleType()),
     ]
 )
-
-PARAM_CHANGES = T.StructType(
-    [
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("epoch_number", T.IntegerType()),
-        T.StructField("batch_number", T.IntegerType()),
-        T.StructField("parameter", T.StringType()),
-        T.StructField("num_values_changed", T.LongType()),
-    ]
-)

@@ -7,7 +7,7 @@ Mapping (one line item = one purchase):
 - ``tx_brand``: the same purchases with the article replaced by the dense id of the part's
   brand (few articles, many repeat purchases).
 - ``customers`` / ``articles`` / ``transactions``: the raw, text-keyed layout the preparation
-  stage starts from (customer_id text, article_id zero-padded text of 10 characters).
+  stage starts from (customer_id text, article_id text, zero-padded to 10 characters).
 
 Everything is a lazy join of the Parquet tables; column pruning and date filters reach the
 scans.
@@ -58,7 +58,9 @@ def tx_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_text_id(col) -> F.Column:
-    return F.lpad(col.cast("string"), ARTICLE_ID_WIDTH, "0")
+    """Zero-padded to ``ARTICLE_ID_WIDTH``; longer ids stay whole."""
+    text = col.cast("string")
+    return F.when(F.length(text) < ARTICLE_ID_WIDTH, F.lpad(text, ARTICLE_ID_WIDTH, "0")).otherwise(text)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

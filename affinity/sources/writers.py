@@ -29,6 +29,12 @@ def write_table(
     w.save(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it exists (through the file system of its path)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def strength_label(x: float) -> str:
     """Parameter value as a folder-safe label (``0.01`` -> ``0-01``)."""
     return str(float(x)).replace(".", "-")
@@ -103,17 +109,20 @@ def read_weighted_interactions(
 
 
 class MetricsLog:
-    """Append-only batch / epoch metric tables under ``base/{batches,epochs}/model=/version=``.
+    """Append-only batch / epoch / parameter-change tables under ``base/<kind>/model=/version=``.
 
-    The first write of a run overwrites the run's folder (the reset at the start of a run);
-    later writes append. Rows are buffered on the driver (one row per batch) and written once
-    per epoch to keep files few.
+    Starting a run deletes every log of that model and version. Batch rows are buffered on the
+    driver and written once per epoch, or every ``BUFFER`` rows in a long epoch.
     """
 
+    KINDS = ("batches", "epochs", "param_changes")
+    BUFFER = 1000
+
     def __init__(self, spark: SparkSession, base: str, model: str, version: str):
         self.spark, self.base, self.model, self.version = spark, base, model, version
-        self._started: set[str] = set()
         self._batches: list[tuple] = []
+        for kind in self.KINDS:
+            delete(spark, self.path(kind))
 
     def path(self, kind: str) -> str:
         return f"{self.base}/{kind}/model={self.model}/version={self.version}"
@@ -121,9 +130,7 @@ class MetricsLog:
     def _write(self, kind: str, rows: list[tuple], schema) -> None:
         if not rows:
             return
-        mode = "append" if kind in self._started else "overwrite"
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode(mode).parquet(self.path(kind))
-        self._started.add(kind)
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(self.path(kind))
 
     def log_batch(self, epoch: int, batch: int, pred_loss: float, penalty_loss: float) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -131,10 +138,15 @@ class MetricsLog:
             (now, int(epoch), int(batch), float(pred_loss), float(penalty_loss),
              float(pred_loss) + float(penalty_loss))
         )
+        if len(self._batches) >= self.BUFFER:
+            self._flush()
 
-    def log_epoch(self, epoch: int, train_pred_loss: float, val_pred_loss: float) -> None:
+    def _flush(self) -> None:
         self._write("batches", self._batches, S.BATCH_METRICS)
         self._batches = []
+
+    def log_epoch(self, epoch: int, train_pred_loss: float, val_pred_loss: float) -> None:
+        self._flush()
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self._write(
             "epochs", [(now, int(epoch), float(train_pred_loss), float(val_pred_loss))], S.EPOCH_METRICS
@@ -146,9 +158,7 @@ class MetricsLog:
         rows = changes.withColumns(
             {"timestamp": F.lit(now), "epoch_number": F.lit(int(epoch)), "batch_number": F.lit(int(batch))}
         ).select("timestamp", "epoch_number", "batch_number", "parameter", "num_values_changed")
-        mode = "append" if "param_changes" in self._started else "overwrite"
-        rows.coalesce(1).write.mode(mode).parquet(self.path("param_changes"))
-        self._started.add("param_changes")
+        rows.coalesce(1).write.mode("append").parquet(self.path("param_changes"))
 
 
 def read_metrics(spark: SparkSession, base: str, kind: str) -> DataFrame:

@@ -88,9 +88,9 @@ def test_fit_loss_falls(synthetic):
 
 
 def test_fit_independent_of_partitioning(synthetic):
-    kw = dict(k=2, l2=0.02, lr=0.05, epochs=2, batch_size=10_000, validation_share=0.05, seed=4)
-    a = M.fit_log_link_factors(synthetic, num_partitions=1, **kw)
-    b = M.fit_log_link_factors(synthetic.repartition(5), num_partitions=8, **kw)
+    kw = dict(k=2, l2=0.02, lr=0.05, epochs=2, batch_size=300, validation_share=0.05, seed=4, init_scale=0.1)
+    a = M.fit_log_link_factors(synthetic.coalesce(1), **kw)
+    b = M.fit_log_link_factors(synthetic.repartition(5), pairs_per_file=100, **kw)
     ra = {r.id: r for r in a.customers.collect()}
     rb = {r.id: r for r in b.customers.collect()}
     assert set(ra) == set(rb)
@@ -116,7 +116,7 @@ def test_snapshot_changes_counts(spark):
     before = table(spark, [(0, 0.1, 0.5), (1, 0.2, 0.5)], 1)
     after = table(spark, [(0, 0.1, 0.6), (1, 0.3, 0.50001)], 1)
     got = {r.parameter: r.num_values_changed for r in M.snapshot_changes(before, after, 1, 1e-4).collect()}
-    assert got == {"customer_f0": 1, "customer_bias": 1}
+    assert got == {"customer_factors": 1, "customer_intercepts": 1}
 
 
 def test_fixed_factors_formula(spark):
@@ -136,17 +136,136 @@ def test_a13_duplicate_pairs_sum_into_one_target(spark):
     assert a.pred_loss == pytest.approx(b.pred_loss) and a.n_pairs == 1
 
 
-def test_fit_same_without_article_broadcast(spark, synthetic):
-    from affinity.plans.broadcast import CAP_CONF
-
+def test_fit_same_without_broadcast_joins(spark, synthetic):
     kw = dict(k=2, l2=0.02, lr=0.05, epochs=1, batch_size=10_000, validation_share=0.05, seed=6)
     a = M.fit_log_link_factors(synthetic, **kw)
-    spark.conf.set(CAP_CONF, "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         b = M.fit_log_link_factors(synthetic, **kw)
-        assert b.broadcast_articles is False
     finally:
-        spark.conf.unset(CAP_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     ra = {r.id: r.f1 for r in a.articles.collect()}
     rb = {r.id: r.f1 for r in b.articles.collect()}
     assert ra.keys() == rb.keys() and all(abs(ra[i] - rb[i]) < 1e-9 for i in ra)
+
+
+def plain_fit(rows, k, l2, lr, epochs, n_batches, share, seed, scale):
+    """The fit written out with numpy over dense parameters: hash split, hash batches, Adam."""
+    import hashlib
+
+    import numpy as np
+
+    def h(*parts):
+        return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:8], 16)
+
+    def normal(*parts):
+        u1, u2 = (h(*parts, "n1") + 1.0) / 4294967297.0, h(*parts, "n2") / 4294967296.0
+        return math.sqrt(-2.0 * math.log(u1)) * math.cos(6.283185307179586 * u2) * scale
+
+    ordered = sorted(rows, key=lambda r: (h(r[0], r[1], seed, "val"), r[0], r[1]))
+    n_val = int(share * len(rows))
+    val, train = ordered[:n_val], ordered[n_val:]
+    names = [f"f{i}" for i in range(k)] + ["bias"]
+    cs, as_ = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
+    ci, ai = {c: i for i, c in enumerate(cs)}, {a: i for i, a in enumerate(as_)}
+    par = [
+        np.array([[normal("customer", c, x, seed) for x in names] for c in cs]),
+        np.array([[normal("article", a, x, seed) for x in names] for a in as_]),
+        np.array([normal("global", seed)]),
+    ]
+    m, v, t = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par], 0
+    for epoch in range(epochs):
+        for b in range(n_batches):
+            batch = [r for r in train if h(r[0], r[1], seed, epoch) % n_batches == b]
+            c = np.array([ci[r[0]] for r in batch])
+            a = np.array([ai[r[1]] for r in batch])
+            w = np.array([r[2] for r in batch])
+            u, x = par[0][c], par[1][a]
+            p = np.exp((u[:, :k] * x[:, :k]).sum(1) + u[:, k] + x[:, k] + par[2][0])
+            d = 2 * (p - w) * p
+            g = [np.zeros_like(q) for q in par]
+            np.add.at(g[0], c, np.column_stack([d[:, None] * x[:, :k], d]))
+            np.add.at(g[1], a, np.column_stack([d[:, None] * u[:, :k], d]))
+            g[2][0] = d.sum()
+            for side, present in ((0, np.unique(c)), (1, np.unique(a))):
+                f = par[side][present, :k]
+                g[side][present, :k] += l2 * f / np.sqrt((f * f).sum())
+            t += 1
+            for i in range(3):
+                m[i] = 0.9 * m[i] + 0.1 * g[i]
+                v[i] = 0.999 * v[i] + 0.001 * g[i] ** 2
+                par[i] = par[i] - lr * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+    loss = 0.0
+    for r in val:
+        u, x = par[0][ci[r[0]]], par[1][ai[r[1]]]
+        loss += (math.exp(u[:k] @ x[:k] + u[k] + x[k] + par[2][0]) - r[2]) ** 2
+    return cs, as_, par, loss / max(1, n_val)
+
+
+@pytest.mark.parametrize("batches", [{"batch_share": 1 / 3}, {"batch_size": 1000}])
+def test_fit_equals_the_loop_written_out(synthetic, batches):
+    n = 3 if "batch_share" in batches else 1
+    rows = [(r.customer_int, r.article_int, r.weight) for r in synthetic.collect()]
+    kw = dict(k=2, l2=0.02, lr=0.03, epochs=2, seed=9, init_scale=0.3)
+    model = M.fit_log_link_factors(synthetic, validation_share=0.1, **batches, **kw)
+    cs, as_, par, val = plain_fit(rows, 2, 0.02, 0.03, 2, n, 0.1, 9, 0.3)
+    for df, ids, want in ((model.customers, cs, par[0]), (model.articles, as_, par[1])):
+        got = {r.id: [r.f0, r.f1, r.bias] for r in df.collect()}
+        assert sorted(got) == ids
+        assert all(got[i] == pytest.approx(want[j], abs=1e-7) for j, i in enumerate(ids))
+    assert model.intercept == pytest.approx(par[2][0], abs=1e-8)
+    assert model.history[-1][2] == pytest.approx(val, rel=1e-6)
+    assert model.step == 2 * n
+
+
+def test_initial_parameters_are_normal(spark):
+    ids = spark.range(0, 4000).withColumnRenamed("id", "c")
+    for scale in (1.0, 0.2):
+        x = [r.f0 for r in M.init_factors(ids, "c", 1, 5, "customer", scale).collect()]
+        mean = sum(x) / len(x)
+        sd = math.sqrt(sum((v - mean) ** 2 for v in x) / len(x))
+        assert abs(mean) < 0.06 * scale and abs(sd - scale) < 0.05 * scale and max(x) > 2.5 * scale
+    draws = [M.init_intercept(s) for s in range(400)]
+    assert max(draws) > 1.8 and abs(sum(draws) / 400) < 0.2
+
+
+def test_exponent_bound_holds_in_gradient_and_losses(spark):
+    cu, ar = table(spark, [(0, 3.0, 0.0)], 1), table(spark, [(0, 3.0, 0.0)], 1)
+    pairs = spark.createDataFrame([(0, 0, 1.0)], "customer_int long, article_int long, weight double")
+    model = M.Model(M.with_moments(cu, 1), M.with_moments(ar, 1), 0.0, 1, max_exponent=2.0)
+    cg, _ = M.gradients(pairs, model)
+    row = cg.first()
+    assert row.g_f0 == 0.0 and row.loss == pytest.approx((math.exp(2) - 1) ** 2)
+    bounded = M.losses(pairs, cu, ar, 0.0, 1, 0.0, max_exponent=2.0).first()
+    free = M.losses(pairs, cu, ar, 0.0, 1, 0.0).first()
+    assert bounded.pred_loss == pytest.approx((math.exp(2) - 1) ** 2)
+    assert free.pred_loss == pytest.approx((math.exp(9) - 1) ** 2)
+
+
+def test_divergence_is_an_error(spark):
+    cu, ar = table(spark, [(0, 30.0, 0.0)], 1), table(spark, [(0, 30.0, 0.0)], 1)
+    pairs = spark.createDataFrame([(0, 0, 1.0)], "customer_int long, article_int long, weight double")
+    model = M.Model(M.with_moments(cu, 1), M.with_moments(ar, 1), 0.0, 1)
+    with pytest.raises(FloatingPointError, match="diverged"):
+        M.gradient_step(pairs, model, 0.0, M.AdamConfig())
+
+
+def test_fit_leaves_only_its_final_state(spark, synthetic):
+    import os
+
+    from affinity.session import checkpoint_dir
+
+    base = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    model = M.fit_log_link_factors(synthetic, k=1, lr=0.05, epochs=2, batch_share=0.5, seed=1, init_scale=0.1)
+    new = [f for f in set(os.listdir(base)) - before if f.startswith("affinity-fit")]
+    assert len(new) == 1 and len(os.listdir(f"{base}/{new[0]}")) == 1
+    assert model.customers.count() > 0
+
+
+@pytest.mark.parametrize(
+    "bad", [{"k": 0}, {"lr": 0.0}, {"l2": -1.0}, {"validation_share": 1.0}, {"batch_share": 0.0}, {"max_exponent": 0.0}]
+)
+def test_fit_parameters_are_checked(synthetic, bad):
+    with pytest.raises(ValueError):
+        M.fit_log_link_factors(synthetic, **{"epochs": 1, **bad})

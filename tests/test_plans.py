@@ -1,5 +1,5 @@
 """Plan shape checks: no Python UDFs in the preparation plans, no single-partition exchange
-feeding a window, date bounds pushed to the scan, broadcast of size-checked tables only."""
+feeding a window, date bounds pushed to the scan."""
 
 import contextlib
 import io
@@ -77,7 +77,7 @@ def test_blocked_top_n_merge_uses_window_group_limit(spark):
 
     arts = spark.range(0, 30).select("id", (F.col("id") / 30.0).alias("f0"), F.lit(0.0).alias("bias"))
     cust = spark.range(100, 110).select("id", F.lit(1.0).alias("f0"), F.lit(0.0).alias("bias"))
-    text = plan(R.top_n_scored(cust, arts, 0.0, 1, 5, max_broadcast_rows=7))
+    text = plan(R.top_n_scored(cust, arts, 0.0, 1, 5, article_block_rows=7))
     assert "WindowGroupLimit" in text and "MapInPandas" in text
 
 

@@ -174,3 +174,24 @@ def test_weight_grid_equals_single_variants(e1_enriched, spark, scratch):
         assert got.keys() == one.keys() and all(abs(got[x] - one[x]) < 1e-12 for x in one)
         back = read_weighted_interactions(spark, f"{scratch}/w", k, s)
         assert back.count() == len(one)
+
+
+@pytest.mark.parametrize("strengths", [(-0.1, 0.0), (0.0, 2.0), (0.0, -1.0), (float("nan"), 0.0)])
+def test_strengths_out_of_range_are_errors(e1_enriched, strengths):
+    with pytest.raises(ValueError):
+        P.weighted_interactions(e1_enriched, *strengths)
+    with pytest.raises(ValueError):
+        P.weighted_interaction_grid(e1_enriched, [strengths])
+
+
+def test_negative_days_are_errors(e1_enriched):
+    with pytest.raises(ValueError):
+        P.split_transactions(e1_enriched, -1)
+    with pytest.raises(ValueError):
+        P.transactions_first_n_days(e1_enriched, -1)
+
+
+def test_null_customers_are_not_known(spark):
+    a = spark.createDataFrame([(1,), (None,), (2,)], "customer_int long")
+    b = spark.createDataFrame([(2,), (None,), (2,)], "customer_int long")
+    assert [r[0] for r in P.known_customers(a, b).collect()] == [2]

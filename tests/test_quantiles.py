@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import prepare as P
+from affinity.operators import quantiles as Q
 from affinity.operators.quantiles import NAMES, group_quantiles, repeat_gap_quantiles
 
 E3 = {
@@ -64,3 +65,15 @@ def test_invalid_mode(spark):
     df = spark.createDataFrame([(1, 1)], "a long, g int")
     with pytest.raises(ValueError):
         group_quantiles(df, "a", "g", mode="median")
+
+
+def test_disc_from_the_histogram_equals_percentile_disc(spark):
+    import random
+
+    rnd = random.Random(8)
+    rows = [(g, rnd.randint(0, 30)) for g in range(40) for _ in range(rnd.randint(1, 25))]
+    df = spark.createDataFrame(rows + [(0, None)], "g int, v int")
+    got = {r[0]: list(r)[1:] for r in Q.group_quantiles(df, "g", "v", mode="disc").collect()}
+    for g in range(40):
+        v = sorted(x for k, x in rows if k == g)
+        assert got[g] == [float(v[max(0, -(-round(q * 100) * len(v) // 100) - 1)]) for q in Q.LEVELS]

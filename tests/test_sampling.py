@@ -20,13 +20,12 @@ def test_q13_sample_larger_than_population(spark):
 
 def test_q12_zero_validation_share_keeps_everything_in_train(spark):
     pairs = spark.range(0, 500).select(F.col("id").alias("customer_int"), (F.col("id") % 7).alias("article_int"))
-    train, val = T.split_validation(pairs, 0.0, 3)
-    assert train.count() == 500 and val.count() == 0
+    assert T.validation_flags(pairs, 0.0, 3).where("not is_validation").count() == 500
 
 
 def test_validation_share_is_close(spark):
     pairs = spark.range(0, 20000).select(F.col("id").alias("customer_int"), (F.col("id") % 97).alias("article_int"))
-    _, val = T.split_validation(pairs, 0.05, 11)
+    val = T.validation_flags(pairs, 0.05, 11).where("is_validation")
     assert 800 < val.count() < 1200
 
 

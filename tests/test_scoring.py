@@ -1,4 +1,4 @@
-"""R1-R5 on E9, ties, unmodelled customers, and the blocked (large-catalogue) path."""
+"""R1-R5 on E9, ties, unmodelled customers, and block sizes."""
 
 import math
 
@@ -71,7 +71,7 @@ def test_blocked_catalogue_equals_single_block(spark):
     cust = spark.range(100, 140).select("id", *expr, F.lit(0.0).alias("bias"))
     ex = spark.range(100, 140).select(F.col("id").alias("customer_int"), (F.col("id") % 60).alias("article_int"))
     one = R.top_n_scored(cust, arts, -0.5, k, 7, ex)
-    many = R.top_n_scored(cust, arts, -0.5, k, 7, ex, max_broadcast_rows=9)
+    many = R.top_n_scored(cust, arts, -0.5, k, 7, ex, article_block_rows=9, customer_block_rows=7)
     key = ["customer_int", "rank", "article_int", "suppressed"]
     assert sorted(tuple(r[c] for c in key) for r in one.collect()) == sorted(
         tuple(r[c] for c in key) for r in many.collect()
@@ -104,5 +104,58 @@ def test_lists_equal_in_single_and_blocked_paths(spark):
     ex = spark.range(200, 230).select(F.col("id").alias("customer_int"), (F.col("id") % 40).alias("article_int"))
     one = {r.customer_int: list(r.recommendations) for r in R.top_n_lists(cust, arts, 0.0, k, 6, ex).collect()}
     many = {r.customer_int: list(r.recommendations)
-            for r in R.top_n_lists(cust, arts, 0.0, k, 6, ex, max_broadcast_rows=9).collect()}
+            for r in R.top_n_lists(cust, arts, 0.0, k, 6, ex, article_block_rows=9, customer_block_rows=7).collect()}
     assert one == many and len(one) == 30 and all(len(v) == 6 for v in one.values())
+
+
+def plain(e, sup, ids, n):
+    """Ranking rule written out: scorable by exponent, then suppressed, then NaN, ids within ties."""
+    kind = [2 if math.isnan(x) else int(s) for x, s in zip(e, sup)]
+    order = sorted(range(len(ids)), key=lambda c: (kind[c], -e[c] if kind[c] == 0 else 0.0, ids[c]))
+    return [ids[c] for c in order[:n]]
+
+
+@pytest.mark.parametrize("blocks", [1, 4, 5, 100])
+def test_fewer_scorable_articles_than_asked_for(spark, blocks):
+    cust = factors(spark, [(0, 1.0, 0.0), (1, -1.0, 0.0)])
+    e = [float(i) / 7 for i in range(12)]
+    arts = factors(spark, [(i, x, 0.0) for i, x in enumerate(e)])
+    ex = spark.createDataFrame(
+        [(c, a) for c in (0, 1) for a in range(10)] * 2, "customer_int long, article_int long"
+    )
+    top = R.top_n_lists(cust, arts, 0.0, 1, 6, ex, article_block_rows=blocks, customer_block_rows=1)
+    assert {r.customer_int: list(r.recommendations) for r in top.collect()} == {
+        0: [11, 10, 0, 1, 2, 3], 1: [10, 11, 0, 1, 2, 3]
+    }
+
+
+@pytest.mark.parametrize("blocks", [2, 100])
+def test_nan_scores_rank_last(spark, blocks):
+    nan = float("nan")
+    e = [nan, nan, 0.5, nan, 0.9, nan, nan, nan]
+    arts = factors(spark, [(i, x, 0.0) for i, x in enumerate(e)])
+    cust = factors(spark, [(3, 1.0, 0.0)])
+    ex = spark.createDataFrame([(3, 2)], "customer_int long, article_int long")
+    for n in (1, 4, 8):
+        got = R.top_n_lists(cust, arts, 0.0, 1, n, ex, article_block_rows=blocks).first()
+        assert list(got.recommendations) == plain(e, [i == 2 for i in range(8)], list(range(8)), n)
+
+
+def test_fallback_is_the_mean_over_any_sample_and_block_size(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    u, v = rng.normal(size=(150, 3)), rng.normal(size=(40, 3))
+    cust = factors(spark, [(i, *map(float, r)) for i, r in enumerate(u)], 2)
+    arts = factors(spark, [(i, *map(float, r)) for i, r in enumerate(v)], 2)
+    want = np.exp(u[:, :2] @ v[:, :2].T + u[:, 2:] + v[:, 2][None, :] - 0.3).mean(axis=0)
+    for rows in (7, 1000):
+        got = R.fallback_scores(cust, arts, -0.3, 2, customer_block_rows=rows, article_block_rows=rows)
+        assert {r.article_int: r.score for r in got.collect()} == {i: pytest.approx(x) for i, x in enumerate(want)}
+    assert R.fallback_scores(cust.limit(0), arts, 0.0, 2).count() == 0
+
+
+def test_no_article_or_customer(spark):
+    cust, arts = factors(spark, [(0, 1.0, 0.0)]), factors(spark, [(1, 1.0, 0.0)])
+    assert R.top_n_scored(cust.limit(0), arts, 0.0, 1, 3).count() == 0
+    assert R.top_n_scored(cust, arts.limit(0), 0.0, 1, 3).count() == 0

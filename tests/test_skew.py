@@ -1,5 +1,5 @@
-"""A customer holding a third of all rows: results equal a pandas brute force, both with the
-size-checked broadcasts and with every broadcast join forced off (shuffle joins + AQE)."""
+"""A customer holding a third of all rows: results equal a pandas brute force, both with
+broadcast joins where Spark chooses them and with all of them forced off (shuffle joins + AQE)."""
 
 import numpy as np
 import pandas as pd
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from affinity.operators import prepare as P
 from affinity.operators.quantiles import NAMES, repeat_gap_quantiles
-from affinity.plans.broadcast import CAP_CONF
 from affinity.sources import starschema as X
 from conftest import SF_SMALL
 
@@ -26,10 +25,8 @@ def hot_tx(spark):
 @pytest.fixture(params=["broadcast", "shuffle"])
 def mode(request, spark):
     if request.param == "shuffle":
-        spark.conf.set(CAP_CONF, "0")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield request.param
-    spark.conf.unset(CAP_CONF)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.catalog.clearCache()
 

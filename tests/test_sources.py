@@ -18,15 +18,16 @@ def write_text(path, text):
 
 def test_csv_transactions_keep_leading_zeros_and_parse_dates(spark, scratch):
     p = f"{scratch}/tx.csv"
-    write_text(p, "t_dat,customer_id,article_id,price,sales_channel_id\n2020-09-01,00a,0101,0.5,2\n")
+    write_text(p, "customer_id,till,t_dat,price,article_id\n00a,07,2020-09-01,0.5,0101\n")
     row = RD.read_transactions(spark, p).first()
     assert row.article_id == "0101" and row.customer_id == "00a"
     assert row.t_dat == dt.date(2020, 9, 1) and row.price == 0.5
+    assert row.till == "07"  # columns are found by name, unknown ones pass through
 
 
 def test_bad_dates_strict_fails_lenient_is_null(spark, scratch):
     p = f"{scratch}/bad.csv"
-    write_text(p, "t_dat,customer_id,article_id,price,sales_channel_id\n2020-13-45,a,1,1.0,1\n")
+    write_text(p, "t_dat,customer_id,article_id,price\n2020-13-45,a,1,1.0\n")
     assert RD.read_transactions(spark, p, lenient_dates=True).first().t_dat is None
     with pytest.raises(Exception):
         RD.read_transactions(spark, p).collect()
@@ -34,8 +35,8 @@ def test_bad_dates_strict_fails_lenient_is_null(spark, scratch):
 
 def test_articles_csv_ids_are_text(spark, scratch):
     p = f"{scratch}/articles.csv"
-    write_text(p, "article_id,name\n0108775015,x\n")
-    assert RD.read_articles(spark, p).first().article_id == "0108775015"
+    write_text(p, "article_id,name\n0000012345,x\n")
+    assert RD.read_articles(spark, p).first().article_id == "0000012345"
 
 
 def test_read_interactions_first_rows_by_key(spark, scratch):
@@ -81,3 +82,48 @@ def test_q19_unknown_pair_looks_up_null(spark):
 def test_params_round_trip(spark, scratch):
     W.save_params(spark, scratch, "mf", "v1", {"lr": 0.03, "epochs": 20})
     assert W.load_params(spark, scratch, "mf", "v1") == {"epochs": 20, "lr": 0.03}
+
+
+def test_interactions_from_csv_in_any_column_order(spark, scratch):
+    p = f"{scratch}/train.csv"
+    write_text(p, "weight,note,article_int,customer_int\n2.5,x,7,2\n1.0,y,3,1\n")
+    df = RD.read_interactions(spark, p)
+    assert df.dtypes == [("customer_int", "bigint"), ("article_int", "bigint"), ("weight", "double")]
+    assert [tuple(r) for r in RD.read_interactions(spark, p, n_rows=1).collect()] == [(1, 3, 1.0)]
+
+
+def test_derived_tables_from_csv_are_typed(spark, scratch):
+    p = f"{scratch}/cuts.csv"
+    write_text(p, "p50,article_int,days_since_last_purchase,shop\n3.5,7,4,x\n")
+    df = RD.read_table(spark, p)
+    assert dict(df.dtypes) == {"p50": "double", "article_int": "bigint", "days_since_last_purchase": "int", "shop": "string"}
+
+
+def test_s12_starting_a_run_deletes_every_old_log(spark, scratch):
+    log = W.MetricsLog(spark, scratch, "mf", "v1")
+    log.log_batch(0, 0, 1.0, 0.5)
+    log.log_epoch(0, 0.9, 1.1)
+    log.log_param_changes(0, 0, spark.createDataFrame([("x", 1)], "parameter string, num_values_changed long"))
+    other = W.MetricsLog(spark, scratch, "mf", "v2")
+    other.log_epoch(0, 1.0, 1.0)
+    W.MetricsLog(spark, scratch, "mf", "v1")
+    assert W.read_metrics(spark, scratch, "epochs").count() == 1  # the other version's
+    for kind in ("batches", "param_changes"):
+        assert not __import__("os").path.exists(f"{scratch}/{kind}/model=mf/version=v1")
+
+
+def test_s12_long_epochs_are_written_in_parts(spark, scratch):
+    log = W.MetricsLog(spark, scratch, "mf", "v1")
+    log.BUFFER = 3
+    for b in range(7):
+        log.log_batch(0, b, 1.0, 0.0)
+    assert len(log._batches) == 1
+    log.log_epoch(0, 1.0, 1.0)
+    assert W.read_metrics(spark, scratch, "batches").count() == 7
+
+
+def test_long_article_ids_stay_whole(spark):
+    from affinity.sources.starschema import article_text_id
+
+    df = spark.createDataFrame([(7,), (20000000000,), (20000000001,)], "k long")
+    assert [r[0] for r in df.select(article_text_id(F.col("k"))).collect()] == ["0000000007", "20000000000", "20000000001"]
