@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import received, sent
+from affinity.llm.shared import received, sent, slices_of
 
 # fixed values: element names of HTML with a special role for parsing
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -547,8 +547,8 @@ def extract(
     def run(batches):
         model = received(trees)
         for batch in batches:
-            sources, texts, held, size = batch.column(batch.num_columns - 1).to_pylist(), [], [], 0
-            for s in sources:
+            texts, held, size = [], [], 0
+            for s in (s for part in slices_of(batch, batch.num_columns - 1) for s in part):
                 held.append(s)
                 size += len(s or "")
                 if size >= batch_chars:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import received, sent
+from affinity.llm.shared import received, sent, slices_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: odd multipliers of the n-gram hash (arbitrary, fixed)
@@ -203,7 +203,7 @@ def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col:
     def run(batches):
         model = received(shared)
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(1).to_pylist()]
+            found = [model.predict(t) for part in slices_of(batch, 1) for t in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                 ["doc_id", "lang_pred", "score"],

@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.shared import slices_of
+
 PIECES = (
     "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 )
@@ -160,7 +162,8 @@ def pack(
         id_type, end = None, np.array([end_id], "<u4")
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keys = batch.column(0).to_pylist()
+            for key, text in zip(keys, (t for part in slices_of(batch, 1) for t in part)):
                 cuts = split_points(text or "", 1 << 20)
                 found = [encode(text[a:b]) for a, b in zip(cuts, cuts[1:])] if text else []
                 ids.append(key)

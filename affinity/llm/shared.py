@@ -41,6 +41,13 @@ def received(model: Broadcast):
     return pickle.loads(model.value)
 
 
+def slices_of(batch, column: int, rows: int = 256):
+    """Python values of a batch's column, a few rows at a time (whole columns of texts are large)."""
+    values = batch.column(column)
+    for at in range(0, len(values), rows):
+        yield values.slice(at, rows).to_pylist()
+
+
 def open_store(uri: str):
     """(filesystem, path) for a folder that all executors share; works inside tasks.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm.components import components
-from affinity.llm.shared import staged
+from affinity.llm.shared import slices_of, staged
 
 _BITS_AT_ONCE = 1 << 16
 
@@ -64,8 +64,8 @@ def fingerprints(
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            h = np.array([fingerprint(t, shingle_words) for t in texts], np.uint64).view(np.int64)
+            h = [fingerprint(t, shingle_words) for part in slices_of(batch, 1) for t in part]
+            h = np.array(h, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h)], ["doc_id", "fp"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import open_store, shared_folder, staged
+from affinity.llm.shared import open_store, shared_folder, slices_of, staged
 
 # odd multipliers of the window hash (arbitrary, fixed)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -166,9 +166,8 @@ def _store_blocks(rows: DataFrame, folder: str, block_bytes: int, window: int) -
             )
 
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
             first = 0
-            for i, t in enumerate(texts.to_pylist()):
+            for i, t in enumerate(t for part in slices_of(batch, batch.num_columns - 1) for t in part):
                 size += len(t or "") + 64
                 windows += max(0, len(words_of(t)) - window + 1)
                 if size >= block_bytes:
@@ -314,9 +313,10 @@ def _repeats(rows: DataFrame, window: int, block_bytes: int, shard_windows: int)
 
     sketches = manifest.select("block").repartition(parts, "block").mapInArrow(sketch, _ddl(SKETCH))
     cells = sketches.groupBy("shard").applyInArrow(merge, _ddl(CELLS))
-    candidates = cells.groupBy("block").applyInArrow(entries, _ddl(ENTRY))
+    # a task per block, whatever the (small) bytes that are shuffled: a block is long to process
+    candidates = cells.repartition(parts, "block").groupBy("block").applyInArrow(entries, _ddl(ENTRY))
     marks = candidates.groupBy("shard").applyInArrow(group, _ddl(MARKS))
-    return manifest, marks
+    return manifest.select("block").repartition(parts, "block"), marks.repartition(parts, "block")
 
 
 def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int, shard_windows: int):
@@ -357,7 +357,7 @@ def _deduplicated(docs: DataFrame, id_col: str, text_col: str, window: int, bloc
             source = source.append_column(name, pa.array(values, kind))
         return source
 
-    found = manifest.select("block").groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(finish, ddl)
+    found = manifest.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(finish, ddl)
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "__n_words", "__n_removed", "__kept")
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import received, sent
+from affinity.llm.shared import received, sent, slices_of
 
 WORDS = re.compile(r"[^\W_]+")
 TRIGRAMS, SLOTS, OPENING = 1 << 13, 1 << 17, 5
@@ -489,7 +489,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     def run(batches):
         model = received(shared)
         for batch in batches:
-            texts, best, held, size = batch.column(1).to_pylist(), [], [], 0
+            best, held, size = [], [], 0
 
             def flush():
                 parts = [(k, s) for k, w in enumerate(held) for s in slices(w, model.window)]
@@ -498,7 +498,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
                     top[k], expected[k], windows[k] = max(top[k], v.max()), expected[k] + sigmoid(v).sum(), windows[k] + len(v)
                 best.extend(map(model.score, top, expected, windows))
 
-            for t in texts:
+            for t in (t for part in slices_of(batch, 1) for t in part):
                 held.append(read_words(t))
                 size += len(held[-1].keys)
                 if size > WORDS_AT_ONCE // 2:
