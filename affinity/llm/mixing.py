@@ -131,10 +131,13 @@ def mix(
     )
     plan = _ends(rows, staged(plan, "plan"), seed)
 
-    end = plan.withColumnRenamed("__source", "__planned")
+    end = plan.select(
+        F.col("__source").alias("__planned"), F.col("whole").alias("__whole"), F.col("end").alias("__end")
+    )
     placed = marked.join(end, marked["__source"].eqNullSafe(end["__planned"]))
-    last = F.when(_key(F.col("whole") + 1, seed) < F.col("end"), 1).otherwise(0)
-    passes = F.when(F.col("whole") + last > 0, F.sequence(F.lit(1), F.col("whole") + last)).otherwise(F.array().cast("array<int>"))
+    last = F.when(_key(F.col("__whole") + 1, seed) < F.col("__end"), 1).otherwise(0)
+    n = F.col("__whole") + last
+    passes = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     placed = placed.withColumn("__copy", F.explode(passes)).withColumn("__position", _key(F.col("__copy"), seed))
     block = F.shiftright("__position", DIGIT_BITS * (DIGITS - 1)).alias("__block")
     return placed.select(*docs.columns, "__tokens", "__copy", block, "__position")

@@ -106,8 +106,9 @@ def test_exponent_against_bisection(spark):
 
 
 def test_edge_cases(spark):
-    schema = "doc_id bigint, text string, source string, block string"
-    rows = [(1, "a b", None, ""), (2, None, "x", ""), (3, "", "empty", ""), (4, "c " * 5000, "x", ""), (4, "c " * 5000, "x", ""), (None, "d", "y", None)]
+    schema = "doc_id bigint, text string, source string, whole string, end int, t double"
+    rows = [(1, "a b", None), (2, None, "x"), (3, "", "empty"), (4, "c " * 5000, "x"), (4, "c " * 5000, "x"), (None, "d", "y")]
+    rows = [(*r, "k", None, 0.5) for r in rows]
     docs = spark.createDataFrame(rows, schema)
     got = mixing.mix(docs, cover_all=True, max_repeats=None).collect()
     assert {(r["doc_id"], r["source"]) for r in got} == {(r[0], r[2]) for r in rows}

