@@ -93,7 +93,7 @@ def mix(
     than the budget.
 
     A null source is a source of its own. Null and empty texts have no tokens; they go with each whole pass and
-    with the part of a pass before its end. Sources without tokens are passed once. Rows equal in id, source
+    with the part of a last pass before its end. Sources without tokens are passed once. Rows equal in id, source
     and text share a place and are taken or left together. An empty table gives an empty result.
     """
     if target_entropy is not None and not 0 < target_entropy <= 1:
@@ -150,7 +150,8 @@ def _ends(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     first block that does not fit whole becomes the boundary.
     """
     state = plan.select("__source", "whole", "left", F.lit(0).cast("bigint").alias("end"))
-    done = None
+    done = state.where(F.col("left") <= 0).drop("left")  # nothing is left for a last pass
+    state = state.where(F.col("left") > 0)
     for digit in reversed(range(DIGITS)):
         shift = DIGIT_BITS * digit
         s = state.withColumnRenamed("__source", "__planned")
@@ -184,12 +185,12 @@ def _ends(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
         )
         state = staged(state, "ends")
         settled = state.where("rows <= 1").drop("rows", "left")
-        done = settled if done is None else done.union(settled)
+        done = done.union(settled)
         state = state.where("rows > 1").drop("rows")
         if state.isEmpty():
             break
     rest = state.select("__source", "whole", "end")
-    return staged(done.union(rest) if done is not None else rest, "plan_ends")
+    return staged(done.union(rest), "plan_ends")
 
 
 def _running():

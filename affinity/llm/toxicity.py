@@ -315,20 +315,26 @@ def train(
     batch: int = 256,
     rate: float = 0.01,
     min_docs: int = 8,
+    min_steps: int = 240,
     seed: int = 7,
 ) -> Network:
-    """A network fitted to document labels; every fourth text only calibrates the score."""
+    """A network fitted to document labels; every fourth text only calibrates the score.
+
+    An empty text counts as one more clean text. Small samples are passed more often than ``epochs``, for
+    at least ``min_steps`` steps.
+    """
     rng = np.random.default_rng(seed)
-    y = np.asarray(labels, np.int64)
-    words = [read_words(t) for t in texts]
-    part = np.arange(len(texts)) % 4 != 3
+    y = np.asarray([*labels, 0] if len(labels) else [], np.int64)
+    words = [read_words(t) for t in ([*texts, ""] if len(labels) else [])]
+    part = np.arange(len(words)) % 4 != 3
+    part[-1:] = True
     keys, docs_with = np.unique(
         np.concatenate([np.unique(w.keys) for w, own in zip(words, part) if own] or [np.zeros(0, np.uint64)]),
         return_counts=True,
     )
     net = Network.fresh(keys[docs_with >= min_docs], window, hidden, word_dim, char_dim, open_dim, rng)
     if not len(y[part]) or len(set(y[part].tolist())) < 2:
-        rate_of_one = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 0.0
+        rate_of_one = (y.sum() + 0.5) / (len(labels) + 1.0) if len(labels) else 0.0
         net.scale = (0.0, 0.0, 0.0, float(np.log(rate_of_one / (1 - rate_of_one))) if 0 < rate_of_one < 1 else -5.0)
         return net
     numbers = [net.word_numbers(w.keys) for w in words]
@@ -359,12 +365,13 @@ def train(
                 rows += [(i, first[j], 1) for j in top if r[j] >= r[top[0]] - 1.0]
             else:
                 rows += [(i, first[j], 0) for j in {*top.tolist(), int(rng.integers(len(first)))}]
-        return rows
+        return rows + [(len(words) - 1, 0, 0)] * (len(rows) // 50)
 
     optimiser = _Adam(net.p, rate)
     rows = chosen(guess)
+    epochs = max(epochs, -(-min_steps * batch // max(1, len(rows))))
     for epoch in range(epochs):
-        if epoch in (2, 4):
+        if epoch in (epochs // 3, 2 * epochs // 3):
             rows = chosen(net.window_logits(words))
         balance = max(1.0, min(8.0, sum(1 for r in rows if not r[2]) / max(1, sum(r[2] for r in rows)) / 2))
         order = rng.permutation(len(rows))
@@ -425,16 +432,26 @@ def _train_step(net, optimiser, picked, words, numbers, balance, rng) -> None:
     optimiser.step(p, g)
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple:
-    """Weights of a logistic curve over text summaries, fitted by Newton steps with a light penalty."""
-    w, start = np.array([1.0, 0.0, 0.0, 0.0]), np.array([1.0, 0.0, 0.0, 0.0])
+def _calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple:
+    """Weights of a logistic curve over text summaries: Newton steps, halved until the penalised loss falls."""
+    start = np.array([1.0, 0.0, 0.0, 0.0])
+
+    def loss(w):
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.15 * ((w - start) ** 2).sum())
+
+    w, now = start, loss(start)
     for _ in range(rounds):
         p = sigmoid(x @ w)
         grad = x.T @ (p - y) + 0.3 * (w - start)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.3 * np.eye(4), grad)
-        w = w - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        new = loss(w - size * step)
+        if new >= now - 1e-9:
             break
+        w, now = w - size * step, new
     return tuple(w.tolist())
 
 

@@ -143,7 +143,7 @@ def _range(f, at: int, n: int) -> bytes:
 def central_directory(f, size: int) -> tuple[int, int, int]:
     """Offset, length and entry count of the central directory, from the end record or its ZIP64 form."""
     tail = _range(f, max(0, size - 22 - MAX16), min(size, 22 + MAX16))
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, max(0, len(tail) - 18))  # an end record takes 22 bytes
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(END, 0, at)
     if at < 0:

@@ -100,7 +100,7 @@ def test_exponent_against_bisection(spark):
     rng = np.random.default_rng(2)
     for _ in range(4):
         n = rng.integers(1, 10_000, 12)
-        shares = spark.createDataFrame([(float(x) / n.sum(),) for x in n], "p double")
+        shares = spark.createDataFrame([(float(x / n.sum()),) for x in n], "p double")
         t, _, _ = mixing.find_exponent(shares, 0.9 * math.log(12), 5.0, 1.0)
         assert t == pytest.approx(slow_exponent(n.tolist(), 0.9, 5.0, float(n.sum())), abs=2e-7)
 

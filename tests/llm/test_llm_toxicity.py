@@ -8,7 +8,8 @@ from affinity.llm import queries, toxicity
 
 def made_up(rng, n):
     stems = ["zorg", "blix", "quam"]
-    plain = ["".join(rng.choice(list("aeioulmnrst"), 2 + k % 4)) for k in range(200)]
+    letters = np.random.default_rng(99)  # one vocabulary for all texts
+    plain = ["".join(letters.choice(list("aeioulmnrst"), 2 + k % 4)) for k in range(400)]
     texts, labels = [], []
     for i in range(n):
         words = list(rng.choice(plain, int(rng.integers(5, 120))))

@@ -22,7 +22,7 @@ def archive(records, big=False, comment=b""):
     if comment:
         data = data[:-2] + struct.pack("<H", len(comment)) + comment
     if big:  # the end record points to its ZIP64 form
-        at = data.rfind(warc_zip.END)
+        at = len(data) - 22 - len(comment)
         n, size, offset = struct.unpack_from("<HII", data, at + 10)
         end64 = warc_zip.END64 + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, n, n, size, offset)
         locator = warc_zip.LOCATOR + struct.pack("<IQI", 0, at, 1)
