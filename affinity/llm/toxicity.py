@@ -498,6 +498,27 @@ def fit(
     return train([r["text"] for r in sample], [r["label"] for r in sample], **options)
 
 
+def _scores(batch: pa.RecordBatch, column: int, model: Network) -> list[float]:
+    """Score of each text of a batch, scored in groups of bounded size."""
+    best, held, size = [], [], 0
+
+    def flush():
+        parts = [(k, s) for k, w in enumerate(held) for s in slices(w, model.window)]
+        top, expected, windows = np.full(len(held), -np.inf), np.zeros(len(held)), np.zeros(len(held), np.int64)
+        for (k, _), v in zip(parts, model.window_logits([s for _, s in parts])):
+            top[k], expected[k], windows[k] = max(top[k], v.max()), expected[k] + sigmoid(v).sum(), windows[k] + len(v)
+        best.extend(map(model.score, top, expected, windows))
+
+    for t in (t for part in slices_of(batch, column) for t in part):
+        held.append(read_words(t))
+        size += len(held[-1].keys)
+        if size > WORDS_AT_ONCE // 2:
+            flush()
+            held, size = [], 0
+    flush()
+    return best
+
+
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)`` for every whole text."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -506,22 +527,7 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     def run(batches):
         model = received(shared)
         for batch in batches:
-            best, held, size = [], [], 0
-
-            def flush():
-                parts = [(k, s) for k, w in enumerate(held) for s in slices(w, model.window)]
-                top, expected, windows = np.full(len(held), -np.inf), np.zeros(len(held)), np.zeros(len(held), np.int64)
-                for (k, _), v in zip(parts, model.window_logits([s for _, s in parts])):
-                    top[k], expected[k], windows[k] = max(top[k], v.max()), expected[k] + sigmoid(v).sum(), windows[k] + len(v)
-                best.extend(map(model.score, top, expected, windows))
-
-            for t in (t for part in slices_of(batch, 1) for t in part):
-                held.append(read_words(t))
-                size += len(held[-1].keys)
-                if size > WORDS_AT_ONCE // 2:
-                    flush()
-                    held, size = [], 0
-            flush()
+            best = _scores(batch, 1, model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
@@ -557,9 +563,16 @@ def classify(
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose text scores below ``threshold``, every column as it was (null and empty texts stay)."""
-    net = fit(docs, labels, id_col, text_col, "toxic", ~in_fold(id_col, 5, 0))
-    names = docs.columns
-    keyed = docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("id"), F.col(text_col).alias("text"))
-    found = score(keyed, net, "id", "text").where(F.col("score") < threshold)
-    return found.select(*[F.col(f"doc_id.c{i}").alias(c) for i, c in enumerate(names)])
+    """The rows whose text (a string column) scores below ``threshold``, every column as it was (null and
+    empty texts stay)."""
+    shared = sent(docs.sparkSession, fit(docs, labels, id_col, text_col, "toxic", ~in_fold(id_col, 5, 0)))
+    names, at = docs.columns, docs.columns.index(text_col)
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+
+    def run(batches):
+        model = received(shared)
+        for batch in batches:
+            yield batch.filter(pa.array([x < threshold for x in _scores(batch, at, model)], pa.bool_()))
+
+    kept = rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
