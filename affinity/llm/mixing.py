@@ -1,8 +1,9 @@
 """Mixing sources to target weights by temperature.
 
 Token shares p of the sources are raised to an exponent t and normalised: t = 1 keeps the shares, t = 0
-makes all sources equal. The exponent is found by bisection: the flattest mix whose entropy does not
-exceed the target and in which no source is repeated more often than allowed. Each weight becomes a token
+makes all sources equal, t > 1 favours the large ones. The exponent is found by bisection: the flattest mix
+whose entropy does not exceed the target and in which no source is repeated more often than allowed. Limits
+that no exponent meets are an error, or the entropy comes as near as the repeats allow. Each weight becomes a token
 budget. A source's budget is its number of whole passes and a part of one more; every pass is its own seeded
 permutation of the documents in blocks, and the last pass ends where the budget is used up.
 
@@ -13,6 +14,7 @@ successive digits of the permutation key, so a source of any size is spread over
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +43,8 @@ def find_exponent(
 ) -> tuple[float, float, float]:
     """``(exponent, sum of p^t, budget as a share of all tokens)`` over ``shares(p)``.
 
-    The smallest t in [0, 1] at which both limits hold; entropy and repeats both fall as t grows, and at 1
-    the mix is the corpus itself. A round evaluates ``GRID`` points of the interval in one job (the bisection,
+    The smallest t in [0, 1] at which both limits hold, or 1 if they hold nowhere in it (``solve_exponent``
+    looks beyond); entropy and repeats both fall as t grows, and at 1 the mix is the corpus itself. A round evaluates ``GRID`` points of the interval in one job (the bisection,
     five bits at a time). ``budget_share`` None: the smallest budget that passes every source at least once.
     """
     low, high = 0.0, 1.0
@@ -68,6 +70,81 @@ def find_exponent(
     return found, z, budget_share if budget_share is not None else z / least
 
 
+def solve_exponent(
+    shares: DataFrame,
+    target_entropy: float | None,
+    max_repeats: float | None,
+    budget_share: float | None,
+    on_conflict: str = "error",
+    rounds: int = 5,
+) -> tuple[float, float, float]:
+    """``(exponent, logarithm of the sum of p^t, budget as a share of all tokens)`` over ``shares(p)``: the
+    smallest t >= 0 at which both limits hold.
+
+    Above 1 entropy still falls as t grows, but repeats of the largest source grow. If no t meets both
+    limits, ``on_conflict`` "error" raises a ValueError; "nearest" warns and takes the largest t
+    that keeps the repeats. A budget that no mix can spend within ``max_repeats`` is always an error.
+    """
+    if budget_share is not None and max_repeats is not None and budget_share > max_repeats * (1 + 1e-12):
+        raise ValueError(f"a budget of {budget_share:.6g} times the corpus cannot be spent in {max_repeats:.6g} passes of each source")
+    lp = F.ln("p")
+    least, top, own = shares.agg(F.min("p"), F.max("p"), -F.sum(F.col("p") * lp)).first()
+    if target_entropy is None or own <= target_entropy + 1e-12:
+        t, z, share = find_exponent(shares, target_entropy, max_repeats, budget_share, rounds)
+        return t, math.log(z), share
+    log_least, log_top = math.log(least), math.log(top)
+    log_limit = math.inf if max_repeats is None else math.log(max_repeats) + 1e-12
+
+    def evaluate(points):
+        """Per exponent: itself, entropy, ln of the sum of p^t, of the budget and of the most repeats (in logarithms,
+        and p over the largest, since p^t underflows)."""
+        aggregates = []
+        for t in points:
+            power = F.exp((lp - F.lit(log_top)) * F.lit(t))
+            aggregates += [F.sum(power), F.sum(power * (lp - F.lit(log_top)))]
+        row = shares.agg(*aggregates).first()
+        found = []
+        for i, t in enumerate(points):
+            z, zl = row[2 * i : 2 * i + 2]
+            log_z = t * log_top + math.log(z)
+            if budget_share is None:
+                log_budget = log_z - (t - 1) * log_least
+            else:
+                log_budget = math.log(budget_share) if budget_share else -math.inf
+            found.append((t, math.log(z) - t * zl / z, log_z, log_budget, log_budget + (t - 1) * log_top - log_z))
+        return found
+
+    def bracket(holds, low, high):
+        """Neighbouring points, the second of which is the first where ``holds``, which holds at ``high``."""
+        for _ in range(rounds):
+            rows = [low, *evaluate([low[0] + (high[0] - low[0]) * i / GRID for i in range(1, GRID)]), high]
+            i = next(i for i in range(1, GRID + 1) if i == GRID or holds(rows[i]))
+            low, high = rows[i - 1], rows[i]
+        return low, high
+
+    reached = lambda row: row[1] <= target_entropy + 1e-12
+    over = lambda row: row[4] > log_limit
+    ladder = evaluate([2.0**i for i in range(33)])
+    step = next((i for i, row in enumerate(ladder) if reached(row)), None)
+    best = bracket(reached, ladder[step - 1], ladder[step])[1] if step is not None else None
+    if best is None or over(best):
+        if best is None:
+            said = f"no exponent brings the entropy of the sources' shares down to {target_entropy:.6g}"
+        else:
+            said = f"at an entropy of {target_entropy:.6g} a source is repeated {math.exp(min(best[4], 700)):.6g} times, above the limit of {max_repeats:.6g}"
+        if on_conflict == "error" or max_repeats is None:
+            raise ValueError(f"{said}; shares of the corpus itself have {own:.6g}")
+        end = next((i for i, row in enumerate(ladder) if over(row)), None)
+        if least == top:
+            best = ladder[0]
+        else:
+            best = ladder[-1] if end is None else bracket(over, ladder[end - 1], ladder[end])[0]
+        warnings.warn(f"{said}; mixed to {best[1]:.6g} with the exponent {best[0]:.6g}", stacklevel=2)
+    if best[4] > math.log(1 << 31):
+        raise ValueError(f"at an entropy of {target_entropy:.6g} a source is repeated more than 2^31 times")
+    return best[0], best[2], math.exp(best[3])
+
+
 def _key(copy: Column, seed: int) -> Column:
     """60-bit place of a row in the permutation of one pass."""
     return F.shiftrightunsigned(F.xxhash64("__row", copy.cast("int"), F.lit(seed)), 64 - DIGIT_BITS * DIGITS)
@@ -83,10 +160,13 @@ def mix(
     budget_tokens: float | None = None,
     cover_all: bool = False,
     seed: int = 1,
+    on_conflict: str = "error",
 ) -> DataFrame:
     """All columns of ``docs`` and ``__tokens, __copy, __block, __position``: a row per document and pass.
 
-    ``target_entropy`` is a share of the entropy of equal weights. The budget is ``budget_tokens``, or the
+    ``target_entropy`` is a share of the entropy of equal weights, met from either side: a corpus whose own
+    shares are flatter is sharpened. If it cannot be met within ``max_repeats``, ``on_conflict`` "error" raises
+    a ValueError and "nearest" warns and comes as near as the repeats allow. The budget is ``budget_tokens``, or the
     corpus's own tokens, or, with ``cover_all``, the smallest at which every source is passed at least
     once. Tokens are runs of non-white space. ``__block`` (the first digit of the pass's key) and
     ``__position`` give the order of a pass. A pass that ends takes whole documents only and never more
@@ -102,6 +182,8 @@ def mix(
         raise ValueError("max_repeats must be 1 or more")
     if budget_tokens is not None and budget_tokens < 0:
         raise ValueError("budget_tokens must not be negative")
+    if on_conflict not in ("error", "nearest"):
+        raise ValueError("on_conflict must be error or nearest")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marked = docs.withColumns(
         {
@@ -121,9 +203,10 @@ def mix(
     share = None if cover_all else (total if budget_tokens is None else float(budget_tokens)) / total
     p = sources.where("t > 0").select((F.col("t") / F.lit(total)).alias("p"))
     limit = target_entropy * math.log(n) if target_entropy is not None else None
-    exponent, z, share = find_exponent(p, limit, max_repeats, share)
-    weight = F.exp(F.ln(F.col("t") / F.lit(total)) * F.lit(exponent)) / F.lit(z)
-    quota = F.when(F.col("t") > 0, F.round(weight * F.lit(share * total)).cast("bigint")).otherwise(F.lit(0))
+    exponent, log_z, share = solve_exponent(p, limit, max_repeats, share, on_conflict)
+    weight = F.exp(F.ln(F.col("t") / F.lit(total)) * F.lit(exponent) - F.lit(log_z))
+    quota = F.round(weight * F.lit(share * total)).cast("bigint")
+    quota = F.when(F.col("t") > 0, F.greatest(quota, "t") if cover_all else quota).otherwise(F.lit(0))
     plan = sources.withColumn("quota", quota).select(
         "__source",
         F.when(F.col("t") > 0, F.floor(F.col("quota") / F.col("t"))).otherwise(F.lit(1)).cast("int").alias("whole"),

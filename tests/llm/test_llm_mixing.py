@@ -126,3 +126,91 @@ def test_edge_cases(spark):
 def test_query_meets_its_target(spark):
     got = queries.QUERIES["op10_temperature_mixing"](spark, "/root/testdata/sf0.001").collect()
     assert {r["copy"] for r in got} >= {1} and max(r["copy"] for r in got) <= 5
+
+
+def sharpened(tokens, entropy):
+    """Exponent above 1 at which the entropy falls to the target, and the weights, by plain bisection."""
+    p = np.array([t / sum(tokens) for t in tokens])
+
+    def mixed(t):
+        w = (p / p.max()) ** t / ((p / p.max()) ** t).sum()
+        return -(w * np.log(w)).sum() / math.log(len(p)), w
+
+    low, high = 1.0, 100.0
+    assert mixed(low)[0] > entropy > mixed(high)[0]
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if mixed(mid)[0] > entropy else (low, mid)
+    return high, mixed(high)[1]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_spends_what_its_target_says(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    size = {r[0]: len(WORD.findall(r[1] or "")) for r in rows}
+    tokens = {s: n for s, n in tokens_of(rows).items() if n}
+    names, total = sorted(tokens), sum(tokens.values())
+    _, w = sharpened([tokens[s] for s in names], 0.98)
+    assert max(w * total / [tokens[s] for s in names]) <= 4.0
+    got, spent = defaultdict(set), Counter()
+    for r in queries.QUERIES["op10_temperature_mixing"](spark, f"/root/testdata/{sf}").collect():
+        got[r["source"], r["copy"]].add(r["doc_id"])
+        spent[r["source"]] += r["n_tokens"]
+    every = mixing.mix(docs, target_entropy=None, max_repeats=None, budget_tokens=20.0 * total)
+    place = {(r["source"], r["__copy"], r["doc_id"]): r["__position"] for r in every.where("__copy <= 5").collect()}
+    for s, weight in zip(names, w):
+        left, copy = round(weight * total), 0
+        quota, ids = left, {r[0] for r in rows if r[2] == s}
+        while left >= tokens[s]:
+            copy, left = copy + 1, left - tokens[s]
+            assert got[s, copy] == ids
+        want = set()
+        for d in sorted(ids, key=lambda d: place[s, copy + 1, d]) if left else []:
+            if size[d] > left:
+                break
+            left -= size[d]
+            want.add(d)
+        assert got[s, copy + 1] == want and not got[s, copy + 2]
+        assert spent[s] == quota - left
+
+
+def test_limits_that_contradict_each_other(spark):
+    _, docs = docs_of(spark, {"a": 400, "b": 390, "c": 380, "d": 370}, seed=3)
+    with pytest.raises(ValueError, match="cannot be spent"):
+        mixing.mix(docs, budget_tokens=1e6, max_repeats=4.0)
+    with pytest.raises(ValueError, match="repeated"):
+        mixing.mix(docs, target_entropy=0.5, max_repeats=1.5)
+    equal = spark.createDataFrame([(i, "a b c", "xyz"[i % 3]) for i in range(30)], "doc_id bigint, text string, source string")
+    with pytest.raises(ValueError, match="no exponent"):
+        mixing.mix(equal, target_entropy=0.9)
+    with pytest.raises(ValueError, match="on_conflict"):
+        mixing.mix(equal, on_conflict="ignore")
+    with pytest.warns(UserWarning, match="no exponent"):
+        assert mixing.mix(equal, target_entropy=0.9, cover_all=True, on_conflict="nearest").count() == 30
+
+
+def test_nearest_mix_keeps_coverage_and_repeats(spark):
+    rows, docs = docs_of(spark, {"a": 400, "b": 390, "c": 380, "d": 300}, seed=5)
+    tokens = tokens_of(rows)
+    with pytest.warns(UserWarning, match="above the limit of 2"):
+        got = mixing.mix(docs, target_entropy=0.7, max_repeats=2.0, cover_all=True, on_conflict="nearest").collect()
+    spent, first = Counter(), Counter()
+    for r in got:
+        spent[r["source"]] += r["__tokens"]
+        first[r["doc_id"]] += r["__copy"] == 1
+    assert set(first.values()) == {1} and len(first) == len(rows)
+    top, least = max(tokens.values()), min(tokens.values())
+    t = 1 + math.log(2.0) / math.log(top / least)
+    for s, n in tokens.items():
+        quota = n * (n / least) ** (t - 1)
+        assert quota - 61 <= spent[s] <= quota + 1 <= 2 * n + 2
+
+
+def test_exponents_far_above_one(spark):
+    shares = spark.createDataFrame([(0.25 + d,) for d in (2e-5, 1e-5, -1e-5, -2e-5)], "p double")
+    t, log_z, share = mixing.solve_exponent(shares, 0.9 * math.log(4), None, 1.0)
+    p = 0.25 + np.array([2e-5, 1e-5, -1e-5, -2e-5])
+    w = np.exp(t * np.log(p) - log_z)
+    assert w.sum() == pytest.approx(1) and -(w * np.log(w)).sum() == pytest.approx(0.9 * math.log(4), abs=1e-6)
+    assert share == 1.0 and t > 1000
