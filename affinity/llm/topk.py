@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from affinity.llm.shared import staged
 
 DIMENSION_BLOCK = 8
+TILE_VALUES = 1 << 23  # at most in a tile: long vectors make tiles of fewer rows
 
 
 def best_in_tile(
@@ -93,21 +94,22 @@ def _tiles(rows: DataFrame, tile_rows: int, dims: int) -> DataFrame:
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``(vec_id, dims, v array<bigint>)`` with v = floor(scale * x); vectors that are null, empty or hold
-    null or non-finite components take no part, nor do null ids. A component of 2^26 or more after
-    scaling is an error, as is a vector of over 1024 components: sums would not be exact."""
+    null or non-finite components take no part, nor do null ids. A squared norm of 2^62 or more is an
+    error (1024 components of 2^26 reach it): below it every partial sum of a product fits 64 bits."""
     x = F.col(vector_col).cast("array<double>")
     usable = F.coalesce(
         (F.size(x) > 0) & F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))),
         F.lit(False),
     )
-    too_large = F.raise_error(F.lit("a scaled component is 2^26 or more, or a vector over 1024 long"))
+    too_large = F.raise_error(F.lit("a scaled vector's squared norm is 2^62 or more, as of 1024 components of 2^26"))
 
     def whole(c):
-        y = F.floor(c * F.lit(float(scale)))
-        return F.when((F.abs(c * F.lit(float(scale))) < F.lit(float(1 << 26))) & (F.size(x) <= 1024), y).otherwise(too_large)
+        return F.floor(c * F.lit(float(scale)))
 
+    norm = F.aggregate(x, F.lit(0.0), lambda a, c: a + whole(c).cast("double") * whole(c).cast("double"))
+    v = F.when(norm < F.lit(float(1 << 62)), F.transform(x, whole)).otherwise(too_large)
     return vectors.where(usable & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("vec_id"), F.size(x).alias("dims"), F.transform(x, whole).alias("v")
+        F.col(id_col).cast("bigint").alias("vec_id"), F.size(x).alias("dims"), v.alias("v")
     )
 
 
@@ -127,7 +129,8 @@ def top_k(
     the query's own. Only vectors of equal length are compared. Ties go to the smaller id; a query with
     fewer than k candidates gets all. Repeated ids: rows are told apart by position, a query leaves out
     every row of its own id. Vectors that are null, empty or hold null or non-finite components take no
-    part; other columns are ignored; an empty table gives an empty result.
+    part; other columns are ignored; an empty table gives an empty result. A vector whose squared norm after
+    scaling is 2^62 or more is an error.
     """
     spark = vectors.sparkSession
     rows = staged(quantised(vectors, id_col, vector_col, scale), "quantised")
@@ -138,8 +141,9 @@ def top_k(
     found = None
     for dims in sizes or [1]:
         own = rows.where(F.col("dims") == dims)
-        queries = _tiles(own.where(is_query).repartition(F.col("vec_id")), query_tile_rows, dims)
-        candidates = _tiles(own, tile_rows, dims)
+        most = max(1, TILE_VALUES // dims)
+        queries = _tiles(own.where(is_query).repartition(F.col("vec_id")), min(query_tile_rows, most), dims)
+        candidates = _tiles(own, min(tile_rows, most), dims)
         part = _search(staged(queries, "query_tiles"), staged(candidates, "tiles"), dims, k, parts)
         found = part if found is None else found.union(part)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -114,6 +114,18 @@ def test_top_k_ties_and_edge_cases(spark):
         topk.top_k(frame(spark, [(0, [1e9], None, 1), (1, [1.0], None, 1)])).collect()
 
 
+def test_top_k_of_long_vectors_and_large_components(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.round(rng.normal(0, 1, 1536), 3)], None, 1) for i in range(40)]
+    rows += [(100 + i, [float(x) for x in rng.integers(-(2**24), 2**24, 3)], None, 1) for i in range(30)]  # scaled, up to 2^30
+    got = topk.top_k(frame(spark, rows), k=5, tile_rows=16).collect()
+    assert sorted(tuple(r) for r in got) == brute_top(rows, 5)
+    assert max(abs(r["score"]) for r in got) > 2**54
+    for bad in ([2.0**25], [1.5 * 2.0**24, 1.5 * 2.0**24], [1e308, 0.0]):  # scaled, a squared norm of 2^62 and more
+        with pytest.raises(Exception, match="2\\^62"):
+            topk.top_k(frame(spark, [(0, bad, None, 1), (1, [1.0] * len(bad), None, 1)])).collect()
+
+
 def test_bound_keeps_every_candidate_that_can_tie():
     rng = np.random.default_rng(9)
     for _ in range(60):
