@@ -1,12 +1,11 @@
 """Surrogate ids.
 
-Dense 0-based ids in key order, without a global single-task sort:
+Dense 0-based row numbers in the order of any columns, without a global single-task sort:
 
-1. distinct keys are range-partitioned on the key (sampled bounds, many tasks);
-2. the partitioned keys are checkpointed, so both later passes see the same partitions;
-3. rows per partition are counted and turned into offsets (one row per partition: its size is
-   bounded by the partition count, so broadcasting it is safe);
-4. each key's id = offset of its partition + its row number inside the partition.
+1. rows are range-partitioned on the order (sampled bounds, many tasks) and sorted within partitions;
+2. they are written once to the shared checkpoint folder, so file after file the table is sorted;
+3. reading back, a row's place in its file comes from the scan's own metadata, and the rows of the
+   files before it are added: one offset per file, so broadcasting the offsets is safe.
 
 ``monotonically_increasing_id`` is not used: it leaves gaps and depends on partitioning.
 Ids follow key order, not file order (Spark files have no row order).
@@ -14,12 +13,51 @@ Ids follow key order, not file order (Spark files have no row order).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.session import reliable_checkpoint
+from affinity.session import checkpoint_dir
+
+# Names Spark gives the files of a write: the task's number, then the file's number within the task.
+PART_FILE = re.compile(r"part-(\d+)-.*?(?:-c|\.c)(\d+)")
+
+
+def _file_place(name: str) -> tuple[int, int]:
+    found = PART_FILE.match(name)
+    if not found:
+        raise ValueError(f"not a part file: {name}")
+    return int(found[1]), int(found[2])
 
-_PID = "_range_part"
+
+def numbered(
+    df: DataFrame,
+    order: list[Column],
+    out: str,
+    num_partitions: int | None = None,
+    rows_per_file: int = 1_000_000,
+) -> DataFrame:
+    """``df`` with ``out`` = 0-based number of the row in ``order`` (rows equal in ``order`` in any order).
+
+    The number of tasks is ``num_partitions`` or, by default, what adaptive execution makes of the
+    bytes; a task's rows go to files of at most ``rows_per_file`` rows, so that scans split well.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(int(num_partitions), *order) if num_partitions else df.repartitionByRange(*order)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/numbered-{uuid.uuid4().hex}"
+    ranged.sortWithinPartitions(*order).write.option("maxRecordsPerFile", int(rows_per_file)).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    sizes = back.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count("*").alias("n")).collect()
+    before, offsets = 0, []
+    for name, n in sorted(((r["f"], r["n"]) for r in sizes), key=lambda x: _file_place(x[0])):
+        offsets.append((name, before))
+        before += n
+    places = F.broadcast(spark.createDataFrame(offsets, "__file string, __before bigint"))
+    rows = back.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    number = (F.col("__before") + F.col("__row")).cast("bigint")
+    return rows.join(places, "__file").select(*[F.col(f"`{c}`") for c in df.columns], number.alias(out))
 
 
 def dense_ids(
@@ -29,29 +67,9 @@ def dense_ids(
     num_partitions: int | None = None,
     keys_per_partition: int = 1_000_000,
 ) -> DataFrame:
-    """``(key, id)`` for the sorted distinct non-null keys of ``df``, ids 0..n-1.
-
-    Without ``num_partitions`` the range partition count follows the number of distinct keys
-    (about ``keys_per_partition`` each), so a small dimension on a cluster configured for
-    terabyte shuffles does not become thousands of near-empty tasks.
-    """
+    """``(key, id)`` for the sorted distinct non-null keys of ``df``, ids 0..n-1."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if num_partitions is None:
-        keys = reliable_checkpoint(keys)  # counted, then range-partitioned
-        n = max(1, -(-keys.count() // max(1, keys_per_partition)))
-    else:
-        n = int(num_partitions)
-    ranged = keys.repartitionByRange(n, key).withColumn(_PID, F.spark_partition_id())
-    ranged = reliable_checkpoint(ranged)
-    sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(_PID).orderBy(key)) - 1
-    return (
-        ranged.withColumn("_local", local)
-        .join(F.broadcast(offsets), _PID)
-        .select(key, (F.col("_off") + F.col("_local")).cast("bigint").alias(id_col))
-    )
+    return numbered(keys, [F.col(key)], id_col, num_partitions, keys_per_partition)
 
 
 def encode_pairs(
