@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import (
+    divergence,
     embed_join,
     html_extract,
+    importance,
     langid,
     mixing,
     packing,
@@ -87,6 +89,16 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_crc_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = importance.resample(docs, target, percent=25, min_words=20, ngrams=2, buckets=10_000, seed=7)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_epsilon_grid_join": op2_epsilon_grid_join,
@@ -98,6 +110,8 @@ QUERIES = {
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
     "op9_boosted_html_extraction": op9_boosted_html_extraction,
     "op10_temperature_mixing": op10_temperature_mixing,
+    "op12_crc_importance_resampling": op12_crc_importance_resampling,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -163,4 +177,85 @@ ORACLE: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
                vec_id, score FROM s QUALIFY rank <= 20
     """,
+    "op12_crc_importance_resampling": """
+        WITH RECURSIVE poly AS (
+            SELECT i, i AS c, 0 AS k FROM range(256) r(i)
+            UNION ALL
+            SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM poly WHERE k < 8
+        ), crc_table AS (
+            SELECT list(c ORDER BY i) AS t FROM poly WHERE k = 8
+        ), texts AS (
+            SELECT row_number() OVER () AS r, doc_id, text, 's' AS side FROM documents
+            UNION ALL SELECT row_number() OVER (), NULL, text, 't' FROM benchmark
+        ), w AS (
+            SELECT r, doc_id, side, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts
+        ), f AS (
+            SELECT side, r, unnest(list_concat(words, list_transform(range(1, len(words)),
+                lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM w
+        ), bytes AS (
+            SELECT feature, list_transform(range(1, octet_length(encode(feature)) + 1),
+                lambda i: ('0x' || substr(hex(encode(feature)), (2 * i - 1)::INTEGER, 2))::BIGINT) AS b
+            FROM (SELECT DISTINCT feature FROM f)
+        ), crc AS (
+            SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc_table
+        ), n AS (
+            SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t
+            FROM f JOIN crc USING (feature) GROUP BY bucket
+        ), gain AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS g FROM n
+        ), per_doc AS (
+            SELECT r, count(*) AS n_features, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight
+            FROM f JOIN crc USING (feature) JOIN gain USING (bucket) WHERE side = 's' GROUP BY r
+        ), scored AS (
+            SELECT w.r, doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || doc_id), 8))::BIGINT + 0.5::DOUBLE)
+                       / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM w LEFT JOIN per_doc USING (r) WHERE side = 's'
+        ), ranked AS (
+            SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+        )
+        SELECT doc_id, n_features::BIGINT AS n_features, weight, score, rank
+        FROM scored LEFT JOIN (SELECT r, rank FROM ranked WHERE rank <= 25 * n // 100) USING (r)
+    """,
+    "op13_source_divergence": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents
+        ), t AS (
+            SELECT r, lang, source, unnest(words) AS term FROM d
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+        ), v AS (
+            SELECT lang, count(*) AS terms, sum(n) AS total FROM kept GROUP BY lang
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), full_counts AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, kept.n AS n_lang,
+                   sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+            FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+        ), p AS (
+            SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)::HUGEINT) // (f.total + 5 * terms) AS p,
+                   1 + (1000000000 * (n_lang + 5)::HUGEINT) // (v.total + 5 * terms) AS q
+            FROM full_counts f JOIN v USING (lang)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+        WHERE part = 'pair' OR rank <= 50
+    """,
 }
