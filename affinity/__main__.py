@@ -65,7 +65,7 @@ def _train(spark, a) -> dict:
         learning_rate=a.learning_rate, batch_size=a.batch_size, epochs=a.epochs,
         validation_share=a.val_perc, seed=a.seed, source=path, n_rows=a.n_rows,
         init_scale=a.init_scale, batch_share=a.batch_share, max_exponent=a.max_exponent,
-        log_param_changes=a.log_param_changes,
+        log_param_changes=a.log_param_changes, resume=a.resume,
     )
     return {"steps": model.step, "history": model.history}
 
@@ -141,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--batch-share", type=float, default=None, help="batch size as a share of the pairs")
     s.add_argument("--max-exponent", type=float, default=None, help="bound on the exponent (default: none)")
     s.add_argument("--log-param-changes", action="store_true")
+    s.add_argument("--resume", action="store_true", help="continue from the newest complete snapshot")
 
     s = sub.add_parser("score", help="recommend, evaluate and write the submission")
     common(s)

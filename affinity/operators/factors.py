@@ -16,14 +16,17 @@ One optimisation step is a Spark job over the batch's pairs:
 - they join the factor rows of both sides (AQE picks the join by run-time size);
 - ``delta = 2 (w_hat - w) w_hat`` per pair; both gradient sides are one grouped sum by (side, id)
   with map-side partial sums;
-- Adam updates *every* factor row (rows absent from the batch get gradient 0 but still move
-  with their momentum, as dense optimiser state does);
-- the new parameter table (both sides) is written to one of two alternating slots in the
-  shared checkpoint folder each step and read back: lineage stays one step long and the state
-  survives executor loss. At the end of a fit only the table of the final parameters is left.
+- Adam moves *every* factor row in every step, as dense optimiser state does: rows without a gradient
+  move with their momentum. The fit keeps the rows in a log-structured store (``param_log``): a step
+  reads and appends the rows of its batch only, and a row's missed steps are replayed when it is
+  next read. So a step costs what its batch costs, not what all entities cost.
+- all rows are brought up to date and written once per epoch, in the shared checkpoint folder; the
+  state survives executor loss. At the end of a fit only the table of the final parameters is left.
+
+``gradient_step`` alone is one dense step on two whole factor tables.
 
 ``batch_share`` fixes the number of steps per epoch whatever the data size; with ``batch_size``
-(rows) it grows with the data, and every step rewrites the parameter table.
+(rows) it grows with the data, and so does an epoch's number of jobs.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ from pyspark.sql import functions as F
 
 from affinity.functions.hashing import normal
 from affinity.functions.scores import factor_names, score_exponent
-from affinity.session import reliable_checkpoint
+from affinity.operators.param_log import AT, LAST, USES, WINDOW, ParamLog, number, shrunk_sql
+from affinity.session import staged
 from affinity.sources import schemas as S
 
 # Deterministic test factors (integer arithmetic, one division by a double).
@@ -110,9 +114,9 @@ def with_moments(factors: DataFrame, k: int) -> DataFrame:
 class Model:
     """Factor tables (with Adam moments), global intercept and its moments, step counter."""
 
-    customers: DataFrame
-    articles: DataFrame
-    intercept: float
+    customers: DataFrame | None
+    articles: DataFrame | None
+    intercept: float | Column
     k: int
     step: int = 0
     m_g: float = 0.0
@@ -123,14 +127,8 @@ class Model:
 
 
 class ParamStore:
-    """Written tables in the shared checkpoint folder, used to cut lineage during a fit.
-
-    Parameter tables alternate between two slots (overwrite), so a fit keeps at most two
-    generations on disk however many steps it runs; RDD checkpoints would leave one full copy
-    per step behind. Each read-back is a fresh scan: lineage is one step long and the state
-    survives executor loss. A model taken from an earlier step must be copied (``save_model``)
-    before the slot it lives in is reused two steps later.
-    """
+    """Written tables of a fit in a folder of its own under the shared checkpoint folder, used to cut
+    lineage: each read-back is a fresh scan and survives executor loss."""
 
     def __init__(self, spark, name: str = "fit"):
         import uuid
@@ -139,32 +137,28 @@ class ParamStore:
 
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/affinity-{name}-{uuid.uuid4().hex}"
-        self.generation = 0
 
-    def put(self, df: DataFrame, slot: str | None = None, partition_by=None) -> DataFrame:
-        if slot is None:
-            slot = f"params_{self.generation % 2}"
-            self.generation += 1
-        path = f"{self.base}/{slot}"
+    def put(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
+        path = f"{self.base}/{name}"
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, keep: str | None = None) -> None:
-        """Delete the store's tables, but for the slot ``keep``."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.base)
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
-            return
-        for status in fs.listStatus(hadoop):
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def drop_one(self, name: str) -> None:
+        """Delete one table, if it is there."""
+        path, fs = self._path(name)
+        fs.delete(path, True)
+
+    def drop(self, keep: str) -> None:
+        """Delete the store's tables, but for ``keep``."""
+        path, fs = self._path(keep)
+        for status in fs.listStatus(path.getParent()):
             if status.getPath().getName() != keep:
                 fs.delete(status.getPath(), True)
-        if keep is None:
-            fs.delete(hadoop, True)
-
-    @property
-    def last_slot(self) -> str | None:
-        return f"params_{(self.generation - 1) % 2}" if self.generation else None
 
 
 @dataclass
@@ -294,9 +288,11 @@ def to_params(model: Model) -> DataFrame:
     )
 
 
-def from_params(params: DataFrame, k: int, intercept: float, step: int = 0, m_g: float = 0.0,
+def from_params(params: DataFrame | None, k: int, intercept: float, step: int = 0, m_g: float = 0.0,
                 v_g: float = 0.0, history: list | None = None,
                 max_exponent: float | None = None) -> Model:
+    if params is None:  # the scalars only
+        return Model(None, None, intercept, k, step, m_g, v_g, history if history is not None else [], None, max_exponent)
     return Model(
         params.where(F.col(SIDE) == CUSTOMER_SIDE).drop(SIDE),
         params.where(F.col(SIDE) == ARTICLE_SIDE).drop(SIDE),
@@ -329,31 +325,19 @@ def gradient_rows(
     if model.max_exponent is not None:
         slope = F.when(F.abs(raw) <= F.lit(float(model.max_exponent)), slope).otherwise(F.lit(0.0))
     j = j.withColumn("_d", slope)
-    d = F.col("_d")
     names = factor_names(k)
 
     def part(side, key, other, own, loss, n):
-        return F.struct(
-            F.lit(side).alias(SIDE),
-            F.col(key).alias("id"),
-            *[(d * F.col(f"{other}_{x}")).alias(f"g_{x}") for x in names],
-            d.alias("g_bias"),
-            loss.alias("loss"),
-            sum_sq([F.col(f"{own}_{x}") for x in names]).alias("sq"),
-            F.lit(n).cast("long").alias("n"),
-        )
-
-    both = F.array(
-        part(CUSTOMER_SIDE, customer, "a", "u", F.col("_r") * F.col("_r"), 1),
-        part(ARTICLE_SIDE, article, "u", "a", F.lit(0.0), 0),
-    )
-    rows = j.select(F.explode(both).alias("_x")).select("_x.*")
+        grads = [f"_d * {other}_{x} AS g_{x}" for x in names]
+        sq = " + ".join(f"{own}_{x} * {own}_{x}" for x in names)
+        columns = [f"'{side}' AS {SIDE}", f"`{key}` AS id", *grads, "_d AS g_bias", f"{loss} AS loss", f"{sq} AS sq", f"{n}L AS n"]
+        return f"struct({', '.join(columns)})"
+
+    both = f"array({part(CUSTOMER_SIDE, customer, 'a', 'u', '_r * _r', 1)}, {part(ARTICLE_SIDE, article, 'u', 'a', '0D', 0)})"
+    rows = j.selectExpr(f"explode({both}) AS _x").select("_x.*")
+    sums = [f"sum(g_{x}) AS g_{x}" for x in (*names, "bias")]
     return rows.groupBy(SIDE, "id").agg(
-        *[F.sum(f"g_{x}").alias(f"g_{x}") for x in names],
-        F.sum("g_bias").alias("g_bias"),
-        F.sum("loss").alias("loss"),
-        F.max("sq").alias("sq"),
-        F.sum("n").alias("n"),
+        *map(F.expr, (*sums, "sum(loss) AS loss", "max(sq) AS sq", "sum(n) AS n"))
     )
 
 
@@ -378,30 +362,38 @@ def adam_update(
     The penalty gradient ``l2 * f / norm`` is added for rows present in the batch (norm of the
     batch's factor rows of that side, given per side as a dict when both sides are updated;
     no penalty when the norm is 0). Rows without a gradient row get gradient 0 and still move
-    with their momentum.
+    with their momentum. Columns besides keys, parameters and moments are dropped.
     """
     keys = [SIDE, "id"] if SIDE in factors.columns else ["id"]
-    g = grads.select(*keys, *[F.col(f"g_{p}") for p in param_names(k)]).withColumn("_in", F.lit(True))
-    j = factors.join(g, keys, "left")
-    norms = norm if isinstance(norm, dict) else {None: norm}
-    coef = F.lit(0.0)
-    for side, nv in norms.items():
-        c = F.lit(l2 / nv) if (l2 and nv and nv > 0) else F.lit(0.0)
-        coef = c if side is None else F.when(F.col(SIDE) == side, c).otherwise(coef)
-    bc1 = 1.0 - cfg.beta1 ** t
-    bc2 = 1.0 - cfg.beta2 ** t
-    out = {}
+    j = factors.join(grads.select(*keys, *[f"g_{p}" for p in param_names(k)]), keys, "left")
+    coef = number(_penalty(l2, norm)) if not isinstance(norm, dict) else "CASE " + " ".join(
+        f"WHEN {SIDE} = '{side}' THEN {number(_penalty(l2, value))}" for side, value in norm.items()
+    ) + " ELSE 0D END"
+    fixes = [number(1.0 - beta ** t) for beta in (cfg.beta1, cfg.beta2)]
+    return j.selectExpr(*keys, *[f"{sql} AS {n}" for n, sql in adam_sql(k, cfg, coef if l2 else None, *fixes).items()])
+
+
+def _penalty(l2: float, norm: float | None) -> float:
+    return l2 / norm if (l2 and norm and norm > 0) else 0.0
+
+
+def adam_sql(
+    k: int, cfg: AdamConfig, coef: str | None, fix1: str, fix2: str, old: dict[str, str] | None = None
+) -> dict[str, str]:
+    """SQL of the parameters and moments after one step, from rows with ``g_*`` (null: no gradient row). ``old``
+    has the SQL of parameters and moments before the step, where that is not the column itself."""
+    old, out = old or {}, {}
+    b1, b2 = cfg.beta1, cfg.beta2
     for p in param_names(k):
-        grad = F.coalesce(F.col(f"g_{p}"), F.lit(0.0))
-        if p != "bias" and l2:
-            grad = grad + F.when(F.col("_in"), coef * F.col(p)).otherwise(F.lit(0.0))
-        m = F.lit(cfg.beta1) * F.col(f"m_{p}") + F.lit(1.0 - cfg.beta1) * grad
-        v = F.lit(cfg.beta2) * F.col(f"v_{p}") + F.lit(1.0 - cfg.beta2) * grad * grad
-        step = F.lit(cfg.lr) * (m / F.lit(bc1)) / (F.sqrt(v / F.lit(bc2)) + F.lit(cfg.eps))
-        out[p] = F.col(p) - step
-        out[f"m_{p}"] = m
-        out[f"v_{p}"] = v
-    return j.select(*keys, *[v.alias(n) for n, v in out.items()])
+        value, m, v = (old.get(c, c) for c in (p, f"m_{p}", f"v_{p}"))
+        grad = f"coalesce(g_{p}, 0D)"
+        if p != "bias" and coef is not None:
+            grad = f"({grad} + CASE WHEN g_{p} IS NOT NULL THEN {coef} * {value} ELSE 0D END)"
+        m = f"({number(b1)} * {m} + {number(1.0 - b1)} * {grad})"
+        v = f"({number(b2)} * {v} + {number(1.0 - b2)} * {grad} * {grad})"
+        out[p] = f"{value} - {number(cfg.lr)} * ({m} / {fix1}) / (sqrt({v} / {fix2}) + {number(cfg.eps)})"
+        out[f"m_{p}"], out[f"v_{p}"] = m, v
+    return out
 
 
 def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: AdamConfig):
@@ -411,54 +403,97 @@ def adam_scalar(value: float, grad: float, m: float, v: float, t: int, cfg: Adam
     return value - step, m, v
 
 
+def _sums() -> dict[str, str]:
+    """SQL of the aggregates over a step's rows that its log and the intercept need."""
+    of = lambda side, col: f"sum(CASE WHEN {SIDE} = '{side}' THEN {col} END)"
+    return {
+        "loss": "sum(loss)", "n": "sum(n)", "gg": of(CUSTOMER_SIDE, "g_bias"),
+        "sq_c": of(CUSTOMER_SIDE, "sq"), "sq_a": of(ARTICLE_SIDE, "sq"),
+    }
+
+
+def _summary(sums: dict, step: int, l2: float) -> dict:
+    """The batch log, the norms per side and the intercept's gradient from the ``_sums`` of a step."""
+    value = {name: float(x or 0.0) for name, x in sums.items()}
+    if not (math.isfinite(value["loss"]) and math.isfinite(value["gg"])):
+        raise FloatingPointError(
+            f"the fit diverged in step {step}: loss {sums['loss']}; lower the learning rate or "
+            "init_scale, or set max_exponent"
+        )
+    norms = {CUSTOMER_SIDE: math.sqrt(value["sq_c"]), ARTICLE_SIDE: math.sqrt(value["sq_a"])}
+    log = {"pred_loss": value["loss"], "penalty_loss": float(l2) * sum(norms.values()), "n_pairs": int(value["n"])}
+    log["loss"] = log["pred_loss"] + log["penalty_loss"]
+    return {"log": log, "norms": norms, "gg": value["gg"]}
+
+
 def gradient_step(
     batch: DataFrame, model: Model, l2: float, cfg: AdamConfig,
     customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
-    store: ParamStore | None = None,
 ) -> tuple[Model, dict]:
-    """M4 one step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log).
-
-    ``batch`` holds unique (customer, article) pairs (``unique_pairs``; the fit loop
-    de-duplicates once up front, so no step pays for it).
+    """M4 one dense step: gradients on ``batch``, Adam on all rows. Returns (new model, batch log).
 
-    Jobs: one pass over the batch computes both gradient sides (persisted, small) together
-    with the batch metrics; one job applies Adam to the single parameter table and writes it
-    to ``store`` (a reliable checkpoint when no store is given).
+    ``batch`` holds unique (customer, article) pairs (``unique_pairs``). Two jobs: one pass over the
+    batch computes both gradient sides (persisted, small) together with the batch metrics; one job
+    applies Adam to the whole parameter table and writes it.
     """
     params = to_params(model)
     grads = gradient_rows(batch, model, customer, article, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    summary = {
-        r[SIDE]: r
-        for r in grads.groupBy(SIDE).agg(
-            F.sum("loss").alias("loss"), F.sum("g_bias").alias("gg"), F.sum("sq").alias("sq"),
-            F.sum("n").alias("n"),
-        ).collect()
-    }
-    cs, asd = summary.get(CUSTOMER_SIDE), summary.get(ARTICLE_SIDE)
-    norm_u = math.sqrt(float(cs["sq"] or 0.0)) if cs else 0.0
-    norm_v = math.sqrt(float(asd["sq"] or 0.0)) if asd else 0.0
-    if cs and not all(math.isfinite(float(cs[c] or 0.0)) for c in ("loss", "gg")):
-        grads.unpersist()
-        raise FloatingPointError(
-            f"the fit diverged in step {model.step + 1}: loss {cs['loss']}; lower the learning rate or "
-            "init_scale, or set max_exponent"
-        )
     t = model.step + 1
-    new_params = adam_update(
-        params, grads, model.k, t, cfg, l2, {CUSTOMER_SIDE: norm_u, ARTICLE_SIDE: norm_v}
-    )
-    new_params = store.put(new_params) if store is not None else reliable_checkpoint(new_params)
-    grads.unpersist()
-    gg = float(cs["gg"] or 0.0) if cs else 0.0
-    g, m_g, v_g = adam_scalar(model.intercept, gg, model.m_g, model.v_g, t, cfg)
-    log = {
-        "pred_loss": float(cs["loss"] or 0.0) if cs else 0.0,
-        "penalty_loss": float(l2) * (norm_u + norm_v),
-        "n_pairs": int(cs["n"] or 0) if cs else 0,
-    }
-    log["loss"] = log["pred_loss"] + log["penalty_loss"]
+    try:
+        sums = grads.agg(*[F.expr(sql).alias(name) for name, sql in _sums().items()])
+        found = _summary(sums.first().asDict(), t, l2)
+        new_params = staged(adam_update(params, grads, model.k, t, cfg, l2, found["norms"]), "step")
+    finally:
+        grads.unpersist()
+    g, m_g, v_g = adam_scalar(model.intercept, found["gg"], model.m_g, model.v_g, t, cfg)
     new = from_params(new_params, model.k, g, t, m_g, v_g, model.history, model.max_exponent)
-    return new, log
+    return new, found["log"]
+
+
+IS_CUSTOMER = f"{SIDE} = '{CUSTOMER_SIDE}'"
+
+
+def by_reference(customer_value: str, article_value: str | None = None, row: str = IS_CUSTOMER) -> str:
+    """SQL of a constant (one per side, or the same) that compiled code takes from a referenced array: the code
+    of a stage stays the same from step to step and is compiled once."""
+    values = f"{customer_value}, {customer_value if article_value is None else article_value}"
+    return f"element_at(array({values}), CASE WHEN {row} THEN 1 ELSE 2 END)"
+
+
+def logged_step(
+    batch: DataFrame, log: ParamLog, batch_number: int, model: Model, l2: float, cfg: AdamConfig, n_rows: int,
+    customer: str = S.CUSTOMER, article: str = S.ARTICLE, weight: str = S.WEIGHT,
+) -> tuple[Model, dict]:
+    """M4 one step of a fit: ``gradient_step`` on the at most ``n_rows`` rows of a batch in the store, one job.
+    The norms of the penalty are an aggregate joined to the rows; the sums that the log and the intercept need
+    are observed by the write. The returned model has the scalars only; ``log.live`` has the tables."""
+    t, k = model.step + 1, model.k
+    rows = log.read(batch_number)
+    if rows is None:  # a batch without pairs: only the intercept's momentum moves
+        g, m_g, v_g = adam_scalar(model.intercept, 0.0, model.m_g, model.v_g, t, cfg)
+        none = {"pred_loss": 0.0, "penalty_loss": 0.0, "n_pairs": 0, "loss": 0.0}
+        return from_params(None, k, g, t, m_g, v_g, model.history, model.max_exponent), none
+    found = [f"{AT}{p} AS {p}" for p in param_names(k)]
+    intercept = by_reference(number(model.intercept), row=f"`{weight}` > 1")
+    now = Model(
+        rows.where(IS_CUSTOMER).selectExpr("id", *found), rows.where(f"NOT {IS_CUSTOMER}").selectExpr("id", *found),
+        F.expr(intercept), k, max_exponent=model.max_exponent,
+    )
+    both = rows.join(gradient_rows(batch, now, customer, article, weight), [SIDE, "id"], "left")
+    coef = None
+    if l2:
+        squares = " + ".join(f"{AT}{n} * {AT}{n}" for n in factor_names(k))
+        norms = rows.groupBy(SIDE).agg(F.expr(f"sqrt(sum({squares})) AS _norm"))
+        both = both.join(norms, SIDE, "left")
+        coef = f"CASE WHEN _norm > 0 THEN {number(l2)} / _norm ELSE 0D END"
+    step = by_reference(f"{t}L")
+    old = {p: f"{AT}{p}" for p in param_names(k)} | shrunk_sql(param_names(k), cfg, f"({step} - 1 - {LAST})")
+    fixes = [by_reference(number(1.0 - beta ** t)) for beta in (cfg.beta1, cfg.beta2)]
+    new = [f"{sql} AS {name}" for name, sql in adam_sql(k, cfg, coef, *fixes, old).items()]
+    updated = both.selectExpr(SIDE, "id", *new, USES, f"{step} AS {LAST}", "loss", "n", "g_bias", "sq")
+    sums = _summary(log.write(updated, batch_number, by_reference(f"{log.first_step}L"), n_rows, _sums()), t, l2)
+    g, m_g, v_g = adam_scalar(model.intercept, sums["gg"], model.m_g, model.v_g, t, cfg)
+    return from_params(None, k, g, t, m_g, v_g, model.history, model.max_exponent), sums["log"]
 
 
 # --------------------------------------------------------------------------------------------
@@ -502,6 +537,25 @@ def model_changes(before: Model, after: Model, tol: float = 1e-4) -> DataFrame:
 # M4 / M5: the fit loop
 
 
+def batches_of(batched: DataFrame, customer: str, article: str, weight: str) -> DataFrame:
+    """``(side, id, uses)``: the sorted batches in which an entity has a pair with a weight above 0 (a list of
+    at most all batches of an epoch)."""
+    sides = F.array(
+        F.struct(F.lit(CUSTOMER_SIDE).alias(SIDE), F.col(customer).alias("id")),
+        F.struct(F.lit(ARTICLE_SIDE).alias(SIDE), F.col(article).alias("id")),
+    )
+    rows = batched.where(F.col(weight) > 0).select(F.explode(sides).alias("_x"), F.col("_batch").cast("int").alias("_b"))
+    return rows.select("_x.*", "_b").groupBy(SIDE, "id").agg(F.sort_array(F.collect_set("_b")).alias(USES))
+
+
+def _tables_later(params: ParamLog, batch: int, model: Model):
+    """A function that makes the whole model after a batch, when it is called."""
+    return lambda: from_params(
+        params.live(batch, model.step), model.k, model.intercept, model.step, model.m_g, model.v_g,
+        model.history, model.max_exponent,
+    )
+
+
 def fit_log_link_factors(
     interactions: DataFrame,
     k: int = 10,
@@ -518,6 +572,9 @@ def fit_log_link_factors(
     batch_share: float | None = None,
     max_exponent: float | None = None,
     pairs_per_file: int = 2_000_000,
+    start: Model | None = None,
+    first_epoch: int = 0,
+    window: int = WINDOW,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
     weight: str = S.WEIGHT,
@@ -530,10 +587,14 @@ def fit_log_link_factors(
     in gradients, training and validation loss (off by default; a fit that overflows stops with
     a ``FloatingPointError``).
 
-    Each epoch's pairs are written once, partitioned by batch, so a step scans its own batch
-    only. ``on_batch(epoch, batch, log, model)`` and ``on_epoch(epoch, train_pred_loss,
-    val_pred_loss, model)`` receive the metrics (S12) and may snapshot the model (S13); a model
-    given to them lives until the second next step.
+    Each epoch's pairs are written once, partitioned by batch, so a step scans its own batch only; its
+    parameter rows come from the log-structured store (``window``: see there). ``on_batch(epoch, batch,
+    log, model)`` and ``on_epoch(epoch, train_pred_loss, val_pred_loss, model)`` receive the metrics (S12).
+    ``on_epoch`` may snapshot its model (S13). ``on_batch`` gets a function that makes the model after the
+    batch. Both models stay readable until the end of the next epoch.
+
+    ``start`` (a loaded model with its moments) continues a fit at ``first_epoch``: the epochs up to
+    ``epochs`` that are left give what the uninterrupted fit gives. Ids that ``start`` lacks are drawn as usual.
     """
     from affinity.operators.sampling import (
         assign_batches,
@@ -560,29 +621,54 @@ def fit_log_link_factors(
 
     cust = with_moments(init_factors(data, customer, k, seed, "customer", init_scale), k)
     arts = with_moments(init_factors(data, article, k, seed, "article", init_scale), k)
-    params = store.put(
-        cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE))),
-        "init",
-    )
-    model = from_params(params, k, init_intercept(seed, init_scale), max_exponent=max_exponent)
+    drawn = cust.withColumn(SIDE, F.lit(CUSTOMER_SIDE)).unionByName(arts.withColumn(SIDE, F.lit(ARTICLE_SIDE)))
+    if start is None:
+        state = store.put(drawn, "init")
+        model = from_params(state, k, init_intercept(seed, init_scale), max_exponent=max_exponent)
+    else:
+        if start.k != k:
+            raise ValueError(f"the model to continue has {start.k} factors, not {k}")
+        saved = to_params(start).select(*drawn.columns)
+        state = store.put(saved.unionByName(drawn.join(saved, [SIDE, "id"], "left_anti")), "init")
+        model = from_params(state, k, start.intercept, start.step, start.m_g, start.v_g, list(start.history), max_exponent)
     cfg = AdamConfig(lr=lr)
 
-    train = data.where(~F.col("_val")).drop("_val")
+    train = data.where(~F.col("_val")).drop("_val").withColumn("_batch", F.lit(0))
     val = data.where(F.col("_val")).drop("_val")
     n_batches = math.ceil(1.0 / batch_share) if batch_share else number_of_batches(n_train, batch_size)
-    spread = max(1, math.ceil(n_train / n_batches / pairs_per_file))  # files, so scan tasks, per batch
-    for epoch in range(int(epochs)):
-        epoch_loss = 0.0
+    per_batch, slots = n_train / n_batches, spark.sparkContext.defaultParallelism
+    # files, so scan tasks, per batch: a small batch is split as far as there are slots
+    spread = max(1, math.ceil(per_batch / pairs_per_file), min(slots, math.ceil(per_batch / 20_000)))
+    n_entities = state.count()
+    most_rows = min(n_entities, math.ceil(2 * per_batch))
+    params = ParamLog(spark, store.base, param_names(k), cfg, [SIDE, "id"], window)
+
+    def begin(epoch: int, state: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+        """Deal an epoch's batches and start it in the store: its pairs by batch, and the written state."""
+        batched = train
         if n_batches > 1:
             batched = assign_batches(train, n_batches, seed, epoch, customer, article, "_batch")
             dealt = batched.repartition(n_batches * spread, F.col("_batch"), F.pmod(F.hash(customer, article), F.lit(spread)))
             batched = store.put(dealt, f"batches_{epoch % 2}", ["_batch"])
+        return batched, params.begin(epoch, state, batches_of(batched, customer, article, weight), n_batches, step, n_entities)
+
+    if first_epoch < epochs:
+        batched, _ = begin(int(first_epoch), state, model.step)
+    for epoch in range(int(first_epoch), int(epochs)):
+        epoch_loss = 0.0
         for b in range(n_batches):
-            batch = batched.where(F.col("_batch") == b).drop("_batch") if n_batches > 1 else train
-            model, log = gradient_step(batch, model, l2, cfg, customer, article, weight, store)
+            batch = batched.where(F.col("_batch") == b).drop("_batch")
+            model, log = logged_step(batch, params, b, model, l2, cfg, most_rows, customer, article, weight)
             epoch_loss += log["pred_loss"]
             if on_batch is not None:
-                on_batch(epoch, b, log, model)
+                on_batch(epoch, b, log, _tables_later(params, b, model))
+        state = params.live(n_batches - 1, model.step)
+        if epoch + 1 < epochs:
+            batched, state = begin(epoch + 1, state, model.step)
+        else:
+            state = store.put(state, "final")
+        store.drop_one(f"epoch_{epoch - 1}")
+        model = from_params(state, k, model.intercept, model.step, model.m_g, model.v_g, model.history, max_exponent)
         train_pred = epoch_loss / n_train if n_train else float("nan")
         val_pred = float("nan")
         if n_val:
@@ -592,5 +678,5 @@ def fit_log_link_factors(
         model.history.append((epoch, train_pred, val_pred))
         if on_epoch is not None:
             on_epoch(epoch, train_pred, val_pred, model)
-    store.drop(keep=store.last_slot or "init")
+    store.drop(keep="final" if first_epoch < epochs else "init")
     return model

@@ -11,6 +11,7 @@ lists space-joined strings in a fixed order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -521,14 +522,38 @@ w AS (SELECT customer_int, article_int, CAST(count(*) AS DOUBLE) AS weight
     )
 
 
-def model_inputs(spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
-    # the purchases are kept: weights, history, cutoffs and dates all read them
-    tx = kept((X.tx_brand if brand else X.tx_part)(spark, sf_dir))
-    train, holdout = P.split_transactions(tx, days)
-    inter = kept(P.weighted_interactions(train))
-    cf = kept(M.fixed_factors(inter, "customer_int", K))
-    af = kept(M.fixed_factors(inter, "article_int", K))
-    return train, holdout, inter, cf, af
+class ModelInputs:
+    """The tables that the model queries read, each written once and only if a query asks for it."""
+
+    def __init__(self, spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
+        self._tx, self._days = (X.tx_brand if brand else X.tx_part)(spark, sf_dir), days
+
+    @cached_property
+    def split(self):
+        """Train and holdout; the purchases are kept: weights, history, cutoffs and dates all read them."""
+        return P.split_transactions(kept(self._tx), self._days)
+
+    @property
+    def train(self):
+        return self.split[0]
+
+    @cached_property
+    def weights(self):
+        """The interactions, for a query that reads them once."""
+        known = "split" in self.__dict__
+        return P.weighted_interactions(self.train if known else P.split_transactions(self._tx, self._days)[0])
+
+    @cached_property
+    def inter(self):
+        return kept(self.weights)
+
+    @cached_property
+    def cf(self):
+        return kept(M.fixed_factors(self.inter, "customer_int", K))
+
+    @cached_property
+    def af(self):
+        return kept(M.fixed_factors(self.inter, "article_int", K))
 
 
 @register(
@@ -540,8 +565,8 @@ SELECT w.customer_int, w.article_int, {sql_exponent('c', 'a')} AS exponent,
 FROM w JOIN cf c ON w.customer_int = c.id JOIN af a ON w.article_int = a.id""",
 )
 def q_pair_scores(spark, sf_dir):
-    _, _, inter, cf, af = model_inputs(spark, sf_dir)
-    out = M.pair_scores(inter, cf, af, M.FIXED_INTERCEPT, K)
+    own = ModelInputs(spark, sf_dir)
+    out = M.pair_scores(own.inter, own.cf, own.af, M.FIXED_INTERCEPT, K)
     return out.select("customer_int", "article_int", "exponent", r6("score"))
 
 
@@ -570,8 +595,8 @@ SELECT round(sum((p - weight) * (p - weight)), 6) AS pred_loss,
 FROM j CROSS JOIN pen""",
 )
 def q_factor_loss(spark, sf_dir):
-    _, _, inter, cf, af = model_inputs(spark, sf_dir)
-    out = M.losses(inter, cf, af, M.FIXED_INTERCEPT, K, L2)
+    own = ModelInputs(spark, sf_dir)
+    out = M.losses(own.inter, own.cf, own.af, M.FIXED_INTERCEPT, K, L2)
     return out.select(
         r6("pred_loss"), r6("penalty_loss"), r6("loss"), "n_pairs", r6("mean_pred_loss")
     )
@@ -614,7 +639,8 @@ step AS (
 
 
 def one_step(spark, sf_dir):
-    _, _, inter, cf, af = model_inputs(spark, sf_dir)
+    own = ModelInputs(spark, sf_dir)
+    inter, cf, af = own.inter, own.cf, own.af
     model = M.Model(M.with_moments(cf, K), M.with_moments(af, K), M.FIXED_INTERCEPT, K)
     new, _ = M.gradient_step(inter, model, L2, ADAM)
     return cf, af, new
@@ -674,8 +700,7 @@ SELECT id AS customer_int FROM cf
 ORDER BY {sql_hash('id', repr(str(SEED)))}, id LIMIT {SAMPLE_SIZE}""",
 )
 def q_sample_customers(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
-    return T.sample_keys(inter, "customer_int", SAMPLE_SIZE, SEED)
+    return T.sample_keys(ModelInputs(spark, sf_dir).weights, "customer_int", SAMPLE_SIZE, SEED)
 
 
 @register(
@@ -688,8 +713,7 @@ SELECT customer_int, article_int, round(weight, 6) AS weight,
 FROM w""",
 )
 def q_validation_split(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
-    out = T.validation_flags(inter, VALIDATION_SHARE, SEED)
+    out = T.validation_flags(ModelInputs(spark, sf_dir).weights, VALIDATION_SHARE, SEED)
     return out.select("customer_int", "article_int", r6("weight"), "is_validation")
 
 
@@ -706,8 +730,7 @@ SELECT customer_int, article_int, round(weight, 6) AS weight,
 FROM r""",
 )
 def q_validation_split_exact(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
-    out = T.exact_validation_flags(inter, VALIDATION_SHARE, SEED)
+    out = T.exact_validation_flags(ModelInputs(spark, sf_dir).inter, VALIDATION_SHARE, SEED)
     return out.select("customer_int", "article_int", r6("weight"), "is_validation")
 
 
@@ -721,7 +744,7 @@ SELECT customer_int, article_int,
 FROM w CROSS JOIN nb""",
 )
 def q_batch_assignment(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    inter = ModelInputs(spark, sf_dir).inter
     n = T.number_of_batches(inter.count(), BATCH_SIZE)
     out = T.assign_batches(inter, n, SEED, 0)
     return out.select("customer_int", "article_int", "batch")
@@ -738,7 +761,8 @@ FROM pairs p LEFT JOIN w ON p.customer_int = w.customer_int AND p.article_int =
 def q_weight_lookup(spark, sf_dir):
     from affinity.operators.lookup import lookup_weights
 
-    _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
+    train, holdout = P.split_transactions(X.tx_part(spark, sf_dir), HOLDOUT_DAYS)
+    inter = P.weighted_interactions(train)
     pairs = holdout.select("customer_int", "article_int").distinct()
     return lookup_weights(pairs, inter).select("customer_int", "article_int", r6("weight"))
 
@@ -819,8 +843,9 @@ ap AS (
 def reco_inputs(spark, sf_dir, brand: bool, days: int, **blocks):
     """Inputs of the scoring stage. As in the batch scoring job, the customers to score and
     their actual purchases come from the holdout summary (A4): one row per purchased pair."""
-    train, raw_holdout, inter, cf, af = model_inputs(spark, sf_dir, brand, days)
-    holdout = P.holdout_counts(raw_holdout)
+    own = ModelInputs(spark, sf_dir, brand, days)
+    train, holdout = own.train, P.holdout_counts(own.split[1])
+    cf, af = own.cf, own.af
     history = P.days_since_last_purchase(train)
     cutoffs = Q.repeat_gap_quantiles(train)
     excl = R.excluded_articles(history, cutoffs, PERCENTILE, af)
@@ -872,7 +897,8 @@ def q_recommendations_part(spark, sf_dir):
     sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + "\nSELECT customer_int, article_int FROM excl",
 )
 def q_suppressed_pairs(spark, sf_dir):
-    train, _, _, _, af = model_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    own = ModelInputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
+    train, af = own.train, own.af
     return R.excluded_articles(
         P.days_since_last_purchase(train), Q.repeat_gap_quantiles(train), PERCENTILE, af
     )
@@ -883,7 +909,8 @@ def q_suppressed_pairs(spark, sf_dir):
     sql_reco(with_tx()) + "\nSELECT article_int, round(s, 6) AS score FROM fb",
 )
 def q_fallback_scores(spark, sf_dir):
-    _, _, _, cf, af = model_inputs(spark, sf_dir)
+    own = ModelInputs(spark, sf_dir)
+    cf, af = own.cf, own.af
     sample = T.sample_keys(cf, "id", SAMPLE_SIZE, SEED)
     out = R.fallback_scores(cf.join(sample, "id", "left_semi"), af, M.FIXED_INTERCEPT, K)
     return out.select("article_int", r6("score"))
@@ -1002,7 +1029,7 @@ SELECT 'global', 0, {', '.join('NULL' for _ in range(K))},
        round({sql_normal(repr('global'), repr(str(SEED)))} * {INIT_SCALE!r}::DOUBLE, 6) + 0.0""",
 )
 def q_init_factors(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    inter = ModelInputs(spark, sf_dir).inter
     cust = M.init_factors(inter, "customer_int", K, SEED, "customer", INIT_SCALE)
     arts = M.init_factors(inter, "article_int", K, SEED, "article", INIT_SCALE)
     return model_rows(M.Model(cust, arts, M.init_intercept(SEED, INIT_SCALE), K))
@@ -1023,7 +1050,7 @@ def model_rows(model) -> DataFrame:
 
 @register("fit_factors")
 def q_fit_factors(spark, sf_dir):
-    _, _, inter, _, _ = model_inputs(spark, sf_dir)
+    inter = ModelInputs(spark, sf_dir).weights
     model = M.fit_log_link_factors(
         inter, k=K, l2=L2, lr=LR, epochs=FIT_EPOCHS, batch_size=150_000,
         validation_share=0.005, seed=SEED,
@@ -1035,7 +1062,8 @@ def q_fit_factors(spark, sf_dir):
 def q_fit_als(spark, sf_dir):
     from affinity.operators.als import fit_als
 
-    _, holdout, inter, _, _ = model_inputs(spark, sf_dir)
+    own = ModelInputs(spark, sf_dir)
+    holdout, inter = own.split[1], own.inter
     model = fit_als(inter, rank=K, max_iter=10, reg=0.1, seed=SEED)
     fb = R.fallback_for(
         model.customers, model.articles, model.intercept, K, TOP_N, SAMPLE_SIZE, SEED

@@ -30,8 +30,10 @@ def shared_base(spark, name: str) -> str:
 # M4 / M5: one epoch of two batches, unrolled in SQL
 
 
-def _sql_step(t: int) -> str:
-    """CTEs of optimiser step ``t``: params ``p{t-1}`` and intercept ``g{t-1}`` to ``p{t}``, ``g{t}``."""
+def _sql_step(t: int, batch: str | None = None) -> str:
+    """CTEs of optimiser step ``t``: params ``p{t-1}`` and intercept ``g{t-1}`` to ``p{t}``, ``g{t}``. ``batch``
+    selects the pairs (by default batch ``t - 1``)."""
+    batch = batch or f"b.batch = {t - 1}"
     a = C.ADAM
     dbl = lambda x: f"CAST({x!r} AS DOUBLE)"
     exponent = " + ".join(f"c.f{i} * a.f{i}" for i in range(K)) + " + c.bias + a.bias + g.g"
@@ -61,7 +63,7 @@ j{t} AS MATERIALIZED (
          {', '.join(f'c.f{i} AS uf{i}, a.f{i} AS af{i}' for i in range(K))}
   FROM tr b JOIN p{t - 1} c ON c.side = 'customer' AND c.id = b.customer_int
   JOIN p{t - 1} a ON a.side = 'article' AND a.id = b.article_int CROSS JOIN g{t - 1} g
-  WHERE b.batch = {t - 1}
+  WHERE {batch}
 ),
 gr{t} AS MATERIALIZED (
   SELECT 'customer' AS side, customer_int AS id, {grads('a')}, sum(d) AS g_bias FROM j{t} GROUP BY customer_int
@@ -83,7 +85,7 @@ g{t} AS MATERIALIZED (
 
 
 _ZEROS = ", ".join(f"0.0::DOUBLE AS m_{p}, 0.0::DOUBLE AS v_{p}" for p in PARAMS)
-SQL_TWO_STEPS = (
+SQL_START = (
     C.sql_model(C.with_tx())
     + f""",
 hv AS (SELECT customer_int, article_int, weight,
@@ -106,13 +108,13 @@ p0 AS MATERIALIZED (
 g0 AS MATERIALIZED (
   SELECT {C.sql_normal(repr('global'), repr(str(SEED)))} * {STEP_SCALE!r}::DOUBLE AS g, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
 )"""
-    + _sql_step(1)
-    + _sql_step(2)
 )
+SQL_TWO_STEPS = SQL_START + _sql_step(1) + _sql_step(2)
+SQL_TWO_EPOCHS = SQL_START + _sql_step(1, "true") + _sql_step(2, "true")  # of one batch each
 
 
 def two_steps(spark, sf_dir, **callbacks):
-    _, _, inter, _, _ = C.model_inputs(spark, sf_dir)
+    inter = C.ModelInputs(spark, sf_dir).weights
     return M.fit_log_link_factors(
         inter, k=K, l2=L2, lr=C.LR, epochs=1, batch_share=0.5, validation_share=VALIDATION_SHARE,
         seed=SEED, init_scale=STEP_SCALE, **callbacks,
@@ -154,23 +156,55 @@ def q_validation_loss(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------------------------
-# The training job's logs
+# The training job's logs, and a fit that is interrupted and continued
 
 
-def trained(spark, sf_dir, **options) -> str:
-    """Base folder of a training run of one epoch with two batches."""
+def trained(spark, sf_dir, runs=({},), **options) -> str:
+    """Base folder of one or more training runs of a model; by default one epoch with two batches."""
     from affinity.plans.train_job import train
 
     base = shared_base(spark, "train")
-    _, _, inter, _, _ = C.model_inputs(spark, sf_dir)
-    train(
-        spark, inter, base, "mf", "v1", num_latent_features=K, l2_lambda=L2, learning_rate=C.LR,
-        batch_share=0.5, epochs=1, validation_share=VALIDATION_SHARE, seed=SEED, init_scale=STEP_SCALE,
-        **options,
-    )
+    inter = C.ModelInputs(spark, sf_dir).inter
+    for run in runs:
+        settings = {"batch_share": 0.5, "epochs": 1, **options, **run}
+        train(
+            spark, inter, base, "mf", "v1", num_latent_features=K, l2_lambda=L2, learning_rate=C.LR,
+            validation_share=VALIDATION_SHARE, seed=SEED, init_scale=STEP_SCALE, **settings,
+        )
     return base
 
 
+#: one epoch, then a second run that finds it and continues
+INTERRUPTED = ({"epochs": 1, "batch_share": 1.0}, {"epochs": 2, "batch_share": 1.0, "resume": True})
+_RESULT = f"""
+SELECT side, id, {', '.join(f'round({p}, 6) + 0.0 AS {p}' for p in PARAMS)} FROM p2
+UNION ALL
+SELECT 'global', 0, {', '.join('NULL' for _ in range(K))}, round(g, 6) + 0.0 FROM g2"""
+
+
+@register("fit_resumed", SQL_TWO_EPOCHS + _RESULT)
+def q_fit_resumed(spark, sf_dir):
+    model, _ = W.load_model(spark, f"{trained(spark, sf_dir, INTERRUPTED)}/saved_models", "mf", "v1", 1)
+    return C.model_rows(model)
+
+
+@register(
+    "training_log_epochs",
+    SQL_TWO_EPOCHS
+    + "\nUNION ALL\n".join(
+        f"""
+SELECT {t - 1} AS epoch_number, round((SELECT sum(r * r) / count(*) FROM j{t}), 6) AS train_pred_loss,
+       round((SELECT sum(power(exp({_LOSS}) - b.weight, 2)) / count(*) FROM pairs b
+              JOIN p{t} c ON c.side = 'customer' AND c.id = b.customer_int
+              JOIN p{t} a ON a.side = 'article' AND a.id = b.article_int CROSS JOIN g{t} g WHERE b.val), 6) AS val_pred_loss"""
+        for t in (1, 2)
+    ),
+)
+def q_training_log_epochs(spark, sf_dir):
+    logs = W.read_metrics(spark, f"{trained(spark, sf_dir, INTERRUPTED)}/training_logs", "epochs")
+    return logs.select("epoch_number", r6("train_pred_loss"), r6("val_pred_loss"))
+
+
 @register(
     "training_log_batches",
     SQL_TWO_STEPS
@@ -209,14 +243,7 @@ def q_training_log_changes(spark, sf_dir):
     return logs.select("epoch_number", "batch_number", "parameter", "num_values_changed")
 
 
-@register(
-    "saved_model",
-    SQL_TWO_STEPS
-    + f"""
-SELECT side, id, {', '.join(f'round({p}, 6) + 0.0 AS {p}' for p in PARAMS)} FROM p2
-UNION ALL
-SELECT 'global', 0, {', '.join('NULL' for _ in range(K))}, round(g, 6) + 0.0 FROM g2""",
-)
+@register("saved_model", SQL_TWO_STEPS + _RESULT)
 def q_saved_model(spark, sf_dir):
     model, _ = W.load_model(spark, f"{trained(spark, sf_dir)}/saved_models", "mf", "v1", 0)
     return C.model_rows(model)
@@ -362,7 +389,8 @@ def scored(spark, sf_dir) -> dict:
     from affinity.plans.score_job import score_saved
 
     base = shared_base(spark, "score")
-    train, raw_holdout, _, cf, af = C.model_inputs(spark, sf_dir, True, C.NEW_CUSTOMER_HOLDOUT_DAYS)
+    own = C.ModelInputs(spark, sf_dir, True, C.NEW_CUSTOMER_HOLDOUT_DAYS)
+    (train, raw_holdout), cf, af = own.split, own.cf, own.af
     W.write_table(P.holdout_counts(raw_holdout), f"{base}/dev/holdout.csv", "csv")
     W.write_table(P.days_since_last_purchase(train), f"{base}/dev/customer_days_since_last_purchase")
     W.write_table(Q.repeat_gap_quantiles(train), f"{base}/dev/days_between_purchase")

@@ -12,15 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinity.operators.factors import (
     Model,
-    ParamStore,
     fit_log_link_factors,
-    from_params,
     model_changes,
-    to_params,
 )
 from affinity.operators.ids import interaction_counts
 from affinity.sources.readers import first_rows
-from affinity.sources.writers import MetricsLog, save_model, save_params
+from affinity.sources.writers import MetricsLog, complete_epochs, load_model, save_model, save_params
 
 
 def train(
@@ -43,13 +40,20 @@ def train(
     init_scale: float = 1.0,
     batch_share: float | None = None,
     max_exponent: float | None = None,
+    resume: bool = False,
 ) -> Model:
-    """``n_rows`` trains on the first rows only (T3); ``log_param_changes`` writes, per batch, how
-    many values of each parameter moved (a written copy and a join per batch)."""
+    """``resume`` continues from the newest complete snapshot of this model and version, if there is one:
+    its parameters, moments and counters are read back, later log rows are dropped, and the epochs that
+    are left run as they would have without the interruption.
+
+    ``n_rows`` trains on the first rows only (T3); ``log_param_changes`` writes, per batch, how
+    many values of each parameter moved (a join of two views of the fit's store per batch)."""
     if n_rows is not None:
         interactions = first_rows(interactions, n_rows)
-    log = MetricsLog(spark, f"{out}/training_logs", model_name, model_version)
     models = f"{out}/saved_models"
+    done = complete_epochs(spark, models, model_name, model_version) if resume else []
+    start = load_model(spark, models, model_name, model_version, done[-1])[0] if done else None
+    log = MetricsLog(spark, f"{out}/training_logs", model_name, model_version, done[-1] if done else None)
     save_params(
         spark, models, model_name, model_version,
         {
@@ -62,15 +66,14 @@ def train(
         },
     )
     previous: dict[str, Model] = {}
-    # the fit reuses its parameter slots, so the previous batch's state is kept as a written copy
-    keep = ParamStore(spark, "previous") if log_param_changes else None
 
     def on_batch(epoch, batch, metrics, model):
         log.log_batch(epoch, batch, metrics["pred_loss"], metrics["penalty_loss"])
-        if keep is not None:
+        if log_param_changes:  # the view of the last batch stays readable while this one is compared
+            now = model()
             if "m" in previous:
-                log.log_param_changes(epoch, batch, model_changes(previous["m"], model))
-            previous["m"] = from_params(keep.put(to_params(model)), model.k, model.intercept)
+                log.log_param_changes(epoch, batch, model_changes(previous["m"], now))
+            previous["m"] = now
 
     def on_epoch(epoch, train_pred, val_pred, model):
         log.log_epoch(epoch, train_pred, val_pred)
@@ -82,8 +85,6 @@ def train(
         interactions, k=num_latent_features, l2=l2_lambda, lr=learning_rate, epochs=epochs,
         batch_size=batch_size, validation_share=validation_share, seed=seed,
         init_scale=init_scale, batch_share=batch_share, max_exponent=max_exponent,
-        on_batch=on_batch, on_epoch=on_epoch,
+        on_batch=on_batch, on_epoch=on_epoch, start=start, first_epoch=done[-1] + 1 if done else 0,
     )
-    if keep is not None:
-        keep.drop()
     return model

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators.factors import Model
+from affinity.session import staged
 from affinity.sources import schemas as S
 
 
@@ -35,6 +36,11 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def strength_label(x: float) -> str:
     """Parameter value as a folder-safe label (``0.01`` -> ``0-01``)."""
     return str(float(x)).replace(".", "-")
@@ -111,18 +117,24 @@ def read_weighted_interactions(
 class MetricsLog:
     """Append-only batch / epoch / parameter-change tables under ``base/<kind>/model=/version=``.
 
-    Starting a run deletes every log of that model and version. Batch rows are buffered on the
-    driver and written once per epoch, or every ``BUFFER`` rows in a long epoch.
+    Starting a run deletes every log of that model and version; continuing one (``after_epoch``) keeps
+    the rows up to that epoch and drops those of epochs that will run again. Batch rows are buffered on
+    the driver and written once per epoch, or every ``BUFFER`` rows in a long epoch.
     """
 
     KINDS = ("batches", "epochs", "param_changes")
     BUFFER = 1000
 
-    def __init__(self, spark: SparkSession, base: str, model: str, version: str):
+    def __init__(self, spark: SparkSession, base: str, model: str, version: str, after_epoch: int | None = None):
         self.spark, self.base, self.model, self.version = spark, base, model, version
         self._batches: list[tuple] = []
         for kind in self.KINDS:
-            delete(spark, self.path(kind))
+            if after_epoch is None:
+                delete(spark, self.path(kind))
+            elif exists(spark, self.path(kind)):
+                rows = spark.read.parquet(self.path(kind))
+                kept = staged(rows.where(F.col("epoch_number") <= int(after_epoch)), "log")
+                kept.write.mode("overwrite").parquet(self.path(kind))
 
     def path(self, kind: str) -> str:
         return f"{self.base}/{kind}/model={self.model}/version={self.version}"
@@ -188,14 +200,18 @@ def load_params(spark: SparkSession, base: str, name: str, version: str) -> dict
 
 
 def save_model(model: Model, base: str, name: str, version: str, epoch: int, **info) -> str:
-    """Factor tables (with optimiser moments) and scalar state for one epoch."""
+    """Factor tables (with optimiser moments) and scalar state for one epoch.
+
+    The state is deleted first and written last: an epoch with a finished state file is complete
+    (``complete_epochs``), one that was interrupted half-way is not."""
     spark = model.customers.sparkSession
     root = f"{model_dir(base, name, version)}/epoch={int(epoch)}"
+    delete(spark, f"{root}/state")
     model.customers.write.mode("overwrite").parquet(f"{root}/customers")
     model.articles.write.mode("overwrite").parquet(f"{root}/articles")
     state = {
-        "intercept": model.intercept, "k": model.k, "step": model.step,
-        "m_g": model.m_g, "v_g": model.v_g, "epoch": int(epoch), **info,
+        "intercept": model.intercept, "k": model.k, "step": model.step, "m_g": model.m_g,
+        "v_g": model.v_g, "epoch": int(epoch), "history": model.history, **info,
     }
     doc = json.dumps(state, sort_keys=True, default=str)
     spark.createDataFrame([(doc,)], "state string").coalesce(1).write.mode("overwrite").text(
@@ -204,6 +220,17 @@ def save_model(model: Model, base: str, name: str, version: str, epoch: int, **i
     return root
 
 
+def complete_epochs(spark: SparkSession, base: str, name: str, version: str) -> list[int]:
+    """The saved epochs whose state was committed, ascending."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(model_dir(base, name, version))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    epochs = sorted(int(n[len("epoch=") :]) for n in names if n.startswith("epoch="))
+    return [e for e in epochs if exists(spark, f"{model_dir(base, name, version)}/epoch={e}/state/_SUCCESS")]
+
+
 def load_model(spark: SparkSession, base: str, name: str, version: str, epoch: int) -> tuple[Model, dict]:
     root = f"{model_dir(base, name, version)}/epoch={int(epoch)}"
     state = json.loads(spark.read.text(f"{root}/state").first()[0])
@@ -215,5 +242,6 @@ def load_model(spark: SparkSession, base: str, name: str, version: str, epoch: i
         int(state["step"]),
         float(state["m_g"]),
         float(state["v_g"]),
+        [tuple(h) for h in state.get("history", [])],
     )
     return model, state

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinity.operators import factors as M
 from affinity.sources.writers import load_model, save_model
@@ -177,8 +178,8 @@ def plain_fit(rows, k, l2, lr, epochs, n_batches, share, seed, scale):
     for epoch in range(epochs):
         for b in range(n_batches):
             batch = [r for r in train if h(r[0], r[1], seed, epoch) % n_batches == b]
-            c = np.array([ci[r[0]] for r in batch])
-            a = np.array([ai[r[1]] for r in batch])
+            c = np.array([ci[r[0]] for r in batch], dtype=int)
+            a = np.array([ai[r[1]] for r in batch], dtype=int)
             w = np.array([r[2] for r in batch])
             u, x = par[0][c], par[1][a]
             p = np.exp((u[:, :k] * x[:, :k]).sum(1) + u[:, k] + x[:, k] + par[2][0])
@@ -269,3 +270,90 @@ def test_fit_leaves_only_its_final_state(spark, synthetic):
 def test_fit_parameters_are_checked(synthetic, bad):
     with pytest.raises(ValueError):
         M.fit_log_link_factors(synthetic, **{"epochs": 1, **bad})
+
+
+@pytest.fixture(scope="module")
+def sparse_pairs(spark):
+    """Ids that take part in few batches only, and one customer in nearly all of them."""
+    rnd = random.Random(5)
+    rows = {(rnd.randint(1, 60), rnd.randint(0, 50)) for _ in range(80)} | {(0, a) for a in range(25)}
+    return spark.createDataFrame(
+        [(c, a, float(1 + (c + a) % 3)) for c, a in sorted(rows)], "customer_int long, article_int long, weight double"
+    )
+
+
+@pytest.mark.parametrize("window", [4, 64])
+def test_thirty_steps_with_absent_rows_equal_the_dense_update(sparse_pairs, window):
+    rows = [(r.customer_int, r.article_int, r.weight) for r in sparse_pairs.collect()]
+    kw = dict(k=2, l2=0.02, lr=0.03, epochs=2, seed=9, init_scale=0.3)
+    model = M.fit_log_link_factors(sparse_pairs, validation_share=0.1, batch_share=1 / 15, window=window, **kw)
+    cs, as_, par, val = plain_fit(rows, 2, 0.02, 0.03, 2, 15, 0.1, 9, 0.3)
+    assert model.step == 30
+    for df, ids, want in ((model.customers, cs, par[0]), (model.articles, as_, par[1])):
+        got = {r.id: [r.f0, r.f1, r.bias] for r in df.collect()}
+        assert sorted(got) == ids
+        assert all(got[i] == pytest.approx(want[j], abs=1e-9) for j, i in enumerate(ids))
+    assert model.intercept == pytest.approx(par[2][0], abs=1e-10)
+    assert model.history[-1][2] == pytest.approx(val, rel=1e-8)
+
+
+def test_a_step_reads_and_writes_the_rows_of_its_batch_only(spark, sparse_pairs, scratch):
+    """Rows in the store: every entity once, and a batch's slot holds that batch's entities."""
+    from affinity.operators.param_log import ParamLog
+
+    pairs = sparse_pairs.withColumn("_batch", F.pmod(F.col("customer_int") + F.col("article_int"), F.lit(10)).cast("int"))
+    uses = M.batches_of(pairs, "customer_int", "article_int", "weight")
+    state = M.with_moments(M.init_factors(pairs, "customer_int", 2, 1, "customer"), 2).withColumn("side", F.lit("c"))
+    state = state.unionByName(M.with_moments(M.init_factors(pairs, "article_int", 2, 1, "article"), 2).withColumn("side", F.lit("a")))
+    log = ParamLog(spark, scratch, M.param_names(2), M.AdamConfig(lr=0.1), ["side", "id"], window=3)
+    n = state.count()
+    log.begin(0, state, uses, 10, 0, n)
+    model = M.Model(None, None, 0.0, 2)
+    for b in range(10):
+        batch = pairs.where(F.col("_batch") == b).drop("_batch")
+        now = log.read(b)
+        there = {(r.side, r.id) for r in now.collect()}
+        assert there == {("c", r[0]) for r in batch.collect()} | {("a", r[1]) for r in batch.collect()}
+        model, _ = M.logged_step(batch, log, b, model, 0.02, log.cfg, n)
+        live = log.live(b, model.step)
+        assert live.count() == n == live.select("side", "id").distinct().count()
+
+
+def test_interrupted_fit_equals_the_whole_one(spark, synthetic, scratch):
+    import shutil
+
+    from affinity.plans.train_job import train
+    from affinity.sources.writers import complete_epochs, read_metrics
+
+    kw = dict(num_latent_features=2, l2_lambda=0.02, learning_rate=0.05, batch_share=0.5, validation_share=0.1,
+              seed=7, init_scale=0.2, snapshot_every=1)
+    whole = train(spark, synthetic, f"{scratch}/whole", "mf", "v1", epochs=3, **kw)
+    train(spark, synthetic, f"{scratch}/parts", "mf", "v1", epochs=2, **kw)
+    models = f"{scratch}/parts/saved_models"
+    assert complete_epochs(spark, models, "mf", "v1") == [0, 1]
+    shutil.rmtree(f"{models}/mf__v1/epoch=1/state")  # as if the second epoch's snapshot was interrupted
+    assert complete_epochs(spark, models, "mf", "v1") == [0]
+    parts = train(spark, synthetic, f"{scratch}/parts", "mf", "v1", epochs=3, resume=True, **kw)
+    assert parts.step == whole.step and parts.intercept == pytest.approx(whole.intercept, abs=1e-12)
+    for side in ("customers", "articles"):
+        a = {r.id: list(r.asDict().values()) for r in getattr(whole, side).collect()}
+        b = {r.id: list(r.asDict().values()) for r in getattr(parts, side).collect()}
+        assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i], abs=1e-12) for i in a)
+    logs = [
+        sorted((r.epoch_number, round(r.pred_loss, 8)) for r in read_metrics(spark, f"{scratch}/{run}/training_logs", "batches").collect())
+        for run in ("whole", "parts")
+    ]
+    assert logs[0] == logs[1] and len(logs[0]) == 6
+    epochs = read_metrics(spark, f"{scratch}/parts/training_logs", "epochs")
+    assert sorted(r.epoch_number for r in epochs.collect()) == [0, 1, 2] and len(parts.history) == 3
+    with pytest.raises(ValueError):
+        train(spark, synthetic, f"{scratch}/parts", "mf", "v1", epochs=4, resume=True, **{**kw, "num_latent_features": 3})
+
+
+def test_resume_without_a_snapshot_starts_anew(spark, synthetic, scratch):
+    from affinity.plans.train_job import train
+
+    kw = dict(num_latent_features=1, learning_rate=0.05, batch_share=1.0, epochs=1, seed=7, init_scale=0.2)
+    a = train(spark, synthetic, f"{scratch}/a", "mf", "v1", resume=True, **kw)
+    again = train(spark, synthetic, f"{scratch}/a", "mf", "v1", resume=True, **kw)  # nothing is left to do
+    assert a.step == again.step == 1 and a.intercept == again.intercept
