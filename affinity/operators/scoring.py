@@ -1,11 +1,12 @@
 """Scoring, suppression rules and top-N recommendations.
 
-All-pairs scoring never materialises customer x article rows and never gathers a table on the
-driver. Both factor tables are packed into blocks of bounded size (rows of a DataFrame that hold
-the ids and the factor matrix of a block); every customer block meets every article block by an
-equi-join on the block number, and ``mapInPandas`` scores a pair of blocks with numpy, keeping
-the best N articles per customer. A window merges a customer's partial lists. There is one path
-for every catalogue size, and block sizes change no result.
+All-pairs scoring never materialises customer x article rows, never gathers a table on the driver and never
+shuffles pairs of blocks. The articles are written once as files of blocks in falling order of their factor
+norm; customers are dealt to tasks, and a task goes through the blocks one after the other with the best
+N articles so far of each of its customers. A block can be left out for a customer whose N-th score it cannot
+reach: by Cauchy-Schwarz no score in it exceeds ``|u| * largest norm + largest bias + b_c + g``. Blocks that no
+customer of a task needs are not even read. Leaving out changes no result: a block is scored whenever a tie
+with the N-th score is possible, or a customer has fewer than N scorable articles so far.
 
 Ranking: scorable articles by exponent descending (``exp`` is monotone, so this is the score
 order), then suppressed articles (they all score -1.0), then articles whose exponent is NaN;
@@ -19,35 +20,30 @@ import math
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from affinity.functions.hashing import bucket
 from affinity.functions.scores import factor_names
 from affinity.operators.quantiles import NAMES as PERCENTILES
 from affinity.sources import schemas as S
+from affinity.sources.blocks import Block, read_block, write_blocks
 
 # The functions below run in Python workers. Pickling this module by value ships them (and the
 # numpy helpers they call) with each task, so executors need no copy of the package on their
-# path; they only use numpy and pandas.
+# path; they only use numpy and pyarrow.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows per block: a pair of blocks is about 33 million scores, computed in chunks.
+# Rows scored together, rows of an article block, and customers of a task.
 CUSTOMER_BLOCK_ROWS = 4096
-ARTICLE_BLOCK_ROWS = 8192
+ARTICLE_BLOCK_ROWS = 2048
+CUSTOMER_BLOCKS_PER_TASK = 16
+CHUNK_CELLS = 4_000_000
 
-TOP_SCHEMA = T.StructType(
-    [
-        T.StructField("customer_int", T.LongType()),
-        T.StructField("rank", T.IntegerType()),
-        T.StructField("article_int", T.LongType()),
-        T.StructField("exponent", T.DoubleType()),
-        T.StructField("suppressed", T.BooleanType()),
-    ]
-)
+TOP_SCHEMA = "customer_int long, rank int, article_int long, exponent double, suppressed boolean"
+# Classes of the ranking, and of a place that no article has taken yet.
+SCORABLE, SUPPRESSED, NOT_A_NUMBER, FREE = range(4)
 
 
 def excluded_articles(
@@ -114,98 +110,109 @@ def _top_rows(e: np.ndarray, sup: np.ndarray, n: int):
     return out
 
 
-def _blocks(factors: DataFrame, k: int, block_rows: int, side: str) -> tuple[DataFrame, int]:
-    """``(<side>_block, <side>_ids, <side>_params)`` and the number of blocks: the rows of a factor
-    table dealt by a hash of the id into blocks of about ``block_rows``, each packed into one row
-    (ids ascending, then f0.., bias per id as doubles)."""
-    names = [*factor_names(k), "bias"]
-    rows = factors.select("id", *names)
-    n_blocks = max(1, math.ceil(rows.count() / max(1, int(block_rows))))
-    rows = rows.withColumn("block", bucket(n_blocks, F.col("id")))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="stable")
-        return pd.DataFrame(
-            {
-                f"{side}_block": [int(pdf["block"].iloc[0])],
-                f"{side}_ids": [pdf["id"].to_numpy(dtype=np.int64).tobytes()],
-                f"{side}_params": [pdf[names].to_numpy(dtype=np.float64).tobytes()],
-            }
-        )
-
-    schema = f"{side}_block long, {side}_ids binary, {side}_params binary"
-    return rows.groupBy("block").applyInPandas(pack, schema), n_blocks
-
-
-def _block_pairs(
-    customer_factors: DataFrame, article_factors: DataFrame, k: int, customer_block_rows: int,
-    article_block_rows: int, exclusions: DataFrame | None = None, customer: str = S.CUSTOMER,
-    article: str = S.ARTICLE,
-) -> DataFrame:
-    """One row per (customer block, article block) with both blocks and, if asked for, the pairs
-    to suppress that fall into it (``x_customers``, ``x_articles``, equally long id lists)."""
-    cust, n_c = _blocks(customer_factors, k, customer_block_rows, "c")
-    arts, n_a = _blocks(article_factors, k, article_block_rows, "a")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_a - 1).cast("long")))
-    pairs = cust.select("*", every.alias("a_block")).join(arts, "a_block")
-    if exclusions is not None:
-        ex = exclusions.select(
-            F.col(customer).cast("long").alias("c"), F.col(article).cast("long").alias("a"),
-            bucket(n_c, F.col(customer)).alias("c_block"), bucket(n_a, F.col(article)).alias("a_block"),
-        ).distinct()
-        ex = ex.groupBy("c_block", "a_block").agg(F.collect_list(F.struct("c", "a")).alias("x"))
-        pairs = pairs.join(
-            ex.select("c_block", "a_block", F.col("x.c").alias("x_customers"), F.col("x.a").alias("x_articles")),
-            ["c_block", "a_block"], "left",
-        )
-    # tasks by the number of block pairs, not by bytes (a pair is small to ship and long to score)
-    slots = customer_factors.sparkSession.sparkContext.defaultParallelism
-    n_tasks = min(n_c * n_a, max(4 * slots, math.ceil(n_c * n_a / 16)))
-    return pairs.repartition(n_tasks, "c_block", "a_block")
-
-
-def _block_arrays(row, side: str, k: int):
-    ids = np.frombuffer(row[f"{side}_ids"], dtype=np.int64)
-    params = np.frombuffer(row[f"{side}_params"], dtype=np.float64).reshape(-1, k + 1)
-    return ids, params[:, :k], params[:, k]
-
-
-def _scorer(k: int, n: int, intercept: float, chunk_cells: int = 4_000_000):
+class _Best:
+    """The best ``n`` articles so far of each customer of a task, in ranking order."""
+
+    def __init__(self, customers: int, n: int):
+        self.n = n
+        self.kind = np.full((customers, n), FREE, np.int8)
+        self.value = np.full((customers, n), -np.inf)
+        self.article = np.zeros((customers, n), np.int64)
+
+    def nth(self) -> np.ndarray:
+        """The N-th score, -inf where fewer than N scorable articles are known."""
+        return np.where(self.kind[:, -1] == SCORABLE, self.value[:, -1], -np.inf)
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, e: np.ndarray, sup: np.ndarray) -> None:
+        """Merge the scores ``e`` of the articles ``ids`` into the lists of ``rows``."""
+        columns = np.asarray(_top_rows(e, sup, self.n))
+        at = np.arange(len(rows))[:, None]
+        value = e[at, columns]
+        kind = np.where(np.isnan(value), NOT_A_NUMBER, np.where(sup[at, columns], SUPPRESSED, SCORABLE))
+        kind = np.concatenate([self.kind[rows], kind], axis=1)
+        value = np.concatenate([self.value[rows], value], axis=1)
+        article = np.concatenate([self.article[rows], ids[columns]], axis=1)
+        key = np.where(kind == SCORABLE, value, -np.inf)
+        order = np.lexsort((article, -key, kind), axis=1)[:, : self.n]
+        self.kind[rows], self.value[rows], self.article[rows] = kind[at, order], value[at, order], article[at, order]
+
+
+def _customers(batches, names: list[str]):
+    """The customers of a task: ids, factors, biases, and their suppressed pairs as (row, article)."""
+    table = pa.Table.from_batches(list(batches))
+    ids = table.column("id").to_numpy()
+    values = np.stack([table.column(n).to_numpy() for n in names], axis=1)
+    rows = articles = np.zeros(0, np.int64)
+    if "x" in table.column_names:
+        lists = table.column("x").combine_chunks()
+        sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        rows, articles = np.repeat(np.arange(len(ids)), sizes), lists.flatten().to_numpy(zero_copy_only=False)
+    return ids, np.ascontiguousarray(values[:, :-1]), values[:, -1], rows, articles
+
+
+def _scorer(names: list[str], n: int, g: float, blocks: list[Block], chunk_rows: int, report: bool = False):
+    """The function of a task; ``chunk_rows`` customers are scored together. With ``report`` it gives the pairs scored and all pairs instead of the lists."""
+
     def run(batches):
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                cust, u_all, bu_all = _block_arrays(row, "c", k)
-                ids, mat, ba = _block_arrays(row, "a", k)
-                sup_all = np.zeros((len(cust), len(ids)), dtype=bool)
-                if row.get("x_customers") is not None:
-                    x = np.asarray(row["x_customers"], dtype=np.int64)
-                    y = np.asarray(row["x_articles"], dtype=np.int64)
-                    i, j = np.searchsorted(cust, x), np.searchsorted(ids, y)
-                    ok = (i < len(cust)) & (j < len(ids))
-                    i, j, x, y = i[ok], j[ok], x[ok], y[ok]
-                    ok = (cust[i] == x) & (ids[j] == y)
-                    sup_all[i[ok], j[ok]] = True
-                chunk = max(1, chunk_cells // max(1, len(ids)))
-                for s in range(0, len(cust), chunk):
-                    e = _exponents(u_all[s : s + chunk], bu_all[s : s + chunk], mat, ba, intercept)
-                    sup = sup_all[s : s + chunk]
-                    picks = _top_rows(e, sup, n)
-                    size = [len(cols) for cols in picks]
-                    at = np.repeat(np.arange(len(picks)), size)
-                    cols = np.concatenate(picks)
-                    yield pd.DataFrame(
-                        {
-                            "customer_int": cust[s + at],
-                            "rank": np.concatenate([np.arange(1, m + 1) for m in size]).astype(np.int32),
-                            "article_int": ids[cols],
-                            "exponent": e[at, cols],
-                            "suppressed": sup[at, cols],
-                        }
-                    )
+        first = next(batches, None)
+        if first is None:
+            return
+        ids, u, bu, x_row, x_article = _customers([first, *batches], names)
+        if not len(ids):
+            return
+        length, best, scored = np.sqrt((u * u).sum(axis=1)), _Best(len(ids), n), 0
+        for block in blocks:
+            size = np.abs(length * block.norm) + abs(block.bias) + np.abs(bu) + abs(g)
+            bound = length * block.norm + block.bias + bu + g + 1e-12 * size  # rounding of the sums included
+            wanted = np.nonzero(~(bound < best.nth()))[0]  # NaN: wanted
+            if not len(wanted):
+                continue
+            articles, v, ba = read_block(block, names)
+            found = np.searchsorted(articles, x_article)
+            hit = found < len(articles)
+            hit[hit] = articles[found[hit]] == x_article[hit]
+            hit_row, hit_column = x_row[hit], found[hit]
+            scored += len(wanted) * len(articles)
+            together = max(1, min(chunk_rows, CHUNK_CELLS // max(1, len(articles))))
+            for at in range(0, len(wanted), together):
+                rows = wanted[at : at + together]
+                place = np.full(len(ids), -1)
+                place[rows] = np.arange(len(rows))
+                sup = np.zeros((len(rows), len(articles)), bool)
+                here = place[hit_row] >= 0
+                sup[place[hit_row[here]], hit_column[here]] = True
+                e = _exponents(u[rows], bu[rows], v, ba, g)
+                with np.errstate(invalid="ignore"):
+                    top = np.where(sup | np.isnan(e), -np.inf, e).max(axis=1)
+                    use = ~(top < best.nth()[rows])
+                if use.any():
+                    best.add(rows[use], articles, e[use], sup[use])
+        if report:
+            total = len(ids) * sum(b.rows for b in blocks)
+            yield pa.RecordBatch.from_pydict({"scored": [scored], "pairs": [total]})
+            return
+        row, place = np.nonzero(best.kind != FREE)
+        for at in range(0, len(row), 1 << 20):
+            r, p = row[at : at + (1 << 20)], place[at : at + (1 << 20)]
+            value = best.value[r, p]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[r]), pa.array((p + 1).astype(np.int32)), pa.array(best.article[r, p]),
+                    pa.array(value, mask=np.isnan(value)), pa.array(best.kind[r, p] == SUPPRESSED),
+                ],
+                ["customer_int", "rank", "article_int", "exponent", "suppressed"],
+            )
 
     return run
 
 
+def _dealt(table: DataFrame, rows_per_task: int) -> DataFrame:
+    """Rows dealt to tasks by id: a task per slot or more, and at most about ``rows_per_task`` rows in one."""
+    n = table.count()
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(max(1, math.ceil(n / rows_per_task), min(2 * slots, math.ceil(n / 64))), "id")
+
+
 def top_n_scored(
     customer_factors: DataFrame,
     article_factors: DataFrame,
@@ -217,25 +224,24 @@ def top_n_scored(
     article: str = S.ARTICLE,
     customer_block_rows: int = CUSTOMER_BLOCK_ROWS,
     article_block_rows: int = ARTICLE_BLOCK_ROWS,
+    report: bool = False,
 ) -> DataFrame:
     """R1 + R3 + R4 for modelled customers, long form: customer_int, rank, article_int,
     exponent (null if it is not a number), suppressed (rank 1..N per customer).
 
     ``customer_factors`` has ``id, f0.., bias`` for the customers to score; ``exclusions`` has
-    (customer, article) pairs to suppress. The block sizes bound a task's memory only.
+    (customer, article) pairs to suppress. The block sizes bound a task's memory and change no result.
+    ``report`` gives, per task, the pairs that were scored and all pairs instead: ``scored, pairs``.
     """
-    pairs = _block_pairs(
-        customer_factors, article_factors, k, customer_block_rows, article_block_rows, exclusions,
-        customer, article,
-    )
-    partial = pairs.mapInPandas(_scorer(k, int(n), float(intercept)), TOP_SCHEMA)
-    nan = F.col("exponent").isNull() | F.isnan("exponent")  # pandas hands NaN over as null
-    best = Window.partitionBy("customer_int").orderBy(
-        F.when(nan, 2).when(F.col("suppressed"), 1).otherwise(0),
-        F.when(nan | F.col("suppressed"), 0.0).otherwise(F.col("exponent")).desc(),
-        F.col("article_int"),
-    )
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= int(n))
+    names = [*factor_names(k), "bias"]
+    rows = customer_factors.select(F.col("id").cast("long").alias("id"), *names)
+    if exclusions is not None:
+        pairs = exclusions.select(F.col(customer).cast("long").alias("id"), F.col(article).cast("long").alias("a"))
+        rows = rows.join(pairs.groupBy("id").agg(F.collect_set("a").alias("x")), "id", "left")
+    blocks = write_blocks(article_factors.withColumn("id", F.col("id").cast("long")), names, article_block_rows)
+    run = _scorer(names, int(n), float(intercept), blocks, max(1, int(customer_block_rows)), report)
+    dealt = _dealt(rows, max(1, int(customer_block_rows)) * CUSTOMER_BLOCKS_PER_TASK)
+    return dealt.mapInArrow(run, "scored long, pairs long" if report else TOP_SCHEMA)
 
 
 def top_n_lists(
@@ -266,25 +272,30 @@ def fallback_scores(
 ) -> DataFrame:
     """R2 + A9: mean predicted score of every article over a sample of customers of any size.
 
-    Sample and articles meet block by block like customers and articles in ``top_n_scored``; a
-    pair of blocks yields a sum and a count per article, and the sums are added up.
+    Here the sample is written as blocks, the articles are dealt to tasks, and a task adds up the scores of
+    its articles over the blocks.
     """
-    g = float(intercept)
-
-    def run(batches, chunk_cells=4_000_000):
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                _, u, bu = _block_arrays(row, "c", k)
-                ids, mat, ba = _block_arrays(row, "a", k)
-                total = np.zeros(len(ids))
-                chunk = max(1, chunk_cells // max(1, len(ids)))
-                for s in range(0, len(u), chunk):
-                    total += np.exp(_exponents(u[s : s + chunk], bu[s : s + chunk], mat, ba, g)).sum(axis=0)
-                yield pd.DataFrame({"article_int": ids, "total": total, "n": len(u)})
-
-    pairs = _block_pairs(sample_factors, article_factors, k, customer_block_rows, article_block_rows)
-    sums = pairs.mapInPandas(run, "article_int long, total double, n long")
-    return sums.groupBy("article_int").agg((F.sum("total") / F.sum("n")).alias("score"))
+    names, g = [*factor_names(k), "bias"], float(intercept)
+    blocks = write_blocks(sample_factors.select("id", *names), names, customer_block_rows, [F.col("id")])
+
+    def run(batches):
+        first = next(batches, None)
+        if first is None or not blocks:
+            return
+        ids, v, ba, _, _ = _customers([first, *batches], names)
+        total = np.zeros(len(ids))
+        for block in blocks:
+            _, u, bu = read_block(block, names)
+            chunk = max(1, CHUNK_CELLS // max(1, len(ids)))
+            for s in range(0, len(u), chunk):
+                total += np.exp(_exponents(u[s : s + chunk], bu[s : s + chunk], v, ba, g)).sum(axis=0)
+        scores = total / sum(b.rows for b in blocks)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(scores)], ["article_int", "score"])
+
+    articles = article_factors.select(F.col("id").cast("long").alias("id"), *names)
+    return _dealt(articles, max(1, int(article_block_rows)) * CUSTOMER_BLOCKS_PER_TASK).mapInArrow(
+        run, "article_int long, score double"
+    )
 
 
 def fallback_list(fallback: DataFrame, n: int) -> DataFrame:

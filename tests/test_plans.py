@@ -70,7 +70,8 @@ def test_gap_windows_run_on_distinct_days(split):
     assert text.index("HashAggregate") < text.rindex("Window")
 
 
-def test_blocked_top_n_merge_uses_window_group_limit(spark):
+def test_scoring_shuffles_customers_only(spark):
+    """No join, window or shuffle of blocks: customers are dealt once, article blocks are read from files."""
     from pyspark.sql import functions as F
 
     from affinity.operators import scoring as R
@@ -78,7 +79,8 @@ def test_blocked_top_n_merge_uses_window_group_limit(spark):
     arts = spark.range(0, 30).select("id", (F.col("id") / 30.0).alias("f0"), F.lit(0.0).alias("bias"))
     cust = spark.range(100, 110).select("id", F.lit(1.0).alias("f0"), F.lit(0.0).alias("bias"))
     text = plan(R.top_n_scored(cust, arts, 0.0, 1, 5, article_block_rows=7))
-    assert "WindowGroupLimit" in text and "MapInPandas" in text
+    assert "MapInArrow" in text and text.count("\n+- Exchange") + text.count("   +- Exchange") == 1
+    assert "Join" not in text and "Window" not in text
 
 
 def test_results_do_not_depend_on_shuffle_partitions(spark, split):

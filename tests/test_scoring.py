@@ -159,3 +159,50 @@ def test_no_article_or_customer(spark):
     cust, arts = factors(spark, [(0, 1.0, 0.0)]), factors(spark, [(1, 1.0, 0.0)])
     assert R.top_n_scored(cust.limit(0), arts, 0.0, 1, 3).count() == 0
     assert R.top_n_scored(cust, arts.limit(0), 0.0, 1, 3).count() == 0
+
+
+def brute_force(cust, arts, ex, n, g):
+    """The N best of every article, scored one by one and ranked by the rule written out."""
+    out = {}
+    for c in cust:
+        e = []
+        for a in arts:
+            total = c[1] * a[1]
+            for x, y in zip(c[2:-1], a[2:-1]):
+                total = total + x * y
+            e.append(((total + c[-1]) + a[-1]) + g)
+        out[c[0]] = plain(e, [(c[0], a[0]) in ex for a in arts], [a[0] for a in arts], n)
+    return out
+
+
+@pytest.mark.parametrize("block,n", [(1, 3), (7, 12), (1000, 12)])
+def test_pruned_lists_equal_brute_force(spark, block, n):
+    """Norms that fall steeply, so that most blocks are left out, ties at the N-th place, NaN, infinite and
+    suppressed articles, and customers that cannot prune."""
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    arts = []
+    for i in range(300):
+        v = rng.normal(size=3) * 10.0 ** -(i // 60)
+        v = np.round(v, 1) if i % 2 else v
+        arts.append((i, *map(float, v), float(rng.choice([0.0, 0.0, 0.5, -0.25]))))
+    arts[17], arts[250] = (17, float("nan"), 0.0, 0.0, 0.0), (250, 0.0, 0.0, 0.0, float("nan"))
+    arts[299], arts[280] = (299, 0.0, 0.0, 0.0, float("inf")), (280, 0.0, 0.0, 0.0, 9.0)
+    cust = [(i, *map(float, np.round(rng.normal(size=3), 1)), float(rng.normal())) for i in range(60)]
+    cust += [(60, 0.0, 0.0, 0.0, 0.0), (61, float("nan"), 0.0, 0.0, 0.0), (62, 1e200, 1e200, 0.0, 0.0)]
+    ex = {(int(c), int(a)) for c, a in zip(rng.integers(0, 63, 900), rng.integers(0, 300, 900))} | {(5, a) for a in range(297)}
+    exclusions = spark.createDataFrame(sorted(ex), "customer_int long, article_int long")
+    top = R.top_n_lists(factors(spark, cust, 3), factors(spark, arts, 3), -0.3, 3, n, exclusions, article_block_rows=block, customer_block_rows=16)
+    assert {r.customer_int: list(r.recommendations) for r in top.collect()} == brute_force(cust, arts, ex, n, -0.3)
+
+
+def test_blocks_out_of_reach_are_not_scored(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    arts = [(i, *map(float, rng.normal(size=2) * (5.0 if i < 50 else 0.01)), 0.0) for i in range(1000)]
+    cust = [(i, *map(float, rng.normal(size=2)), 0.0) for i in range(200)]
+    seen = R.top_n_scored(factors(spark, cust, 2), factors(spark, arts, 2), 0.0, 2, 5, article_block_rows=50, report=True)
+    row = seen.agg(F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs")).first()
+    assert row.pairs == 200_000 and row.scored < 0.2 * row.pairs
