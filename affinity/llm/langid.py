@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import received, sent, slices_of
+from affinity.llm.shared import in_fold, received, sent, slices_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: odd multipliers of the n-gram hash (arbitrary, fixed)
@@ -28,14 +28,20 @@ PIECE = 1 << 18
 HASHES = 2
 
 
-def in_fold(id_col: str, folds: int, fold: int) -> Column:
-    """crc32(id as text) mod ``folds`` is ``fold``; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters; numbers that are no letters (½, ², Ⅷ) end a run."""
+    runs = []
+    for run in LETTERS.findall(text):  # the pattern takes any numeric character but decimal digits
+        if run.isalpha():
+            runs.append(run)
+        else:
+            runs += "".join(c if c.isalpha() else " " for c in run).split()
+    return runs
 
 
 def letter_codes(text: str | None) -> np.ndarray:
     """Code points of the lower-cased letter runs, one space around each; empty if there is no letter."""
-    runs = LETTERS.findall((text or "").lower())
+    runs = letter_runs((text or "").lower())
     if not runs:
         return np.zeros(0, np.uint64)
     return np.frombuffer(f" {' '.join(runs)} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)

@@ -13,6 +13,7 @@ from affinity.llm import (
     langid,
     mixing,
     packing,
+    quality,
     simhash,
     substring,
     topk,
@@ -78,7 +79,8 @@ def op9_boosted_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.mix(_table(spark, sf_dir, "documents"), target_entropy=0.98, max_repeats=4.0)
+    # sources of equal shares cannot be sharpened: they stay as they are, with a warning
+    found = mixing.mix(_table(spark, sf_dir, "documents"), target_entropy=0.98, max_repeats=4.0, on_conflict="nearest")
     return found.select(
         "doc_id",
         "source",
@@ -89,6 +91,10 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_crc_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = importance.resample(docs, target, percent=25, min_words=20, ngrams=2, buckets=10_000, seed=7)
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_cost_balanced_packing": op8_cost_balanced_packing,
     "op9_boosted_html_extraction": op9_boosted_html_extraction,
     "op10_temperature_mixing": op10_temperature_mixing,
+    "op11_fourier_quality": op11_fourier_quality,
     "op12_crc_importance_resampling": op12_crc_importance_resampling,
     "op13_source_divergence": op13_source_divergence,
 }

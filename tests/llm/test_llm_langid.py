@@ -73,3 +73,13 @@ def test_learning_reads_no_held_out_row(spark):
     rows = [(i, t, "zz" if i in held else lang) for i, t, lang in rows]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     assert {r["lang_pred"] for r in langid.identify(docs).collect()} == {"aa"}
+
+
+def test_numbers_are_no_letters(spark):
+    rng = np.random.default_rng(0)
+    words = {"en": ["the", "house", "and"], "de": ["das", "haus", "und"]}
+    rows = [(i, " ".join(rng.choice(words["en" if i % 2 else "de"], 20)), "en" if i % 2 else "de") for i in range(80)]
+    rows += [(100 + i, t, None) for i, t in enumerate(["½ ² ①", "〇", "Ⅷ ⅷ", "³the²", "९"])]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert [got[100 + i] for i in range(5)] == ["und", "und", "und", "en", "und"]
+    assert langid.letter_runs("a²b ½c") == ["a", "b", "c"]
