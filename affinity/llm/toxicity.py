@@ -22,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import received, sent, slices_of
+from affinity.llm.shared import in_fold, received, sent, slices_of, staged
 
 WORDS = re.compile(r"[^\W_]+")
 TRIGRAMS, SLOTS, OPENING = 1 << 13, 1 << 17, 5
 #: odd multipliers of the feature hashes (arbitrary, fixed)
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 WORDS_AT_ONCE = 200_000
+#: rows of every matrix product in scoring: the last digits of a product follow its shape
+WINDOWS_TOGETHER, WORDS_TOGETHER = 512, 4096
+SCORE_PLACES = 6
 
 
 @dataclass
@@ -82,6 +85,18 @@ def windows_of(n: int, size: int) -> np.ndarray:
     return np.append(np.arange(0, n - size, step), n - size)
 
 
+def in_blocks(x: np.ndarray, w: np.ndarray, rows: int = WORDS_TOGETHER) -> np.ndarray:
+    """``x @ w`` by blocks of always the same shape, the last one filled up with zeros: a row's result does not
+    depend on the rows it is multiplied with."""
+    out = np.empty((len(x), w.shape[1]), np.float32)
+    for at in range(0, len(x), rows):
+        part = x[at : at + rows]
+        if len(part) < rows:
+            part = np.concatenate([part, np.zeros((rows - len(part), x.shape[1]), x.dtype)])
+        out[at : at + rows] = (part @ w)[: len(out) - at]
+    return out
+
+
 def sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -243,19 +258,20 @@ class Network:
                 np.concatenate([w.opening for w in full]),
             )
             x = self.inputs(joint, self.word_numbers(joint.keys))
-            pre = [x @ self.p[f"in_{s}"] + self.p[f"bias_{s}"] for s in "fb"]
+            pre = [in_blocks(x, self.p[f"in_{s}"]) + self.p[f"bias_{s}"] for s in "fb"]
             base = np.concatenate(([0], np.cumsum(count)[:-1]))
             spans = [windows_of(int(c), self.window) + b for c, b in zip(count, base)]
             first, found = np.concatenate(spans), []
-            for at in range(0, len(first), 4096):
-                take = first[at : at + 4096] + np.arange(self.window)[:, None]
-                found.append(self.forward(pre[0][take], pre[1][take])[0])
+            for at in range(0, len(first), WINDOWS_TOGETHER):  # always as many windows, the last ones repeated
+                own = first[np.minimum(np.arange(at, at + WINDOWS_TOGETHER), len(first) - 1)]
+                take = own + np.arange(self.window)[:, None]
+                found.append(self.forward(pre[0][take], pre[1][take])[0][: len(first) - at])
             cuts = np.cumsum([len(s) for s in spans])[:-1]
             result = {id(w): v for w, v in zip(full, np.split(np.concatenate(found), cuts))}
         return [result[id(w)] if id(w) in result else self.logits(w) for w in texts]
 
     def score(self, best: float, expected: float, windows: int) -> float:
-        return float(sigmoid(np.dot(self.scale, summary(best, expected, windows))))
+        return round(float(sigmoid(np.dot(self.scale, summary(best, expected, windows)))), SCORE_PLACES)
 
 
 def summary(best: float, expected: float, windows: int) -> list[float]:
@@ -458,11 +474,6 @@ def _calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple:
 # ---- on tables -----------------------------------------------------------------------------------
 
 
-def in_fold(id_col: str, folds: int, fold: int) -> Column:
-    """crc32(id as text) mod ``folds`` is ``fold``; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold
-
-
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -472,10 +483,14 @@ def fit(
     train_rows: Column | None = None,
     sample_docs: int = 1500,
     sample_chars: int = 20_000,
+    long_docs: int = 8,
+    long_chars: int = 100_000,
     **options,
 ) -> Network:
-    """A network learnt from labelled rows: about ``sample_docs`` of each class with at most ``sample_chars``
-    characters, chosen by a hash of the id. Null labels are not used; several rows per id are one (largest label)."""
+    """A network learnt from labelled rows: about ``sample_docs`` toxic and twice as many clean ones with at most
+    ``sample_chars`` characters, and of the longer ones up to ``long_docs`` of each class with at most
+    ``long_chars``, chosen by a hash of the id. Null labels are not used; several labels of an id are one (the
+    largest), and so are several texts (the smallest)."""
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
@@ -492,8 +507,13 @@ def fit(
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     chosen = F.broadcast(known.where(draw < share).limit(4 * sample_docs))  # bounded by the limit, so no text is shuffled
-    sample = texts.where(F.length("text") <= sample_chars).join(chosen, "id")
-    sample = sample.select("id", "text", "label").limit(4 * sample_docs).collect()  # the bound, if ids repeat
+    drawn = texts.join(chosen, "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    drawn = staged(drawn, "toxicity_sample").withColumn("size", F.length("text"))
+    sample = drawn.where(F.col("size") <= sample_chars).collect()  # at most as many as ``chosen``
+    longer = drawn.where((F.col("size") > sample_chars) & (F.col("size") <= long_chars))
+    for label in (0, 1):
+        order = F.xxhash64(F.col("id").cast("string"), F.lit(13))
+        sample += longer.where(F.col("label") == label).orderBy(order, "id").limit(long_docs).collect()
     sample.sort(key=lambda r: (str(r["id"]), r["text"]))
     return train([r["text"] for r in sample], [r["label"] for r in sample], **options)
 
@@ -506,7 +526,7 @@ def _scores(batch: pa.RecordBatch, column: int, model: Network) -> list[float]:
         parts = [(k, s) for k, w in enumerate(held) for s in slices(w, model.window)]
         top, expected, windows = np.full(len(held), -np.inf), np.zeros(len(held)), np.zeros(len(held), np.int64)
         for (k, _), v in zip(parts, model.window_logits([s for _, s in parts])):
-            top[k], expected[k], windows[k] = max(top[k], v.max()), expected[k] + sigmoid(v).sum(), windows[k] + len(v)
+            top[k], expected[k], windows[k] = max(top[k], v.max()), expected[k] + sigmoid(v.astype(np.float64)).sum(), windows[k] + len(v)
         best.extend(map(model.score, top, expected, windows))
 
     for t in (t for part in slices_of(batch, column) for t in part):

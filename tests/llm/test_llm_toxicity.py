@@ -82,16 +82,18 @@ def test_batched_windows_and_slices_equal_one_by_one(monkeypatch):
     assert max(net.logits(p).max() for p in parts) == pytest.approx(net.logits(whole).max(), abs=1e-5)
 
 
-def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+def test_held_out_recall_and_precision(spark):
+    sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     got = queries.QUERIES["op4_bigru_toxicity"](spark, sf).collect()
-    assert len(got) == 1000
+    assert len(got) == 10_000
     for r in got:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
     known = [(r["predicted"], labels[r["doc_id"]]) for r in got if r["doc_id"] in labels and r["held_out"]]
-    assert np.mean([a == b for a, b in known]) > 0.85
+    toxic = [p for p, y in known if y == 1]
+    assert len(toxic) > 50 and np.mean(toxic) > 0.8  # recall
+    assert np.mean([y for p, y in known if p == 1]) > 0.85  # precision
 
 
 def test_edge_cases(spark):
@@ -99,7 +101,10 @@ def test_edge_cases(spark):
     texts, marks = made_up(rng, 150)
     rows = [(i, t, "en", 0.5) for i, t in enumerate(texts)]
     rows += [(900, None, None, None), (901, "", "en", 1.0), (902, " ## ", "en", 1.0), (None, texts[0], "en", 1.0), (0, texts[0], "en", 1.0)]
-    rows.append((903, "lang " * 30_000 + " ".join(texts[0].split()), "en", 1.0))
+    plain = " ".join(t for t, m in zip(texts, marks) if not m)
+    rows.append((903, " ".join([plain] * 4 + [texts[0]] * 3 + [plain] * 4), "en", 1.0))
+    rows.append((904, " ".join([plain] * 8), "en", 1.0))
+    rows.append((905, "lang " * 300_000, "en", 1.0))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score double")
     labels = spark.createDataFrame([(i, m) for i, m in enumerate(marks)] + [(5, None), (None, 1), (7, 9)], "doc_id bigint, toxic int")
     got = toxicity.classify(docs, labels, epochs=3).collect()
@@ -107,6 +112,9 @@ def test_edge_cases(spark):
     score = {r["doc_id"]: r["score"] for r in got}
     assert score[900] == score[901] == score[902] < 0.5
     assert score[None] == score[0]
+    assert score[903] >= 0.5 > score[904] and score[905] < 0.5
+    again = toxicity.classify(docs.repartition(7), labels.repartition(2), epochs=3).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
     kept = toxicity.keep_clean(docs, labels)
     assert kept.columns == docs.columns and {900, 901, 902} <= {r["doc_id"] for r in kept.collect()}
     assert toxicity.classify(docs.limit(0), labels, epochs=1).count() == 0
