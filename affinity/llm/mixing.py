@@ -24,6 +24,7 @@ from affinity.llm.shared import staged
 WORD = r"[^\x20\x09-\x0D]+"
 DIGIT_BITS, DIGITS = 12, 5
 GRID = 32
+RESULT = ("__tokens", "__copy", "__block", "__position")
 
 
 def _mix_sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float, float]]:
@@ -174,7 +175,8 @@ def mix(
 
     A null source is a source of its own. Null and empty texts have no tokens; they go with each whole pass and
     with the part of a last pass before its end. Sources without tokens are passed once. Rows equal in id, source
-    and text share a place and are taken or left together. An empty table gives an empty result.
+    and text share a place and are taken or left together. An empty table gives an empty result. Columns of
+    ``docs`` called like one of the four result columns are replaced by it; any other name passes through.
     """
     if target_entropy is not None and not 0 < target_entropy <= 1:
         raise ValueError("target_entropy must be above 0 and at most 1")
@@ -185,21 +187,21 @@ def mix(
     if on_conflict not in ("error", "nearest"):
         raise ValueError("on_conflict must be error or nearest")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumns(
-        {
-            "__source": F.col(source_col).cast("string"),
-            "__row": F.xxhash64(F.col(id_col).cast("string"), F.col(source_col).cast("string"), text),
-            "__tokens": F.regexp_count(text, F.lit(WORD)).cast("bigint"),
-        }
+    passed = [c for c in docs.columns if c not in RESULT]
+    marked = docs.select(
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(passed)],
+        F.col(source_col).cast("string").alias("__source"),
+        F.xxhash64(F.col(id_col).cast("string"), F.col(source_col).cast("string"), text).alias("__row"),
+        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("__tokens"),
     )
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(passed)]
     rows = staged(marked.select("__source", "__row", "__tokens"), "tokens")
     sources = staged(rows.groupBy("__source").agg(F.sum("__tokens").alias("t")), "sources")
     total, n = sources.where("t > 0").agg(F.sum("t"), F.count("*")).first()
     total = float(total or 0)
     if not total:
-        return docs.withColumns(
-            {"__tokens": F.lit(0).cast("bigint"), "__copy": F.lit(1), "__block": F.lit(0).cast("bigint"), "__position": F.lit(0).cast("bigint")}
-        )
+        zero = F.lit(0).cast("bigint")
+        return marked.select(*own, *[(F.lit(1) if c == "__copy" else zero).alias(c) for c in RESULT])
     share = None if cover_all else (total if budget_tokens is None else float(budget_tokens)) / total
     p = sources.where("t > 0").select((F.col("t") / F.lit(total)).alias("p"))
     limit = target_entropy * math.log(n) if target_entropy is not None else None
@@ -223,7 +225,7 @@ def mix(
     passes = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     placed = placed.withColumn("__copy", F.explode(passes)).withColumn("__position", _key(F.col("__copy"), seed))
     block = F.shiftright("__position", DIGIT_BITS * (DIGITS - 1)).alias("__block")
-    return placed.select(*docs.columns, "__tokens", "__copy", block, "__position")
+    return placed.select(*own, "__tokens", "__copy", block, "__position")
 
 
 def _ends(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:

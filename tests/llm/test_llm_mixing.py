@@ -214,3 +214,25 @@ def test_exponents_far_above_one(spark):
     w = np.exp(t * np.log(p) - log_z)
     assert w.sum() == pytest.approx(1) and -(w * np.log(w)).sum() == pytest.approx(0.9 * math.log(4), abs=1e-6)
     assert share == 1.0 and t > 1000
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["__end", "__whole", "__planned", "__source", "__row", "c0", "c1", "a.b", "__tokens", "__copy", "t"]
+    rows = [(i, "a b c " * (1 + i % 4), "xyz"[i % 3], *[100 * i + k for k in range(len(names))]) for i in range(40)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    got = mixing.mix(docs, target_entropy=None, cover_all=True)
+    assert got.columns == ["doc_id", "text", "source", *names[:8], "t", "__tokens", "__copy", "__block", "__position"]
+    plain = mixing.mix(docs.select("doc_id", "text", "source"), target_entropy=None, cover_all=True)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in plain.collect())
+    for r in got.collect():
+        assert r["__end"] == 100 * r["doc_id"] and r["a.b"] == 100 * r["doc_id"] + 7 and r["__tokens"] == 3 * (1 + r["doc_id"] % 4)
+
+
+def test_registered_query_takes_equal_sources(spark, tmp_path):
+    from affinity.llm import queries
+
+    docs = spark.createDataFrame([(i, "a b c", "xyz"[i % 3]) for i in range(30)], "doc_id bigint, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.warns(UserWarning):
+        got = queries.QUERIES["op10_temperature_mixing"](spark, str(tmp_path))
+    assert got.count() == 30
