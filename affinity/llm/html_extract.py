@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -104,11 +106,17 @@ def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     tags, parent, depth, groups, runs = page.tags, page.parent, page.depth, page.groups, page.runs
     stack, unseen, block, at, n = [0], 0, 0, 0, len(source)
+    # places in the stack of the open elements of each name, and of those that limit a scope: no tag scans the stack
+    places: dict[str, list[int]] = defaultdict(list)
+    scopes, has_body = [0], False
 
     def pop_to(k):
         nonlocal unseen, block
         while len(stack) > k:
             t = tags[stack.pop()]
+            places[t].pop()
+            if t in SCOPE:
+                scopes.pop()
             unseen -= t in UNSEEN
             block += t in BLOCK
 
@@ -148,14 +156,10 @@ def parse(source: str | None) -> Page:
             break  # a tag that is cut off
         attributes, at = source[m.end() : end], end + 1
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if tags[stack[k]] == name:
-                    pop_to(k)
-                    break
-                if tags[stack[k]] in SCOPE and name not in BLOCK:
-                    break
-            else:
+            if not places[name]:
                 block += name in BLOCK
+            elif name in BLOCK or scopes[-1] <= places[name][-1]:
+                pop_to(places[name][-1])
             continue
         if name == "br":
             if not unseen:
@@ -163,25 +167,19 @@ def parse(source: str | None) -> Page:
             continue
         if name in BLOCK:
             block += 1
-            for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends where a block begins
-                if tags[stack[k]] == "p":
-                    pop_to(k)
-                    break
-                if tags[stack[k]] in SCOPE:
-                    break
+            if places["p"] and places["p"][-1] > scopes[-1]:  # an open paragraph ends where a block begins
+                pop_to(places["p"][-1])
         if name in CLOSES:
             ends, bounds = CLOSES[name]
-            cut = None
-            for k in range(len(stack) - 1, 0, -1):
-                t = tags[stack[k]]
-                if t in ends:
-                    cut = k
-                elif t in bounds:
-                    break
+            bound = max((places[t][-1] for t in bounds if places[t]), default=0)
+            open_ends = [(places[t], bisect_right(places[t], bound)) for t in ends]
+            cut = min((at_[i] for at_, i in open_ends if i < len(at_)), default=None)
             if cut is not None:
                 pop_to(cut)
-        if name == "body" and "body" not in tags and "head" in (tags[i] for i in stack):
-            pop_to(next(k for k, i in enumerate(stack) if tags[i] == "head"))
+        if name == "body":
+            if not has_body and places["head"]:
+                pop_to(places["head"][0])
+            has_body = True
         if name in VOID:
             continue
         node = len(tags)
@@ -194,11 +192,19 @@ def parse(source: str | None) -> Page:
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|$)", re.I).search(source, at)
             at = n if not close else close.start()
+        places[name].append(len(stack))
+        if name in SCOPE:
+            scopes.append(len(stack))
         stack.append(node)
         unseen += name in UNSEEN
     return page
 
 
+def by_depth(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of each depth, from one sort."""
+    return np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1])
+
+
 # ---- features ------------------------------------------------------------------------------------
 
 
@@ -226,7 +232,7 @@ def features(pages: list[Page]):
     inside[:, 4] = 1  # elements
     for column, k in ((5, "p"), (6, "li"), (7, "h1")):
         inside[:, column] = kind == KIND_OF[k]
-    levels = [np.nonzero(depth == d)[0] for d in range(int(depth.max(initial=0)) + 1)]
+    levels = by_depth(depth)
     for nodes in reversed(levels[1:]):
         linked = nodes[link[nodes]]
         inside[linked, 8] = inside[linked, 0]
@@ -345,7 +351,7 @@ def decode(logit: np.ndarray, parent: np.ndarray, depth: np.ndarray, text: np.nd
     keep, drop = weight * np.logaddexp(0, -logit), weight * np.logaddexp(0, logit)
     own = np.minimum(keep, drop)
     mixed = own + SPLIT_COST
-    levels = [np.nonzero(depth == d)[0] for d in range(int(depth.max(initial=0)) + 1)]
+    levels = by_depth(depth)
     for nodes in reversed(levels[1:]):
         best = np.minimum(np.minimum(keep[nodes], drop[nodes]), mixed[nodes])
         np.add.at(keep, parent[nodes], keep[nodes])
@@ -423,37 +429,77 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
         )
         return element(pick("section", "div", "ol"), ["comments", "comment-list", "disqus", "discussion", "reader-comments"], f"<h3>{REST}{words(2)}</h3>{box}")
 
-    def paragraph():
+    def named(tag, body, names=()):
+        """An element without attributes, with a class of the page's own or one of ``names``."""
+        label = pick("", "", words(1), words(1) + "-" + words(1), f"css-{words(1)}", *names)
+        return f"<{tag} class={label}>{body}</{tag}>" if label else f"<{tag}>{body}</{tag}>"
+
+    def styled(text, style):
+        """A paragraph in the page's own way of writing one."""
+        if style == "any":
+            style = pick("p", "div", "nested", "span")
+        if style == "div":
+            return named("div", text, ["paragraph", "text", "para"])
+        if style == "nested":
+            return named(pick("div", "section"), named("div", text))
+        if style == "span":
+            return named(pick("div", "p"), named("span", text))
+        if style == "bare":
+            return text + pick("<br><br>", "<br>\n<br>", "<br><p>")
+        if style == "cell":
+            return f"<table><tr><td>{text}</td></tr></table>"
+        return f"<p>{text}</p>" if chance(0.8) else named("p", text)
+
+    def paragraph(style):
         n = int(pick(1, 2, 4, 8, 20, 50, 90, 140))
         text = MAIN + sentences(max(1, int(rng.integers(n, 2 * n + 1))))
         if chance(0.2):
             cut = text.rfind(" ", 0, len(text) // 2)
             text = f"{text[: max(cut, 1)]} {pick('<b>', '<em>', '<a href=/x>')}{MAIN}{words(2)}{pick('</b>', '</em>', '</a>')}{MAIN}{text[max(cut, 1):].replace(MAIN, '')}"
         form = int(rng.integers(12))
-        if form == 0:
+        if form == 0 and style == "p":
             return f"<p><b>{text}<br>"
         if form == 1:
             return element(pick("ul", "ol"), [], "".join(f"<li>{MAIN}{words(int(rng.integers(1, 14)))}</li>" for _ in range(int(rng.integers(2, 6)))))
         if form == 2:
-            return f"<h2>{MAIN}{words(int(rng.integers(1, 7)))}</h2><p>{text}</p>"
+            return f"<h2>{MAIN}{words(int(rng.integers(1, 7)))}</h2>" + styled(text, style)
         if form == 3:
-            return f"<blockquote>{pick('', '<p>')}{text}</blockquote>"
-        if form == 4:
+            return f"<blockquote>{styled(text, pick('bare', style)).replace('<br>', '')}</blockquote>"
+        if form == 4 and style == "p":
             return f"<p>{text}"
         if form == 5 and chance(0.4):
             return f"<pre>{text}</pre>"
         if form == 6 and chance(0.4):
             return "<table>" + "".join(f"<tr><td>{MAIN}{words(2)}<td>{MAIN}{words(3)}" for _ in range(3)) + "</table>"
-        return f"<p>{text}</p>"
+        return styled(text, style)
+
+    def small_print():
+        text = pick(f"&copy; {words(2)} &middot; {sentences(int(rng.integers(1, 16)))}", f"Copyright {words(2)}. {sentences(int(rng.integers(1, 9)))}", f"&copy; 20{words(1)} {words(2)}")
+        return REST + text
+
+    def article_frame(title, body):
+        """Title and text of an article, at times with a header and a footer of its own."""
+        byline = pick("", "", f'<div class="{pick("byline", "meta", "post-meta", "date")}">{REST}{words(3)}</div>', f"<p class=byline>{REST}{words(3)}</p>")
+        if chance(0.25):
+            title, byline = f"<header>{title}{byline}</header>", ""
+        last = pick("", "", "", f"<footer>{REST}{words(2)}: {links(int(rng.integers(1, 4)), 'div')}</footer>", f"<footer><p>{REST}{words(3)} <a href=/t>{REST}{words(1)}</a></p></footer>",
+                    element("div", ["tags", "post-tags", "categories"], f"{REST}{words(2)}: {links(2, 'div')}"))
+        return f"{title}{byline}{body}{last}"
+
+    #: names on main text that share a word with other parts of a page
+    misleading = ["post-header-image", "with-sidebar", "has-sidebar", "no-ads", "page-top", "header-content", "main-column", "site-content", "side-by-side", "content-footer-gap", "more-text"]
 
     pages = []
     for _ in range(count):
-        body = [paragraph() for _ in range(int(pick(1, 2, 4, 6, 9, 14)))]
+        style = pick("p", "p", "p", "p", "p", "div", "div", "nested", "span", "bare", "cell", "any")
+        body = [paragraph(style) for _ in range(int(pick(1, 2, 3, 4, 6, 9, 14, 24)))]
         for _ in range(int(pick(0, 0, 0, 1, 2))):
             body.insert(int(rng.integers(len(body) + 1)), rest_block())
         title = f"<h1>{MAIN}{words(int(rng.integers(1, 12)))}</h1>" if chance(0.85) else ""
-        inner = title + "".join(body)
-        wrap = int(rng.integers(7))
+        inner = article_frame(title, "".join(body))
+        for _ in range(int(pick(0, 0, 0, 1, 1, 2))):
+            inner = named(pick("div", "div", "section"), inner, ["inner", "row", "col", *([pick(*misleading)] if chance(0.5) else [])])
+        wrap = int(rng.integers(10))
         if wrap < 3:
             inner = f"<article>{inner}</article>"
         elif wrap == 3:
@@ -462,8 +508,12 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
             inner = element("div", ["content", "main-content", "post", "article-body", "entry-content", "story"], inner)
         elif wrap == 5:
             inner = element("section", pick([], ["content", "article"]), inner)
-        else:
+        elif wrap == 6:
             inner = element("div", [], inner)
+        elif wrap == 7:
+            inner = named("div", inner, misleading)
+        elif wrap == 8 and style != "bare":
+            inner = f"<main>{named('section', named('div', inner))}</main>"
         before = [rest_block() for _ in range(int(rng.integers(0, 4)))]
         after = [rest_block() for _ in range(int(rng.integers(0, 3)))]
         if chance(0.5):
@@ -471,8 +521,12 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
         if chance(0.3):
             after.append(comments())
         if chance(0.8):
-            small = f"{REST}&copy; {words(2)} &middot; {sentences(int(rng.integers(1, 16)))}"
-            after.append(pick(f"<footer>{small}</footer>", f"<footer><p>{small}</p>{links(3)}</footer>", element("div", ["footer", "bottom", "copyright"], small)))
+            small = small_print()
+            after.append(pick(f"<footer>{small}</footer>", f"<footer><p>{small}</p>{links(3)}</footer>", element("div", ["footer", "bottom", "copyright"], small), named("div", small)))
+        if chance(0.08):  # a page laid out as a table
+            side = "".join(before) or links(4, "div")
+            row = pick(f"<tr><td>{side}</td><td>{inner}</td></tr>", f"<tr><td>{inner}</td><td>{side}</td></tr>", f"<tr><td>{side}</td></tr><tr><td>{inner}</td></tr>")
+            inner, before, after = f"<table>{row}<tr><td>{small_print()}</td></tr></table>", [], after[:-1]
         middle = "".join(before) + inner + "".join(after)
         if chance(0.25):
             middle = element("div", pick([], ["wrapper", "container", "page"]), middle)
@@ -481,7 +535,7 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
     return pages
 
 
-def train(pages: int = 500, seed: int = 5) -> Boosted:
+def train(pages: int = 700, seed: int = 5) -> Boosted:
     """Trees fitted to the elements of the training pages that hold text; an element is main if most of its
     text is."""
     parsed, main = [], []
@@ -529,7 +583,7 @@ def main_texts(sources: list[str | None], trees: Boosted) -> list[str]:
 
 
 def extract(
-    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = 500, batch_chars: int = 2_000_000
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = 700, batch_chars: int = 2_000_000
 ) -> DataFrame:
     """All columns of ``pages`` and ``text``, ``n_chars`` (code points), in place of columns of these names.
 

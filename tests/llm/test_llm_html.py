@@ -1,11 +1,14 @@
 import html
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from affinity.llm import html_extract as H
 from affinity.llm import queries
+from html_pages import PAGES
 
 
 @pytest.fixture(scope="module")
@@ -110,6 +113,43 @@ def test_held_out_layouts(trees):
     assert hit / total > 0.95 and hit / found > 0.95
 
 
+def block_score(pages, trees):
+    """Recall and precision of whole blocks over pages."""
+    hit = total = found = 0
+    for _, source, blocks in pages:
+        got = one(source, trees).split("\n\n")
+        same = sum((Counter(got) & Counter(blocks)).values())
+        hit, total, found = hit + same, total + len(blocks), found + len([b for b in got if b])
+    return hit / total, hit / found
+
+
+def test_hand_written_pages(trees):
+    assert len(PAGES) >= 20
+    recall, precision = block_score(PAGES, trees)
+    assert recall >= 0.95 and precision >= 0.95
+
+
+@pytest.mark.parametrize("n", [3, 6, 12, 24])
+def test_div_paragraphs_are_kept(n, trees):
+    body = "".join(f"<div>{PROSE}</div>" for _ in range(n))
+    for wrap in ("<article>{}</article>", "<div class=content>{}</div>", "<div>{}</div>", "<main><section><div>{}</div></section></main>"):
+        assert one(f"<body><h1>A day at the river</h1>{wrap.format(body)}</body>", trees).count(PROSE) == n
+
+
+def test_deep_markup_takes_linear_time(trees):
+    took = []
+    for n in (5_000, 20_000):
+        source = "<body>" + "<font>x</b>" * n
+        start = time.perf_counter()
+        one(source, trees)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 1 and took[1] < 30
+    for source in ("<b><td>" + "<font></b>" * 20_000, "<p>" * 20_000, "<li><div>" * 20_000, "<table><td>" * 20_000):
+        start = time.perf_counter()
+        H.parse(source)
+        assert time.perf_counter() - start < 5
+
+
 def test_query_on_its_template(spark):
     sf = "/root/testdata/sf0.001"
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
