@@ -110,7 +110,7 @@ def statistics_of(counts: np.ndarray) -> np.ndarray:
     word_bytes = c["digit"] + c["upper"] + c["lower"] + c["stop"] + c["mark"] + c["beyond"]
     mean = word_bytes / words
     columns = [
-        np.log1p(c["words"]), np.log1p(mean), np.log1p(words / (c["lines"] + 1)),
+        np.log1p(c["words"]), np.log1p(mean), np.log1p(c["words"] / (c["lines"] + 1)),
         np.sqrt(c["digit"] / size), np.sqrt(c["upper"] / size), c["lower"] / size, c["stop"] / size,
         np.sqrt(c["mark"] / size), c["beyond"] / size,
         c["distinct"] / words, np.sqrt(c["top"] / words), np.sqrt(c["repeats"] / words), c["pairs"] / words,
