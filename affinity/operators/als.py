@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from affinity.functions.scores import factor_names
 from affinity.operators.factors import Model
 from affinity.operators.ids import dense_ids
-from affinity.session import reliable_checkpoint
+from affinity.session import staged
 from affinity.sources import schemas as S
 
 
@@ -43,7 +43,7 @@ def fit_als(
 ) -> Model:
     if rank < 1 or max_iter < 0 or reg < 0:
         raise ValueError("rank must be positive, max_iter and reg not negative")
-    y = reliable_checkpoint(
+    y = staged(
         interactions.where(F.col(weight) > 0).select(customer, article, F.log(F.col(weight)).alias("_y"))
     )
     total = y.agg(F.avg("_y").alias("mu"), F.count("*").alias("n")).first()
@@ -51,9 +51,9 @@ def fit_als(
     cb = y.groupBy(customer).agg((F.avg("_y") - F.lit(mu)).alias("_bc"))
     with_cb = y.join(cb, customer)
     ab = with_cb.groupBy(article).agg(F.avg(F.col("_y") - F.lit(mu) - F.col("_bc")).alias("_ba"))
-    cmap = reliable_checkpoint(dense_ids(y, customer, "_cu").join(cb, customer))
-    amap = reliable_checkpoint(dense_ids(y, article, "_ar").join(ab, article))
-    resid = reliable_checkpoint(
+    cmap = staged(dense_ids(y, customer, "_cu").join(cb, customer))
+    amap = staged(dense_ids(y, article, "_ar").join(ab, article))
+    resid = staged(
         y.join(cmap, customer)
         .join(amap, article)
         .withColumn("_r", F.col("_y") - F.lit(mu) - F.col("_bc") - F.col("_ba"))

@@ -2,7 +2,8 @@
 
 All functions are ``DataFrame -> DataFrame`` and lazy, except ``max_date`` which returns one
 value to the driver (a one-row aggregate) so that the time split filters on a literal and the
-bound reaches the Parquet scan as a pushed filter.
+bound reaches the Parquet scan as a pushed filter, and the two that compare customers of holdout and
+train, which write the holdout's customers first.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from affinity.functions.weights import (
     price_weight,
     time_weight,
 )
+from affinity.operators.bloom import maybe_in
+from affinity.session import staged
 from affinity.sources import schemas as S
 
 
@@ -254,19 +257,17 @@ def holdout_new_customer_transactions(
 ) -> DataFrame:
     """C6 (J4): holdout rows of customers never seen in train (left anti join).
 
-    The holdout is short, so train is first reduced to the holdout's customers (distinct on both
-    sides before any join), then the holdout rows of all others are kept.
+    The holdout is short: a Bloom filter of its customers reduces train at the scan, the exact joins follow.
     """
-    wanted = holdout.select(customer).where(F.col(customer).isNotNull()).distinct()
-    seen = wanted.join(train.select(customer).distinct(), customer, "left_semi")
+    seen = known_customers(train, holdout, customer)
     return holdout.join(seen, customer, "left_anti")
 
 
 def known_customers(
     modelled: DataFrame, holdout: DataFrame, customer: str = S.CUSTOMER
 ) -> DataFrame:
-    """Distinct non-null customers present in both tables (distinct before the semi join)."""
-    def distinct(df: DataFrame) -> DataFrame:
-        return df.select(customer).where(F.col(customer).isNotNull()).distinct()
-
-    return distinct(holdout).join(distinct(modelled), customer, "left_semi")
+    """Distinct non-null customers present in both tables. The holdout's customers are written once;
+    what a Bloom filter of them leaves of the other table is made distinct and joined exactly."""
+    wanted = staged(holdout.select(customer).where(F.col(customer).isNotNull()).distinct(), "customers")
+    rest = maybe_in(modelled.select(customer).where(F.col(customer).isNotNull()), wanted, customer).distinct()
+    return wanted.join(rest, customer, "left_semi")

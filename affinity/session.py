@@ -126,9 +126,3 @@ def staged(df, name: str = "table"):
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def reliable_checkpoint(df, eager: bool = True):
-    """Cut lineage with a reliable checkpoint in the session's shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
