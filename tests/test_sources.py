@@ -127,3 +127,22 @@ def test_long_article_ids_stay_whole(spark):
 
     df = spark.createDataFrame([(7,), (20000000000,), (20000000001,)], "k long")
     assert [r[0] for r in df.select(article_text_id(F.col("k"))).collect()] == ["0000000007", "20000000000", "20000000001"]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_first_rows_are_selected_without_a_merge(spark, kind):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, -5, 0, 7, 7, 7, 10**12, rnd.randint(0, 4000)]), rnd.choice([None, 1, 1, rnd.randint(-3, 9)]), float(i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "customer_int bigint, article_int bigint, weight double").repartition(7)
+    df = df.withColumns({c: df[c].cast(kind) for c in ("customer_int", "article_int")})
+    text = (lambda x: x) if kind == "bigint" else (lambda x: None if x is None else str(x))
+    key = lambda r: tuple((x is not None, x) if x is not None else (False, 0 if kind == "bigint" else "") for x in r)
+    ordered = sorted(((text(c), text(a)) for c, a, _ in rows), key=key)
+    for n in (0, 1, 37, 38, 200, 201, 350, 499, 500, 600):
+        got = RD.first_rows(df, n)
+        assert sorted(((r[0], r[1]) for r in got.collect()), key=key) == ordered[:n]
+        assert len({r.weight for r in got.collect()}) == min(n, 500)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" not in plan
