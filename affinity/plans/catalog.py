@@ -773,8 +773,9 @@ def q_weight_lookup(spark, sf_dir):
 PERCENTILE = "p50"
 
 
-def sql_reco(source_with: str) -> str:
-    """CTE chain ending in ``recs(customer_int, article_int, rk)``: brute-force all pairs."""
+def sql_reco(source_with: str, customers: str = "SELECT DISTINCT customer_int FROM holdout") -> str:
+    """CTE chain ending in ``recs(customer_int, article_int, rk)``: brute-force all pairs. ``customers`` selects
+    those to score."""
     return (
         sql_model(source_with)
         + SQL_GAPS
@@ -787,7 +788,7 @@ excl AS (
   SELECT h.customer_int, h.article_int FROM hist h JOIN cuts c ON h.article_int = c.article_int
   WHERE h.d <= c.{PERCENTILE} AND h.article_int IN (SELECT id FROM af)
 ),
-act_c AS (SELECT DISTINCT customer_int FROM holdout),
+act_c AS ({customers}),
 known AS (SELECT customer_int FROM act_c WHERE customer_int IN (SELECT id FROM cf)),
 scored AS (  -- a suppressed article scores -1.0: all of them tie and order by id
   SELECT k.customer_int, a.id AS article_int, {sql_exponent('c', 'a')} AS e,
@@ -965,16 +966,15 @@ def q_mean_average_precision(spark, sf_dir):
     return out.select(r6("map"), "n_customers")
 
 
-@register(
-    "submission",
-    sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS))
-    + """
+SQL_SUBMISSION = """
 SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
        string_agg(b.p_brand, ' ' ORDER BY r.rk) AS prediction
 FROM recs r JOIN brands b ON r.article_int = b.brand_int
 JOIN customer c ON c.c_custkey = r.customer_int
-GROUP BY c.c_custkey""",
-)
+GROUP BY c.c_custkey"""
+
+
+@register("submission", sql_reco(with_txb(NEW_CUSTOMER_HOLDOUT_DAYS)) + SQL_SUBMISSION)
 def q_submission(spark, sf_dir):
     _, _, recs = reco_inputs(spark, sf_dir, True, NEW_CUSTOMER_HOLDOUT_DAYS)
     return EV.format_submission(recs, *submission_maps(spark, sf_dir))

@@ -414,3 +414,34 @@ def q_scored_submission(spark, sf_dir):
 def q_scored_precision(spark, sf_dir):
     path = scored(spark, sf_dir)["holdout_apks"]
     return RD.read_table(spark, path).select("customer_int", r6("apk"))
+
+
+# --------------------------------------------------------------------------------------------
+# S8, R6 in submission mode: no holdout, every known customer is scored, no metrics
+
+
+@register(
+    "submission_area",
+    C.sql_reco(C.with_txb(0), "SELECT CAST(c_custkey AS BIGINT) AS customer_int FROM customer") + C.SQL_SUBMISSION,
+)
+def q_submission_area(spark, sf_dir):
+    """Prepare without holdout, save a model, score the table of customer ids, read the submission back."""
+    from affinity.plans.prepare_job import prepare_training_data
+    from affinity.plans.score_job import score_saved
+
+    base = shared_base(spark, "submission")
+    customers, articles = C.submission_maps(spark, sf_dir)
+    W.write_table(customers, f"{base}/lookups/customer_ids")
+    W.write_table(articles, f"{base}/lookups/article_ids")
+    raw = X.tx_brand(spark, sf_dir).join(customers, "customer_int").join(articles, "article_int")
+    raw = raw.select("t_dat", "customer_id", "article_id", "price")
+    paths = prepare_training_data(spark, raw, customers, articles, base, holdout_days=0)
+    inter = W.read_weighted_interactions(spark, paths["train"], 0.0, 0.0)
+    factors = [M.with_moments(M.fixed_factors(inter, key, K), K) for key in ("customer_int", "article_int")]
+    W.save_model(M.Model(*factors, M.FIXED_INTERCEPT, K), f"{base}/saved_models", "fixed", "v1", 0)
+    found = score_saved(
+        spark, base, f"{base}/saved_models", "fixed", "v1", 0, f"{base}/predictions",
+        holdout="lookups/customer_ids", history="submission/customer_days_since_last_purchase",
+        cutoffs="submission/days_between_purchase", k=C.TOP_N, sample_size=C.SAMPLE_SIZE, seed=SEED,
+    )
+    return spark.read.option("header", True).csv(found["submission"])
