@@ -19,73 +19,124 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.shared import slices_of, staged
+from affinity.llm.shared import staged
 
 #: runs of ASCII letters and of anything beyond ASCII, on lower-cased UTF-8 bytes
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-#: characters of a text, and different terms, that a task counts before it passes the counts on
-PIECE_CHARS, HELD_TERMS = 1 << 22, 200_000
+IN_TERM = np.array([bool(TERM.match(bytes([b]))) for b in range(256)])
+#: bytes of texts counted together, bytes of a piece of a longer text, and rows held before they are added up
+RUN_BYTES, PIECE_BYTES, HELD_ROWS = 1 << 21, 1 << 22, 1 << 19
 
 
 def _texts(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def _codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def run_counts(texts: list[bytes], groups: list[int]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """``(group, term, n, docs)`` of a run of texts; ``groups[i]`` is the number of text i's group."""
+    raw = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)  # of ASCII letters only
+    inside = IN_TERM[raw]
+    behind = np.zeros(len(raw), bool)
+    behind[1:] = inside[:-1] & ~inside[1:]
+    data = np.where(inside, raw, 32).astype(np.uint8)[inside | behind]  # terms, each with one space behind it
+    end = np.nonzero(data == 32)[0]
+    offsets = np.concatenate(([0], end + 1)).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    ids, spaced = _codes(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(end), buffers))
+    terms = pc.binary_slice(spaced.cast(pa.binary()), 0, -1)
+    limits = np.cumsum([len(t) + 1 for t in texts])
+    owner = np.searchsorted(limits, np.nonzero(behind)[0] - 1, side="right")
+    seen, in_text = _codes(pa.array(owner * max(1, len(terms)) + ids))
+    in_text = in_text.to_numpy()
+    times = np.bincount(seen, minlength=len(in_text))
+    pair = np.asarray(groups)[in_text // max(1, len(terms))] * max(1, len(terms)) + in_text % max(1, len(terms))
+    place, pairs = _codes(pa.array(pair))
+    pairs = pairs.to_numpy()
+    n = np.bincount(place, weights=times, minlength=len(pairs)).astype(np.int64)
+    docs = np.bincount(place, minlength=len(pairs))
+    return pairs // max(1, len(terms)), terms.take(pa.array(pairs % max(1, len(terms)))), n, docs
+
+
+def long_counts(text: bytes) -> Counter:
+    """The terms of one long text, in pieces that end between terms."""
+    found: Counter = Counter()
+    at = 0
+    while at < len(text):
+        to = at + PIECE_BYTES
+        within = TERM.match(text, to - 1) if to < len(text) else None
+        to = within.end() if within else to
+        found.update(TERM.findall(text[at:to].lower()))
+        at = to
+    return found
+
+
 def term_tally(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """``(lang, source, term, n, docs)``, counted within tasks; a term may have several rows."""
 
     def run(batches):
-        held: dict = {}
-        size = 0
-
-        def rows():
-            columns = ([], [], [], [], [])
-            for (lang, source), terms in held.items():
-                for term, (n, in_docs) in terms.items():
-                    for column, value in zip(columns, (lang, source, term, n, in_docs)):
-                        column.append(value)
-            kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "term", "n", "docs"]
-            )
+        number: dict = {}  # of the groups seen by the task
+        held: list[pa.Table] = []
+
+        def counted(groups, terms, n, in_docs):
+            names = ["group", "term", "n", "docs"]
+            held.append(pa.table([pa.array(groups, pa.int64()), terms, pa.array(n, pa.int64()), pa.array(in_docs, pa.int64())], names))
+
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+
+        def rows(table: pa.Table):
+            keys = list(number)
+            for part in table.to_batches(1 << 16):
+                group = part.column("group").to_numpy()
+                sides = [pa.array([k[i] for k in keys], pa.binary()).take(pa.array(group)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*sides, part.column("term"), part.column("n_sum"), part.column("docs_sum")],
+                    ["lang", "source", "term", "n", "docs"],
+                )
 
         for batch in batches:
             keys = zip(*(batch.column(i).to_pylist() for i in (0, 1)))
-            texts = (t for part in slices_of(batch, 2, 64) for t in part)
-            for key, text in zip(keys, texts):
-                found: Counter = Counter()
-                at = 0
-                while at < len(text):  # a very long text in pieces that end between terms
-                    to = at + PIECE_CHARS
-                    within = TERM.match(text, to - 1) if to < len(text) else None
-                    to = within.end() if within else to
-                    found.update(TERM.findall(text[at:to].lower()))
-                    at = to
-                terms = held.setdefault(key, {})
-                before = len(terms)
-                for term, n in found.items():
-                    seen = terms.get(term)
-                    if seen is None:
-                        terms[term] = [n, 1]
+            groups = [number.setdefault(key, len(number)) for key in keys]
+            texts, own, size = [], [], 0
+            for i, value in enumerate(batch.column(2)):
+                text = value.as_py()
+                if len(text) > RUN_BYTES:
+                    found = long_counts(text)
+                    counted([groups[i]] * len(found), pa.array(list(found), pa.binary()), list(found.values()), [1] * len(found))
+                else:
+                    texts.append(text)
+                    own.append(groups[i])
+                    size += len(text)
+                if texts and (size >= RUN_BYTES or i == batch.num_rows - 1):
+                    counted(*run_counts(texts, own))
+                    texts, own, size = [], [], 0
+                if sum(t.num_rows for t in held) >= HELD_ROWS:
+                    merged = added()
+                    if merged.num_rows * 2 >= HELD_ROWS:  # adding up no longer helps
+                        yield from rows(merged)
+                        held.clear()
                     else:
-                        seen[0] += n
-                        seen[1] += 1
-                size += len(terms) - before
-                if size >= HELD_TERMS:
-                    yield rows()
-                    held, size = {}, 0
-        yield rows()
-
-    counted = docs.select(
+                        held[:] = [merged.rename_columns({"n_sum": "n", "docs_sum": "docs"})]
+        if held:
+            yield from rows(added())
+
+    counts = docs.select(
         _texts(F.col(lang_col)).cast("binary").alias("lang"),
         _texts(F.col(source_col)).cast("binary").alias("source"),
         _texts(F.col(text_col)).cast("binary").alias("text"),
     ).mapInArrow(run, "lang binary, source binary, term binary, n long, docs long")
-    return counted.select(*[F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")], "n", "docs")
+    return counts.select(*[F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")], "n", "docs")
 
 
 def kept_counts(docs: DataFrame, min_docs: int, text_col: str, lang_col: str, source_col: str) -> DataFrame:
