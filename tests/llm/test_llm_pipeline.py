@@ -1,10 +1,18 @@
 import importlib.util
+import math
+import re
 import sys
+import zlib
+from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
+import xxhash
+from tokenizers import Tokenizer
 
 import __spark_entry__ as E
-from affinity.llm import queries
+from affinity.llm import queries, toxicity
 
 pipeline = pytest.importorskip("corpus_pipeline")
 SF = "/root/testdata/sf0.001"
@@ -12,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES) <= set(E.queries())
     assert E.queries()["pipeline"] is pipeline.run
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "source_mixing", "packing"]
@@ -64,3 +72,143 @@ def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_fingerprint(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_dedup(rows):
+    """One row per group of fingerprints that are linked by at most 2 differing bits: the smallest id."""
+    prints = [plain_fingerprint(r["text"] or "") for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 2:
+                    group[i] = group[j] = min(group[i], group[j])
+    least = {}
+    for g, r in zip(group, rows):
+        least[g] = min(least.get(g, r["doc_id"]), r["doc_id"])
+    return [r for g, r in zip(group, rows) if r["doc_id"] == least[g]]
+
+
+def plain_windows(rows):
+    seen, out = set(), []
+    for r in sorted(rows, key=lambda r: r["doc_id"]):
+        words = WORD.findall(r["text"] or "")
+        gone = set()
+        for at in range(len(words) - 19):
+            window = tuple(words[at : at + 20])
+            if window in seen:
+                gone.update(range(at, at + 20))
+            seen.add(window)
+        text = " ".join(w for i, w in enumerate(words) if i not in gone) if gone else r["text"]
+        out.append({**r, "text": text})
+    return out
+
+
+def test_run_equals_plain_python(spark, tmp_path):
+    """run() on a small corpus: near copies, repeated passages and sources, written out in plain Python and given the
+    same toxicity scores; packed pieces hold the reference tokenizer's ids, each exactly once per copy."""
+    rng = np.random.default_rng(8)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), int(rng.integers(2, 8)))) for _ in range(400)]
+    passage = " ".join(rng.choice(vocabulary, 30))
+    rows, labels = [], []
+    for i in range(90):
+        words = list(rng.choice(vocabulary, int(rng.integers(30, 120))))
+        if i % 9 == 0:
+            words[5:5] = ["zorgblix", "zorgquam", "zorgblix"]
+        if i % 7 == 0:
+            words[10:10] = passage.split()
+        rows.append({"doc_id": i, "text": " ".join(words), "lang": "en", "source": ["a", "a", "b", "c"][i % 4]})
+        labels.append((i, 1, int(i % 9 == 0)))
+    rows += [{**rows[k], "doc_id": 100 + k} for k in (1, 2, 3, 50)]  # exact copies
+    rows += [{**rows[20], "doc_id": 120, "text": rows[20]["text"].upper()}, {"doc_id": 121, "text": None, "lang": "en", "source": "b"}]
+    rows.append({"doc_id": 122, "text": "", "lang": "en", "source": "c"})
+    for r in rows:
+        r["n_chars"] = len(r["text"] or "")
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars")) for r in rows], schema)
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    scores = toxicity.classify(docs, spark.read.parquet(f"{tmp_path}/labels.parquet")).collect()
+    toxic = {r["doc_id"] for r in scores if r["predicted"]}
+    kept = plain_windows(plain_dedup([r for r in rows if r["doc_id"] not in toxic]))
+    assert len(kept) < len(rows) - len(toxic) and any(r["text"] != rows[r["doc_id"]]["text"] for r in kept if r["doc_id"] < 90)
+
+    got = pipeline.run(spark, str(tmp_path)).collect()
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {r["doc_id"]: [*coder.encode(r["text"] or "", add_special_tokens=False).ids, 0] for r in kept}
+    assert {r["doc_id"] for r in got} == set(ids)
+    covered = {d: np.zeros(len(t), np.int64) for d, t in ids.items()}
+    sequences = {}
+    for r in got:
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(part) == r["length"] > 0 and r["doc_tokens"] == len(ids[r["doc_id"]])
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+        covered[r["doc_id"]][r["start"] : r["start"] + r["length"]] += 1
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    copies = {d: int(c[0]) for d, c in covered.items()}
+    assert all((c == c[0]).all() for c in covered.values())
+    assert copies == plain_copies(kept)
+
+
+def plain_copies(rows, entropy=0.98, repeats=2.0, seed=1):
+    """How often the mix takes each document: every source once as a whole at least, none more than twice, the
+    shares tempered by the exponent that comes as near to the target entropy as that allows."""
+    tokens = Counter()
+    for r in rows:
+        tokens[r["source"]] += len(WORD.findall(r["text"] or ""))
+    total = sum(tokens.values())
+    p = np.array([tokens[s] / total for s in sorted(tokens)])
+
+    def state(t):
+        w = p**t / (p**t).sum()
+        budget = (p / w).max()  # the smallest at which every source is passed once
+        return -(w * np.log(w)).sum() / math.log(len(p)), budget * (w / p).max(), w * budget
+
+    def bisect(good, bad):  # the last good exponent on the way to the bad one
+        for _ in range(200):
+            mid = (good + bad) / 2
+            good, bad = (mid, bad) if state(mid)[0] <= entropy and state(mid)[1] <= repeats else (good, mid)
+        return good
+
+    assert state(1.0)[0] <= entropy and state(1.0)[1] <= repeats
+    exponent = bisect(1.0, 0.0) if not (state(0.0)[0] <= entropy and state(0.0)[1] <= repeats) else 0.0
+    quota = {s: max(tokens[s], round(float(q) * total)) for s, q in zip(sorted(tokens), state(exponent)[2])}
+
+    def key(r, copy):
+        h = 42
+        for value in (str(r["doc_id"]), r["source"], r["text"] or ""):
+            h = xxhash.xxh64_intdigest(value.encode(), h)
+        row = h.to_bytes(8, "little")
+        h = xxhash.xxh64_intdigest(row, 42)
+        h = xxhash.xxh64_intdigest(copy.to_bytes(4, "little"), h)
+        return xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), h) >> 4
+
+    copies = {}
+    for s in tokens:
+        own = [r for r in rows if r["source"] == s]
+        whole, left = divmod(quota[s], tokens[s])
+        copies |= {r["doc_id"]: whole for r in own}
+        for r in sorted(own, key=lambda r: key(r, whole + 1)):
+            n = len(WORD.findall(r["text"] or ""))
+            if n > left or not left:
+                break
+            left -= n
+            copies[r["doc_id"]] += 1
+    return copies
