@@ -12,7 +12,8 @@ with a holdout, ``holdout`` and ``holdout_new_users``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from affinity.operators import prepare as P
 from affinity.operators.ids import dense_ids
@@ -54,10 +55,12 @@ def prepare_training_data(
     enriched = P.enrich_transactions(transactions, customer_ids, article_ids)
     # sorted by date inside each output file: Parquet row-group min/max statistics then prune
     # the time split, without one folder per day (tasks x days small files at scale)
-    write_table(enriched.sortWithinPartitions(S.DATE), paths["transactions"])
+    seen = Observation("purchases")  # the newest date is taken from the rows as they are written
+    ordered = enriched.sortWithinPartitions(S.DATE).observe(seen, F.max(S.DATE).alias("newest"))
+    write_table(ordered, paths["transactions"])
     tx = spark.read.parquet(paths["transactions"])
 
-    train, holdout = P.split_transactions(tx, holdout_days)
+    train, holdout = P.split_transactions(tx, holdout_days, newest=seen.get["newest"])
     paths["prices"] = f"{root}/prices"
     write_table(P.max_prices(train), paths["prices"])
     prices = spark.read.parquet(paths["prices"])

@@ -43,3 +43,21 @@ def test_prepare_train_score_round_trip(spark, scratch):
     sub = spark.read.option("header", True).csv(result["submission"])
     assert sub.count() == holdout_customers
     assert sub.where(F.size(F.split("prediction", " ")) != 12).count() == 0
+
+
+def test_newest_date_comes_from_the_write(spark, scratch, monkeypatch):
+    """The prepare job does not scan the purchases again for their newest date; with none there is no holdout."""
+    from affinity.operators import prepare as P
+
+    c_path, a_path = prepare_lookups(X.customers(spark, SF_SMALL), X.articles(spark, SF_SMALL), scratch)
+    maps = spark.read.parquet(c_path), spark.read.parquet(a_path)
+    tx = X.transactions(spark, SF_SMALL)
+    newest = tx.agg(F.max("t_dat")).first()[0]
+    with monkeypatch.context() as m:
+        m.setattr(P, "max_date", lambda *_: (_ for _ in ()).throw(AssertionError("scanned again")))
+        paths = prepare_training_data(spark, tx, *maps, f"{scratch}/a", holdout_days=30)
+    held = spark.read.parquet(paths["transactions"]).where(F.col("t_dat") > F.date_sub(F.lit(newest), 30))
+    counted = spark.read.parquet(paths["holdout"]).agg(F.sum("count")).first()[0]
+    assert counted == held.count() > 0
+    empty = prepare_training_data(spark, tx.limit(0), *maps, f"{scratch}/b", holdout_days=30)
+    assert spark.read.parquet(empty["holdout"]).count() == 0
