@@ -3,8 +3,8 @@
 A word enters as its word vector (words known from the training sample, one shared vector for the rest), the
 mean vector of its character trigrams and a vector of its first characters. Two recurrent layers read a
 window of words in both directions, attention pools their states, and a logit follows. Every text is
-scored over all its overlapping windows (whole text, half a window apart, the last one flush with the
-end). Its score comes from the highest window logit, the expected number of toxic windows and their share,
+scored over the whole of it: overlapping windows start half a window apart, the last one is flush with the
+end. Its score comes from the highest window logit, the expected number of toxic windows and their share,
 by a logistic curve fitted to documents the network was not trained on.
 
 Training is on a bounded sample of labelled rows (``sample_docs`` a class, texts up to ``sample_chars``),
@@ -29,8 +29,6 @@ TRIGRAMS, SLOTS, OPENING = 1 << 13, 1 << 17, 5
 #: odd multipliers of the feature hashes (arbitrary, fixed)
 A, B, C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 WORDS_AT_ONCE = 200_000
-#: rows of every matrix product in scoring: the last digits of a product follow its shape
-WINDOWS_TOGETHER, WORDS_TOGETHER = 512, 4096
 SCORE_PLACES = 6
 
 
@@ -85,16 +83,10 @@ def windows_of(n: int, size: int) -> np.ndarray:
     return np.append(np.arange(0, n - size, step), n - size)
 
 
-def in_blocks(x: np.ndarray, w: np.ndarray, rows: int = WORDS_TOGETHER) -> np.ndarray:
-    """``x @ w`` by blocks of always the same shape, the last one filled up with zeros: a row's result does not
-    depend on the rows it is multiplied with."""
-    out = np.empty((len(x), w.shape[1]), np.float32)
-    for at in range(0, len(x), rows):
-        part = x[at : at + rows]
-        if len(part) < rows:
-            part = np.concatenate([part, np.zeros((rows - len(part), x.shape[1]), x.dtype)])
-        out[at : at + rows] = (part @ w)[: len(out) - at]
-    return out
+def product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` in double precision, rounded to single: the last digits of a single-precision product follow the
+    place of a row among the others, those of a text's score must not."""
+    return (x.astype(np.float64) @ w).astype(np.float32)
 
 
 def sigmoid(x):
@@ -149,12 +141,13 @@ class Network:
     def _read(self, pre, mask, s, keep):
         """States of one direction; ``pre`` (time x batch x 3h) are the projected inputs."""
         h, p = self.hidden, self.p
+        times = np.matmul if keep else product
         state = np.zeros((pre.shape[1], h), np.float32)
         out, tape = np.empty((*pre.shape[:2], h), np.float32), []
         for t in range(len(pre)) if s == "f" else reversed(range(len(pre))):
-            gates = sigmoid(pre[t, :, : 2 * h] + state @ p[f"gate_{s}"])
+            gates = sigmoid(pre[t, :, : 2 * h] + times(state, p[f"gate_{s}"]))
             z, r = gates[:, :h], gates[:, h:]
-            cand = np.tanh(pre[t, :, 2 * h :] + (r * state) @ p[f"cand_{s}"])
+            cand = np.tanh(pre[t, :, 2 * h :] + times(r * state, p[f"cand_{s}"]))
             new = state + z * (cand - state)
             if mask is not None:
                 new = np.where(mask[t][:, None], new, state)
@@ -169,14 +162,15 @@ class Network:
         hf, tape_f = self._read(pre_f, mask, "f", keep)
         hb, tape_b = self._read(pre_b, mask, "b", keep)
         h = np.concatenate([hf, hb], axis=2)
-        a = np.tanh(h @ p["attend"] + p["attend_b"])
-        e = a @ p["attend_v"]
+        times = np.matmul if keep else product
+        a = np.tanh(times(h, p["attend"]) + p["attend_b"])
+        e = times(a, p["attend_v"])
         if mask is not None:
             e = np.where(mask, e, np.float32(-1e4))
         e = np.exp(e - e.max(axis=0))
         weight = e / e.sum(axis=0)
-        pooled = np.einsum("tb,tbh->bh", weight, h)
-        return pooled @ p["out"] + p["out_b"][0], (h, a, weight, pooled, tape_f, tape_b, mask)
+        pooled = (weight[:, :, None] * h).sum(axis=0)
+        return times(pooled, p["out"]) + p["out_b"][0], (h, a, weight, pooled, tape_f, tape_b, mask)
 
     def backward(self, x, saved, d_logit):
         """Gradients of the parameters (embeddings apart) and of the inputs ``x`` (time x batch x d)."""
@@ -222,7 +216,7 @@ class Network:
         n = len(words.keys)
         x = self.inputs(words, self.word_numbers(words.keys))
         first, size = windows_of(n, self.window), min(max(n, 1), self.window)
-        pre = [x @ self.p[f"in_{s}"] + self.p[f"bias_{s}"] for s in "fb"]
+        pre = [product(x, self.p[f"in_{s}"]) + self.p[f"bias_{s}"] for s in "fb"]
         if not n:
             pre = [np.broadcast_to(self.p[f"bias_{s}"], (1, 3 * self.hidden)) for s in "fb"]
         found = []
@@ -258,14 +252,13 @@ class Network:
                 np.concatenate([w.opening for w in full]),
             )
             x = self.inputs(joint, self.word_numbers(joint.keys))
-            pre = [in_blocks(x, self.p[f"in_{s}"]) + self.p[f"bias_{s}"] for s in "fb"]
+            pre = [product(x, self.p[f"in_{s}"]) + self.p[f"bias_{s}"] for s in "fb"]
             base = np.concatenate(([0], np.cumsum(count)[:-1]))
             spans = [windows_of(int(c), self.window) + b for c, b in zip(count, base)]
             first, found = np.concatenate(spans), []
-            for at in range(0, len(first), WINDOWS_TOGETHER):  # always as many windows, the last ones repeated
-                own = first[np.minimum(np.arange(at, at + WINDOWS_TOGETHER), len(first) - 1)]
-                take = own + np.arange(self.window)[:, None]
-                found.append(self.forward(pre[0][take], pre[1][take])[0][: len(first) - at])
+            for at in range(0, len(first), 1024):
+                take = first[at : at + 1024] + np.arange(self.window)[:, None]
+                found.append(self.forward(pre[0][take], pre[1][take])[0])
             cuts = np.cumsum([len(s) for s in spans])[:-1]
             result = {id(w): v for w, v in zip(full, np.split(np.concatenate(found), cuts))}
         return [result[id(w)] if id(w) in result else self.logits(w) for w in texts]
