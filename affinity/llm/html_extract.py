@@ -517,7 +517,11 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
         before = [rest_block() for _ in range(int(rng.integers(0, 4)))]
         after = [rest_block() for _ in range(int(rng.integers(0, 3)))]
         if chance(0.5):
-            before.insert(0, element(pick("header", "header", "div"), ["header", "masthead", "site-header"], f"{pick('', f'<h2>{REST}{words(2)}</h2>')}{links(4)}{pick('', f'<p>{prose(2, 9)}</p>')}"))
+            banner = f"{pick('', f'<h2>{REST}{words(2)}</h2>')}{links(4)}{pick('', f'<p>{prose(2, 9)}</p>')}"
+            slogan = f"{pick('', f'<a href=/>{REST}{words(2)}</a>')}<p>{prose(2, 25)}</p>"
+            place = pick("header", "header", "div")
+            names = ["header", "masthead", "site-header"] if place == "div" or chance(0.6) else []
+            before.insert(0, element(place, names, banner if chance(0.65) else slogan))
         if chance(0.3):
             after.append(comments())
         if chance(0.8):
@@ -535,7 +539,7 @@ def training_pages(count: int, seed: int = 5) -> list[str]:
     return pages
 
 
-def train(pages: int = 700, seed: int = 5) -> Boosted:
+def train(pages: int = 600, seed: int = 5) -> Boosted:
     """Trees fitted to the elements of the training pages that hold text; an element is main if most of its
     text is."""
     parsed, main = [], []
@@ -583,7 +587,7 @@ def main_texts(sources: list[str | None], trees: Boosted) -> list[str]:
 
 
 def extract(
-    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = 700, batch_chars: int = 2_000_000
+    pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = 600, batch_chars: int = 2_000_000
 ) -> DataFrame:
     """All columns of ``pages`` and ``text``, ``n_chars`` (code points), in place of columns of these names.
 
