@@ -34,18 +34,25 @@ def enrich_transactions(
     article_key: str = S.ARTICLE_ID,
     customer: str = S.CUSTOMER,
     article: str = S.ARTICLE,
+    lines: DataFrame | None = None,
+    on: str | None = None,
 ) -> DataFrame:
     """C1 (J1, J2, P4): swap text ids for surrogate ids; rows with unknown ids drop out.
 
     A map whose bytes lie under the session's broadcast threshold is broadcast, so the
     transactions (the largest table) are not shuffled; beyond it the join shuffles, and AQE
     splits a hot customer's partition.
+
+    Transactions kept as two tables, ``transactions`` with the customers and ``lines`` with the articles,
+    both with the key ``on``, are joined after each has swapped its own id: the text ids of an order's
+    customer are then shuffled once an order and not once a line. The rows are those of the joined tables.
     """
-    return (
-        transactions.join(customer_ids.select(customer_key, customer), customer_key)
-        .join(article_ids.select(article_key, article), article_key)
-        .drop(customer_key, article_key)
-    )
+    if lines is None:
+        rows = transactions.join(customer_ids.select(customer_key, customer), customer_key)
+        return rows.join(article_ids.select(article_key, article), article_key).drop(customer_key, article_key)
+    heads = transactions.join(customer_ids.select(customer_key, customer), customer_key).drop(customer_key)
+    items = lines.join(article_ids.select(article_key, article), article_key).drop(article_key)
+    return heads.join(items, on)
 
 
 def max_date(tx: DataFrame, date_col: str = S.DATE) -> _dt.date | None:
@@ -123,13 +130,22 @@ def weighted_interactions(
     ``prices`` (article, max_price) defaults to A2 over ``train``: one row per article, joined as
     AQE finds best. The decay is measured from the newest train date. Pairs whose summed weight is
     not > 0 are dropped. Strengths outside their range (decay >= 0, price 0 to 1) are an error.
+
+    A strength of 0 needs neither canonical prices nor the newest date: no further pass over
+    ``train`` and no join. A purchase without price or date still adds nothing.
     """
     _check_strengths(t_discount_strength, price_discount_strength)
-    rows, newest = _priced(train, prices, customer, article, date_col, price)
-    w = combined_weight(
-        price_weight(price_ratio(F.col(price), F.col("max_price")), price_discount_strength),
-        time_weight(days_between(newest, F.col(date_col)), t_discount_strength),
-    )
+    p, day = F.col(price), F.col(date_col)
+    if prices is None and price_discount_strength == 0.0:
+        rows = train.select(customer, article, date_col, price)
+        newest = max_date_column(train, date_col) if t_discount_strength else day
+        # of any number 1, as ratio * 0 + 1; an infinite price has no ratio and gives NaN
+        by_price = price_weight(F.when(F.isnan(p), F.lit(1.0)).otherwise(p), 0.0)
+    else:
+        rows, newest = _priced(train, prices, customer, article, date_col, price)
+        newest = newest if t_discount_strength else day
+        by_price = price_weight(price_ratio(p, F.col("max_price")), price_discount_strength)
+    w = combined_weight(by_price, time_weight(days_between(newest, day), t_discount_strength))
     return (
         rows.groupBy(customer, article)
         .agg(F.sum(w).alias(weight))

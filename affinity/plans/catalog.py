@@ -95,7 +95,7 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def split_part(spark: SparkSession, sf_dir: str, days: int = HOLDOUT_DAYS):
-    return P.split_transactions(X.tx_part(spark, sf_dir), days)
+    return P.split_transactions(X.tx_part(spark, sf_dir), days, newest=X.newest_purchase(spark, sf_dir))
 
 
 def split_brand(spark: SparkSession, sf_dir: str, days: int = HOLDOUT_DAYS):
@@ -411,11 +411,13 @@ SELECT CAST(r.t_dat AS VARCHAR) AS t_dat, r.price, r.l_orderkey, r.l_linenumber,
 FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN am ON r.article_id = am.article_id""",
 )
 def q_enriched_transactions(spark, sf_dir):
+    orders, lines = X.order_tables(spark, sf_dir)
     out = P.enrich_transactions(
-        X.transactions(spark, sf_dir), customer_map(spark, sf_dir), article_map(spark, sf_dir)
+        orders, customer_map(spark, sf_dir), article_map(spark, sf_dir), lines=lines, on="l_orderkey"
     )
+    price = F.col(X.PRICE_PARTS[0]) / F.col(X.PRICE_PARTS[1])
     return out.select(
-        iso("t_dat"), "price", "l_orderkey", "l_linenumber", "customer_int", "article_int"
+        iso("t_dat"), price.alias("price"), "l_orderkey", "l_linenumber", "customer_int", "article_int"
     )
 
 
@@ -527,6 +529,7 @@ class ModelInputs:
 
     def __init__(self, spark, sf_dir, brand: bool = False, days: int = HOLDOUT_DAYS):
         self._tx, self._days = (X.tx_brand if brand else X.tx_part)(spark, sf_dir), days
+        self._newest = (lambda: None) if brand else (lambda: X.newest_purchase(spark, sf_dir))
 
     @cached_property
     def split(self):
@@ -540,8 +543,9 @@ class ModelInputs:
     @cached_property
     def weights(self):
         """The interactions, for a query that reads them once."""
-        known = "split" in self.__dict__
-        return P.weighted_interactions(self.train if known else P.split_transactions(self._tx, self._days)[0])
+        if "split" in self.__dict__:
+            return P.weighted_interactions(self.train)
+        return P.weighted_interactions(P.split_transactions(self._tx, self._days, newest=self._newest())[0])
 
     @cached_property
     def inter(self):
@@ -761,7 +765,7 @@ FROM pairs p LEFT JOIN w ON p.customer_int = w.customer_int AND p.article_int =
 def q_weight_lookup(spark, sf_dir):
     from affinity.operators.lookup import lookup_weights
 
-    train, holdout = P.split_transactions(X.tx_part(spark, sf_dir), HOLDOUT_DAYS)
+    train, holdout = split_part(spark, sf_dir)
     inter = P.weighted_interactions(train)
     pairs = holdout.select("customer_int", "article_int").distinct()
     return lookup_weights(pairs, inter).select("customer_int", "article_int", r6("weight"))

@@ -15,13 +15,18 @@ scans.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.operators.bloom import maybe_in
 from affinity.operators.ids import dense_ids
+from affinity.session import staged
 from affinity.sources import schemas as S
 
 ARTICLE_ID_WIDTH = 10
+PRICE_PARTS = ("l_extendedprice", "l_quantity")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +48,26 @@ def tx_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def newest_purchase(spark: SparkSession, sf_dir: str) -> _dt.date | None:
+    """A1 over ``tx_part`` without its join: the newest date of an order that has a line item.
+
+    Only the orders of the last days are looked up among the line items, by a Bloom filter at the scan and an
+    exact join; if none of them has one, those of ever more days, up to all orders."""
+    od = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").cast("date").alias(S.DATE))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"))
+    ends = od.agg(F.min(S.DATE).alias("first"), F.max(S.DATE).alias("last")).first()
+    if ends["last"] is None:
+        return None
+    days, whole = 1, (ends["last"] - ends["first"]).days + 1
+    while True:
+        since = ends["last"] - _dt.timedelta(days=min(days, whole) - 1)
+        recent = staged(od.where((F.col(S.DATE) >= F.lit(since)) & F.col("key").isNotNull()), "recent")
+        found = maybe_in(li, recent, "key").join(recent, "key").agg(F.max(S.DATE)).first()[0]
+        if found is not None or days >= whole:
+            return found
+        days *= 16
+
+
 def brand_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense id per brand, in brand order."""
     return dense_ids(table(spark, sf_dir, "part"), "p_brand", "brand_int")
@@ -83,3 +108,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
     )
+
+
+def order_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two tables behind ``transactions``, with the key ``l_orderkey``: dates and customers, and line items
+    (``PRICE_PARTS``, from which a purchase's price is taken once they are joined)."""
+    od = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias(S.DATE),
+        F.col("o_custkey").cast("string").alias(S.CUSTOMER_ID),
+    )
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", article_text_id(F.col("l_partkey")).alias(S.ARTICLE_ID), *PRICE_PARTS
+    )
+    return od, li
