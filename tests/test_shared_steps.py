@@ -53,3 +53,21 @@ def test_newest_purchase_is_that_of_the_join(spark, scratch):
     ]:
         star(spark, scratch, orders, lines)
         assert X.newest_purchase(spark, scratch) == expected == P.max_date(X.tx_part(spark, scratch))
+
+
+def test_few_batches_are_written_without_a_shuffle_of_their_own(spark, monkeypatch):
+    from affinity.operators import factors as M
+
+    rows = [(c, a, float(1 + (c + a) % 3)) for c in range(12) for a in range(9) if (c * a) % 4 != 1]
+    pairs = spark.createDataFrame(rows, "customer_int bigint, article_int bigint, weight double")
+    options = dict(k=2, epochs=2, batch_share=0.5, validation_share=0.1, seed=3, init_scale=0.1, lr=0.01)
+    values = lambda m: {(r.side, r.id): r[2:5] for r in M.to_params(m).select("side", "id", "f0", "f1", "bias").collect()}
+    with monkeypatch.context() as m:  # as with many batches
+        m.setattr("affinity.operators.param_log.FEW_BATCHES", 0)
+        m.setattr("affinity.operators.factors.FEW_BATCHES", 0)
+        dealt = values(M.fit_log_link_factors(pairs, **options))
+    with monkeypatch.context() as m:
+        m.setattr(type(pairs), "repartition", lambda *_: (_ for _ in ()).throw(AssertionError("shuffled")))
+        found = values(M.fit_log_link_factors(pairs, **options))
+    assert dealt.keys() == found.keys()
+    assert all(abs(x - y) < 1e-9 for key in dealt for x, y in zip(dealt[key], found[key]))
