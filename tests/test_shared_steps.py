@@ -71,3 +71,14 @@ def test_few_batches_are_written_without_a_shuffle_of_their_own(spark, monkeypat
         found = values(M.fit_log_link_factors(pairs, **options))
     assert dealt.keys() == found.keys()
     assert all(abs(x - y) < 1e-9 for key in dealt for x, y in zip(dealt[key], found[key]))
+
+
+def test_intermediate_tables_are_compressed(spark, scratch):
+    from affinity.operators import factors as M
+    from affinity.session import staged
+
+    rows = spark.range(20)
+    store = M.ParamStore(spark)
+    tables = [staged(rows), store.put(rows, "x")]
+    assert all(".zstd." in f for table in tables for f in table.inputFiles())
+    assert all(table.count() == 20 for table in tables)
