@@ -206,3 +206,20 @@ def test_blocks_out_of_reach_are_not_scored(spark):
     seen = R.top_n_scored(factors(spark, cust, 2), factors(spark, arts, 2), 0.0, 2, 5, article_block_rows=50, report=True)
     row = seen.agg(F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs")).first()
     assert row.pairs == 200_000 and row.scored < 0.2 * row.pairs
+
+
+def test_blocks_of_equal_norms_are_left_out(spark):
+    """Factors of one size and many ties: only where in space a block lies tells that it is out of reach."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    arts = [(i, *map(float, np.round(x / np.linalg.norm(x), 2)), float(i % 3) / 10) for i, x in enumerate(rng.normal(size=(3000, 3)))]
+    cust = [(i, *map(float, rng.normal(size=3)), 0.0) for i in range(120)]
+    ex = {(int(c), int(a)) for c, a in zip(rng.integers(0, 120, 4000), rng.integers(0, 3000, 4000))}
+    tables = factors(spark, cust, 3), factors(spark, arts, 3), 0.0, 3, 5
+    seen = R.top_n_scored(*tables, article_block_rows=20, report=True)
+    row = seen.agg(F.sum("scored").alias("scored"), F.sum("pairs").alias("pairs")).first()
+    assert row.pairs == 360_000 and row.scored < 0.15 * row.pairs
+    exclusions = spark.createDataFrame(sorted(ex), "customer_int long, article_int long")
+    top = R.top_n_lists(*tables, exclusions, article_block_rows=20, customer_block_rows=16)
+    assert {r.customer_int: list(r.recommendations) for r in top.collect()} == brute_force(cust, arts, ex, 5, 0.0)
