@@ -162,6 +162,7 @@ def weighted_interaction_grid(
     date_col: str = S.DATE,
     price: str = S.PRICE,
     weight: str = S.WEIGHT,
+    partitions: int | None = None,
 ) -> DataFrame:
     """C2 for several (t_discount_strength, price_discount_strength) pairs in one pass.
 
@@ -169,6 +170,9 @@ def weighted_interaction_grid(
     sums, a single shuffle), then the sums are unpivoted into rows
     ``t_discount, price_discount, customer, article, weight`` and non-positive weights dropped.
     Equal to calling ``weighted_interactions`` once per pair, with one scan instead of many.
+
+    ``partitions`` deals the pairs to that many tasks or more, for callers that know the size of ``train``:
+    what a task holds is then bounded whatever the session's number of shuffle partitions.
     """
     if not strengths:
         raise ValueError("strengths must not be empty")
@@ -181,6 +185,8 @@ def weighted_interaction_grid(
         F.sum(combined_weight(price_weight(ratio, s), time_weight(days, k))).alias(f"_w{i}")
         for i, (k, s) in enumerate(strengths)
     ]
+    if partitions:
+        rows = rows.repartition(int(partitions), customer, article)
     wide = rows.groupBy(customer, article).agg(*sums)
     variants = F.array(
         *[

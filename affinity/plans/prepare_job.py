@@ -12,6 +12,8 @@ with a holdout, ``holdout`` and ``holdout_new_users``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from affinity.sources.writers import (
     write_weighted_interactions,
 )
 
+WEIGHTS_PER_TASK = 2_000_000  # weights of all variants that one task aggregates and sorts for the write
+
 
 def prepare_lookups(customers: DataFrame, articles: DataFrame, out: str) -> tuple[str, str]:
     """P1/P2 + S9: dense id maps for customers and articles, written as tables."""
@@ -55,8 +59,9 @@ def prepare_training_data(
     enriched = P.enrich_transactions(transactions, customer_ids, article_ids)
     # sorted by date inside each output file: Parquet row-group min/max statistics then prune
     # the time split, without one folder per day (tasks x days small files at scale)
-    seen = Observation("purchases")  # the newest date is taken from the rows as they are written
-    ordered = enriched.sortWithinPartitions(S.DATE).observe(seen, F.max(S.DATE).alias("newest"))
+    # the newest date and the number of rows are taken from the rows as they are written
+    seen = Observation("purchases")
+    ordered = enriched.sortWithinPartitions(S.DATE).observe(seen, F.max(S.DATE).alias("newest"), F.count("*").alias("n"))
     write_table(ordered, paths["transactions"])
     tx = spark.read.parquet(paths["transactions"])
 
@@ -73,7 +78,9 @@ def prepare_training_data(
 
     paths["train"] = f"{root}/train"
     if strengths:
-        grid = P.weighted_interaction_grid(train, strengths, prices)
+        tasks = math.ceil(seen.get["n"] * len(strengths) / WEIGHTS_PER_TASK)
+        dealt = tasks if tasks > spark.sparkContext.defaultParallelism else None
+        grid = P.weighted_interaction_grid(train, strengths, prices, partitions=dealt)
         write_weighted_interaction_grid(grid, paths["train"], strengths)
     else:
         weights = P.weighted_interactions(train, t_discount_strength, price_discount_strength, prices)

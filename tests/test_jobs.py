@@ -61,3 +61,22 @@ def test_newest_date_comes_from_the_write(spark, scratch, monkeypatch):
     assert counted == held.count() > 0
     empty = prepare_training_data(spark, tx.limit(0), *maps, f"{scratch}/b", holdout_days=30)
     assert spark.read.parquet(empty["holdout"]).count() == 0
+
+
+def test_weights_are_dealt_to_tasks_by_their_number(spark, scratch, monkeypatch):
+    """A task of the weight variants holds a bounded number of rows, whatever the session's shuffle partitions."""
+    from affinity.plans import prepare_job
+
+    c_path, a_path = prepare_lookups(X.customers(spark, SF_SMALL), X.articles(spark, SF_SMALL), scratch)
+    maps = spark.read.parquet(c_path), spark.read.parquet(a_path)
+    tx, options = X.transactions(spark, SF_SMALL), {"holdout_days": 30, "strengths": [(0.0, 0.0), (0.001, 1.0)]}
+    found = []
+    for name, most in (("a", 10**9), ("b", 400)):
+        monkeypatch.setattr(prepare_job, "WEIGHTS_PER_TASK", most)
+        paths = prepare_training_data(spark, tx, *maps, f"{scratch}/{name}", **options)
+        found.append(read_weighted_interactions(spark, paths["train"], 0.001, 1.0))
+    files = found[1].groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 8 and max(r["count"] for r in files) <= 400
+    key = ["customer_int", "article_int", F.round("weight", 9).alias("w")]
+    plain, dealt = ({tuple(r) for r in w.select(*key).collect()} for w in found)
+    assert plain == dealt and len(plain) == found[0].count() == found[1].count()
