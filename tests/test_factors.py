@@ -357,3 +357,19 @@ def test_resume_without_a_snapshot_starts_anew(spark, synthetic, scratch):
     a = train(spark, synthetic, f"{scratch}/a", "mf", "v1", resume=True, **kw)
     again = train(spark, synthetic, f"{scratch}/a", "mf", "v1", resume=True, **kw)  # nothing is left to do
     assert a.step == again.step == 1 and a.intercept == again.intercept
+
+
+@pytest.mark.parametrize("n_batches", [1, 62, 63, 200, 300])
+def test_batches_of_an_entity_in_bits_and_lists(spark, n_batches):
+    """Up to four words of bits, and the list beyond, give the sorted batches of each entity; a pair without weight none."""
+    rows = [(c, a, 0.0 if (c + a) % 7 == 0 else 1.0, (31 * c + 17 * a) % n_batches) for c in range(20) for a in range(30)]
+    pairs = spark.createDataFrame(rows, "customer_int long, article_int long, weight double, _batch int")
+    found = M.batches_of(pairs, "customer_int", "article_int", "weight", n_batches)
+    want = {}
+    for c, a, w, b in rows:
+        if w > 0:
+            want.setdefault(("c", c), set()).add(b)
+            want.setdefault(("a", a), set()).add(b)
+    assert {(r.side, r.id): r.uses for r in found.collect()} == {k: sorted(v) for k, v in want.items()}
+    lists = any("collect_set" in line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert lists == (n_batches > 248)
