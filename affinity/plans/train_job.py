@@ -86,5 +86,6 @@ def train(
         batch_size=batch_size, validation_share=validation_share, seed=seed,
         init_scale=init_scale, batch_share=batch_share, max_exponent=max_exponent,
         on_batch=on_batch, on_epoch=on_epoch, start=start, first_epoch=done[-1] + 1 if done else 0,
+        batch_models=log_param_changes,
     )
     return model
